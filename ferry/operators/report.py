@@ -9,10 +9,16 @@ The workbook file itself is not drawn (single-machine library); the sheet
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.functions.text import py_str
+from ferry.operators.ordinal import with_ordinal
+
 HEADER_ROWS = 1
+FIRST_DATA_ROW = HEADER_ROWS + 1
 
 
 def sheet_extent(df: DataFrame) -> DataFrame:
@@ -22,3 +28,67 @@ def sheet_extent(df: DataFrame) -> DataFrame:
     """
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", (F.col("n_rows") + HEADER_ROWS).alias("last_sheet_row"))
+
+
+def sheet_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str],
+               anchor_column: str | None = None) -> DataFrame:
+    """Data rows placed on a sheet.
+
+    ``sheet_row`` is the 1-based sheet row (header is row 1); with
+    ``anchor_column`` (a column letter) ``anchor_cell`` names the cell an
+    image for that row is anchored to, e.g. ``D7``.
+    """
+    pos = with_ordinal(df.select(*keep), order_by)
+    row = (F.col("ordinal") + FIRST_DATA_ROW).alias("sheet_row")
+    cols = [row, *[F.col(c) for c in keep]]
+    if anchor_column:
+        cols.append(F.concat(F.lit(anchor_column), row.cast("string")).alias("anchor_cell"))
+    return pos.select(*cols)
+
+
+def chart_series(df: DataFrame, order_by: Sequence[str], value_columns: Sequence[str],
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """Sheet columns -> named chart series, one row per (point, series).
+
+    The chart has no category axis, so x is the data row position
+    (``ordinal``, 0-based); ``carry`` columns (e.g. the date) ride along.
+    The header cell names the series. NULL cells stay as NULL points.
+    """
+    pos = with_ordinal(df, order_by)
+    return pos.unpivot(["ordinal", *carry], list(value_columns), "series", "value")
+
+
+# ----------------------------------------------------------------------- HTML
+
+def html_row(df: DataFrame, fields: Sequence[str], out: str = "row_html",
+             keep: Sequence[str] = (), escape: bool = False) -> DataFrame:
+    """One ``<tr>`` per row, one ``<td>`` per field, Python-style text (P5).
+
+    A missing value prints ``None``, booleans ``True``/``False``. Like the
+    reference's template, nothing is escaped unless ``escape=True``.
+    """
+    from ferry.functions.text import html_escape
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    cells = []
+    for f in fields:
+        txt = py_str(f, types[f])
+        cells += [F.lit("<td>"), html_escape(txt) if escape else txt, F.lit("</td>")]
+    return df.select(*[F.col(k) for k in keep],
+                     F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias(out))
+
+
+def html_pages(rows: DataFrame, order_by: Sequence[str], page_rows: int,
+               header: str, footer: str, row_col: str = "row_html") -> DataFrame:
+    """Ordered concatenation of rendered rows into documents (A3).
+
+    All rows are kept; they are cut into pages of ``page_rows`` so no
+    single value (and no single aggregation group) grows with the data.
+    Page ``p`` holds rows ``p*page_rows .. (p+1)*page_rows - 1`` in
+    ``order_by`` order; each page is a complete document.
+    """
+    pos = with_ordinal(rows, order_by)
+    body = F.expr(f"listagg({row_col}, '') WITHIN GROUP (ORDER BY ordinal)")
+    return (pos.groupBy((F.col("ordinal") / F.lit(page_rows)).cast("long").alias("page_no"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), body.alias("_body"))
+            .select("page_no", "n_rows",
+                    F.concat(F.lit(header), F.col("_body"), F.lit(footer)).alias("html")))

@@ -16,8 +16,12 @@ new folder, nothing is overwritten or deleted.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+import struct
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +40,7 @@ def _staged(name: str):
             key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
             if key not in _STAGED:
                 path = scratch_path(spark, f"fixture-{name}")
-                fn(spark, sf_dir, path)
-                _STAGED[key] = path
+                _STAGED[key] = fn(spark, sf_dir, path) or path
             return _STAGED[key]
         get.__name__ = name
         get.__doc__ = fn.__doc__
@@ -153,3 +156,153 @@ def task_runs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_staged("task_runs")
 def task_runs(spark: SparkSession, sf_dir: str, path: str) -> None:
     task_runs_frame(spark, sf_dir).write.parquet(path)
+
+
+# ----------------------------------------------------------------- asset_trees
+
+# One nested document per supplier. Every tenth document has no URL leaf.
+# ``{b}`` is the supplier's http base, ``{k}`` its key.
+_TREE = ('{{"name":"{name}","sprites":{{'
+         '"front_default":"{b}/f",'
+         '"back_female":null,'
+         '"other":{{"dream-world":{{"front_default":"{b}/d"}},'
+         '"official-artwork":{{"front_default":"https://img.example.com/{k}/o"}},'
+         '"upper":"HTTP://IMG.EXAMPLE.COM/{k}/U"}},'
+         '"versions":{{"generation-i":{{"red":{{"front_gray":"{b}/g"}}}}}},'
+         '"back_default":"{b}/b",'
+         '"order":{k},'
+         '"list":["{b}/l"],'
+         '"trap":"{{\\"u\\": \\"{b}/t\\"}}",'
+         '"empty":{{}}}}}}')
+_TREE_NO_URL = ('{{"name":"{name}","sprites":{{'
+                '"back_female":null,"order":{k},"list":["{b}/l"],'
+                '"trap":"{{\\"u\\": \\"{b}/t\\"}}","empty":{{}},'
+                '"other":{{"upper":"HTTP://IMG.EXAMPLE.COM/{k}/U"}}}}}}')
+
+
+def _fill(template: str, **cols: Column) -> Column:
+    """Fill ``{name}`` slots of a text template with column values."""
+    import re
+    parts = re.split(r"(?<!\{)\{(\w+)\}(?!\})", template)
+    out = []
+    for i, p in enumerate(parts):
+        if i % 2:
+            out.append(cols[p].cast("string"))
+        elif p:
+            out.append(F.lit(p.replace("{{", "{").replace("}}", "}")))
+    return F.concat(*out)
+
+
+def asset_trees_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    slots = dict(name=F.col("s_name"), k=k,
+                 b=F.concat(F.lit("http://img.example.com/"), k.cast("string")))
+    doc = F.when(k % 10 == 0, _fill(_TREE_NO_URL, **slots)).otherwise(_fill(_TREE, **slots))
+    return s.select(k.alias("doc_id"), doc.alias("doc"))
+
+
+@_staged("asset_trees")
+def asset_trees(spark: SparkSession, sf_dir: str, path: str) -> None:
+    asset_trees_frame(spark, sf_dir).write.parquet(path)
+
+
+# ---------------------------------------------------------------- trajectories
+
+@_staged("trajectories")
+def trajectories(spark: SparkSession, sf_dir: str, path: str) -> None:
+    e = table(spark, sf_dir, "embeddings")
+    e.select("vec_id", F.col("embedding").alias("coordenadas")).write.parquet(path)
+
+
+# --------------------------------------------------------------------- images
+
+def png_bytes(width: int, height: int, rgb: tuple[int, int, int] = (200, 80, 40)) -> bytes:
+    """A valid 8-bit RGB PNG of the given size (zlib + struct only)."""
+    row = b"\x00" + bytes(rgb) * width
+    def chunk(tag: bytes, data: bytes) -> bytes:
+        return (struct.pack(">I", len(data)) + tag + data
+                + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF))
+    return (b"\x89PNG\r\n\x1a\n"
+            + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(row * height))
+            + chunk(b"IEND", b""))
+
+
+def image_kind(page_id: int) -> str:
+    """Which file a photo gets: five of eight decode, then one text file
+    named ``.png``, one empty file, one missing file."""
+    return ("png", "png", "png", "png", "png", "text", "empty", "missing")[page_id % 8]
+
+
+def image_size(page_id: int) -> tuple[int, int]:
+    return 1 + page_id % 7, 1 + page_id % 5
+
+
+def _write_images(out_dir: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+        if "://" in out_dir:
+            fsys, base = pafs.FileSystem.from_uri(out_dir)
+        else:
+            fsys, base = pafs.LocalFileSystem(), out_dir.removeprefix("file:")
+        fsys.create_dir(base, recursive=True)
+        for pdf in batches:
+            names = []
+            for pid in pdf["page_id"].tolist():
+                name = f"{pid}.png"
+                kind = image_kind(pid)
+                if kind != "missing":
+                    data = {"png": lambda: png_bytes(*image_size(pid)),
+                            "text": lambda: b"<html>not an image</html>",
+                            "empty": lambda: b""}[kind]()
+                    with fsys.open_output_stream(f"{base}/{name}") as f:
+                        f.write(data)
+                names.append(name)
+            yield pd.DataFrame({"id": pdf["page_id"], "name": names})
+    return run
+
+
+@_staged("images")
+def images(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``{path}/files``: one file per photo, written by the executors;
+    ``{path}/manifest``: ``id, name`` for every photo (missing ones too)."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    manifest = pages.mapInPandas(_write_images(f"{path}/files"), "id long, name string")
+    manifest.write.parquet(f"{path}/manifest")
+
+
+# ------------------------------------------------------- embedded SQL database
+
+@_staged("sql_database")
+def sql_database(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """An embedded in-memory Derby database (its jar ships with Spark; no
+    server, no port) holding ``EXPERIMENTS`` (= part) and ``USERS``.
+
+    It lives inside this JVM only: right for local mode and tests. On a
+    cluster the URL names the real database instead.
+    """
+    from ferry.sources.jdbc import write_table
+    url = f"jdbc:derby:memory:ferry_{uuid.uuid4().hex[:10]};create=true"
+    write_table(table(spark, sf_dir, "part"), url, "EXPERIMENTS", mode="overwrite")
+    write_table(users_frame(spark, sf_dir), url, "USERS", mode="overwrite")
+    return url
+
+
+# ---------------------------------------------------------- task_runs stream
+
+@_staged("task_run_files")
+def task_run_files(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4) -> None:
+    """Task runs landed as ``chunks`` files in ``ts`` order, one write per
+    chunk, so file modification times follow event time (a stream source
+    then sees them in that order)."""
+    runs = task_runs_frame(spark, sf_dir)
+    lo, hi = runs.agg(F.min("ts"), F.max("ts")).first()
+    span = max((hi - lo).total_seconds(), 1.0)
+    secs = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - lo.timestamp()
+    chunk = F.least(F.floor(secs / span * chunks), F.lit(chunks - 1))
+    tagged = runs.withColumn("_chunk", chunk)
+    for i in range(chunks):
+        (tagged.where(F.col("_chunk") == i).drop("_chunk")
+         .coalesce(1).sortWithinPartitions("ts", "run_id")
+         .write.mode("append").parquet(path))

@@ -84,3 +84,168 @@ SELECT id, title, url, thumbnailUrl FROM photos"""
 
 ORACLE["users_documents"] = _with(USERS) + """
 SELECT _id, username, name, email, clase, age, disabled FROM users"""
+
+# Asset documents: the same tree rules as the Spark staging, as SQL text.
+ASSET_TREES = r"""
+asset_trees AS (
+  SELECT doc_id,
+         CASE WHEN doc_id % 10 = 0 THEN
+           '{"name":"' || name || '","sprites":{"back_female":null,"order":' || k
+           || ',"list":["' || b || '/l"],"trap":"{\"u\": \"' || b || '/t\"}","empty":{},'
+           || '"other":{"upper":"HTTP://IMG.EXAMPLE.COM/' || k || '/U"}}}'
+         ELSE
+           '{"name":"' || name || '","sprites":{"front_default":"' || b || '/f",'
+           || '"back_female":null,'
+           || '"other":{"dream-world":{"front_default":"' || b || '/d"},'
+           || '"official-artwork":{"front_default":"https://img.example.com/' || k || '/o"},'
+           || '"upper":"HTTP://IMG.EXAMPLE.COM/' || k || '/U"},'
+           || '"versions":{"generation-i":{"red":{"front_gray":"' || b || '/g"}}},'
+           || '"back_default":"' || b || '/b","order":' || k
+           || ',"list":["' || b || '/l"],"trap":"{\"u\": \"' || b || '/t\"}","empty":{}}}'
+         END AS doc
+  FROM (SELECT s_suppkey AS doc_id, s_name AS name, CAST(s_suppkey AS VARCHAR) AS k,
+               'http://img.example.com/' || CAST(s_suppkey AS VARCHAR) AS b
+        FROM supplier) s
+)"""
+
+# Leaves by DuckDB's own JSON walker: text nodes starting with 'http',
+# not under an array, numbered in document order.
+SPRITE_LEAVES = """
+sprite_leaves AS (
+  SELECT doc_id,
+         row_number() OVER (PARTITION BY doc_id ORDER BY node) - 1 AS leaf_pos,
+         sprite_name, sprite_url
+  FROM (SELECT a.doc_id, j.id AS node, j.key AS sprite_name, j.type AS jtype,
+               j.fullkey AS fullkey, j.value ->> '$' AS sprite_url
+        FROM asset_trees a, json_tree(a.doc, '$.sprites') j) t
+  WHERE jtype = 'VARCHAR' AND starts_with(sprite_url, 'http') AND strpos(fullkey, '[') = 0
+)"""
+
+PY_ROW_HTML = """'<tr><td>' || coalesce(_id, 'None') || '</td><td>' || coalesce(username, 'None')
+  || '</td><td>' || coalesce(name, 'None') || '</td><td>' || coalesce(email, 'None')
+  || '</td><td>' || coalesce(clase, 'None') || '</td><td>' || coalesce(CAST(age AS VARCHAR), 'None')
+  || '</td><td>' || CASE WHEN disabled IS NULL THEN 'None' WHEN disabled THEN 'True' ELSE 'False' END
+  || '</td></tr>'"""
+
+SUBJECT = "'Fallo en DAG: ' || dag_id || ', Task: ' || task_id"
+RECIPIENTS = "'ops@example.com, oncall@example.com'"
+PLAIN_BODY = """'<html><body><h3>Task failed</h3><p><b>DAG:</b> ' || dag_id
+  || '</p><p><b>Task:</b> ' || task_id
+  || '</p><p><b>Execution date:</b> ' || CAST(execution_date AS VARCHAR)
+  || '</p><p><b>Log:</b> <a href="' || log_url || '">' || log_url || '</a></p></body></html>'"""
+STYLED_BODY = """'<div style="font-family: sans-serif; color: #222;"><h2 style="color: #b00020;">Task failed</h2>'
+  || '<p style="color: #1a5fb4;"><b>DAG:</b> ' || dag_id || '</p>'
+  || '<p style="color: #1a5fb4;"><b>Task:</b> ' || task_id || '</p>'
+  || '<p style="color: #1a5fb4;"><b>Execution date:</b> ' || CAST(execution_date AS VARCHAR) || '</p>'
+  || '<p><a href="' || log_url || '" style="font-weight: bold;">Open the log</a></p>'
+  || '<hr/><p style="font-size: 12px;">Automated notice; do not reply.</p></div>'"""
+
+ORACLE["daily_report_series"] = _with(DAILY_METRICS, """
+p AS (SELECT row_number() OVER (ORDER BY d) - 1 AS ordinal, d AS date,
+             positive, death, hospitalizedCurrently
+      FROM (SELECT strptime(CAST(date AS VARCHAR), '%Y%m%d') AS d, * FROM daily_metrics) x)""") + """
+SELECT ordinal, date, 'positive' AS series, positive AS value FROM p
+UNION ALL SELECT ordinal, date, 'death', death FROM p
+UNION ALL SELECT ordinal, date, 'hospitalizedCurrently', hospitalizedCurrently FROM p"""
+
+ORACLE["photos_sheet"] = _with(PHOTOS) + """
+SELECT row_number() OVER (ORDER BY id) + 1 AS sheet_row, id, title,
+       'D' || CAST(row_number() OVER (ORDER BY id) + 1 AS VARCHAR) AS anchor_cell
+FROM photos"""
+
+ORACLE["photos_series"] = _with(PHOTOS) + """
+SELECT row_number() OVER (ORDER BY id) - 1 AS ordinal, 'id' AS series, id AS value FROM photos"""
+
+ORACLE["asset_status"] = _with(PHOTOS) + """
+SELECT id, content_type,
+       starts_with(coalesce(content_type, ''), 'image/') AS is_image,
+       CASE WHEN starts_with(coalesce(content_type, ''), 'image/') THEN thumbnailUrl
+            ELSE 'https://placeholder.example.com/150.png' END AS asset_url
+FROM photos"""
+
+ORACLE["image_audit"] = """
+SELECT page_id AS id,
+       CASE WHEN page_id % 8 < 5 THEN 'ok' WHEN page_id % 8 = 5 THEN 'unidentified'
+            ELSE 'missing' END AS status,
+       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 7 AS INTEGER) END AS width,
+       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 5 AS INTEGER) END AS height,
+       page_id % 8 >= 5 AS is_placeholder
+FROM pages"""
+
+ORACLE["sprite_urls"] = _with(ASSET_TREES, SPRITE_LEAVES) + """
+SELECT doc_id, leaf_pos, sprite_name, sprite_url FROM sprite_leaves"""
+
+ORACLE["sprite_sheet"] = _with(ASSET_TREES, SPRITE_LEAVES) + """
+SELECT doc_id, leaf_pos + 2 AS sheet_row, sprite_name,
+       'B' || CAST(leaf_pos + 2 AS VARCHAR) AS anchor_cell
+FROM sprite_leaves"""
+
+ORACLE["table_extract"] = "SELECT * FROM part"
+
+ORACLE["csv_roundtrip"] = "SELECT * FROM part"
+
+ORACLE["insert_select_limit"] = """
+SELECT embedding AS coordenadas FROM embeddings ORDER BY vec_id LIMIT 1"""
+
+ORACLE["high_water_mark"] = _with(USERS) + """
+SELECT max(load_datetime) AS high_water_mark FROM users"""
+
+ORACLE["high_water_mark_handoff"] = _with(USERS) + """
+SELECT _id, load_datetime,
+       (SELECT max(load_datetime) FROM users) AS high_water_mark,
+       date_diff('minute', load_datetime, (SELECT max(load_datetime) FROM users)) AS minutes_behind
+FROM users"""
+
+ORACLE["run_date_tag"] = """
+SELECT o_orderkey, DATE '2024-01-10' AS run_date, 'bucket' AS bucket, 2 AS version,
+       CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2024-01-10') AS INTEGER)
+         AS days_before_run
+FROM orders"""
+
+ORACLE["users_json_rows"] = _with(USERS) + """
+SELECT _id,
+       8 - CAST(age IS NULL AS INTEGER) - CAST(disabled IS NULL AS INTEGER) AS n_fields,
+       CAST(age AS VARCHAR) AS age_text,
+       CASE WHEN disabled THEN 'true' WHEN NOT disabled THEN 'false' END AS disabled_text
+FROM users"""
+
+ORACLE["users_html_rows"] = _with(USERS) + f"""
+SELECT _id, {PY_ROW_HTML} AS row_html FROM users"""
+
+
+def _users_html_doc() -> str:
+    from ferry.plans.queries import USERS_DOC_HEAD, USERS_DOC_TAIL, USERS_PAGE_ROWS
+    head = USERS_DOC_HEAD.replace("'", "''")
+    tail = USERS_DOC_TAIL.replace("'", "''")
+    return _with(USERS, f"""
+r AS (SELECT {PY_ROW_HTML} AS row_html,
+             row_number() OVER (ORDER BY _id) - 1 AS ordinal FROM users)""") + f"""
+SELECT ordinal // {USERS_PAGE_ROWS} AS page_no, COUNT(*) AS n_rows,
+       '{head}' || string_agg(row_html, '' ORDER BY ordinal) || '{tail}' AS html
+FROM r GROUP BY 1"""
+
+
+ORACLE["users_html_doc"] = _users_html_doc()
+
+ORACLE["interchange_roundtrip"] = _with(PHOTOS) + """
+SELECT row_number() OVER (ORDER BY id) - 1 AS row_label, id, title, url, thumbnailUrl
+FROM photos"""
+
+ORACLE["failure_alerts"] = _with(TASK_RUNS) + f"""
+SELECT run_id, dag_id, task_id, execution_date, {SUBJECT} AS subject,
+       {PLAIN_BODY} AS body, {RECIPIENTS} AS recipients
+FROM task_runs WHERE state = 'failed'"""
+
+ORACLE["first_failure"] = _with(TASK_RUNS) + f"""
+SELECT run_id, dag_id, task_id, execution_date, ts AS first_ts, n_failures,
+       {SUBJECT} AS subject, {STYLED_BODY} AS body, {RECIPIENTS} AS recipients
+FROM (SELECT *,
+             row_number() OVER (PARTITION BY dag_id, task_id, execution_date
+                                ORDER BY ts, run_id) AS rn,
+             COUNT(*) OVER (PARTITION BY dag_id, task_id, execution_date) AS n_failures
+      FROM task_runs WHERE state = 'failed') f
+WHERE rn = 1"""
+
+ORACLE["first_failure_stream"] = _with(TASK_RUNS) + f"""
+SELECT DISTINCT dag_id, task_id, execution_date, {SUBJECT} AS subject
+FROM task_runs WHERE state = 'failed'"""

@@ -7,13 +7,27 @@ Column names match ``ferry.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.operators import alerts as A
+from ferry.operators import assets as S
+from ferry.operators import handoff as H
 from ferry.operators import project as P
 from ferry.operators import report as R
+from ferry.operators.nested import text_leaves
 from ferry.plans import fixtures as fx
+from ferry.session import scratch_path
+from ferry.sinks.files import json_lines, read_csv, write_csv
+from ferry.sinks.handover import write_column_json
+from ferry.sinks.tables import create_table, insert_select
+from ferry.sources import jdbc
+from ferry.sources.assets import read_image_sizes
+from ferry.sources.handover import read_column_json
 from ferry.sources.json_records import read_documents, read_json_records
+from ferry.streaming.first_failure import run_first_failure_stream
 
 # Declared schemas of the staged payloads (no inference pass).
 DAILY_SCHEMA = ("date INT, positive BIGINT, death BIGINT, hospitalizedCurrently BIGINT, "
@@ -73,9 +87,197 @@ def users_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_documents(spark, sf_dir).transform(P.keep_columns, USER_FIELDS)
 
 
+def daily_report_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns 2-4 of the sheet as three named series, x = row position."""
+    t = daily_table(daily_records(spark, sf_dir))
+    return R.chart_series(t, ["date"], ["positive", "death", "hospitalizedCurrently"],
+                          carry=["date"])
+
+
+def photos_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, title`` on the sheet, image anchored in column D."""
+    return R.sheet_rows(photo_records(spark, sf_dir), ["id"], ["id", "title"],
+                        anchor_column="D")
+
+
+def photos_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric ``id`` column as a chart series, x = row position."""
+    return R.chart_series(photo_records(spark, sf_dir).select("id"), ["id"], ["id"])
+
+
+def asset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thumbnail kept when its content type is ``image/...``."""
+    return (photo_records(spark, sf_dir)
+            .transform(S.choose_asset, "thumbnailUrl", "content_type")
+            .select("id", "content_type", "is_image", "asset_url"))
+
+
+def image_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode each landed image; size, or a placeholder."""
+    root = fx.images(spark, sf_dir)
+    manifest = spark.read.parquet(f"{root}/manifest")
+    sizes = read_image_sizes(spark, f"{root}/files")
+    audit = S.audit_images(manifest, sizes)
+    return audit.select("id", "status", "width", "height",
+                        (F.col("asset") != F.col("name")).alias("is_placeholder"))
+
+
+def interchange_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Photos -> column-oriented hand-over chunks -> rows again."""
+    photos = photos_projection(spark, sf_dir)
+    path = write_column_json(photos, scratch_path(spark, "handover"), ["id"], chunk_rows=100)
+    return read_column_json(spark, path, "id BIGINT, title STRING, url STRING, thumbnailUrl STRING")
+
+
+# ------------------------------------------------------------------ nested docs
+
+def sprite_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL leaves under ``sprites``, document order."""
+    docs = spark.read.parquet(fx.asset_trees(spark, sf_dir))
+    return text_leaves(docs, "doc_id", "doc", root="$.sprites", prefix="http",
+                       key_name="sprite_name", value_name="sprite_url")
+
+
+def sprite_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document sheet, names in column A, image anchored in B."""
+    leaves = sprite_urls(spark, sf_dir)
+    row = (F.col("leaf_pos") + R.FIRST_DATA_ROW)
+    return leaves.select("doc_id", row.alias("sheet_row"), "sprite_name",
+                         F.concat(F.lit("B"), row.cast("string")).alias("anchor_cell"))
+
+
+# ----------------------------------------------------------------- SQL sources
+
+def table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: ``SELECT *`` of a SQL table, read in 8 parallel range queries."""
+    url = fx.sql_database(spark, sf_dir)
+    return jdbc.read_table(spark, url, "EXPERIMENTS", partition_column="p_partkey",
+                           num_partitions=8)
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 K2: table -> CSV (header, no index) -> read back with its schema."""
+    part = fx.table(spark, sf_dir, "part")
+    path = write_csv(part, scratch_path(spark, "csv"))
+    return read_csv(spark, path, part.schema)
+
+
+def insert_select_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``INSERT INTO target SELECT coordenadas ... LIMIT 1``."""
+    src = spark.read.parquet(fx.trajectories(spark, sf_dir))
+    target = f"comprobar_trayectorias_{uuid.uuid4().hex[:8]}"
+    create_table(spark, target, "coordenadas ARRAY<FLOAT>", scratch_path(spark, "target"))
+    insert_select(spark, target, src, ["coordenadas"], order_by=["vec_id"], limit=1)
+    return spark.table(target)
+
+
+def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: ``max(load_datetime)``, computed inside the database."""
+    url = fx.sql_database(spark, sf_dir)
+    cat = jdbc.register_catalog(spark, "ferry_sql", url, preferTimestampNTZ="true")
+    users = spark.table(f"{cat}.APP.USERS")
+    return H.high_water_mark(users, "load_datetime")
+
+
+def high_water_mark_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark, handed to the next step as a scalar subquery."""
+    users = user_documents(spark, sf_dir).select("_id", "load_datetime")
+    tagged = H.with_high_water_mark(users, "load_datetime")
+    return tagged.withColumn(
+        "minutes_behind",
+        F.timestamp_diff("MINUTE", F.col("load_datetime"), F.col("high_water_mark")))
+
+
+def run_date_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User SQL with bound run parameters."""
+    sql = ("SELECT o_orderkey, CAST(:ds AS DATE) AS run_date, :bucket AS bucket, "
+           ":version AS version, datediff(CAST(:ds AS DATE), o_orderdate) AS days_before_run "
+           "FROM {orders}")
+    return spark.sql(sql, args=RUN_PARAMETERS, orders=fx.table(spark, sf_dir, "orders"))
+
+
+# The sample run parameters (FIXTURES.md "parameters").
+RUN_PARAMETERS = {"ds": "2024-01-10", "bucket": "bucket", "version": 2}
+
+
+# ------------------------------------------------------------------- users, HTML
+
+def users_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: one JSON line per document; fields re-extracted to check it."""
+    lines = json_lines(user_documents(spark, sf_dir), keep=["_id"])
+    return lines.select(
+        "_id",
+        F.size(F.json_object_keys("line")).alias("n_fields"),
+        F.get_json_object("line", "$.age").alias("age_text"),
+        F.get_json_object("line", "$.disabled").alias("disabled_text"))
+
+
+def users_html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: one HTML table row per document, Python-style values."""
+    return user_documents(spark, sf_dir).transform(R.html_row, USER_FIELDS, keep=["_id"])
+
+
+# The column headings of the user table in the report.
+USER_HEADINGS = ["ID", "Username", "Name", "Email", "Clase", "Age", "Disabled"]
+USERS_DOC_HEAD = ("<html><body><h3>User documents</h3><table border=\"1\"><thead><tr>"
+                  + "".join(f"<th>{h}</th>" for h in USER_HEADINGS)
+                  + "</tr></thead><tbody>")
+USERS_DOC_TAIL = "</tbody></table></body></html>"
+USERS_PAGE_ROWS = 100
+
+
+def users_html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: rendered rows concatenated in ``_id`` order, in pages of 100."""
+    rows = users_html_rows(spark, sf_dir)
+    return R.html_pages(rows, ["_id"], USERS_PAGE_ROWS, USERS_DOC_HEAD, USERS_DOC_TAIL)
+
+
+# -------------------------------------------------------------- failure notices
+
+def task_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(fx.task_runs(spark, sf_dir))
+
+
+def failure_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A notice for every failed run."""
+    return A.failure_notices(task_run_table(spark, sf_dir), style="plain")
+
+
+def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A notice only for the first failure of each task and date."""
+    return A.first_failures(task_run_table(spark, sf_dir), style="styled")
+
+
+def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stream of landed run files (watermark 1 day)."""
+    src = fx.task_run_files(spark, sf_dir)
+    out = run_first_failure_stream(spark, src, scratch_path(spark, "notices"))
+    return out.select("dag_id", "task_id", "execution_date", "subject")
+
+
 QUERIES = {
     "daily_report": daily_report,
+    "daily_report_series": daily_report_series,
     "daily_report_rowcount": daily_report_rowcount,
     "photos_projection": photos_projection,
+    "photos_sheet": photos_sheet,
+    "photos_series": photos_series,
+    "asset_status": asset_status,
+    "image_audit": image_audit,
+    "sprite_urls": sprite_urls,
+    "sprite_sheet": sprite_sheet,
+    "table_extract": table_extract,
+    "csv_roundtrip": csv_roundtrip,
+    "insert_select_limit": insert_select_limit,
+    "high_water_mark": high_water_mark,
+    "high_water_mark_handoff": high_water_mark_handoff,
     "users_documents": users_documents,
+    "users_json_rows": users_json_rows,
+    "users_html_rows": users_html_rows,
+    "users_html_doc": users_html_doc,
+    "interchange_roundtrip": interchange_roundtrip,
+    "failure_alerts": failure_alerts,
+    "first_failure": first_failure,
+    "first_failure_stream": first_failure_stream,
+    "run_date_tag": run_date_tag,
 }
