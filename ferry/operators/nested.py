@@ -69,12 +69,36 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     spark = docs.sparkSession
     scratch_root(spark)  # make sure a checkpoint folder is registered
     start = F.get_json_object(F.col(json_col), root) if root else F.col(json_col)
-    # parse_json raises on malformed text; the CASE makes it run first, so
-    # a malformed document fails instead of reading as "no root".
-    start = F.when(F.parse_json(F.col(json_col)).isNotNull(), start)
+    # A strict parse of the whole document raises on malformed text; the
+    # CASE makes it run first, so a malformed document fails instead of
+    # reading as "no root".
+    whole = F.from_json(F.col(json_col), "map<string,string>", _STRICT)
+    start = F.when(whole.isNotNull(), start)
     cur = (docs.select(F.col(id_col), start.alias("_txt"))
            .where(F.col("_txt").isNotNull())
            .select(id_col, F.array().cast("array<int>").alias("ord"), "_txt"))
+    # Value types come from variants; a sub-object that repeats a key must
+    # not fail the type test (a parsed dict keeps the last value). Every
+    # level is materialised inside this call, so the setting is scoped to it.
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        levels = _levels(cur, id_col, prefix, max_depth, key_name, value_name)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    leaves = reduce(DataFrame.unionByName, levels)
+    w = Window.partitionBy(id_col).orderBy("ord")
+    return leaves.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("leaf_pos"),
+                         key_name, value_name)
+
+
+def _levels(cur: DataFrame, id_col: str, prefix: str, max_depth: int,
+            key_name: str, value_name: str) -> list[DataFrame]:
+    """Walk level by level; return each level's leaves (checkpointed)."""
     levels = []
     for _ in range(max_depth):
         level = (cur.select(id_col, "ord", F.posexplode(object_entries(F.col("_txt")))
@@ -94,7 +118,4 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
             break
     else:
         raise ValueError(f"objects nested deeper than max_depth={max_depth}")
-    leaves = reduce(DataFrame.unionByName, levels)
-    w = Window.partitionBy(id_col).orderBy("ord")
-    return leaves.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("leaf_pos"),
-                         key_name, value_name)
+    return levels
