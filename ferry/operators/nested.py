@@ -20,8 +20,9 @@ key order, unlike a variant object, whose keys are sorted) and
 ``map<string,variant>`` gives its type (so a text leaf that itself holds
 JSON is not mistaken for an object). Each entry carries its position path
 ``ord`` (array of entry positions), so ordering by ``ord`` is document
-order. Each level is checkpointed to the shared folder, which cuts lineage
-and lets the loop stop as soon as a level holds no object. Only one final
+order. Each level is written once as a Parquet table in the shared folder,
+which cuts lineage and lets the loop stop as soon as a level holds no
+object. Only one final
 window, per document, numbers the leaves.
 """
 
@@ -32,28 +33,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.session import scratch_root
+from ferry.session import scratch_path, scratch_root
 
 _STRICT = {"mode": "FAILFAST"}
 
 
+_ENTRY = "array<struct<k:string,t:string,v:string>>"
+
+
 def object_entries(txt: Column) -> Column:
     """``array<struct<k, t, v>>``: key, value type, value text of a JSON
-    object, in document order, with dict semantics for repeated keys."""
+    object, in document order, with dict semantics for repeated keys.
+
+    Whole arrays are zipped: no lambda refers to anything but its own
+    arguments, so nothing outside a lambda is re-evaluated per element.
+    """
     as_text = F.from_json(txt, "map<string,string>", _STRICT)
     as_variant = F.from_json(txt, "map<string,variant>", _STRICT)
-    keys, texts = F.map_keys(as_text), F.map_values(as_text)
-    kinds = F.map_values(as_variant)
-    entries = F.transform(keys, lambda k, i: F.struct(
-        k.alias("k"),
-        F.schema_of_variant(F.element_at(kinds, i + 1)).alias("t"),
-        F.element_at(texts, i + 1).alias("v")))
-    distinct = F.array_distinct(keys)
-    # Repeated key: first position, last value. Only objects that do
-    # repeat a key pay for the lookup.
-    dedup = F.transform(distinct, lambda k: F.element_at(
-        F.filter(entries, lambda e: e["k"] == k), -1))
-    return F.when(F.size(distinct) == F.size(keys), entries).otherwise(dedup)
+    keys = F.map_keys(as_text)
+    kinds = F.transform(F.map_values(as_variant), lambda v: F.schema_of_variant(v))
+    entries = F.arrays_zip(keys.alias("k"), kinds.alias("t"), F.map_values(as_text).alias("v"))
+    # Repeated key: first position, last value -- a left fold that replaces
+    # an entry in place. Only objects that do repeat a key take this path.
+    dedup = F.aggregate(
+        entries, F.array().cast(_ENTRY),
+        lambda acc, e: F.when(F.exists(acc, lambda x: x["k"] == e["k"]),
+                              F.transform(acc, lambda x: F.when(x["k"] == e["k"], e)
+                                          .otherwise(x)))
+        .otherwise(F.concat(acc, F.array(e))))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(dedup)
 
 
 def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None = None,
@@ -98,21 +106,34 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
 
 def _levels(cur: DataFrame, id_col: str, prefix: str, max_depth: int,
             key_name: str, value_name: str) -> list[DataFrame]:
-    """Walk level by level; return each level's leaves (checkpointed)."""
+    """Walk level by level; return each level's leaves.
+
+    Each level is computed once and written as a Parquet table in the
+    shared folder: that cuts lineage (a lost executor re-reads files, it
+    does not re-walk earlier levels), and the emptiness test and the leaf
+    filter read it with pushed-down predicates.
+    """
+    spark = cur.sparkSession
     levels = []
     for _ in range(max_depth):
-        level = (cur.select(id_col, "ord", F.posexplode(object_entries(F.col("_txt")))
-                            .alias("_pos", "_e"))
-                 .select(id_col,
-                         F.concat(F.col("ord"), F.array(F.col("_pos"))).alias("ord"),
-                         F.col("_e.k").alias("_k"), F.col("_e.t").alias("_t"),
-                         F.col("_e.v").alias("_v"))
-                 .checkpoint(eager=True))
+        path = scratch_path(spark, "flatten-level")
+        (cur.select(id_col, "ord", F.posexplode(object_entries(F.col("_txt")))
+                    .alias("_pos", "_e"))
+         .select(id_col,
+                 F.concat(F.col("ord"), F.array(F.col("_pos"))).alias("ord"),
+                 F.col("_e.k").alias("_k"),
+                 # only the kind is kept: STRING, OBJECT or other
+                 F.when(F.col("_e.t") == "STRING", F.lit("STRING"))
+                 .when(F.startswith(F.col("_e.t"), F.lit("OBJECT")), F.lit("OBJECT"))
+                 .otherwise(F.lit("OTHER")).alias("_t"),
+                 F.col("_e.v").alias("_v"))
+         .write.parquet(path))
+        level = spark.read.parquet(path)
         levels.append(level.where((F.col("_t") == "STRING") &
                                   F.startswith(F.col("_v"), F.lit(prefix)))
                       .select(id_col, "ord", F.col("_k").alias(key_name),
                               F.col("_v").alias(value_name)))
-        cur = (level.where(F.startswith(F.col("_t"), F.lit("OBJECT")))
+        cur = (level.where(F.col("_t") == "OBJECT")
                .select(id_col, "ord", F.col("_v").alias("_txt")))
         if cur.isEmpty():
             break

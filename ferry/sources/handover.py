@@ -2,10 +2,14 @@
 
 Reads ``{"col": {"row label": value}}`` objects -- one per line (chunks
 written by ``ferry.sinks.handover``) or one per file (``whole_files=True``,
-e.g. a single document a pandas step wrote) -- back into rows. Cells are
-exploded and pivoted on the row label with the declared column list, so
-no pass is spent discovering columns; each label group holds one cell per
-column.
+e.g. a single document a pandas step wrote) -- back into rows.
+
+Narrow: no shuffle. Each object is parsed once; rows are rebuilt by
+position inside the object. When the columns list their row labels in the
+same order (our writer, a pandas document) positions line up as they are;
+otherwise each column's entries are sorted by label first. Every column
+must hold the same set of labels -- a table has a value, possibly null,
+for every row and column -- else the read fails.
 """
 
 from __future__ import annotations
@@ -20,9 +24,31 @@ def read_column_json(spark: SparkSession, path: str, schema: T.StructType | str,
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     names = [f.name for f in st.fields]
     txt = spark.read.option("wholetext", whole_files).text(path)
-    cells = (txt.select(F.explode(F.from_json("value", "map<string, map<string, string>>",
-                                              {"mode": "FAILFAST"})).alias("_col", "_cells"))
-             .select("_col", F.explode("_cells").alias("_label", "_value")))
-    wide = cells.groupBy("_label").pivot("_col", names).agg(F.first("_value"))
+    parsed = F.from_json("value", "map<string, map<string, string>>", {"mode": "FAILFAST"})
+    docs = txt.select(parsed.alias("_m"))
+
+    def entries(c):
+        return F.map_entries(F.coalesce(F.try_element_at(F.col("_m"), F.lit(c)),
+                                        F.create_map().cast("map<string,string>")))
+
+    def keys(e):
+        return F.transform(e, lambda x: x["key"])
+
+    raw = {c: entries(c) for c in names}
+    first = keys(raw[names[0]])
+    in_order = F.lit(True)
+    for c in names[1:]:
+        in_order = in_order & (keys(raw[c]) == first)
+    cols = {c: F.when(in_order, raw[c]).otherwise(F.array_sort(raw[c])) for c in names}
+    labels = keys(cols[names[0]])
+    same_set = F.lit(True)
+    for c in names[1:]:
+        same_set = same_set & (keys(cols[c]) == labels)
+    # One zip of whole arrays (a lambda that indexed the column arrays
+    # would re-evaluate them per element).
+    rows = F.arrays_zip(labels, *[F.transform(cols[c], lambda e: e["value"]) for c in names])
+    checked = F.when(same_set, rows).otherwise(
+        F.raise_error(F.lit("hand-over JSON: columns hold different row labels")))
+    wide = docs.select(F.explode(checked).alias("_r")).select("_r.*").toDF("_label", *names)
     return wide.select(F.col("_label").cast("long").alias(label),
                        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])

@@ -104,3 +104,16 @@ def test_json_http_source_on_file_urls(spark, tmp_dir):
 def test_json_http_missing_url_fails(spark, tmp_dir):
     with pytest.raises(Exception):
         read_json_http(spark, [f"file://{tmp_dir}/nope.json"], "id BIGINT").collect()
+
+
+def test_handover_reordered_labels(spark, tmp_dir):
+    doc = '{"id": {"0": 1, "1": 2}, "t": {"1": "b", "0": "a"}}\n{"id": {"5": 9}, "t": {"5": "z"}}\n'
+    p = _write(os.path.join(tmp_dir, "m.json"), doc)
+    back = read_column_json(spark, p, "id BIGINT, t STRING")
+    assert sorted(map(tuple, back.collect())) == [(0, 1, "a"), (1, 2, "b"), (5, 9, "z")]
+
+
+def test_handover_different_label_sets_fail(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "bad.json"), '{"id": {"0": 1, "1": 2}, "t": {"0": "a"}}\n')
+    with pytest.raises(Exception):
+        read_column_json(spark, p, "id BIGINT, t STRING").collect()
