@@ -39,20 +39,40 @@ _STRICT = {"mode": "FAILFAST"}
 
 
 _ENTRY = "array<struct<k:string,t:string,v:string>>"
+_NODE = "array<struct<p:array<int>,k:string,t:string,v:string>>"
 
 
-def object_entries(txt: Column) -> Column:
-    """``array<struct<k, t, v>>``: key, value type, value text of a JSON
-    object, in document order, with dict semantics for repeated keys.
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable
+    (a one-element ``transform``), so the body can use it many times."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _kind(v: Column) -> Column:
+    """OBJECT / STRING / OTHER for a variant value.
 
-    Whole arrays are zipped: no lambda refers to anything but its own
-    arguments, so nothing outside a lambda is re-evaluated per element.
+    The object test casts to an empty struct (no field lookups, so O(1));
+    ``schema_of_variant`` walks the whole value, so it only runs on
+    non-objects.
     """
-    as_text = F.from_json(txt, "map<string,string>", _STRICT)
-    as_variant = F.from_json(txt, "map<string,variant>", _STRICT)
-    keys = F.map_keys(as_text)
-    kinds = F.transform(F.map_values(as_variant), lambda v: F.schema_of_variant(v))
-    entries = F.arrays_zip(keys.alias("k"), kinds.alias("t"), F.map_values(as_text).alias("v"))
+    return (F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), F.lit("OBJECT"))
+            .when(F.schema_of_variant(v) == "STRING", F.lit("STRING"))
+            .otherwise(F.lit("OTHER")))
+
+
+def object_entries(txt: Column) -> Column:
+    """``array<struct<k, t, v>>``: key, kind (STRING / OBJECT / OTHER) and
+    value text of a JSON object's entries, in document order, with dict
+    semantics for repeated keys. Each parse runs once per object."""
+    return _let(F.from_json(txt, "map<string,string>", _STRICT), lambda mt:
+                _let(F.from_json(txt, "map<string,variant>", _STRICT), lambda mv:
+                     _entries(mt, mv)))
+
+
+def _entries(mt: Column, mv: Column) -> Column:
+    keys = F.map_keys(mt)
+    kinds = F.transform(F.map_values(mv), _kind)
+    entries = F.arrays_zip(keys.alias("k"), kinds.alias("t"), F.map_values(mt).alias("v"))
     # Repeated key: first position, last value -- a left fold that replaces
     # an entry in place. Only objects that do repeat a key take this path.
     dedup = F.aggregate(
@@ -64,9 +84,30 @@ def object_entries(txt: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(dedup)
 
 
+def expand(txt: Column, levels: int) -> Column:
+    """Entries of an object and of its sub-objects down to ``levels`` levels,
+    depth first in document order: ``array<struct<p, k, t, v>>`` where ``p``
+    is the path of entry positions relative to ``txt``.
+
+    A sub-object is parsed inside the lambda from its own element, only when
+    the entry is an object, so the work is linear in the text walked.
+    """
+    def node(e, i, rest):
+        me = F.array(F.struct(F.array(i).alias("p"), e["k"].alias("k"),
+                              e["t"].alias("t"), e["v"].alias("v")))
+        if rest == 0:
+            return me
+        below = F.transform(expand(e["v"], rest), lambda x: F.struct(
+            F.concat(F.array(i), x["p"]).alias("p"), x["k"].alias("k"),
+            x["t"].alias("t"), x["v"].alias("v")))
+        return F.concat(me, F.when(e["t"] == "OBJECT", below).otherwise(F.array().cast(_NODE)))
+    return F.flatten(F.transform(object_entries(txt), lambda e, i: node(e, i, levels - 1)))
+
+
 def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None = None,
                 prefix: str = "http", max_depth: int = 64,
-                key_name: str = "key", value_name: str = "value") -> DataFrame:
+                key_name: str = "key", value_name: str = "value",
+                levels_per_pass: int = 4) -> DataFrame:
     """All text leaves starting with ``prefix`` under ``root`` of each document.
 
     Returns ``id_col, leaf_pos, key_name, value_name``; ``leaf_pos`` is the
@@ -92,7 +133,8 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     before = spark.conf.get(key, None)
     spark.conf.set(key, "true")
     try:
-        levels = _levels(cur, id_col, prefix, max_depth, key_name, value_name)
+        levels = _levels(cur, id_col, prefix, max_depth, key_name, value_name,
+                         levels_per_pass)
     finally:
         if before is None:
             spark.conf.unset(key)
@@ -105,38 +147,36 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
 
 
 def _levels(cur: DataFrame, id_col: str, prefix: str, max_depth: int,
-            key_name: str, value_name: str) -> list[DataFrame]:
-    """Walk level by level; return each level's leaves.
-
-    Each level is computed once and written as a Parquet table in the
-    shared folder: that cuts lineage (a lost executor re-reads files, it
-    does not re-walk earlier levels), and the emptiness test and the leaf
-    filter read it with pushed-down predicates.
+            key_name: str, value_name: str, per_pass: int) -> list[DataFrame]:
+    """Walk ``per_pass`` levels per job; return each pass's leaves.
+
+    A pass keeps only the leaves and the objects at its deepest level (the
+    next frontier) and writes them once as a Parquet table in the shared
+    folder: that cuts lineage (a lost executor re-reads files, it does not
+    re-walk earlier levels), and the emptiness test and the leaf filter read
+    it with pushed-down predicates.
     """
     spark = cur.sparkSession
-    levels = []
-    for _ in range(max_depth):
-        path = scratch_path(spark, "flatten-level")
-        (cur.select(id_col, "ord", F.posexplode(object_entries(F.col("_txt")))
-                    .alias("_pos", "_e"))
-         .select(id_col,
-                 F.concat(F.col("ord"), F.array(F.col("_pos"))).alias("ord"),
-                 F.col("_e.k").alias("_k"),
-                 # only the kind is kept: STRING, OBJECT or other
-                 F.when(F.col("_e.t") == "STRING", F.lit("STRING"))
-                 .when(F.startswith(F.col("_e.t"), F.lit("OBJECT")), F.lit("OBJECT"))
-                 .otherwise(F.lit("OTHER")).alias("_t"),
-                 F.col("_e.v").alias("_v"))
-         .write.parquet(path))
+    passes = []
+    done = 0
+    while True:
+        k = min(per_pass, max_depth - done)
+        if k <= 0:
+            raise ValueError(f"objects nested deeper than max_depth={max_depth}")
+        path = scratch_path(spark, "flatten-pass")
+        nodes = (cur.select(id_col, "ord", F.explode(expand(F.col("_txt"), k)).alias("_n"))
+                 .select(id_col, F.concat(F.col("ord"), F.col("_n.p")).alias("ord"),
+                         F.col("_n.k").alias("_k"), F.col("_n.t").alias("_t"),
+                         F.col("_n.v").alias("_v"), F.size("_n.p").alias("_d")))
+        leaf = (F.col("_t") == "STRING") & F.startswith(F.col("_v"), F.lit(prefix))
+        frontier = (F.col("_t") == "OBJECT") & (F.col("_d") == k)
+        nodes.where(leaf | frontier).drop("_d").write.parquet(path)
+        done += k
         level = spark.read.parquet(path)
-        levels.append(level.where((F.col("_t") == "STRING") &
-                                  F.startswith(F.col("_v"), F.lit(prefix)))
+        passes.append(level.where(F.col("_t") == "STRING")
                       .select(id_col, "ord", F.col("_k").alias(key_name),
                               F.col("_v").alias(value_name)))
         cur = (level.where(F.col("_t") == "OBJECT")
                .select(id_col, "ord", F.col("_v").alias("_txt")))
         if cur.isEmpty():
-            break
-    else:
-        raise ValueError(f"objects nested deeper than max_depth={max_depth}")
-    return levels
+            return passes

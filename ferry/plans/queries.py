@@ -174,7 +174,9 @@ def insert_select_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: ``max(load_datetime)``, computed inside the database."""
     url = fx.sql_database(spark, sf_dir)
-    cat = jdbc.register_catalog(spark, "ferry_sql", url, preferTimestampNTZ="true")
+    # Spark keeps one catalog instance per name, so one name per database.
+    name = "ferry_" + url.split("memory:")[-1].split(";")[0]
+    cat = jdbc.register_catalog(spark, name, url, preferTimestampNTZ="true")
     users = spark.table(f"{cat}.APP.USERS")
     return H.high_water_mark(users, "load_datetime")
 

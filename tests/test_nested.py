@@ -86,3 +86,16 @@ def test_matches_recursive_definition(spark, trees):
     docs = [json.dumps(t) for t in trees]
     want = {i: expected_leaves(t) for i, t in enumerate(trees) if expected_leaves(t)}
     assert run(spark, docs) == want
+
+
+@pytest.mark.parametrize("per_pass", [1, 2, 3, 8])
+def test_pass_boundaries(spark, per_pass):
+    tree = {"a": "http://0"}
+    node = tree
+    for d in range(1, 7):
+        node["n"] = {"x": f"http://{d}", "num": d}
+        node["z"] = f"http://z{d}"
+        node = node["n"]
+    df = spark.createDataFrame([(0, json.dumps(tree))], "doc_id long, doc string")
+    rows = text_leaves(df, "doc_id", "doc", levels_per_pass=per_pass).orderBy("leaf_pos").collect()
+    assert [(r.key, r.value) for r in rows] == expected_leaves(tree)

@@ -117,3 +117,18 @@ def test_handover_different_label_sets_fail(spark, tmp_dir):
     p = _write(os.path.join(tmp_dir, "bad.json"), '{"id": {"0": 1, "1": 2}, "t": {"0": "a"}}\n')
     with pytest.raises(Exception):
         read_column_json(spark, p, "id BIGINT, t STRING").collect()
+
+
+def test_jdbc_mod_split_covers_every_row(spark):
+    import uuid as _uuid
+
+    from ferry.sources.jdbc import read_table, write_table
+    url = f"jdbc:derby:memory:t{_uuid.uuid4().hex[:8]};create=true"
+    df = spark.createDataFrame([(k, f"v{k}") for k in [-7, -1, 0, 3, 5, 5, 5, 5, 12]]
+                               + [(None, "null")], "k bigint, v string")
+    write_table(df, url, "T", mode="overwrite")
+    back = read_table(spark, url, "T", partition_column="k", num_partitions=4, split="mod")
+    assert back.rdd.getNumPartitions() == 4
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    ranged = read_table(spark, url, "T", partition_column="k", num_partitions=3)
+    assert sorted(ranged.collect(), key=str) == sorted(df.collect(), key=str)
