@@ -5,41 +5,49 @@ every row into one task. Instead:
 
 1. range-partition on the key and sort within partitions (one shuffle);
 2. tag each row with its partition id and in-partition position
-   (``monotonically_increasing_id`` = partition id << 33 | row index);
+   (``monotonically_increasing_id`` = partition id << 33 | row index) and
+   write the tagged rows once as a Parquet table in the shared folder;
 3. count rows per partition -- one row per partition, so its size is
    bounded by the partition count, not the data -- and turn the counts
    into start offsets;
 4. broadcast the offsets (bounded as above) and add them.
 
-The key must be unique (add a tie-breaker column otherwise): then the
-range bounds, the partition contents and their order are deterministic, so
-a lost cached block recomputes to the same ordinals. The tagged rows are
-persisted because steps 3 and 4 both read them.
+Writing the tagged rows (rather than caching them) means both later steps
+read the same rows, a lost executor re-reads files instead of recomputing
+the sort, and nothing stays pinned in executor memory after the query.
+The key should be unique (add a tie-breaker otherwise) so that the order
+among equal keys is not left to chance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferry.session import scratch_path
+
 _PID, _MID, _OFF, _N = "_ferry_pid", "_ferry_mid", "_ferry_off", "_ferry_n"
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal",
                  num_partitions: int | None = None) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order_by`` order
-    (ascending, nulls last)."""
+    (ascending, nulls last). Runs the sort eagerly (one write job)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.asc_nulls_last(c) for c in order_by]
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    path = scratch_path(spark, "ordinal")
+    # Without an explicit count AQE may merge adjacent ranges to its target
+    # size; ids are taken after that, so offsets stay consistent.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    (ranged
+     .sortWithinPartitions(*keys)
+     .withColumn(_PID, F.spark_partition_id())
+     .withColumn(_MID, F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
                .select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF)))
