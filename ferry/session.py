@@ -37,6 +37,10 @@ def build_session(master: str | None = None, app: str = "ferry",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Streaming state in RocksDB: off-heap, spills to local disk, and
+         # checkpoints incrementally, so large dedup state is not on the heap.
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .config("spark.sql.shuffle.partitions",
                  str(shuffle_partitions or int(cpus) * 2)))
     for k, v in (extra or {}).items():
