@@ -26,17 +26,29 @@ NOTICE_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, execution_date D
 
 
 def first_failure_notices(runs: DataFrame, delay: str = "1 day",
-                          style: str = "styled") -> DataFrame:
-    """Streaming (or batch) DataFrame of runs -> one notice per first failure."""
+                          style: str = "styled", salt_buckets: int = 16) -> DataFrame:
+    """Streaming (or batch) DataFrame of runs -> one notice per first failure.
+
+    Hot keys: streaming de-duplication has no map-side partial step, so all
+    rows of a key would meet in one task. A first de-duplication on
+    ``(key, salt)`` spreads a key over ``salt_buckets`` tasks and keeps one
+    row per salt; the second, on the key alone, then sees at most
+    ``salt_buckets`` rows of any key per micro-batch.
+    """
+    keys = list(NOTICE_KEYS)
     # A watermark needs a zoned timestamp; the session clock is UTC.
-    events = failed_runs(runs).withColumn("ts", F.col("ts").cast("timestamp"))
-    firsts = (events.withWatermark("ts", delay)
-              .dropDuplicatesWithinWatermark(list(NOTICE_KEYS)))
+    events = (failed_runs(runs).withColumn("ts", F.col("ts").cast("timestamp"))
+              .withWatermark("ts", delay))
+    if salt_buckets > 1:
+        salt = F.pmod(F.xxhash64("run_id"), F.lit(salt_buckets)).alias("_salt")
+        events = (events.withColumn("_salt", salt)
+                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
+    firsts = events.dropDuplicatesWithinWatermark(keys)
     return firsts.select("run_id", *NOTICE_KEYS, "ts", *notice_columns(style))
 
 
 def run_first_failure_stream(spark: SparkSession, source: str, out: str,
-                             delay: str = "1 day", files_per_batch: int = 1) -> DataFrame:
+                             delay: str = "1 day", files_per_batch: int = 1000) -> DataFrame:
     """Drain every file now at ``source`` (``availableNow``), write notices
     to ``out``, and return them as a batch DataFrame."""
     runs = (spark.readStream.schema(TASK_RUN_SCHEMA)
