@@ -11,6 +11,7 @@ Arrow batch at a time; the driver never sees the bytes.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,8 +23,22 @@ def _file_name():
     return F.element_at(F.split(F.col("_origin"), "/"), -1)
 
 
-def read_image_sizes(spark: SparkSession, path: str, key: str = "name") -> DataFrame:
-    """``key`` (file name), ``width``, ``height`` for every non-empty file."""
+def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
+                     method: str = "header") -> DataFrame:
+    """``key`` (file name), ``width``, ``height`` for every non-empty file;
+    ``-1``/``-1`` when the file is not a recognisable image.
+
+    ``method="header"`` (default) reads only each file's header bytes on the
+    executors, as a lazy image open does: a few KB per file, no pixels.
+    ``method="decode"`` uses Spark's ``image`` source, which decodes every
+    image to raw pixels (CPU and memory heavy at scale; also stricter: a
+    truncated file with a good header is invalid there).
+    """
+    if method == "header":
+        listing = (spark.read.format("binaryFile").load(path)
+                   .select(F.col("path").alias("_origin")))  # content is not read
+        sizes = listing.mapInPandas(_header_sizes, "_origin string, width int, height int")
+        return sizes.select(_file_name().alias(key), "width", "height")
     img = spark.read.format("image").option("dropInvalid", False).load(path)
     return (img.select(F.col("image.origin").alias("_origin"),
                        F.col("image.width").alias("width"),
@@ -31,6 +46,40 @@ def read_image_sizes(spark: SparkSession, path: str, key: str = "name") -> DataF
             .select(_file_name().alias(key), "width", "height"))
 
 
+def _resolve(uri: str):
+    """(pyarrow file system, path) for a Hadoop-style file URI."""
+    from urllib.parse import unquote, urlparse
+
+    from pyarrow import fs as pafs
+    u = urlparse(uri)
+    if u.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), unquote(u.path)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(u.scheme, u.scheme)
+    return pafs.FileSystem.from_uri(uri.replace(u.scheme + "://", scheme + "://", 1))
+
+
+def _header_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from ferry.functions.image_header import image_size
+
+    for pdf in batches:
+        widths, heights = [], []
+        for uri in pdf["_origin"].tolist():
+            size = None
+            try:
+                fsys, p = _resolve(uri)
+                with fsys.open_input_file(p) as f:
+                    def read(off: int, n: int, f=f) -> bytes:
+                        f.seek(off)
+                        return f.read(n)
+                    size = image_size(read)
+            except (OSError, ValueError, struct.error):
+                size = None
+            w, h = size or (-1, -1)
+            widths.append(w)
+            heights.append(h)
+        yield pd.DataFrame({"_origin": pdf["_origin"], "width": widths, "height": heights})
+
+
 def read_binary(spark: SparkSession, path: str, key: str = "name",
                 with_content: bool = False) -> DataFrame:
     """``key``, ``length`` [, ``content``] for every non-empty file."""

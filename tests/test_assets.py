@@ -45,3 +45,30 @@ def test_fetch_urls_on_executors(spark, tmp_dir):
     ok = out[f"file://{p}"]
     assert ok.content_type == "image/png" and ok.content[:4] == b"\x89PNG"
     assert out[f"file://{tmp_dir}/no.png"].error is not None
+
+
+def _jpeg(w, h, app_segments=0):
+    app1 = (b"\xff\xe1" + (60000 + 2).to_bytes(2, "big") + b"x" * 60000) * app_segments
+    sof = b"\xff\xc0\x00\x11\x08" + h.to_bytes(2, "big") + w.to_bytes(2, "big") + b"\x03" + b"\x00" * 9
+    return b"\xff\xd8" + app1 + b"\xff\xdb\x00\x04\x00\x00" + sof + b"\xff\xd9"
+
+
+def test_header_sizes_match_decode_and_cover_formats(spark, tmp_dir):
+    import struct as st
+    from ferry.functions.image_header import image_size
+    gif = b"GIF89a" + st.pack("<HH", 9, 4) + b"\x00" * 10
+    bmp = b"BM" + b"\x00" * 16 + st.pack("<ii", 6, -3) + b"\x00" * 30
+    webp = b"RIFF" + b"\x00" * 4 + b"WEBPVP8X" + b"\x00" * 8 + (10 - 1).to_bytes(3, "little") + (20 - 1).to_bytes(3, "little")
+    cases = {"a.png": (png_bytes(7, 5), (7, 5)), "g.gif": (gif, (9, 4)), "b.bmp": (bmp, (6, 3)),
+             "w.webp": (webp, (10, 20)), "j.jpg": (_jpeg(640, 480, app_segments=3), (640, 480)),
+             "t.png": (b"<html>", None), "cut.jpg": (b"\xff\xd8\xff\xe1\x00", None)}
+    for n, (data, want) in cases.items():
+        assert image_size(lambda off, k, d=data: d[off:off + k]) == want, n
+        with open(os.path.join(tmp_dir, n), "wb") as f:
+            f.write(data)
+    got = {r.name: (r.width, r.height) for r in read_image_sizes(spark, tmp_dir).collect()}
+    assert got == {n: (w or (-1, -1)) for n, (_, w) in cases.items()}
+    pngs = [n for n in cases if n.endswith(".png")]
+    dec = {r.name: (r.width, r.height) for r in
+           read_image_sizes(spark, tmp_dir, method="decode").collect() if r.name in pngs}
+    assert dec == {n: got[n] for n in pngs}
