@@ -293,9 +293,10 @@ def sql_database(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 @_staged("task_run_files")
 def task_run_files(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4) -> None:
-    """Task runs landed as ``chunks`` files in ``ts`` order, one write per
-    chunk, so file modification times follow event time (a stream source
-    then sees them in that order)."""
+    """Task runs landed in ``chunks`` consecutive event-time ranges, one
+    write job per range, so file modification times follow event time (a
+    stream source then sees the ranges in that order). Each range keeps its
+    natural partitioning (many files, sorted by ``ts`` within each)."""
     runs = task_runs_frame(spark, sf_dir)
     lo, hi = runs.agg(F.min("ts"), F.max("ts")).first()
     span = max((hi - lo).total_seconds(), 1.0)
@@ -304,5 +305,5 @@ def task_run_files(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4)
     tagged = runs.withColumn("_chunk", chunk)
     for i in range(chunks):
         (tagged.where(F.col("_chunk") == i).drop("_chunk")
-         .coalesce(1).sortWithinPartitions("ts", "run_id")
+         .sortWithinPartitions("ts", "run_id")
          .write.mode("append").parquet(path))
