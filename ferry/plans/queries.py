@@ -113,7 +113,7 @@ def asset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decode each landed image; size, or a placeholder."""
+    """Each landed image's size from its header, or a placeholder."""
     root = fx.images(spark, sf_dir)
     manifest = spark.read.parquet(f"{root}/manifest")
     sizes = read_image_sizes(spark, f"{root}/files")
@@ -125,7 +125,7 @@ def image_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interchange_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Photos -> column-oriented hand-over chunks -> rows again."""
     photos = photos_projection(spark, sf_dir)
-    path = write_column_json(photos, scratch_path(spark, "handover"), ["id"], chunk_rows=100)
+    path = write_column_json(photos, scratch_path(spark, "handover"), ["id"], chunk_rows=1000)
     return read_column_json(spark, path, "id BIGINT, title STRING, url STRING, thumbnailUrl STRING")
 
 
