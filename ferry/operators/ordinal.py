@@ -15,8 +15,8 @@ every row into one task. Instead:
 Writing the tagged rows (rather than caching them) means both later steps
 read the same rows, a lost executor re-reads files instead of recomputing
 the sort, and nothing stays pinned in executor memory after the query.
-The key should be unique (add a tie-breaker otherwise) so that the order
-among equal keys is not left to chance.
+Rows with equal keys are ordered by a seeded random tie-breaker, so a key
+that holds a third of all rows is still spread over many range partitions.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ferry.session import scratch_path
 
-_PID, _MID, _OFF, _N = "_ferry_pid", "_ferry_mid", "_ferry_off", "_ferry_n"
+_PID, _MID, _OFF, _N, _TIE = "_ferry_pid", "_ferry_mid", "_ferry_off", "_ferry_n", "_ferry_tie"
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal",
@@ -36,14 +36,18 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal",
     """Add ``name``: the 0-based position of each row in ``order_by`` order
     (ascending, nulls last). Runs the sort eagerly (one write job)."""
     spark = df.sparkSession
-    keys = [F.asc_nulls_last(c) for c in order_by]
+    # A seeded random tie-breaker: ties have no promised order, and without
+    # it all rows of a hot key would fall into one range partition.
+    keys = [F.asc_nulls_last(c) for c in order_by] + [F.col(_TIE)]
     path = scratch_path(spark, "ordinal")
+    tied = df.withColumn(_TIE, F.rand(seed=17))
     # Without an explicit count AQE may merge adjacent ranges to its target
     # size; ids are taken after that, so offsets stay consistent.
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
+    ranged = (tied.repartitionByRange(num_partitions, *keys) if num_partitions
+              else tied.repartitionByRange(*keys))
     (ranged
      .sortWithinPartitions(*keys)
+     .drop(_TIE)
      .withColumn(_PID, F.spark_partition_id())
      .withColumn(_MID, F.monotonically_increasing_id())
      .write.parquet(path))

@@ -40,9 +40,11 @@ def sort_nulls_last(df: DataFrame, *cols: str) -> DataFrame:
 
     Spark's default puts NULLs first; the reference's sort puts them last.
     The sort is a range-partitioned shuffle: it scales, but keep it as the
-    last step before a writer, since later steps may reshuffle.
+    last step before a writer, since later steps may reshuffle. Ties have no
+    promised order; a seeded random tie-breaker lets the range partitioner
+    split a key that holds a large share of the rows.
     """
-    return df.orderBy(*[F.asc_nulls_last(c) for c in cols])
+    return df.orderBy(*[F.asc_nulls_last(c) for c in cols], F.rand(seed=17))
 
 
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:

@@ -48,11 +48,10 @@ def daily_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_records(spark, fx.daily_metrics(spark, sf_dir), DAILY_SCHEMA)
 
 
-def daily_table(df: DataFrame) -> DataFrame:
+def daily_table(df: DataFrame, sort: bool = True) -> DataFrame:
     """Project four columns, parse the date, sort by it (nulls last)."""
-    return (df.transform(P.keep_columns, DAILY_COLUMNS)
-            .transform(P.parse_date_column, "date")
-            .transform(P.sort_nulls_last, "date"))
+    t = df.transform(P.keep_columns, DAILY_COLUMNS).transform(P.parse_date_column, "date")
+    return t.transform(P.sort_nulls_last, "date") if sort else t
 
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +88,8 @@ def users_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_report_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns 2-4 of the sheet as three named series, x = row position."""
-    t = daily_table(daily_records(spark, sf_dir))
+    # The series' own ordinal sorts by date; no separate sort first.
+    t = daily_table(daily_records(spark, sf_dir), sort=False)
     return R.chart_series(t, ["date"], ["positive", "death", "hospitalizedCurrently"],
                           carry=["date"])
 

@@ -60,3 +60,20 @@ def test_html_pages_keep_every_row_in_order(spark):
     assert [(p.page_no, p.n_rows) for p in pages] == [(0, 100), (1, 100), (2, 50)]
     body = "".join(p.html[3:-4] for p in pages)
     assert body == "".join(f"<r{i}>" for i in range(250))
+
+
+def test_ordinal_spreads_a_hot_key(spark):
+    hot = spark.range(0, 20_000).select(F.when(F.col("id") % 3 == 0, F.lit(5))
+                                        .otherwise(F.col("id")).alias("k"), "id")
+    got = with_ordinal(hot, ["k"], num_partitions=8)
+    rows = got.collect()
+    assert sorted(r.ordinal for r in rows) == list(range(20_000))
+    by_pos = [r.k for r in sorted(rows, key=lambda r: r.ordinal)]
+    assert by_pos == sorted(by_pos)
+    # the ~6,667 rows of key 5 are spread over several range partitions
+    import os
+    import pyarrow.parquet as pq
+    path = got.inputFiles()[0].removeprefix("file:")
+    pids = pq.read_table(os.path.dirname(path), columns=["_ferry_pid"]).column(0).to_pylist()
+    sizes = sorted(pids.count(p) for p in set(pids))
+    assert len(sizes) == 8 and sizes[-1] < 2 * 20_000 / 8
