@@ -1,7 +1,8 @@
 """JSON over HTTP as a Spark data source.
 
 ``spark.read.format("json_http").option("urls", ...)`` plans one input
-partition per URL, so the requests run on the executors, in parallel, and
+partition per URL (or per ``urlsPerPartition`` URLs), so the requests run
+on the executors, in parallel, and
 the driver never holds a payload. The reader only fetches and splits the
 payload into record texts; typing is done by Spark's JSON parser with the
 caller's declared schema (``from_json``), exactly as for landed files.
@@ -12,6 +13,11 @@ Layouts:
 * ``document`` -- the whole body is one record (e.g. one nested object).
 
 A non-2xx response fails the read, as does a malformed body.
+
+The URL list of ``read_json_http`` travels in the read options, which suits
+a handful of API pages. When the URLs are themselves data (a table of
+pages), use ``read_json_from_urls``: the URL column is fetched on the
+executors (``fetch_urls``) and payloads are parsed by Spark.
 """
 
 from __future__ import annotations
@@ -27,9 +33,9 @@ RAW_SCHEMA = "url string, ordinal bigint, record string"
 
 
 class _UrlPartition(InputPartition):
-    def __init__(self, url: str):
-        super().__init__(url)
-        self.url = url
+    def __init__(self, urls: list[str]):
+        super().__init__(urls)
+        self.urls = urls
 
 
 class JsonHttpReader(DataSourceReader):
@@ -38,28 +44,34 @@ class JsonHttpReader(DataSourceReader):
         self.urls = [u.strip() for u in raw.replace("\n", ",").split(",") if u.strip()]
         self.layout = options.get("layout", "array")
         self.timeout = float(options.get("timeout", "60"))
+        self.per_partition = max(1, int(options.get("urlsPerPartition", "1")))
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [_UrlPartition(u) for u in self.urls]
+        n = self.per_partition
+        return [_UrlPartition(self.urls[i:i + n]) for i in range(0, len(self.urls), n)]
 
     def read(self, partition: _UrlPartition) -> Iterator[tuple]:
+        for url in partition.urls:
+            yield from self._read_one(url)
+
+    def _read_one(self, url: str) -> Iterator[tuple]:
         import json
         import urllib.request
 
-        with urllib.request.urlopen(partition.url, timeout=self.timeout) as r:
+        with urllib.request.urlopen(url, timeout=self.timeout) as r:
             status = getattr(r, "status", None)
             if status is not None and not 200 <= status < 300:
-                raise OSError(f"HTTP {status} for {partition.url}")
+                raise OSError(f"HTTP {status} for {url}")
             body = r.read().decode("utf-8")
         if self.layout == "document":
             json.loads(body)  # malformed -> fail
-            yield (partition.url, 0, body)
+            yield (url, 0, body)
             return
         records = json.loads(body)
         if not isinstance(records, list):
-            raise ValueError(f"{partition.url}: expected a JSON array of records")
+            raise ValueError(f"{url}: expected a JSON array of records")
         for i, rec in enumerate(records):
-            yield (partition.url, i, json.dumps(rec, ensure_ascii=False))
+            yield (url, i, json.dumps(rec, ensure_ascii=False))
 
 
 class JsonHttpDataSource(DataSource):
@@ -79,11 +91,37 @@ def register(spark: SparkSession) -> None:
 
 
 def read_json_http(spark: SparkSession, urls: Sequence[str], schema: T.StructType | str,
-                   layout: str = "array", keep_source: bool = False) -> DataFrame:
+                   layout: str = "array", keep_source: bool = False,
+                   urls_per_partition: int = 1) -> DataFrame:
     """Records fetched from ``urls``, typed by ``schema`` (FAILFAST)."""
     register(spark)
     raw = (spark.read.format("json_http").option("urls", ",".join(urls))
-           .option("layout", layout).load())
+           .option("layout", layout).option("urlsPerPartition", urls_per_partition).load())
     parsed = F.from_json("record", schema, {"mode": "FAILFAST"})
     extra = ["url", "ordinal"] if keep_source else []
     return raw.select(*extra, parsed.alias("_r")).select(*extra, "_r.*")
+
+
+def read_json_from_urls(urls: DataFrame, url_col: str, schema: T.StructType | str,
+                        array: bool = True) -> DataFrame:
+    """Fetch every URL of a column on the executors and parse the payloads.
+
+    ``array=True``: each body is a JSON array of records (one row per
+    record); otherwise each body is one record. A failed fetch or a
+    non-2xx status fails the query.
+    """
+    from ferry.sources.assets import fetch_urls
+
+    fetched = fetch_urls(urls, url_col)
+    ok = (F.col("error").isNull() & F.col("http_status").between(200, 299))
+    checked = fetched.select(
+        "url", F.when(ok, F.col("content").cast("string"))
+        .otherwise(F.raise_error(F.concat(F.lit("fetch failed: "), F.col("url"),
+                                          F.lit(" "), F.coalesce(F.col("error"), F.lit("")))))
+        .alias("_body"))
+    st = schema if isinstance(schema, str) else schema.simpleString()
+    if array:
+        parsed = F.explode(F.from_json("_body", f"array<{st}>", {"mode": "FAILFAST"}))
+    else:
+        parsed = F.from_json("_body", st, {"mode": "FAILFAST"})
+    return checked.select("url", parsed.alias("_r")).select("url", "_r.*")

@@ -96,6 +96,8 @@ def test_json_http_source_on_file_urls(spark, tmp_dir):
     df = read_json_http(spark, urls, "id BIGINT, t STRING", keep_source=True)
     rows = sorted((r.id, r.t) for r in df.collect())
     assert rows == [(1, "a"), (2, None), (3, "c")]
+    grouped = read_json_http(spark, urls, "id BIGINT, t STRING", urls_per_partition=2)
+    assert grouped.rdd.getNumPartitions() == 1 and grouped.count() == 3
     doc = _write(os.path.join(tmp_dir, "d.json"), json.dumps({"sprites": {"a": "http://x"}}))
     one = read_json_http(spark, [f"file://{doc}"], "sprites map<string,string>", layout="document")
     assert one.first().sprites == {"a": "http://x"}
@@ -132,3 +134,15 @@ def test_jdbc_mod_split_covers_every_row(spark):
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
     ranged = read_table(spark, url, "T", partition_column="k", num_partitions=3)
     assert sorted(ranged.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_json_from_url_column(spark, tmp_dir):
+    from ferry.sources.json_http import read_json_from_urls
+    p1 = _write(os.path.join(tmp_dir, "a.json"), json.dumps([{"id": 1}, {"id": 2}]))
+    p2 = _write(os.path.join(tmp_dir, "b.json"), json.dumps([{"id": 3}]))
+    urls = spark.createDataFrame([(f"file://{p1}",), (f"file://{p2}",)], "u string")
+    got = sorted(r.id for r in read_json_from_urls(urls, "u", "struct<id:bigint>").collect())
+    assert got == [1, 2, 3]
+    bad = spark.createDataFrame([(f"file://{tmp_dir}/none.json",)], "u string")
+    with pytest.raises(Exception):
+        read_json_from_urls(bad, "u", "struct<id:bigint>").collect()
