@@ -13,17 +13,17 @@ Semantics (the reference's recursive function):
 * a key repeated inside one object behaves as in a parsed dict: it stays
   at its first position and takes its last value.
 
-Spark plan: a loop over depth levels, each a narrow job (no shuffle).
-Every level parses its objects twice with the JVM JSON parser --
-``map<string,string>`` keeps each value's raw text (a sub-object keeps its
-key order, unlike a variant object, whose keys are sorted) and
-``map<string,variant>`` gives its type (so a text leaf that itself holds
-JSON is not mistaken for an object). Each entry carries its position path
-``ord`` (array of entry positions), so ordering by ``ord`` is document
-order. Each level is written once as a Parquet table in the shared folder,
-which cuts lineage and lets the loop stop as soon as a level holds no
-object. Only one final
-window, per document, numbers the leaves.
+Spark plan: a loop of narrow jobs (no shuffle), each walking
+``levels_per_pass`` nesting levels inside one expression. Every object is
+parsed twice with the JVM JSON parser -- ``map<string,string>`` keeps each
+value's raw text (a sub-object keeps its key order, unlike a variant
+object, whose keys are sorted) and ``map<string,variant>`` gives its type
+(so a text leaf that itself holds JSON is not mistaken for an object).
+Each entry carries its position path ``ord`` (array of entry positions),
+so ordering by ``ord`` is document order. A pass writes its leaves and its
+deepest objects (the next frontier) once as a Parquet table in the shared
+folder, which cuts lineage and lets the loop stop as soon as no object is
+left. Only one final window, per document, numbers the leaves.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.functions.text import py_str
+from ferry.functions.text import html_escape, py_str
 from ferry.operators.ordinal import with_ordinal
 
 HEADER_ROWS = 1
@@ -67,7 +67,6 @@ def html_row(df: DataFrame, fields: Sequence[str], out: str = "row_html",
     A missing value prints ``None``, booleans ``True``/``False``. Like the
     reference's template, nothing is escaped unless ``escape=True``.
     """
-    from ferry.functions.text import html_escape
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     cells = []
     for f in fields:
@@ -88,7 +87,7 @@ def html_pages(rows: DataFrame, order_by: Sequence[str], page_rows: int,
     """
     pos = with_ordinal(rows, order_by)
     body = F.expr(f"listagg({row_col}, '') WITHIN GROUP (ORDER BY ordinal)")
-    return (pos.groupBy((F.col("ordinal") / F.lit(page_rows)).cast("long").alias("page_no"))
+    return (pos.groupBy(F.expr(f"ordinal div {int(page_rows)}").alias("page_no"))
             .agg(F.count(F.lit(1)).alias("n_rows"), body.alias("_body"))
             .select("page_no", "n_rows",
                     F.concat(F.lit(header), F.col("_body"), F.lit(footer)).alias("html")))

@@ -81,3 +81,15 @@ def test_stream_hot_key_is_salted(spark):
     out = run_first_failure_stream(spark, src, scratch_path(spark, "test-stream-hot-out"),
                                    files_per_batch=1)
     assert sorted(r.task_id for r in out.collect()) == ["t1", "t9"]
+
+
+def test_notices_run_unchanged_on_a_stream(spark):
+    src = scratch_path(spark, "test-stream-plain")
+    runs(spark, [_r(1, 0), _r(2, 1, state="success"), _r(3, 2)]).write.parquet(src)
+    stream = spark.readStream.schema(TASK_RUN_SCHEMA).parquet(src)
+    out = scratch_path(spark, "test-stream-plain-out")
+    q = (failure_notices(stream).writeStream.format("parquet")
+         .option("path", f"{out}/data").option("checkpointLocation", f"{out}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.run_id for r in spark.read.parquet(f"{out}/data").collect()) == [1, 3]
