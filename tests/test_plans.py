@@ -50,3 +50,19 @@ def test_first_failure_uses_partial_aggregation(spark):
 def test_failure_alerts_is_narrow(spark):
     df = E.queries()["failure_alerts"](spark, SF_SMALL)
     assert "Exchange" not in plan(df)
+
+
+def test_no_driver_side_collection_in_the_library():
+    """Operators must not pull rows to the driver."""
+    import os
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "ferry")
+    banned = re.compile(r"\.(collect|toPandas|toLocalIterator|localCheckpoint)\(|\.rdd\b")
+    hits = []
+    for d, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py"):
+                for i, line in enumerate(open(os.path.join(d, f)), 1):
+                    if banned.search(line):
+                        hits.append(f"{f}:{i}: {line.strip()}")
+    assert hits == []
