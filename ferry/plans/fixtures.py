@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.session import scratch_path
+from ferry.session import scratch_path, ship_package
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
@@ -267,6 +267,7 @@ def _write_images(out_dir: str):
 def images(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``{path}/files``: one file per photo, written by the executors;
     ``{path}/manifest``: ``id, name`` for every photo (missing ones too)."""
+    ship_package(spark)
     pages = table(spark, sf_dir, "pages").select("page_id")
     manifest = pages.mapInPandas(_write_images(f"{path}/files"), "id long, name string")
     manifest.write.parquet(f"{path}/manifest")

@@ -70,3 +70,34 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     return f"{scratch_root(spark)}/ferry/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ferry`` importable in executor Python workers.
+
+    Functions handed to ``mapInPandas`` and the Python data source are
+    pickled by reference, so workers import ``ferry``. The package is zipped
+    once per application into the shared folder and added with
+    ``addPyFile`` (Spark distributes it to every executor).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = scratch_path(spark, "pyfiles")
+    local = folder.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    target = os.path.join(local, "ferry.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.join("ferry", os.path.relpath(full, pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.session import ship_package
+
 
 def _file_name():
     return F.element_at(F.split(F.col("_origin"), "/"), -1)
@@ -35,6 +37,7 @@ def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
     truncated file with a good header is invalid there).
     """
     if method == "header":
+        ship_package(spark)
         listing = (spark.read.format("binaryFile").load(path)
                    .select(F.col("path").alias("_origin")))  # content is not read
         sizes = listing.mapInPandas(_header_sizes, "_origin string, width int, height int")
@@ -121,5 +124,6 @@ def fetch_urls(df: DataFrame, url_col: str, timeout: float = 30.0) -> DataFrame:
     on ``url``. Distinct URLs are fetched, so a URL shared by many rows
     costs one request.
     """
+    ship_package(df.sparkSession)
     urls = df.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
     return urls.mapInPandas(_fetch_batches("url", timeout), FETCH_SCHEMA)

@@ -87,6 +87,8 @@ class JsonHttpDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from ferry.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(JsonHttpDataSource)
 
 
