@@ -9,23 +9,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# CSV as a spreadsheet library writes it: header, no row label, an empty
-# field for both NULL and empty text, quotes doubled inside quoted fields,
-# timestamps with a space and whole seconds.
+# CSV as a dataframe library writes it: header, no row label, an empty
+# field for both NULL and empty text, quotes doubled inside quoted fields.
 CSV_OPTIONS = {
     "header": "true",
     "emptyValue": "",
     "nullValue": "",
     "escape": '"',
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
 }
 
 
+def _csv_text(df: DataFrame) -> DataFrame:
+    """Booleans as ``True``/``False`` and timestamps as ``2024-01-01
+    00:00:07.179575`` (fraction only when present, never dropped)."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.BooleanType):
+            c = F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = c.cast("string").alias(f.name)
+        cols.append(c)
+    return df.select(*cols)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> str:
     """Table -> CSV with header, no index (K1 local path, K2 object store)."""
-    df.write.mode(mode).options(**{**CSV_OPTIONS, **options}).csv(path)
+    _csv_text(df).write.mode(mode).options(**{**CSV_OPTIONS, **options}).csv(path)
     return path
 
 

@@ -146,3 +146,17 @@ def test_json_from_url_column(spark, tmp_dir):
     bad = spark.createDataFrame([(f"file://{tmp_dir}/none.json",)], "u string")
     with pytest.raises(Exception):
         read_json_from_urls(bad, "u", "struct<id:bigint>").collect()
+
+
+def test_csv_booleans_and_timestamps_like_pandas(spark, tmp_dir):
+    import datetime as dt
+    rows = [(True, dt.datetime(2024, 1, 1, 0, 0, 7, 179575)), (False, dt.datetime(2024, 1, 1, 0, 1)),
+            (None, None)]
+    df = spark.createDataFrame(rows, "b boolean, t timestamp_ntz")
+    path = write_csv(df.coalesce(1), os.path.join(tmp_dir, "bt"))
+    text = "".join(open(os.path.join(path, f)).read()
+                   for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    assert text.splitlines() == ["b,t", "True,2024-01-01 00:00:07.179575",
+                                 "False,2024-01-01 00:01:00", ","]
+    back = read_csv(spark, path, "b boolean, t timestamp_ntz").collect()
+    assert sorted(map(tuple, back), key=str) == sorted(rows, key=str)
