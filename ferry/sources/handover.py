@@ -51,4 +51,23 @@ def read_column_json(spark: SparkSession, path: str, schema: T.StructType | str,
         F.raise_error(F.lit("hand-over JSON: columns hold different row labels")))
     wide = docs.select(F.explode(checked).alias("_r")).select("_r.*").toDF("_label", *names)
     return wide.select(F.col("_label").cast("long").alias(label),
-                       *[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
+                       *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in st.fields])
+
+
+def _typed(v, dtype: T.DataType):
+    """Cast a value's JSON text to its declared type. Timestamps may also be
+    epoch milliseconds (what a pandas step writes by default), read as
+    wall-clock time so the session time zone does not shift them."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        from_ms = F.timestamp_add("MILLISECOND", v.cast("long"), epoch)
+        return F.when(v.rlike(r"^-?[0-9]+$"), from_ms).otherwise(v.cast("timestamp_ntz")) \
+            .cast(dtype)
+    if isinstance(dtype, T.IntegralType):
+        # An integer column with nulls arrives as floats ("3.0") from pandas;
+        # accept integral values, refuse fractions.
+        d = v.cast("double")
+        as_float = F.when(d == F.floor(d), d.cast(dtype)).otherwise(
+            F.raise_error(F.concat(F.lit("not an integer: "), v)))
+        return F.when(v.rlike(r"[.eE]"), as_float).otherwise(v.cast(dtype))
+    return v.cast(dtype)

@@ -160,3 +160,12 @@ def test_csv_booleans_and_timestamps_like_pandas(spark, tmp_dir):
                                  "False,2024-01-01 00:01:00", ","]
     back = read_csv(spark, path, "b boolean, t timestamp_ntz").collect()
     assert sorted(map(tuple, back), key=str) == sorted(rows, key=str)
+
+
+def test_handover_reads_pandas_epoch_dates(spark, tmp_dir):
+    pdf = pd.DataFrame({"date": pd.to_datetime(["2020-01-02 00:00:00.000", "2020-01-01 00:00:01.500"], format="ISO8601"),
+                        "positive": [3, None]})
+    p = _write(os.path.join(tmp_dir, "d.json"), pdf.to_json())
+    back = read_column_json(spark, p, "date TIMESTAMP_NTZ, positive BIGINT", whole_files=True)
+    got = sorted((r.row_label, r.date.isoformat(), r.positive) for r in back.collect())
+    assert got == [(0, "2020-01-02T00:00:00", 3), (1, "2020-01-01T00:00:01.500000", None)]
