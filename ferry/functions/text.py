@@ -26,6 +26,13 @@ def py_str(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, T.BooleanType):
         return (F.when(c.isNull(), F.lit(PY_NONE))
                 .when(c, F.lit(PY_TRUE)).otherwise(F.lit(PY_FALSE)))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # Python prints all six fraction digits when there is a fraction.
+        frac = F.date_format(c, "SSSSSS")
+        txt = F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"),
+                       F.when(frac != "000000", F.concat(F.lit("."), frac))
+                       .otherwise(F.lit("")))
+        return F.coalesce(txt, F.lit(PY_NONE))
     return F.coalesce(c.cast("string"), F.lit(PY_NONE))
 
 

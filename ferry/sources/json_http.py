@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-RAW_SCHEMA = "url string, ordinal bigint, record string"
+RAW_SCHEMA = "url string, body string"
 
 
 class _UrlPartition(InputPartition):
@@ -42,7 +42,6 @@ class JsonHttpReader(DataSourceReader):
     def __init__(self, options: dict):
         raw = options.get("urls", "")
         self.urls = [u.strip() for u in raw.replace("\n", ",").split(",") if u.strip()]
-        self.layout = options.get("layout", "array")
         self.timeout = float(options.get("timeout", "60"))
         self.per_partition = max(1, int(options.get("urlsPerPartition", "1")))
 
@@ -55,23 +54,13 @@ class JsonHttpReader(DataSourceReader):
             yield from self._read_one(url)
 
     def _read_one(self, url: str) -> Iterator[tuple]:
-        import json
         import urllib.request
 
         with urllib.request.urlopen(url, timeout=self.timeout) as r:
             status = getattr(r, "status", None)
             if status is not None and not 200 <= status < 300:
                 raise OSError(f"HTTP {status} for {url}")
-            body = r.read().decode("utf-8")
-        if self.layout == "document":
-            json.loads(body)  # malformed -> fail
-            yield (url, 0, body)
-            return
-        records = json.loads(body)
-        if not isinstance(records, list):
-            raise ValueError(f"{url}: expected a JSON array of records")
-        for i, rec in enumerate(records):
-            yield (url, i, json.dumps(rec, ensure_ascii=False))
+            yield (url, r.read().decode("utf-8"))
 
 
 class JsonHttpDataSource(DataSource):
@@ -98,10 +87,27 @@ def read_json_http(spark: SparkSession, urls: Sequence[str], schema: T.StructTyp
     """Records fetched from ``urls``, typed by ``schema`` (FAILFAST)."""
     register(spark)
     raw = (spark.read.format("json_http").option("urls", ",".join(urls))
-           .option("layout", layout).option("urlsPerPartition", urls_per_partition).load())
-    parsed = F.from_json("record", schema, {"mode": "FAILFAST"})
+           .option("urlsPerPartition", urls_per_partition).load())
+    st = schema if isinstance(schema, str) else schema.simpleString()
+    if layout == "array":
+        recs = raw.select("url", F.posexplode(
+            F.from_json("body", f"array<struct<{_fields(st)}>>", _STRICT)).alias("ordinal", "_r"))
+    else:
+        recs = raw.select("url", F.lit(0).cast("long").alias("ordinal"),
+                          F.from_json("body", st, _STRICT).alias("_r"))
     extra = ["url", "ordinal"] if keep_source else []
-    return raw.select(*extra, parsed.alias("_r")).select(*extra, "_r.*")
+    return recs.select(*extra, "_r.*")
+
+
+_STRICT = {"mode": "FAILFAST"}
+
+
+def _fields(ddl: str) -> str:
+    """``"a BIGINT, b STRING"`` or ``"struct<a:bigint>"`` -> struct field list."""
+    d = ddl.strip()
+    if d.lower().startswith("struct<") and d.endswith(">"):
+        return d[7:-1]
+    return T._parse_datatype_string(d).simpleString()[7:-1]
 
 
 def read_json_from_urls(urls: DataFrame, url_col: str, schema: T.StructType | str,

@@ -90,3 +90,12 @@ def test_no_leaves_gives_empty_table_with_schema(spark):
                       value_name="sprite_url")
     assert out.count() == 0
     assert out.columns == ["doc_id", "leaf_pos", "sprite_name", "sprite_url"]
+
+
+def test_py_str_timestamps_like_python(spark):
+    from pyspark.sql import types as T
+    vals = [dt.datetime(2024, 1, 1, 0, 1), dt.datetime(2024, 1, 1, 0, 0, 7, 179500),
+            dt.datetime(1969, 12, 31, 23, 59, 59, 5), None]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    got = [r[0] for r in df.select(py_str("t", T.TimestampNTZType())).collect()]
+    assert got == [str(v) for v in vals]
