@@ -28,6 +28,7 @@ left. Only one final window, per document, numbers the leaves.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -117,12 +118,19 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     """
     spark = docs.sparkSession
     scratch_root(spark)  # make sure a checkpoint folder is registered
-    start = F.get_json_object(F.col(json_col), root) if root else F.col(json_col)
-    # A strict parse of the whole document raises on malformed text; the
-    # CASE makes it run first, so a malformed document fails instead of
-    # reading as "no root".
+    # A strict parse of the whole document raises on malformed text, so a
+    # malformed document fails instead of reading as "no root".
     whole = F.from_json(F.col(json_col), "map<string,string>", _STRICT)
-    start = F.when(whole.isNotNull(), start)
+    simple = re.fullmatch(r"\$\.([A-Za-z_][\w-]*)", root or "")
+    if simple:
+        # One parse does both: validate, and take the root's raw text (the
+        # last value if the key repeats, as a parsed dict would).
+        key = simple.group(1)
+        start = F.try_element_at(F.filter(F.map_entries(whole), lambda e: e["key"] == key),
+                                 F.lit(-1))["value"]
+    else:
+        path = F.get_json_object(F.col(json_col), root) if root else F.col(json_col)
+        start = F.when(whole.isNotNull(), path)
     cur = (docs.select(F.col(id_col), start.alias("_txt"))
            .where(F.col("_txt").isNotNull())
            .select(id_col, F.array().cast("array<int>").alias("ord"), "_txt"))
