@@ -130,7 +130,9 @@ def main() -> None:
             "1,000 rows, so a small table makes a few chunks on a few tasks; at scale "
             "there are millions of chunks.",
             "* `image_audit` reads image headers in Python (a few KB per file); those reads "
-            "are not scan rows, and the file listing reads no file content.", ""]
+            "are not scan rows, and the file listing reads no file content.",
+            "* `first_failure_stream`: micro-batches run on the stream's own thread and job "
+            "group, so only the read of its output is attributed to it here.", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "SCALE.md")
     with open(path, "w") as f:
         f.write("\n".join(out) + "\n")
