@@ -247,5 +247,9 @@ FROM (SELECT *,
 WHERE rn = 1"""
 
 ORACLE["first_failure_stream"] = _with(TASK_RUNS) + f"""
-SELECT DISTINCT dag_id, task_id, execution_date, {SUBJECT} AS subject
-FROM task_runs WHERE state = 'failed'"""
+SELECT run_id, dag_id, task_id, execution_date, ts AS first_ts, {SUBJECT} AS subject
+FROM (SELECT *,
+             row_number() OVER (PARTITION BY dag_id, task_id, execution_date
+                                ORDER BY ts, run_id) AS rn
+      FROM task_runs WHERE state = 'failed') f
+WHERE rn = 1"""

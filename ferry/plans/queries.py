@@ -27,7 +27,7 @@ from ferry.sources import jdbc
 from ferry.sources.assets import read_image_sizes
 from ferry.sources.handover import read_column_json
 from ferry.sources.json_records import read_documents, read_json_records
-from ferry.streaming.first_failure import run_first_failure_stream
+from ferry.streaming.first_failure import run_first_failure_batches
 
 # Declared schemas of the staged payloads (no inference pass).
 DAILY_SCHEMA = ("date INT, positive BIGINT, death BIGINT, hospitalizedCurrently BIGINT, "
@@ -251,10 +251,11 @@ def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on a stream of landed run files (watermark 1 day)."""
+    """The same on a stream of landed run files, one notice per key ever
+    (``foreachBatch``: batch aggregate + anti-join, idempotent per batch)."""
     src = fx.task_run_files(spark, sf_dir)
-    out = run_first_failure_stream(spark, src, scratch_path(spark, "notices"))
-    return out.select("dag_id", "task_id", "execution_date", "subject")
+    out = run_first_failure_batches(spark, src, scratch_path(spark, "notices"))
+    return out.select("run_id", "dag_id", "task_id", "execution_date", "first_ts", "subject")
 
 
 QUERIES = {

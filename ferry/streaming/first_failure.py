@@ -1,15 +1,22 @@
 """First-failure notices on a stream of task runs.
 
-``readStream`` over landed run files -> failed runs -> event-time watermark
--> ``dropDuplicatesWithinWatermark`` on the notice key -> notices -> file
-sink. "First" is first to arrive, as with the reference's counter. State
-is bounded by the watermark delay: a key's entry is dropped once the
-watermark passes its event time plus the delay, so a repeat later than
-that notifies again. The key holds the execution date, so a delay of one
-day covers every repeat of a key whose runs arrive in event-time order.
-
-The sink and its checkpoint live in the shared folder; a restarted query
-resumes from the checkpoint (exactly-once file sink).
+Two forms, both ``readStream`` over landed run files:
+
+``run_first_failure_batches`` (registered query): ``foreachBatch``. Each
+micro-batch runs the batch first-failure aggregate (map-side partial minima,
+so a hot key is reduced before any shuffle; "first" is the earliest ``ts``),
+drops keys already notified by an anti-join against the notices written so
+far (the table is partitioned by execution date, and only the batch's
+dates are read), and overwrites its own ``batch_id`` partitions, so a
+replayed batch rewrites the same rows (exactly once). Nothing is dropped as late: a failure that
+arrives days behind still gets its notice if its key has none. State is the
+notices table itself, in the shared folder.
+
+``first_failure_notices`` (the pure streaming operator): event-time
+watermark -> ``dropDuplicatesWithinWatermark`` on the notice key, salted for
+hot keys. "First" is first to arrive. State is bounded by the watermark
+delay, and rows later than the watermark are dropped by Structured
+Streaming -- the price of bounded in-memory state.
 """
 
 from __future__ import annotations
@@ -17,7 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.operators.alerts import NOTICE_KEYS, failed_runs, notice_columns
+from pyspark.errors import AnalysisException
+
+from ferry.operators.alerts import NOTICE_KEYS, failed_runs, first_failures, notice_columns
 
 TASK_RUN_SCHEMA = ("run_id BIGINT, ts TIMESTAMP_NTZ, dag_id STRING, task_id STRING, "
                    "execution_date DATE, state STRING, log_url STRING")
@@ -63,3 +72,55 @@ def run_first_failure_stream(spark: SparkSession, source: str, out: str,
     if q.exception() is not None:
         raise q.exception()
     return spark.read.schema(NOTICE_SCHEMA).parquet(f"{out}/data")
+
+
+BATCH_NOTICE_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, execution_date DATE, "
+                       "first_ts TIMESTAMP_NTZ, n_failures BIGINT, subject STRING, "
+                       "body STRING, recipients STRING, batch_id BIGINT")
+
+
+def _notify_batch(path: str, style: str):
+    keys = list(NOTICE_KEYS)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # one row per key of this batch; read twice below, so kept
+        firsts = first_failures(batch, style=style).persist()
+        try:
+            new = firsts
+            try:
+                done = (spark.read.schema(BATCH_NOTICE_SCHEMA).parquet(path)
+                        .where(F.col("batch_id") < batch_id)
+                        # only this batch's dates: partition pruning on the
+                        # table's first partition column
+                        .join(firsts.select("execution_date").distinct(),
+                              "execution_date", "left_semi")
+                        .select(*keys))
+                new = firsts.join(done, keys, "left_anti")
+            except AnalysisException:  # no notices yet
+                pass
+            (new.withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("execution_date", "batch_id").parquet(path))
+        finally:
+            firsts.unpersist()
+    return process
+
+
+def run_first_failure_batches(spark: SparkSession, source: str, out: str,
+                              style: str = "styled", files_per_batch: int = 1000) -> DataFrame:
+    """Drain every file now at ``source``; one notice per key, ever; return
+    the notices as a batch DataFrame."""
+    runs = (spark.readStream.schema(TASK_RUN_SCHEMA)
+            .option("maxFilesPerTrigger", files_per_batch).parquet(source))
+    q = (runs.writeStream.foreachBatch(_notify_batch(f"{out}/data", style))
+         .option("checkpointLocation", f"{out}/checkpoint")
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    try:
+        return spark.read.schema(BATCH_NOTICE_SCHEMA).parquet(f"{out}/data")
+    except AnalysisException:  # no failures at all
+        return spark.createDataFrame([], BATCH_NOTICE_SCHEMA)

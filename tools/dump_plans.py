@@ -43,7 +43,7 @@ NOTES = {
     "first_failure": "partial_min per task before the exchange, so hot keys are pre-reduced. "
                      "Sort-based, because the min(struct) buffer holds strings, which hash "
                      "aggregation cannot update in place; it spills instead of failing.",
-    "first_failure_stream": "Scan of the stream sink output.",
+    "first_failure_stream": "Scan of the notices table the foreachBatch stream wrote.",
     "run_date_tag": "Narrow; parameters bound as literals.",
 }
 
