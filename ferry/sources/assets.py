@@ -21,14 +21,21 @@ from pyspark.sql import functions as F
 from ferry.session import ship_package
 
 
-def _file_name():
-    return F.element_at(F.split(F.col("_origin"), "/"), -1)
+def _relative_to(root: str):
+    """Path of ``_origin`` below ``root`` (``a/b.png``), whatever URI form
+    (``file:/x``, ``file:///x``) the source reports."""
+    from urllib.parse import urlparse
+    base = (urlparse(root).path if "://" in root or root.startswith("file:") else root)
+    base = "/" + base.strip("/") + "/"
+    origin = F.col("_origin")
+    return F.substring(origin, F.instr(origin, base) + F.lit(len(base)), F.lit(1 << 30))
 
 
 def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
                      method: str = "header") -> DataFrame:
-    """``key`` (file name), ``width``, ``height`` for every non-empty file;
-    ``-1``/``-1`` when the file is not a recognisable image.
+    """``key`` (path below ``path``, e.g. ``a/b.png``), ``width``, ``height``
+    for every non-empty file under ``path`` (recursively); ``-1``/``-1``
+    when the file is not a recognisable image.
 
     ``method="header"`` (default) reads only each file's header bytes on the
     executors, as a lazy image open does: a few KB per file, no pixels.
@@ -38,15 +45,16 @@ def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
     """
     if method == "header":
         ship_package(spark)
-        listing = (spark.read.format("binaryFile").load(path)
-                   .select(F.col("path").alias("_origin")))  # content is not read
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                   .load(path).select(F.col("path").alias("_origin")))  # content not read
         sizes = listing.mapInPandas(_header_sizes, "_origin string, width int, height int")
-        return sizes.select(_file_name().alias(key), "width", "height")
-    img = spark.read.format("image").option("dropInvalid", False).load(path)
+        return sizes.select(_relative_to(path).alias(key), "width", "height")
+    img = (spark.read.format("image").option("dropInvalid", False)
+           .option("recursiveFileLookup", True).load(path))
     return (img.select(F.col("image.origin").alias("_origin"),
                        F.col("image.width").alias("width"),
                        F.col("image.height").alias("height"))
-            .select(_file_name().alias(key), "width", "height"))
+            .select(_relative_to(path).alias(key), "width", "height"))
 
 
 def _resolve(uri: str):
@@ -85,11 +93,13 @@ def _header_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_binary(spark: SparkSession, path: str, key: str = "name",
                 with_content: bool = False) -> DataFrame:
-    """``key``, ``length`` [, ``content``] for every non-empty file."""
-    b = spark.read.format("binaryFile").load(path)
+    """``key`` (path below ``path``), ``length`` [, ``content``] for every
+    non-empty file under ``path``."""
+    b = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     cols = [F.col("path").alias("_origin"), "length"] + (["content"] if with_content else [])
     out = b.select(*cols)
-    return out.select(_file_name().alias(key), *[c for c in out.columns if c != "_origin"])
+    return out.select(_relative_to(path).alias(key),
+                      *[c for c in out.columns if c != "_origin"])
 
 
 FETCH_SCHEMA = "url string, http_status int, content_type string, content binary, error string"

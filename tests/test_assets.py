@@ -72,3 +72,16 @@ def test_header_sizes_match_decode_and_cover_formats(spark, tmp_dir):
     dec = {r.name: (r.width, r.height) for r in
            read_image_sizes(spark, tmp_dir, method="decode").collect() if r.name in pngs}
     assert dec == {n: got[n] for n in pngs}
+
+
+def test_image_keys_are_paths_below_the_root(spark, tmp_dir):
+    for sub, (w, h) in {"a": (3, 2), "b": (4, 5)}.items():
+        os.makedirs(os.path.join(tmp_dir, sub))
+        with open(os.path.join(tmp_dir, sub, "front.png"), "wb") as f:
+            f.write(png_bytes(w, h))
+    for method in ("header", "decode"):
+        got = {r.name: (r.width, r.height)
+               for r in read_image_sizes(spark, tmp_dir, method=method).collect()}
+        assert got == {"a/front.png": (3, 2), "b/front.png": (4, 5)}, method
+    assert {r.name for r in read_binary(spark, "file://" + tmp_dir).collect()} == {
+        "a/front.png", "b/front.png"}
