@@ -46,3 +46,27 @@ def audit_images(manifest: DataFrame, images: DataFrame, key: str = "name",
         F.when(ok, F.col("width")).alias("width"),
         F.when(ok, F.col("height")).alias("height"),
         F.when(ok, F.col(key)).otherwise(F.lit(placeholder)).alias("asset"))
+
+
+def audit_fetched(rows: DataFrame, fetched: DataFrame, url_col: str,
+                  placeholder: str = PLACEHOLDER_URL) -> DataFrame:
+    """The reference's per-row check on fetched assets.
+
+    ``fetched`` is ``fetch_urls(..., measure_image=True)``. A failed fetch
+    is ``missing``; a response whose content type is not ``image/...`` is
+    ``not_image``; bytes that are not a recognisable image are
+    ``unidentified``; otherwise ``ok`` with the image size. Anything but
+    ``ok`` gets the placeholder.
+    """
+    j = rows.join(fetched.withColumnRenamed("url", url_col), url_col, "left")
+    failed = F.col("error").isNotNull() | ~F.col("http_status").between(200, 299)
+    is_image = F.startswith(F.coalesce(F.col("content_type"), F.lit("")), F.lit("image/"))
+    status = (F.when(failed | F.col("http_status").isNull(), F.lit("missing"))
+              .when(~is_image, F.lit("not_image"))
+              .when(F.col("width") < 0, F.lit("unidentified"))
+              .otherwise(F.lit("ok")))
+    ok = status == F.lit("ok")
+    return j.select(*[F.col(c) for c in rows.columns], status.alias("status"),
+                    F.when(ok, F.col("width")).alias("width"),
+                    F.when(ok, F.col("height")).alias("height"),
+                    F.when(ok, F.col(url_col)).otherwise(F.lit(placeholder)).alias("asset"))

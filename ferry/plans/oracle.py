@@ -172,6 +172,15 @@ SELECT page_id AS id,
        page_id % 8 >= 5 AS is_placeholder
 FROM pages"""
 
+ORACLE["asset_fetch_audit"] = """
+SELECT page_id AS id,
+       CASE WHEN page_id % 8 = 7 THEN 'missing' WHEN page_id % 8 IN (5, 6) THEN 'unidentified'
+            ELSE 'ok' END AS status,
+       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 7 AS INTEGER) END AS width,
+       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 5 AS INTEGER) END AS height,
+       page_id % 8 >= 5 AS is_placeholder
+FROM pages"""
+
 ORACLE["sprite_urls"] = _with(ASSET_TREES, SPRITE_LEAVES) + """
 SELECT doc_id, leaf_pos, sprite_name, sprite_url FROM sprite_leaves"""
 

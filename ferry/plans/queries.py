@@ -7,6 +7,7 @@ Column names match ``ferry.plans.oracle``.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from ferry.sinks.files import json_lines, read_csv, write_csv
 from ferry.sinks.handover import write_column_json
 from ferry.sinks.tables import create_table, insert_select
 from ferry.sources import jdbc
-from ferry.sources.assets import read_image_sizes
+from ferry.sources.assets import fetch_urls, read_image_sizes
 from ferry.sources.handover import read_column_json
 from ferry.sources.json_records import read_documents, read_json_records
 from ferry.streaming.first_failure import run_first_failure_batches
@@ -122,6 +123,20 @@ def image_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("asset") != F.col("name")).alias("is_placeholder"))
 
 
+def asset_fetch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 (live) F3 F4 J2: fetch each photo's URL on the executors, check
+    content type and bytes, placeholder otherwise. URLs are ``file://`` here
+    (no network); the same code takes ``http(s)://``."""
+    root = fx.images(spark, sf_dir)
+    manifest = spark.read.parquet(f"{root}/manifest")
+    base = "file://" + os.path.abspath(f"{root}/files".removeprefix("file:")) + "/"
+    rows = manifest.select("id", F.concat(F.lit(base), F.col("name")).alias("url"))
+    fetched = fetch_urls(rows, "url", measure_image=True)
+    audit = S.audit_fetched(rows, fetched, "url")
+    return audit.select("id", "status", "width", "height",
+                        (F.col("asset") != F.col("url")).alias("is_placeholder"))
+
+
 def interchange_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Photos -> column-oriented hand-over chunks -> rows again."""
     photos = photos_projection(spark, sf_dir)
@@ -267,6 +282,7 @@ QUERIES = {
     "photos_series": photos_series,
     "asset_status": asset_status,
     "image_audit": image_audit,
+    "asset_fetch_audit": asset_fetch_audit,
     "sprite_urls": sprite_urls,
     "sprite_sheet": sprite_sheet,
     "table_extract": table_extract,

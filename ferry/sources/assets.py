@@ -103,37 +103,52 @@ def read_binary(spark: SparkSession, path: str, key: str = "name",
 
 
 FETCH_SCHEMA = "url string, http_status int, content_type string, content binary, error string"
+SIZED_SCHEMA = ("url string, http_status int, content_type string, n_bytes long, "
+                "width int, height int, error string")
 
 
-def _fetch_batches(url_col: str, timeout: float):
+def _fetch_batches(url_col: str, timeout: float, measure: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import urllib.error
         import urllib.request
 
+        from ferry.functions.image_header import image_size
+
         for pdf in batches:
             out = []
             for u in pdf[url_col]:
                 try:
                     with urllib.request.urlopen(u, timeout=timeout) as r:
-                        body = r.read()
-                        out.append((u, getattr(r, "status", None) or 200,
-                                    r.headers.get("Content-Type"), body, None))
+                        row = (u, getattr(r, "status", None) or 200,
+                               r.headers.get("Content-Type"), r.read(), None)
                 except urllib.error.HTTPError as e:
-                    out.append((u, e.code, e.headers.get("Content-Type"), None, str(e)))
+                    row = (u, e.code, e.headers.get("Content-Type"), None, str(e))
                 except Exception as e:  # noqa: BLE001 -- recorded per row
-                    out.append((u, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["url", "http_status", "content_type",
-                                             "content", "error"])
+                    row = (u, None, None, None, f"{type(e).__name__}: {e}")
+                if measure:
+                    body = row[3]
+                    size = image_size(lambda off, n, b=body: b[off:off + n]) if body else None
+                    w, h = size or (-1, -1)
+                    row = (row[0], row[1], row[2], len(body) if body is not None else None,
+                           w, h, row[4])
+                out.append(row)
+            cols = (["url", "http_status", "content_type", "n_bytes", "width", "height", "error"]
+                    if measure else ["url", "http_status", "content_type", "content", "error"])
+            yield pd.DataFrame(out, columns=cols)
     return run
 
 
-def fetch_urls(df: DataFrame, url_col: str, timeout: float = 30.0) -> DataFrame:
+def fetch_urls(df: DataFrame, url_col: str, timeout: float = 30.0,
+               measure_image: bool = False) -> DataFrame:
     """Fetch each URL once on the executors (S6, live form).
 
     Returns ``url, http_status, content_type, content, error``; join it back
     on ``url``. Distinct URLs are fetched, so a URL shared by many rows
-    costs one request.
+    costs one request. ``measure_image=True`` reads the image size from the
+    bytes in the same pass and returns ``n_bytes, width, height`` instead of
+    the content, so no bytes travel through later shuffles.
     """
     ship_package(df.sparkSession)
     urls = df.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
-    return urls.mapInPandas(_fetch_batches("url", timeout), FETCH_SCHEMA)
+    return urls.mapInPandas(_fetch_batches("url", timeout, measure_image),
+                            SIZED_SCHEMA if measure_image else FETCH_SCHEMA)
