@@ -76,6 +76,8 @@ SELECT strptime(CAST(date AS VARCHAR), '%Y%m%d') AS date,
 FROM daily_metrics
 ORDER BY date NULLS LAST"""
 
+ORACLE["daily_report_http"] = ORACLE["daily_report"]
+
 ORACLE["daily_report_rowcount"] = _with(DAILY_METRICS) + """
 SELECT COUNT(*) AS n_rows, COUNT(*) + 1 AS last_sheet_row FROM daily_metrics"""
 

@@ -27,6 +27,7 @@ from ferry.sinks.tables import create_table, insert_select
 from ferry.sources import jdbc
 from ferry.sources.assets import fetch_urls, read_image_sizes
 from ferry.sources.handover import read_column_json
+from ferry.sources.json_http import read_json_http
 from ferry.sources.json_records import read_documents, read_json_records
 from ferry.streaming.first_failure import run_first_failure_batches
 
@@ -60,6 +61,14 @@ def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_table(daily_records(spark, sf_dir))
 
 
+def daily_report_http(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 (live): the same report, its payload fetched through the
+    ``json_http`` data source -- one input partition per URL, fetched on the
+    executors. URLs are the staged files as ``file://`` (no network here)."""
+    urls = sorted(spark.read.text(fx.daily_metrics(spark, sf_dir)).inputFiles())
+    return daily_table(read_json_http(spark, urls, DAILY_SCHEMA, layout="lines"))
+
+
 def daily_report_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: rows in the report and the last sheet row (header is row 1)."""
     return daily_records(spark, sf_dir).transform(R.sheet_extent)
@@ -275,6 +284,7 @@ def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "daily_report": daily_report,
+    "daily_report_http": daily_report_http,
     "daily_report_series": daily_report_series,
     "daily_report_rowcount": daily_report_rowcount,
     "photos_projection": photos_projection,

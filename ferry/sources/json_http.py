@@ -10,6 +10,7 @@ caller's declared schema (``from_json``), exactly as for landed files.
 Layouts:
 
 * ``array`` -- the body is a JSON array of records (an API page);
+* ``lines`` -- the body is JSON lines, one record per line;
 * ``document`` -- the whole body is one record (e.g. one nested object).
 
 A non-2xx response fails the read, as does a malformed body.
@@ -92,6 +93,11 @@ def read_json_http(spark: SparkSession, urls: Sequence[str], schema: T.StructTyp
     if layout == "array":
         recs = raw.select("url", F.posexplode(
             F.from_json("body", f"array<struct<{_fields(st)}>>", _STRICT)).alias("ordinal", "_r"))
+    elif layout == "lines":
+        lines = (raw.select("url", F.posexplode(F.split("body", "\n")).alias("ordinal", "_line"))
+                 .where(F.trim("_line") != ""))
+        recs = lines.select("url", "ordinal",
+                            F.from_json("_line", f"struct<{_fields(st)}>", _STRICT).alias("_r"))
     else:
         recs = raw.select("url", F.lit(0).cast("long").alias("ordinal"),
                           F.from_json("body", st, _STRICT).alias("_r"))

@@ -17,6 +17,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "daily_report": "JSON scan reads 4 of 6 fields (ReadSchema); one range shuffle for the sort.",
+    "daily_report_http": "Python data source scan (one partition per URL); split and typing "
+                         "in the JVM; one range shuffle for the sort.",
+    "asset_fetch_audit": "mapInPandas fetch of distinct URLs (sizes measured in the same pass, "
+                         "no bytes shuffled); join back on url.",
     "daily_report_series": "Rows come from the range-sorted ordinal table; offsets: partial counts "
                            "of _ferry_pid only, a window over one row per partition, broadcast.",
     "daily_report_rowcount": "Partial count per task, one final merge.",
