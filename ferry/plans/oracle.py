@@ -264,3 +264,7 @@ FROM (SELECT *,
                                 ORDER BY ts, run_id) AS rn
       FROM task_runs WHERE state = 'failed') f
 WHERE rn = 1"""
+
+ORACLE["first_failure_watermark"] = _with(TASK_RUNS) + f"""
+SELECT DISTINCT dag_id, task_id, execution_date, {SUBJECT} AS subject
+FROM task_runs WHERE state = 'failed'"""

@@ -29,7 +29,7 @@ from ferry.sources.assets import fetch_urls, read_image_sizes
 from ferry.sources.handover import read_column_json
 from ferry.sources.json_http import read_json_http
 from ferry.sources.json_records import read_documents, read_json_records
-from ferry.streaming.first_failure import run_first_failure_batches
+from ferry.streaming.first_failure import run_first_failure_batches, run_first_failure_stream
 
 # Declared schemas of the staged payloads (no inference pass).
 DAILY_SCHEMA = ("date INT, positive BIGINT, death BIGINT, hospitalizedCurrently BIGINT, "
@@ -282,6 +282,15 @@ def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("run_id", "dag_id", "task_id", "execution_date", "first_ts", "subject")
 
 
+def first_failure_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 as a pure streaming operator: watermark (1 day) + salted
+    ``dropDuplicatesWithinWatermark``; which run wins inside a micro-batch is
+    arrival order, so keys and subjects are returned."""
+    src = fx.task_run_files(spark, sf_dir)
+    out = run_first_failure_stream(spark, src, scratch_path(spark, "notices-wm"))
+    return out.select("dag_id", "task_id", "execution_date", "subject")
+
+
 QUERIES = {
     "daily_report": daily_report,
     "daily_report_http": daily_report_http,
@@ -308,5 +317,6 @@ QUERIES = {
     "failure_alerts": failure_alerts,
     "first_failure": first_failure,
     "first_failure_stream": first_failure_stream,
+    "first_failure_watermark": first_failure_watermark,
     "run_date_tag": run_date_tag,
 }

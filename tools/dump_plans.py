@@ -48,6 +48,7 @@ NOTES = {
                      "Sort-based, because the min(struct) buffer holds strings, which hash "
                      "aggregation cannot update in place; it spills instead of failing.",
     "first_failure_stream": "Scan of the notices table the foreachBatch stream wrote.",
+    "first_failure_watermark": "Scan of the file sink the watermark stream wrote.",
     "run_date_tag": "Narrow; parameters bound as literals.",
 }
 
