@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from ferry.operators.alerts import failure_notices, first_failures, render_template
 from ferry.session import scratch_path
