@@ -99,3 +99,8 @@ def test_pass_boundaries(spark, per_pass):
     df = spark.createDataFrame([(0, json.dumps(tree))], "doc_id long, doc string")
     rows = text_leaves(df, "doc_id", "doc", levels_per_pass=per_pass).orderBy("leaf_pos").collect()
     assert [(r.key, r.value) for r in rows] == expected_leaves(tree)
+
+
+def test_deep_root_path(spark):
+    doc = '{"a": {"b": {"x": "http://1", "y": {"z": "http://2"}}}, "c": "http://no"}'
+    assert run(spark, [doc], root="$.a.b") == {0: [("x", "http://1"), ("z", "http://2")]}

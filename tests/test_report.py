@@ -77,3 +77,17 @@ def test_ordinal_spreads_a_hot_key(spark):
     pids = pq.read_table(os.path.dirname(path), columns=["_ferry_pid"]).column(0).to_pylist()
     sizes = sorted(pids.count(p) for p in set(pids))
     assert len(sizes) == 8 and sizes[-1] < 2 * 20_000 / 8
+
+
+def test_report_table_and_json_lines_sinks(spark, tmp_dir):
+    import os
+
+    from ferry.sinks.files import json_lines, read_csv, write_lines, write_report_table
+    df = spark.createDataFrame([(20, "b"), (10, "a")], "id long, title string")
+    sheet = sheet_rows(df, ["id"], ["id", "title"], anchor_column="D")
+    p = write_report_table(sheet, os.path.join(tmp_dir, "sheet"))
+    back = read_csv(spark, p, "sheet_row long, id long, title string, anchor_cell string")
+    assert sorted(map(tuple, back.collect())) == [(2, 10, "a", "D2"), (3, 20, "b", "D3")]
+    p2 = write_lines(json_lines(df), os.path.join(tmp_dir, "lines"))
+    assert sorted(r.value for r in spark.read.text(p2).collect()) == [
+        '{"id":10,"title":"a"}', '{"id":20,"title":"b"}']
