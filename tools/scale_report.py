@@ -120,8 +120,10 @@ def main() -> None:
         out.append(f"| `{q}` | {len(d['jobs'])} | {len(d['stages'])} | {d['read']:,} | "
                    f"{d['rows']:,} | {d['shuffle'] / 1e6:.2f} | {ratio} | {skew} |")
     out += ["", "Reading the numbers:", "",
-            "* No query shuffles more rows than it scans. Aggregations shuffle far fewer "
-            "(`first_failure`: map-side partial minima leave one row per key and task).",
+            "* No query shuffles more rows than it reads records. Aggregations shuffle far "
+            "fewer (`first_failure`: map-side partial minima leave one row per key and task). "
+            "`daily_report_http` scans one row per fetched payload and splits it into "
+            "records after the scan, so its ratio counts records per payload.",
             "* Rows scanned exceed the input where a range sort samples its input first "
             "(Spark's range partitioner reads it once for bounds) or a query re-reads a "
             "table it wrote itself (ordinal table, flatten passes, CSV round trip).",
