@@ -115,6 +115,11 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     0-based position of the leaf in document order within its document.
     A document whose root is missing gives no rows; malformed JSON, or a
     root that is not an object, fails the query.
+
+    Runs its passes eagerly (one write job per ``levels_per_pass`` levels);
+    the returned DataFrame reads the written passes. While the passes run,
+    ``spark.sql.variant.allowDuplicateKeys`` is on for the session (so a
+    sub-object that repeats a key can be typed); it is restored afterwards.
     """
     spark = docs.sparkSession
     scratch_root(spark)  # make sure a checkpoint folder is registered
