@@ -69,26 +69,41 @@ def _resolve(uri: str):
     return pafs.FileSystem.from_uri(uri.replace(u.scheme + "://", scheme + "://", 1))
 
 
-def _header_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _header_size(uri: str) -> tuple[int, int]:
     from ferry.functions.image_header import image_size
 
+    try:
+        fsys, p = _resolve(uri)
+        with fsys.open_input_file(p) as f:
+            def read(off: int, n: int) -> bytes:
+                f.seek(off)
+                return f.read(n)
+            size = image_size(read)
+    except (OSError, ValueError, struct.error):
+        size = None
+    return size or (-1, -1)
+
+
+# Remote header reads and fetches wait on storage / the network, not the
+# CPU: each task overlaps that many requests (threads release the GIL on
+# I/O). Local files are read in order -- threads would only add overhead.
+IO_THREADS = 16
+
+
+def _io_map(fn, items: list):
+    if all(str(i).startswith("file:") or "://" not in str(i) for i in items):
+        return [fn(i) for i in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(min(IO_THREADS, max(1, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
+def _header_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        widths, heights = [], []
-        for uri in pdf["_origin"].tolist():
-            size = None
-            try:
-                fsys, p = _resolve(uri)
-                with fsys.open_input_file(p) as f:
-                    def read(off: int, n: int, f=f) -> bytes:
-                        f.seek(off)
-                        return f.read(n)
-                    size = image_size(read)
-            except (OSError, ValueError, struct.error):
-                size = None
-            w, h = size or (-1, -1)
-            widths.append(w)
-            heights.append(h)
-        yield pd.DataFrame({"_origin": pdf["_origin"], "width": widths, "height": heights})
+        sizes = _io_map(_header_size, pdf["_origin"].tolist())
+        yield pd.DataFrame({"_origin": pdf["_origin"],
+                            "width": [w for w, _ in sizes],
+                            "height": [h for _, h in sizes]})
 
 
 def read_binary(spark: SparkSession, path: str, key: str = "name",
@@ -107,34 +122,36 @@ SIZED_SCHEMA = ("url string, http_status int, content_type string, n_bytes long,
                 "width int, height int, error string")
 
 
-def _fetch_batches(url_col: str, timeout: float, measure: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import urllib.error
-        import urllib.request
+def _fetch_one(u: str, timeout: float, measure: bool) -> tuple:
+    import urllib.error
+    import urllib.request
+
+    from ferry.functions.image_header import image_size
 
-        from ferry.functions.image_header import image_size
+    try:
+        with urllib.request.urlopen(u, timeout=timeout) as r:
+            row = (u, getattr(r, "status", None) or 200, r.headers.get("Content-Type"),
+                   r.read(), None)
+    except urllib.error.HTTPError as e:
+        row = (u, e.code, e.headers.get("Content-Type"), None, str(e))
+    except Exception as e:  # noqa: BLE001 -- recorded per row
+        row = (u, None, None, None, f"{type(e).__name__}: {e}")
+    if not measure:
+        return row
+    body = row[3]
+    size = image_size(lambda off, n: body[off:off + n]) if body else None
+    w, h = size or (-1, -1)
+    return (row[0], row[1], row[2], len(body) if body is not None else None, w, h, row[4])
 
+
+def _fetch_batches(url_col: str, timeout: float, measure: bool):
+    cols = (["url", "http_status", "content_type", "n_bytes", "width", "height", "error"]
+            if measure else ["url", "http_status", "content_type", "content", "error"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for u in pdf[url_col]:
-                try:
-                    with urllib.request.urlopen(u, timeout=timeout) as r:
-                        row = (u, getattr(r, "status", None) or 200,
-                               r.headers.get("Content-Type"), r.read(), None)
-                except urllib.error.HTTPError as e:
-                    row = (u, e.code, e.headers.get("Content-Type"), None, str(e))
-                except Exception as e:  # noqa: BLE001 -- recorded per row
-                    row = (u, None, None, None, f"{type(e).__name__}: {e}")
-                if measure:
-                    body = row[3]
-                    size = image_size(lambda off, n, b=body: b[off:off + n]) if body else None
-                    w, h = size or (-1, -1)
-                    row = (row[0], row[1], row[2], len(body) if body is not None else None,
-                           w, h, row[4])
-                out.append(row)
-            cols = (["url", "http_status", "content_type", "n_bytes", "width", "height", "error"]
-                    if measure else ["url", "http_status", "content_type", "content", "error"])
-            yield pd.DataFrame(out, columns=cols)
+            rows = _io_map(lambda u: _fetch_one(u, timeout, measure), pdf[url_col].tolist())
+            yield pd.DataFrame(rows, columns=cols)
     return run
 
 

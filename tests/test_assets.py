@@ -85,3 +85,10 @@ def test_image_keys_are_paths_below_the_root(spark, tmp_dir):
         assert got == {"a/front.png": (3, 2), "b/front.png": (4, 5)}, method
     assert {r.name for r in read_binary(spark, "file://" + tmp_dir).collect()} == {
         "a/front.png", "b/front.png"}
+
+
+def test_io_map_keeps_order_local_and_pooled():
+    from ferry.sources.assets import _io_map
+    assert _io_map(lambda x: x * 2, [1, 2, 3]) == [2, 4, 6]
+    urls = [f"https://h/{i}" for i in range(50)]
+    assert _io_map(lambda u: u[-2:], urls) == [u[-2:] for u in urls]
