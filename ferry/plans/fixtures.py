@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import struct
+import threading
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -34,14 +35,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCK = threading.RLock()
+
+
 def _staged(name: str):
     def deco(fn: Callable[[SparkSession, str, str], None]):
         def get(spark: SparkSession, sf_dir: str) -> str:
             key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-            if key not in _STAGED:
-                path = scratch_path(spark, f"fixture-{name}")
-                _STAGED[key] = fn(spark, sf_dir, path) or path
-            return _STAGED[key]
+            with _LOCK:  # one staging per fixture, even with concurrent callers
+                if key not in _STAGED:
+                    path = scratch_path(spark, f"fixture-{name}")
+                    _STAGED[key] = fn(spark, sf_dir, path) or path
+                return _STAGED[key]
         get.__name__ = name
         get.__doc__ = fn.__doc__
         return get

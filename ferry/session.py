@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -73,6 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -80,24 +82,30 @@ def ship_package(spark: SparkSession) -> None:
 
     Functions handed to ``mapInPandas`` and the Python data source are
     pickled by reference, so workers import ``ferry``. The package is zipped
-    once per application into the shared folder and added with
-    ``addPyFile`` (Spark distributes it to every executor).
+    once per application and added with ``addPyFile``; Spark serves the file
+    to every executor (as ``--py-files`` does). The zip is built where the
+    driver can write plain files: the shared folder when it is a mounted
+    path, else the driver's own temporary folder (only the driver reads it).
     """
     import zipfile
 
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    folder = scratch_path(spark, "pyfiles")
-    local = folder.removeprefix("file:")
-    os.makedirs(local, exist_ok=True)
-    target = os.path.join(local, "ferry.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.join("ferry", os.path.relpath(full, pkg)))
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
+    with _LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        root = scratch_root(spark)
+        if "://" in root and not root.startswith("file:"):
+            folder = tempfile.mkdtemp(prefix="ferry-pyfiles-")
+        else:
+            folder = scratch_path(spark, "pyfiles").removeprefix("file:")
+            os.makedirs(folder, exist_ok=True)
+        target = os.path.join(folder, "ferry.zip")
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.join("ferry", os.path.relpath(full, pkg)))
+        sc.addPyFile(target)
+        _SHIPPED.add(sc.applicationId)
