@@ -66,3 +66,18 @@ def test_no_driver_side_collection_in_the_library():
                     if banned.search(line):
                         hits.append(f"{f}:{i}: {line.strip()}")
     assert hits == []
+
+
+def test_flatten_pass_read_pushes_its_filter(spark):
+    f = formatted(E.queries()["sprite_urls"](spark, SF_SMALL))
+    assert "EqualTo(_t,STRING)" in f
+
+
+def test_image_listing_reads_no_content(spark):
+    f = formatted(E.queries()["image_audit"](spark, SF_SMALL))
+    assert "ReadSchema: struct<path:string>" in f and "content" not in f.split("ReadSchema")[1][:80]
+
+
+def test_jdbc_extract_is_split(spark):
+    df = E.queries()["table_extract"](spark, SF_SMALL)
+    assert df.rdd.getNumPartitions() == 8
