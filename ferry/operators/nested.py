@@ -39,7 +39,6 @@ from ferry.session import scratch_path, scratch_root
 _STRICT = {"mode": "FAILFAST"}
 
 
-_ENTRY = "array<struct<k:string,t:string,v:string>>"
 _NODE = "array<struct<p:array<int>,k:string,t:string,v:string>>"
 
 
@@ -74,15 +73,41 @@ def _entries(mt: Column, mv: Column) -> Column:
     keys = F.map_keys(mt)
     kinds = F.transform(F.map_values(mv), _kind)
     entries = F.arrays_zip(keys.alias("k"), kinds.alias("t"), F.map_values(mt).alias("v"))
-    # Repeated key: first position, last value -- a left fold that replaces
-    # an entry in place. Only objects that do repeat a key take this path.
-    dedup = F.aggregate(
-        entries, F.array().cast(_ENTRY),
-        lambda acc, e: F.when(F.exists(acc, lambda x: x["k"] == e["k"]),
-                              F.transform(acc, lambda x: F.when(x["k"] == e["k"], e)
-                                          .otherwise(x)))
-        .otherwise(F.concat(acc, F.array(e))))
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(dedup)
+    # Only objects that repeat a key pay for the de-duplication.
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries) \
+        .otherwise(_dedup(entries))
+
+
+_IDX = "struct<k:string,p:int,t:string,v:string>"
+
+# Levels walked in one expression: deeper nesting of lambdas exceeds the
+# analyzer's iteration limit. Only the number of passes depends on it.
+MAX_LEVELS_PER_PASS = 4
+
+
+def _dedup(entries: Column) -> Column:
+    """Dict semantics for repeated keys -- first position, last value -- in
+    O(k log k): sort by (key, position) and zip each entry with its
+    neighbours; a key's group starts where the previous key differs and
+    ends where the next one does; re-sort by first position. No lambda
+    refers to anything but its own argument."""
+    srt = F.array_sort(F.transform(entries, lambda e, i: F.struct(
+        e["k"].alias("k"), i.alias("p"), e["t"].alias("t"), e["v"].alias("v"))))
+    n = F.size(srt)
+    none = F.array(F.lit(None).cast(_IDX))
+    prev = F.concat(none, F.slice(srt, 1, n - 1))
+    nxt = F.concat(F.slice(srt, 2, n - 1), none)
+    z = F.arrays_zip(srt.alias("c"), prev.alias("b"), nxt.alias("a"))
+    starts = F.transform(F.filter(z, lambda x: x["b"].isNull() | (x["b"]["k"] != x["c"]["k"])),
+                         lambda x: x["c"])
+    ends = F.transform(F.filter(z, lambda x: x["a"].isNull() | (x["a"]["k"] != x["c"]["k"])),
+                       lambda x: x["c"])
+    groups = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    ordered = F.array_sort(F.transform(groups, lambda g: F.struct(
+        g["s"]["p"].alias("p"), g["e"]["k"].alias("k"),
+        g["e"]["t"].alias("t"), g["e"]["v"].alias("v"))))
+    return F.transform(ordered, lambda x: F.struct(
+        x["k"].alias("k"), x["t"].alias("t"), x["v"].alias("v")))
 
 
 def expand(txt: Column, levels: int) -> Column:
@@ -116,7 +141,8 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     A document whose root is missing gives no rows; malformed JSON, or a
     root that is not an object, fails the query.
 
-    Runs its passes eagerly (one write job per ``levels_per_pass`` levels);
+    Runs its passes eagerly (one write job per ``levels_per_pass`` levels,
+    at most ``MAX_LEVELS_PER_PASS``);
     the returned DataFrame reads the written passes. While the passes run,
     ``spark.sql.variant.allowDuplicateKeys`` is on for the session (so a
     sub-object that repeats a key can be typed); it is restored afterwards.
@@ -172,6 +198,7 @@ def _levels(cur: DataFrame, id_col: str, prefix: str, max_depth: int,
     spark = cur.sparkSession
     passes = []
     done = 0
+    per_pass = max(1, min(per_pass, MAX_LEVELS_PER_PASS))
     while True:
         k = min(per_pass, max_depth - done)
         if k <= 0:

@@ -104,3 +104,13 @@ def test_pass_boundaries(spark, per_pass):
 def test_deep_root_path(spark):
     doc = '{"a": {"b": {"x": "http://1", "y": {"z": "http://2"}}}, "c": "http://no"}'
     assert run(spark, [doc], root="$.a.b") == {0: [("x", "http://1"), ("z", "http://2")]}
+
+
+def test_wide_object_with_repeated_keys(spark):
+    import random
+    rnd = random.Random(7)
+    pairs = [(f"k{rnd.randrange(3000)}", f"http://v/{i}") for i in range(5000)]
+    pairs.insert(100, ("nested", {"a": "http://deep"}))
+    text = "{" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}"
+    want = expected_leaves(json.loads(text))
+    assert run(spark, [text]) == {0: want}
