@@ -10,8 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.llm.common import table
+from ferry.llm.op1_embeddings import near_vectors
+from ferry.llm.op2_html import extract_pages
 from ferry.llm.op3_quality import (BOILERPLATE, CLOSED, SENTENCE_END, SEPARATOR, SHOUT, SYMBOL,
                                    quality_rules)
+from ferry.llm.op4_mixing import mix_documents
+from ferry.llm.op5_sentencepiece import encode_documents
+from ferry.llm.op6_pii import personal_data
+from ferry.llm.op7_minhash import near_duplicates
+from ferry.llm.op8_records import read_records, write_records
+from ferry.llm.op9_license import license_scan
+from ferry.llm.op10_lines import line_report
+
+# Production parameters of the mix, and the id that ends a document.
+MIX = {"target_entropy": 0.92, "max_repetition": 2.0, "seed": 7}
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +47,38 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix_documents(docs, **MIX).select("doc_id", "source", "block", "order_key")
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"),
+                            tokenizer_path("piece_bpe_32k.model"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_records(table(spark, sf_dir, "documents"),
+                             tokenizer_path("word_bpe_49k.json"), END_ID)
+    return read_records(spark, manifest)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def _sql(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -67,7 +126,16 @@ FROM m
 """
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_rules": op3_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_personal_data": op6_personal_data,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_binary_records": op8_binary_records,
+    "op9_license_scan": op9_license_scan,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE = {
