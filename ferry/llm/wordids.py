@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-MAX_UNITS = 400_000
+MAX_UNITS = 800_000
 CHUNK_BYTES = 1 << 20
 
 
