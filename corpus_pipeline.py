@@ -1,8 +1,75 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""Corpus pipeline: raw documents to encoded training documents.
 
-STAGES = []
+``STAGES`` lists ``(name, function)``; every function takes
+``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet
+and read again as the next stage's ``docs``. All but the last return the
+columns of ``docs``. ``run`` applies them to ``documents``.
+
+Defined results beyond those of the operators: a document that line
+deduplication leaves without a word goes; of rows that share an id one stays
+after near-deduplication; a document that the mix repeats is there once per
+block.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ferry.llm.common import materialise, table
+from ferry.llm.op3_quality import clean_documents
+from ferry.llm.op4_mixing import mix_documents
+from ferry.llm.op5_sentencepiece import encode_documents
+from ferry.llm.op7_minhash import near_duplicates
+from ferry.llm.op10_lines import dedup_lines
+from ferry.llm.registry import MIX, tokenizer_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: failing lines are cut, rejected documents go."""
+    return clean_documents(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: repeated chunks go, and documents left without a word."""
+    return dedup_lines(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group stays (shingles of five
+    words, similarity 0.8)."""
+    kept = (near_duplicates(docs, width=5, percent=80)
+            .filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct())
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: every document at least once, sources at their target weights."""
+    return mix_documents(docs, **MIX, block_col="mix_block", key_col="mix_key").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece ids: count and checksum per document, parity, round trip."""
+    return encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources", mixing),
+    ("SentencePiece encoding", encode),
+]
+
+# The stages beyond the first have no SQL form; tests/llm compares the
+# pipeline with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        docs = materialise(out, f"pipeline-{k}") if k < len(STAGES) - 1 else out
+    return docs

@@ -36,7 +36,7 @@ from ferry.llm.common import arrow_map, fresh, materialise
 
 # Lines in the rolling window, residue classes, least lines of a
 # chunk, words a chunk must have to be removed.
-WINDOW, DIVISOR, LEAST, MIN_WORDS = 2, 2, 2, 8
+WINDOW, DIVISOR, LEAST, MIN_WORDS = 2, 3, 2, 8
 # Base and modulus of the rolling hash.
 BASE, MODULUS = 1_000_003, (1 << 61) - 1
 
