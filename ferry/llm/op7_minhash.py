@@ -233,8 +233,8 @@ def _left_over(keys: DataFrame, sigs: DataFrame, comp: DataFrame, percent: int,
              .filter("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")))
     rows = (node.join(mixed, "key").join(sigs, "id")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")))
-    blocks = rows.groupBy("key", "nb", "block").agg(F.collect_list(
-        F.struct("id", "component", "n_shingles", "sig")).alias("xs"))
+    blocks = materialise(rows.groupBy("key", "nb", "block").agg(F.collect_list(
+        F.struct("id", "component", "n_shingles", "sig")).alias("xs")), "minhash-blocks")
     limit = F.lit(percent).alias("percent")
     alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"), limit)
     other = blocks.select("key", F.col("block").alias("to"), F.col("xs").alias("r"))
@@ -284,8 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         more = materialise(_confirmed(texts, pairs, width, percent), "minhash-links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            comp = components(links)
+            comp = components(more, comp)
     named_comp = classes.join(comp, "id", "left").select(
         "same", F.coalesce("component", "id").alias("component"))
     return (signed.select("id", "n_shingles", "same").join(named_comp, "same", "left")
