@@ -16,29 +16,35 @@ from pyspark.sql import functions as F
 
 from ferry.functions.text import join_list
 
-# The subject line of a failure notice (format of the reference).
-SUBJECT_FORMAT = "Fallo en DAG: %s, Task: %s"
+# The subject lines of the failure notices (formats of the
+# reference), with the columns that fill them.
+SUBJECTS = {
+    "plain": ("Fallo en DAG: %s, Task: %s", ("dag_id", "task_id")),
+    "styled": ("Fallo en DAG: %s, Task: %s", ("dag_id", "task_id")),
+    "exception": ("Task %s in DAG %s Failed", ("task_id", "dag_id")),
+}
 
 NOTICE_KEYS = ("dag_id", "task_id", "execution_date")
 
-TEMPLATES = {
-    "plain": (
-        "<html><body><h3>Task failed</h3>"
-        "<p><b>DAG:</b> {dag_id}</p>"
-        "<p><b>Task:</b> {task_id}</p>"
-        "<p><b>Execution date:</b> {execution_date}</p>"
-        '<p><b>Log:</b> <a href="{log_url}">{log_url}</a></p>'
-        "</body></html>"),
-    "styled": (
-        '<div style="font-family: sans-serif; color: #222;">'
-        '<h2 style="color: #b00020;">Task failed</h2>'
-        '<p style="color: #1a5fb4;"><b>DAG:</b> {dag_id}</p>'
-        '<p style="color: #1a5fb4;"><b>Task:</b> {task_id}</p>'
-        '<p style="color: #1a5fb4;"><b>Execution date:</b> {execution_date}</p>'
-        '<p><a href="{log_url}" style="font-weight: bold;">Open the log</a></p>'
-        '<hr/><p style="font-size: 12px;">Automated notice; do not reply.</p>'
-        "</div>"),
+# What each layout reports: a heading, the columns listed (one table row
+# each), and the columns whose values are links.
+LAYOUTS = {
+    "plain": ("Failed run", ("run_id", "dag_id", "task_id", "execution_date", "log_url")),
+    "styled": ("First failure of the day", ("execution_date", "dag_id", "task_id", "run_id",
+                                            "log_url")),
+    "exception": ("Failed run and its exception", ("task_id", "dag_id", "run_id", "exception",
+                                                   "log_url")),
 }
+LINKS = ("log_url",)
+
+
+def layout_template(style: str) -> str:
+    """The HTML of a layout with ``{column}`` slots: a key/value table."""
+    heading, fields = LAYOUTS[style]
+    cell = {f: f'<a href="{{{f}}}">{{{f}}}</a>' if f in LINKS else f"{{{f}}}" for f in fields}
+    rows = "".join(f'<tr><th scope="row">{f}</th><td>{cell[f]}</td></tr>' for f in fields)
+    return f'<table class="notice notice-{style}"><caption>{heading}</caption>{rows}</table>'
+
 
 DEFAULT_RECIPIENTS = ("ops@example.com", "oncall@example.com")
 
@@ -65,9 +71,10 @@ def failed_runs(runs: DataFrame) -> DataFrame:
 
 def notice_columns(style: str = "plain",
                    recipients: Sequence[str] = DEFAULT_RECIPIENTS) -> list[Column]:
+    text, slots = SUBJECTS[style]
     return [
-        F.format_string(SUBJECT_FORMAT, F.col("dag_id"), F.col("task_id")).alias("subject"),
-        render_template(TEMPLATES[style]).alias("body"),
+        F.format_string(text, *map(F.col, slots)).alias("subject"),
+        render_template(layout_template(style)).alias("body"),
         join_list(list(recipients)).alias("recipients"),
     ]
 

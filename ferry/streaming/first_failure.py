@@ -1,22 +1,19 @@
 """First-failure notices on a stream of task runs.
 
-Two forms, both ``readStream`` over landed run files:
-
-``run_first_failure_batches`` (registered query): ``foreachBatch``. Each
-micro-batch runs the batch first-failure aggregate (map-side partial minima,
-so a hot key is reduced before any shuffle; "first" is the earliest ``ts``),
-drops keys already notified by an anti-join against the notices written so
-far (the table is partitioned by execution date, and only the batch's
-dates are read), and overwrites its own ``batch_id`` partitions, so a
-replayed batch rewrites the same rows (exactly once). Nothing is dropped as late: a failure that
-arrives days behind still gets its notice if its key has none. State is the
-notices table itself, in the shared folder.
-
-``first_failure_notices`` (the pure streaming operator): event-time
-watermark -> ``dropDuplicatesWithinWatermark`` on the notice key, salted for
-hot keys. "First" is first to arrive. State is bounded by the watermark
-delay, and rows later than the watermark are dropped by Structured
-Streaming -- the price of bounded in-memory state.
+``readStream`` over landed run files, ``foreachBatch``: each micro-batch is
+reduced to its notice keys (map-side, so a hot key costs one row per task),
+keys already notified are dropped by an anti-join, and the rest are written.
+
+A notice goes out when the first failure of a key *arrives*; which run that is
+depends on the order in which files land, so a notice holds the key and the
+subject and nothing of the run. The set of notices is then the same for any
+arrival order and any batch size, and nothing is ever dropped as late.
+
+State is the notices table itself, in the shared folder, partitioned by
+execution date. A batch reads the folders of its own dates only and writes one
+file into each of them, named by the batch; a replayed batch ignores what it
+wrote before and writes the same rows again. ``compact_notices`` merges the
+files of dates that have gathered many.
 """
 
 from __future__ import annotations
@@ -24,82 +21,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.errors import AnalysisException
-
-from ferry.operators.alerts import NOTICE_KEYS, failed_runs, first_failures, notice_columns
+from ferry.operators.alerts import NOTICE_KEYS, failed_runs, notice_columns
+from ferry.session import path_exists, scratch_path
 
 TASK_RUN_SCHEMA = ("run_id BIGINT, ts TIMESTAMP_NTZ, dag_id STRING, task_id STRING, "
                    "execution_date DATE, state STRING, log_url STRING")
-NOTICE_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, execution_date DATE, "
-                 "ts TIMESTAMP, subject STRING, body STRING, recipients STRING")
-
-
-def first_failure_notices(runs: DataFrame, delay: str = "1 day",
-                          style: str = "styled", salt_buckets: int = 16) -> DataFrame:
-    """Streaming (or batch) DataFrame of runs -> one notice per first failure.
-
-    Hot keys: streaming de-duplication has no map-side partial step, so all
-    rows of a key would meet in one task. A first de-duplication on
-    ``(key, salt)`` spreads a key over ``salt_buckets`` tasks and keeps one
-    row per salt; the second, on the key alone, then sees at most
-    ``salt_buckets`` rows of any key per micro-batch.
-    """
-    keys = list(NOTICE_KEYS)
-    # A watermark needs a zoned timestamp; the session clock is UTC.
-    events = (failed_runs(runs).withColumn("ts", F.col("ts").cast("timestamp"))
-              .withWatermark("ts", delay))
-    if salt_buckets > 1:
-        salt = F.pmod(F.xxhash64("run_id"), F.lit(salt_buckets)).alias("_salt")
-        events = (events.withColumn("_salt", salt)
-                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
-    firsts = events.dropDuplicatesWithinWatermark(keys)
-    return firsts.select("run_id", *NOTICE_KEYS, "ts", *notice_columns(style))
-
-
-def run_first_failure_stream(spark: SparkSession, source: str, out: str,
-                             delay: str = "1 day", files_per_batch: int = 1000) -> DataFrame:
-    """Drain every file now at ``source`` (``availableNow``), write notices
-    to ``out``, and return them as a batch DataFrame."""
-    runs = (spark.readStream.schema(TASK_RUN_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(source))
-    q = (first_failure_notices(runs, delay).writeStream
-         .format("parquet").outputMode("append")
-         .option("path", f"{out}/data")
-         .option("checkpointLocation", f"{out}/checkpoint")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.schema(NOTICE_SCHEMA).parquet(f"{out}/data")
+NOTICE_SCHEMA = ("dag_id STRING, task_id STRING, subject STRING, recipients STRING, "
+                 "execution_date DATE, batch_id BIGINT")
 
 
-BATCH_NOTICE_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, execution_date DATE, "
-                       "first_ts TIMESTAMP_NTZ, n_failures BIGINT, subject STRING, "
-                       "body STRING, recipients STRING, batch_id BIGINT")
+def read_notices(spark: SparkSession, path: str) -> DataFrame:
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], NOTICE_SCHEMA)
+    return spark.read.schema(NOTICE_SCHEMA).parquet(path)
 
 
-def _notify_batch(path: str, style: str):
+def _notify_batch(path: str):
     keys = list(NOTICE_KEYS)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # one row per key of this batch; read twice below, so kept
-        firsts = first_failures(batch, style=style).persist()
+        firsts = failed_runs(batch).select(*keys).distinct().persist()
         try:
+            # The dates of one batch: as many as the days it spans.
+            row = firsts.agg(F.collect_set("execution_date").alias("dates"),
+                             F.count_if(F.col("execution_date").isNull()).alias("nulls")).first()
+            dates = [*row.dates, *[None] * bool(row.nulls)]
+            folders = [f for f in (_folder(path, d) for d in dates) if path_exists(spark, f)]
             new = firsts
-            try:
-                done = (spark.read.schema(BATCH_NOTICE_SCHEMA).parquet(path)
-                        .where(F.col("batch_id") < batch_id)
-                        # only this batch's dates: partition pruning on the
-                        # table's first partition column
-                        .join(firsts.select("execution_date").distinct(),
-                              "execution_date", "left_semi")
-                        .select(*keys))
-                new = firsts.join(done, keys, "left_anti")
-            except AnalysisException:  # no notices yet
-                pass
-            (new.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            if folders:
+                done = (spark.read.schema(NOTICE_SCHEMA).option("basePath", path)
+                        .parquet(*folders).where(F.col("batch_id") != batch_id).select(*keys))
+                new = firsts.join(done, [firsts[k].eqNullSafe(done[k]) for k in keys],
+                                  "left_anti")
+            subject, _, recipients = notice_columns("styled")
+            (new.select(*keys, subject, recipients, F.lit(batch_id).cast("long").alias("batch_id"))
+             .repartition("execution_date")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("execution_date", "batch_id").parquet(path))
         finally:
@@ -107,20 +64,51 @@ def _notify_batch(path: str, style: str):
     return process
 
 
+def _folder(path: str, date) -> str:
+    return f"{path}/execution_date={date if date is not None else '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def compact_notices(spark: SparkSession, path: str, dates, before_batch: int) -> None:
+    """Merge the files of the given dates into one each. Run it between
+    batches; ``before_batch`` is the id of the next one, and merged rows carry
+    the id before it, so that no replay of theirs is expected any more."""
+    folders = [f for f in (_folder(path, d) for d in dates) if path_exists(spark, f)]
+    if not folders:
+        return
+    held = scratch_path(spark, "notices-merge")
+    (spark.read.schema(NOTICE_SCHEMA).option("basePath", path).parquet(*folders)
+     .withColumn("batch_id", F.lit(before_batch - 1).cast("long")).distinct()
+     .write.parquet(held))
+    # The merged copy stands in the shared folder before anything is replaced.
+    merged = spark.read.schema(NOTICE_SCHEMA).parquet(held)
+    old = [f"{f}/batch_id={b}" for f, b in _batches(spark, path, folders) if b != before_batch - 1]
+    (merged.repartition("execution_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("execution_date", "batch_id").parquet(path))
+    from ferry.session import delete_path
+
+    for f in old:
+        delete_path(spark, f)
+
+
+def _batches(spark: SparkSession, path: str, folders: list[str]) -> list[tuple[str, int]]:
+    row = (spark.read.schema(NOTICE_SCHEMA).option("basePath", path).parquet(*folders)
+           .agg(F.collect_set(F.struct("execution_date", "batch_id")).alias("x")).first())
+    return [(_folder(path, r.execution_date), r.batch_id) for r in row.x]
+
+
 def run_first_failure_batches(spark: SparkSession, source: str, out: str,
-                              style: str = "styled", files_per_batch: int = 1000) -> DataFrame:
+                              files_per_batch: int = 1000) -> DataFrame:
     """Drain every file now at ``source``; one notice per key, ever; return
-    the notices as a batch DataFrame."""
+    the notices as a batch DataFrame. ``files_per_batch`` bounds a batch and
+    changes nothing else."""
     runs = (spark.readStream.schema(TASK_RUN_SCHEMA)
             .option("maxFilesPerTrigger", files_per_batch).parquet(source))
-    q = (runs.writeStream.foreachBatch(_notify_batch(f"{out}/data", style))
+    q = (runs.writeStream.foreachBatch(_notify_batch(f"{out}/data"))
          .option("checkpointLocation", f"{out}/checkpoint")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    try:
-        return spark.read.schema(BATCH_NOTICE_SCHEMA).parquet(f"{out}/data")
-    except AnalysisException:  # no failures at all
-        return spark.createDataFrame([], BATCH_NOTICE_SCHEMA)
+    return read_notices(spark, f"{out}/data")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from ferry.operators.alerts import failure_notices, first_failures, render_template
 from ferry.session import scratch_path
-from ferry.streaming.first_failure import TASK_RUN_SCHEMA, run_first_failure_stream
+from ferry.streaming.first_failure import TASK_RUN_SCHEMA, run_first_failure_batches
 
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
 D0 = T0.date()
@@ -48,40 +50,6 @@ def test_render_template_null_is_empty(spark):
     assert df.select(render_template("<{x}|{y}>").alias("o")).first().o == "<a|>"
 
 
-def test_stream_first_failure_per_key(spark):
-    src = scratch_path(spark, "test-stream-src")
-    day2 = D0 + dt.timedelta(days=1)
-    batches = [
-        [_r(1, 0), _r(2, 5), _r(3, 1, task="t2")],
-        # a repeat of (day 1, t1) in a later batch must not notify again
-        [_r(4, 60 * 24 + 1, day=day2), _r(5, 60 * 24 + 2, day=day2), _r(6, 10)],
-    ]
-    for b in batches:
-        runs(spark, b).coalesce(1).write.mode("append").parquet(src)
-    out = run_first_failure_stream(spark, src, scratch_path(spark, "test-stream-out"),
-                                   files_per_batch=1)
-    got = {(str(r.execution_date), r.task_id): r.run_id for r in out.collect()}
-    assert out.count() == 3
-    # Within one micro-batch any row of the key may win; the earlier batch wins.
-    assert got[("2024-01-01", "t1")] in (1, 2)
-    assert got[("2024-01-01", "t2")] == 3
-    assert got[("2024-01-02", "t1")] in (4, 5)
-
-
-def test_stream_hot_key_is_salted(spark):
-    from ferry.streaming.first_failure import first_failure_notices
-    src = scratch_path(spark, "test-stream-hot")
-    runs(spark, [_r(i, i % 50) for i in range(2000)] + [_r(5000, 3, task="t9")]) \
-        .coalesce(1).write.parquet(src)
-    from ferry.streaming.first_failure import TASK_RUN_SCHEMA as S
-    stream = spark.readStream.schema(S).parquet(src)
-    plan = first_failure_notices(stream)._jdf.queryExecution().analyzed().toString()
-    assert plan.count("Deduplicate") == 2 or plan.count("DeduplicateWithinWatermark") == 2
-    out = run_first_failure_stream(spark, src, scratch_path(spark, "test-stream-hot-out"),
-                                   files_per_batch=1)
-    assert sorted(r.task_id for r in out.collect()) == ["t1", "t9"]
-
-
 def test_notices_run_unchanged_on_a_stream(spark):
     src = scratch_path(spark, "test-stream-plain")
     runs(spark, [_r(1, 0), _r(2, 1, state="success"), _r(3, 2)]).write.parquet(src)
@@ -94,33 +62,56 @@ def test_notices_run_unchanged_on_a_stream(spark):
     assert sorted(r.run_id for r in spark.read.parquet(f"{out}/data").collect()) == [1, 3]
 
 
-def test_batchwise_stream_is_lossless_and_keyed(spark):
-    from ferry.streaming.first_failure import run_first_failure_batches
+DAY2 = D0 + dt.timedelta(days=1)
+LANDINGS = [
+    [_r(2, 5), _r(1, 0), _r(3, 1, task="t2")],
+    [_r(4, 60 * 24 + 2, day=DAY2), _r(5, 60 * 24 + 1, day=DAY2)],
+    # three days later: a repeat of an old key (no new notice) and a late
+    # first failure of an old date (must not be dropped)
+    [_r(6, 60 * 24 * 4, day=DAY2), _r(7, 3, task="t3"), _r(8, 1), _r(9, 0, state="success")],
+]
+WANT = [("2024-01-01", "t1"), ("2024-01-01", "t2"), ("2024-01-01", "t3"), ("2024-01-02", "t1")]
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0)])
+def test_stream_notices_for_any_order_and_batch_size(spark, size, order):
     src = scratch_path(spark, "test-fb-src")
-    day2 = D0 + dt.timedelta(days=1)
-    batches = [
-        [_r(2, 5), _r(1, 0), _r(3, 1, task="t2")],
-        [_r(4, 60 * 24 + 2, day=day2), _r(5, 60 * 24 + 1, day=day2)],
-        # three days later: a repeat of an old key (no new notice) and a late
-        # first failure of an old date (must not be dropped)
-        [_r(6, 60 * 24 * 4, day=day2), _r(7, 3, task="t3")],
-    ]
-    for b in batches:
-        runs(spark, b).coalesce(1).write.mode("append").parquet(src)
+    for k in order:
+        runs(spark, LANDINGS[k]).coalesce(1).write.mode("append").parquet(src)
     out = run_first_failure_batches(spark, src, scratch_path(spark, "test-fb-out"),
-                                    files_per_batch=1)
-    got = sorted((str(r.execution_date), r.task_id, r.run_id, r.batch_id) for r in out.collect())
-    # earliest ts wins inside a batch; an earlier batch wins across batches
-    assert got == [("2024-01-01", "t1", 1, 0), ("2024-01-01", "t2", 3, 0),
-                   ("2024-01-01", "t3", 7, 2), ("2024-01-02", "t1", 5, 1)]
+                                    files_per_batch=size)
+    assert sorted((str(r.execution_date), r.task_id) for r in out.collect()) == WANT
+    assert out.first().subject == f"Fallo en DAG: dag_a, Task: {out.first().task_id}"
+
+
+def test_stream_without_failures(spark):
+    src = scratch_path(spark, "test-fb-none")
+    runs(spark, [_r(1, 0, state="success")]).write.parquet(src)
+    out = run_first_failure_batches(spark, src, scratch_path(spark, "test-fb-none-out"))
+    assert out.collect() == []
 
 
-def test_batchwise_replay_is_idempotent(spark):
-    from ferry.streaming.first_failure import _notify_batch
+def test_stream_replay_is_idempotent_and_compaction_keeps_keys(spark):
+    from ferry.streaming.first_failure import _notify_batch, compact_notices, read_notices
     out = scratch_path(spark, "test-fb-replay") + "/data"
-    fn = _notify_batch(out, "plain")
+    fn = _notify_batch(out)
     batch = runs(spark, [_r(1, 0), _r(2, 1, task="t2")])
     fn(batch, 0)
     fn(batch, 0)  # the same batch again, as after a failure
-    fn(runs(spark, [_r(3, 2)]), 1)
-    assert sorted(r.run_id for r in spark.read.parquet(out).collect()) == [1, 2]
+    fn(runs(spark, [_r(3, 2), _r(4, 2, task="t3"), _r(5, 2, day=DAY2)]), 1)
+    keys = lambda: sorted((str(r.execution_date), r.task_id)
+                          for r in read_notices(spark, out).collect())
+    assert keys() == WANT
+    compact_notices(spark, out, [D0, DAY2, D0 + dt.timedelta(days=9)], before_batch=2)
+    assert keys() == WANT
+    fn(runs(spark, [_r(6, 9), _r(7, 9, task="t4")]), 2)
+    assert keys() == sorted([*WANT, ("2024-01-01", "t4")])
+
+
+def test_exception_layout(spark):
+    df = runs(spark, [_r(1, 0), _r(2, 1)]).selectExpr("*", "if(run_id = 1, 'KeyError: x', null) "
+                                                      "AS exception")
+    out = {r.run_id: r for r in failure_notices(df, style="exception").collect()}
+    assert out[1].subject == "Task t1 in DAG dag_a Failed"
+    assert "<td>KeyError: x</td>" in out[1].body and "<td></td>" in out[2].body
