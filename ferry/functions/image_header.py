@@ -20,6 +20,13 @@ JPEG_SOF = {0xC0, 0xC1, 0xC2, 0xC3, 0xC5, 0xC6, 0xC7, 0xC9, 0xCA, 0xCB, 0xCD, 0x
 
 
 def image_size(read: Reader) -> tuple[int, int] | None:
+    try:
+        return _size(read)
+    except struct.error:  # truncated inside a header
+        return None
+
+
+def _size(read: Reader) -> tuple[int, int] | None:
     head = read(0, 32)
     if head[:8] == b"\x89PNG\r\n\x1a\n" and head[12:16] == b"IHDR" and len(head) >= 24:
         return struct.unpack(">II", head[16:24])
@@ -32,9 +39,31 @@ def image_size(read: Reader) -> tuple[int, int] | None:
         return _webp(head, read)
     if head[:2] == b"\xff\xd8":
         return _jpeg(read)
+    if head[:4] in (b"II*\x00", b"MM\x00*") and len(head) >= 8:
+        return _tiff(head, read)
+    if head[:4] == b"\x00\x00\x01\x00" and len(head) >= 22:
+        return head[6] or 256, head[7] or 256
     return None
 
 
+def _tiff(head: bytes, read: Reader) -> tuple[int, int] | None:
+    """Tags 256 (width) and 257 (height) of the first directory."""
+    order = "<" if head[:2] == b"II" else ">"
+    at = struct.unpack(order + "I", head[4:8])[0]
+    count = read(at, 2)
+    if len(count) < 2:
+        return None
+    size = {}
+    n = struct.unpack(order + "H", count)[0]
+    entries = read(at + 2, 12 * n)
+    for i in range(0, len(entries) - 11, 12):
+        tag, kind = struct.unpack(order + "HH", entries[i:i + 4])
+        if tag in (256, 257) and kind in (3, 4):
+            value = entries[i + 8:i + 12]
+            size[tag] = struct.unpack(order + ("HH" if kind == 3 else "I"), value)[0]
+    return (size[256], size[257]) if size.keys() == {256, 257} else None
+
+
 def _webp(head: bytes, read: Reader) -> tuple[int, int] | None:
     kind = head[12:16]
     if kind == b"VP8 ":

@@ -25,26 +25,15 @@ def choose_asset(df: DataFrame, url_col: str, content_type_col: str,
                         .otherwise(F.lit(placeholder))))
 
 
-def audit_images(manifest: DataFrame, images: DataFrame, key: str = "name",
+def audit_images(measured: DataFrame, columns, key: str,
                  placeholder: str = PLACEHOLDER_URL) -> DataFrame:
-    """Manifest rows with decoded size or a placeholder.
-
-    ``images`` holds ``key, width, height`` from the image source
-    (``width = -1`` when the bytes do not decode). A manifest row with no
-    image row had no bytes (missing or empty file). A left join on the
-    asset key: both sides are partitioned by it, nothing is broadcast
-    unless AQE sees a small side at runtime.
-    """
-    j = manifest.join(images, key, "left")
-    status = (F.when(F.col("width").isNull(), F.lit("missing"))
-              .when(F.col("width") < 0, F.lit("unidentified"))
-              .otherwise(F.lit("ok")))
-    ok = status == F.lit("ok")
-    return j.select(
-        *[F.col(c) for c in manifest.columns],
-        status.alias("status"),
-        F.when(ok, F.col("width")).alias("width"),
-        F.when(ok, F.col("height")).alias("height"),
+    """Manifest rows with image size or a placeholder (F4, P8), from
+    ``sources.assets.with_image_sizes``: an empty or unreadable file is
+    ``unidentified``, one that is not there ``missing``."""
+    ok = F.col("_status") == F.lit("ok")
+    return measured.select(
+        *[F.col(c) for c in columns], F.col("_status").alias("status"),
+        F.col("_width").alias("width"), F.col("_height").alias("height"),
         F.when(ok, F.col(key)).otherwise(F.lit(placeholder)).alias("asset"))
 
 
@@ -52,16 +41,15 @@ def audit_fetched(rows: DataFrame, fetched: DataFrame, url_col: str,
                   placeholder: str = PLACEHOLDER_URL) -> DataFrame:
     """The reference's per-row check on fetched assets.
 
-    ``fetched`` is ``fetch_urls(..., measure_image=True)``. A failed fetch
-    is ``missing``; a response whose content type is not ``image/...`` is
-    ``not_image``; bytes that are not a recognisable image are
-    ``unidentified``; otherwise ``ok`` with the image size. Anything but
-    ``ok`` gets the placeholder.
+    ``fetched`` is ``fetch_urls(..., measure_image=True)``. A row without a
+    URL is ``missing``; a response whose content type is not ``image/...``
+    is ``not_image`` (whatever its HTTP status); bytes that are not a
+    recognisable image, or none, are ``unidentified``; otherwise ``ok`` with
+    the image size. Anything but ``ok`` gets the placeholder.
     """
     j = rows.join(fetched.withColumnRenamed("url", url_col), url_col, "left")
-    failed = F.col("error").isNotNull() | ~F.col("http_status").between(200, 299)
     is_image = F.startswith(F.coalesce(F.col("content_type"), F.lit("")), F.lit("image/"))
-    status = (F.when(failed | F.col("http_status").isNull(), F.lit("missing"))
+    status = (F.when(F.col("http_status").isNull(), F.lit("missing"))
               .when(~is_image, F.lit("not_image"))
               .when(F.col("width") < 0, F.lit("unidentified"))
               .otherwise(F.lit("ok")))

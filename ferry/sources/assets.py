@@ -1,9 +1,9 @@
 """Binary assets: landed files and live fetches.
 
-Landed assets are read by Spark's own file sources, split across tasks:
-``image`` decodes and reports width/height (``-1`` when undecodable),
-``binaryFile`` gives bytes and length. Zero-byte files produce no row in
-either source, so callers left-join from their manifest.
+Landed assets named in a manifest are opened one by one by the task that
+holds their row (``with_image_sizes``). Whole folders can also be read by
+Spark's own file sources: ``image`` decodes and reports width/height (``-1``
+when undecodable), ``binaryFile`` gives bytes and length.
 
 Live assets (URLs) are fetched on the executors with ``mapInPandas``, one
 Arrow batch at a time; the driver never sees the bytes.
@@ -11,12 +11,12 @@ Arrow batch at a time; the driver never sees the bytes.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferry.session import ship_package
 
@@ -31,24 +31,11 @@ def _relative_to(root: str):
     return F.substring(origin, F.instr(origin, base) + F.lit(len(base)), F.lit(1 << 30))
 
 
-def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
-                     method: str = "header") -> DataFrame:
+def read_image_sizes(spark: SparkSession, path: str, key: str = "name") -> DataFrame:
     """``key`` (path below ``path``, e.g. ``a/b.png``), ``width``, ``height``
-    for every non-empty file under ``path`` (recursively); ``-1``/``-1``
-    when the file is not a recognisable image.
-
-    ``method="header"`` (default) reads only each file's header bytes on the
-    executors, as a lazy image open does: a few KB per file, no pixels.
-    ``method="decode"`` uses Spark's ``image`` source, which decodes every
-    image to raw pixels (CPU and memory heavy at scale; also stricter: a
-    truncated file with a good header is invalid there).
-    """
-    if method == "header":
-        ship_package(spark)
-        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                   .load(path).select(F.col("path").alias("_origin")))  # content not read
-        sizes = listing.mapInPandas(_header_sizes, "_origin string, width int, height int")
-        return sizes.select(_relative_to(path).alias(key), "width", "height")
+    for every non-empty file under ``path`` (recursively), decoded by Spark's
+    ``image`` source; ``-1``/``-1`` when it does not decode. CPU and memory
+    heavy; ``with_image_sizes`` reads headers only."""
     img = (spark.read.format("image").option("dropInvalid", False)
            .option("recursiveFileLookup", True).load(path))
     return (img.select(F.col("image.origin").alias("_origin"),
@@ -57,7 +44,7 @@ def read_image_sizes(spark: SparkSession, path: str, key: str = "name",
             .select(_relative_to(path).alias(key), "width", "height"))
 
 
-def _resolve(uri: str):
+def file_system(uri: str):
     """(pyarrow file system, path) for a Hadoop-style file URI."""
     from urllib.parse import unquote, urlparse
 
@@ -69,19 +56,21 @@ def _resolve(uri: str):
     return pafs.FileSystem.from_uri(uri.replace(u.scheme + "://", scheme + "://", 1))
 
 
-def _header_size(uri: str) -> tuple[int, int]:
+def _header_size(uri: str) -> tuple[str, int | None, int | None]:
+    """Status and size of one landed file. A file that is not there is
+    ``missing``; any other storage failure fails the task."""
     from ferry.functions.image_header import image_size
 
+    fsys, p = file_system(uri)
     try:
-        fsys, p = _resolve(uri)
         with fsys.open_input_file(p) as f:
             def read(off: int, n: int) -> bytes:
                 f.seek(off)
                 return f.read(n)
             size = image_size(read)
-    except (OSError, ValueError, struct.error):
-        size = None
-    return size or (-1, -1)
+    except FileNotFoundError:
+        return "missing", None, None
+    return ("ok", *size) if size else ("unidentified", None, None)
 
 
 # Remote header reads and fetches wait on storage / the network, not the
@@ -100,10 +89,25 @@ def _io_map(fn, items: list):
 
 def _header_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        sizes = _io_map(_header_size, pdf["_origin"].tolist())
-        yield pd.DataFrame({"_origin": pdf["_origin"],
-                            "width": [w for w, _ in sizes],
-                            "height": [h for _, h in sizes]})
+        out = pd.DataFrame(_io_map(_header_size, pdf["_path"].tolist()),
+                           columns=["_status", "_width", "_height"], index=pdf.index)
+        out = pd.concat([pdf, out], axis=1)
+        yield out.astype({"_width": "Int32", "_height": "Int32"})
+
+
+def with_image_sizes(manifest: DataFrame, path) -> DataFrame:
+    """``manifest`` plus ``_path``, ``_status`` (``ok``, ``unidentified`` or
+    ``missing``), ``_width``, ``_height`` of the file each row names.
+
+    Every path is opened by the task that holds its row: no listing, no join.
+    Only a few KB of header are read, no pixels.
+    """
+    ship_package(manifest.sparkSession)
+    named = manifest.withColumn("_path", path)
+    schema = T.StructType([*named.schema.fields, T.StructField("_status", T.StringType()),
+                           T.StructField("_width", T.IntegerType()),
+                           T.StructField("_height", T.IntegerType())])
+    return named.mapInPandas(_header_sizes, schema)
 
 
 def read_binary(spark: SparkSession, path: str, key: str = "name",
@@ -117,55 +121,87 @@ def read_binary(spark: SparkSession, path: str, key: str = "name",
                       *[c for c in out.columns if c != "_origin"])
 
 
-FETCH_SCHEMA = "url string, http_status int, content_type string, content binary, error string"
+FETCH_SCHEMA = "url string, http_status int, content_type string, content binary"
 SIZED_SCHEMA = ("url string, http_status int, content_type string, n_bytes long, "
-                "width int, height int, error string")
+                "width int, height int")
+# A batch of response bodies is handed on when it holds this many bytes.
+BATCH_BYTES = 32 << 20
 
 
-def _fetch_one(u: str, timeout: float, measure: bool) -> tuple:
+def _response(u: str, timeout: float) -> tuple[int, str | None, bytes]:
+    """Status, content type and body of one URL. ``http(s)`` through the
+    standard library (an error status is a response too); any other scheme
+    through that storage's own file system, typed by its name."""
+    import mimetypes
     import urllib.error
     import urllib.request
 
+    if u.split(":", 1)[0].lower() in ("http", "https"):
+        try:
+            with urllib.request.urlopen(u, timeout=timeout) as r:
+                return r.status, r.headers.get("Content-Type"), r.read()
+        except urllib.error.HTTPError as e:
+            with e:
+                return e.code, e.headers.get("Content-Type"), e.read()
+    fsys, p = file_system(u)
+    with fsys.open_input_stream(p) as f:
+        return 200, mimetypes.guess_type(p)[0], f.read()
+
+
+def _fetch_one(u: str, timeout: float, attempts: int, measure: bool) -> tuple:
+    """One row per URL; a URL that gives no response after ``attempts`` tries
+    fails the task."""
+    import time
+
     from ferry.functions.image_header import image_size
 
-    try:
-        with urllib.request.urlopen(u, timeout=timeout) as r:
-            row = (u, getattr(r, "status", None) or 200, r.headers.get("Content-Type"),
-                   r.read(), None)
-    except urllib.error.HTTPError as e:
-        row = (u, e.code, e.headers.get("Content-Type"), None, str(e))
-    except Exception as e:  # noqa: BLE001 -- recorded per row
-        row = (u, None, None, None, f"{type(e).__name__}: {e}")
+    for left in range(attempts - 1, -1, -1):
+        try:
+            status, kind, body = _response(u, timeout)
+            break
+        except FileNotFoundError:
+            raise
+        except OSError:
+            if not left:
+                raise
+            time.sleep(0.2 * (attempts - left))
     if not measure:
-        return row
-    body = row[3]
-    size = image_size(lambda off, n: body[off:off + n]) if body else None
-    w, h = size or (-1, -1)
-    return (row[0], row[1], row[2], len(body) if body is not None else None, w, h, row[4])
+        return u, status, kind, body
+    w, h = image_size(lambda off, n: body[off:off + n]) or (-1, -1)
+    return u, status, kind, len(body), w, h
 
 
-def _fetch_batches(url_col: str, timeout: float, measure: bool):
-    cols = (["url", "http_status", "content_type", "n_bytes", "width", "height", "error"]
-            if measure else ["url", "http_status", "content_type", "content", "error"])
+def _fetch_batches(url_col: str, timeout: float, attempts: int, measure: bool):
+    cols = (["url", "http_status", "content_type", "n_bytes", "width", "height"]
+            if measure else ["url", "http_status", "content_type", "content"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = _io_map(lambda u: _fetch_one(u, timeout, measure), pdf[url_col].tolist())
+            urls, rows, held = pdf[url_col].tolist(), [], 0
+            for i in range(0, len(urls), IO_THREADS):
+                rows += _io_map(lambda u: _fetch_one(u, timeout, attempts, measure),
+                                urls[i:i + IO_THREADS])
+                held += 0 if measure else sum(len(r[3]) for r in rows[-IO_THREADS:])
+                if held >= BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=cols)
+                    rows, held = [], 0
             yield pd.DataFrame(rows, columns=cols)
     return run
 
 
-def fetch_urls(df: DataFrame, url_col: str, timeout: float = 30.0,
+def fetch_urls(df: DataFrame, url_col: str, timeout: float = 30.0, attempts: int = 3,
                measure_image: bool = False) -> DataFrame:
     """Fetch each URL once on the executors (S6, live form).
 
-    Returns ``url, http_status, content_type, content, error``; join it back
-    on ``url``. Distinct URLs are fetched, so a URL shared by many rows
-    costs one request. ``measure_image=True`` reads the image size from the
-    bytes in the same pass and returns ``n_bytes, width, height`` instead of
-    the content, so no bytes travel through later shuffles.
+    Returns ``url, http_status, content_type, content``; join it back on
+    ``url``. Distinct URLs are fetched, so a URL shared by many rows costs one
+    request. A response with an error status is a row like any other; a fetch
+    that gives no response fails the query after ``attempts`` tries.
+    ``measure_image=True`` reads the image size from the bytes in the same
+    pass and returns ``n_bytes, width, height`` (-1 where they are no image)
+    instead of the content, so no bytes travel through later shuffles.
     """
     ship_package(df.sparkSession)
     urls = df.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
-    return urls.mapInPandas(_fetch_batches("url", timeout, measure_image),
+    return urls.mapInPandas(_fetch_batches("url", timeout, attempts, measure_image),
                             SIZED_SCHEMA if measure_image else FETCH_SCHEMA)

@@ -3,9 +3,9 @@
 ``spark.read.format("json_http").option("urls", ...)`` plans one input
 partition per URL (or per ``urlsPerPartition`` URLs), so the requests run
 on the executors, in parallel, and
-the driver never holds a payload. The reader only fetches and splits the
-payload into record texts; typing is done by Spark's JSON parser with the
-caller's declared schema (``from_json``), exactly as for landed files.
+the driver never holds a payload. The reader streams the response and splits
+it into record texts; typing is done by Spark's JSON parser with the caller's
+declared schema (``from_json``), exactly as for landed files.
 
 Layouts:
 
@@ -23,6 +23,9 @@ executors (``fetch_urls``) and payloads are parsed by Spark.
 
 from __future__ import annotations
 
+import codecs
+import io
+import json
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-RAW_SCHEMA = "url string, body string"
+from ferry.session import scratch_path
+
+RAW_SCHEMA = "url string, ordinal long, record string"
 
 
 class _UrlPartition(InputPartition):
@@ -39,10 +44,50 @@ class _UrlPartition(InputPartition):
         self.urls = urls
 
 
+CHUNK = 1 << 16
+_SPACE = " \t\r\n"
+
+
+def array_items(chunks: Iterator[str]) -> Iterator[str]:
+    """The items of one JSON array as texts, without holding the array."""
+    decoder = json.JSONDecoder()
+    held, at, opened, comma = "", 0, False, False
+    for chunk in chunks:
+        held, at = held[at:] + chunk, 0
+        while True:
+            while at < len(held) and held[at] in _SPACE:
+                at += 1
+            if at == len(held):
+                break
+            if not opened:
+                if held[at] != "[":
+                    raise ValueError("the payload is not a JSON array")
+                opened, at = True, at + 1
+                continue
+            if held[at] == "]":
+                if held[at + 1:].strip(_SPACE) or any(c.strip(_SPACE) for c in chunks):
+                    raise ValueError("text after the JSON array")
+                return
+            if comma:
+                if held[at] != ",":
+                    raise ValueError("no comma between items of the JSON array")
+                comma, at = False, at + 1
+                continue
+            try:
+                _, end = decoder.raw_decode(held, at)
+            except json.JSONDecodeError:
+                break  # the item goes on in the next chunk
+            if end == len(held):
+                break  # a number may go on
+            yield held[at:end]
+            at, comma = end, True
+    raise ValueError("malformed or unfinished JSON array")
+
+
 class JsonHttpReader(DataSourceReader):
     def __init__(self, options: dict):
-        raw = options.get("urls", "")
-        self.urls = [u.strip() for u in raw.replace("\n", ",").split(",") if u.strip()]
+        self.urls = json.loads(options.get("urls", "[]"))
+        self.layout = options.get("layout", "document")
         self.timeout = float(options.get("timeout", "60"))
         self.per_partition = max(1, int(options.get("urlsPerPartition", "1")))
 
@@ -52,16 +97,32 @@ class JsonHttpReader(DataSourceReader):
 
     def read(self, partition: _UrlPartition) -> Iterator[tuple]:
         for url in partition.urls:
-            yield from self._read_one(url)
+            for i, record in enumerate(self._records(url)):
+                yield url, i, record
+
+    def _records(self, url: str) -> Iterator[str]:
+        with _open_url(url, self.timeout) as r:
+            body = codecs.getreader("utf-8")(r)
+            if self.layout == "document":
+                yield body.read()
+            elif self.layout == "lines":
+                for line in r:
+                    if line.strip():
+                        yield line.decode("utf-8")
+            else:
+                yield from array_items(iter(lambda: body.read(CHUNK), ""))
+
 
-    def _read_one(self, url: str) -> Iterator[tuple]:
-        import urllib.request
+def _open_url(url: str, timeout: float):
+    """A byte stream of the body; an error status raises."""
+    import urllib.request
 
-        with urllib.request.urlopen(url, timeout=self.timeout) as r:
-            status = getattr(r, "status", None)
-            if status is not None and not 200 <= status < 300:
-                raise OSError(f"HTTP {status} for {url}")
-            yield (url, r.read().decode("utf-8"))
+    if url.split(":", 1)[0].lower() in ("http", "https"):
+        return urllib.request.urlopen(url, timeout=timeout)  # raises HTTPError
+    from ferry.sources.assets import file_system
+
+    fsys, path = file_system(url)
+    return io.BufferedReader(fsys.open_input_file(path))
 
 
 class JsonHttpDataSource(DataSource):
@@ -84,25 +145,40 @@ def register(spark: SparkSession) -> None:
 
 def read_json_http(spark: SparkSession, urls: Sequence[str], schema: T.StructType | str,
                    layout: str = "array", keep_source: bool = False,
-                   urls_per_partition: int = 1) -> DataFrame:
-    """Records fetched from ``urls``, typed by ``schema`` (FAILFAST)."""
+                   urls_per_partition: int = 1,
+                   required: Sequence[str] = ()) -> DataFrame:
+    """Records fetched from ``urls``, typed by ``schema`` (FAILFAST).
+
+    Every URL is requested once: the records are landed in the shared folder,
+    and what is returned reads the landed table, so a later sort or retry does
+    not fetch again. A column of ``required`` that no record has fails the
+    read. ``keep_source`` adds ``url`` and ``ordinal``, the record's position
+    in its payload.
+    """
     register(spark)
-    raw = (spark.read.format("json_http").option("urls", ",".join(urls))
-           .option("urlsPerPartition", urls_per_partition).load())
+    raw = (spark.read.format("json_http").option("urls", json.dumps(list(urls)))
+           .option("layout", layout).option("urlsPerPartition", urls_per_partition).load())
+    path = scratch_path(spark, "json-http")
+    raw.write.parquet(path)
+    landed = spark.read.schema(RAW_SCHEMA).parquet(path)
+    check_present(landed, "record", required)
     st = schema if isinstance(schema, str) else schema.simpleString()
-    if layout == "array":
-        recs = raw.select("url", F.posexplode(
-            F.from_json("body", f"array<struct<{_fields(st)}>>", _STRICT)).alias("ordinal", "_r"))
-    elif layout == "lines":
-        lines = (raw.select("url", F.posexplode(F.split("body", "\n")).alias("ordinal", "_line"))
-                 .where(F.trim("_line") != ""))
-        recs = lines.select("url", "ordinal",
-                            F.from_json("_line", f"struct<{_fields(st)}>", _STRICT).alias("_r"))
-    else:
-        recs = raw.select("url", F.lit(0).cast("long").alias("ordinal"),
-                          F.from_json("body", st, _STRICT).alias("_r"))
     extra = ["url", "ordinal"] if keep_source else []
-    return recs.select(*extra, "_r.*")
+    return landed.select(*extra, F.from_json("record", f"struct<{_fields(st)}>", _STRICT)
+                         .alias("_r")).select(*extra, "_r.*")
+
+
+def check_present(records: DataFrame, text_col: str, required: Sequence[str]) -> None:
+    """Fail if a required column is in none of the records (an absent column
+    is an error, a column that is null or absent in some records is not)."""
+    if not required:
+        return
+    names = F.json_object_keys(F.col(text_col))
+    row = records.agg(F.count("*").alias("n"), *[
+        F.max(F.array_contains(names, c)).alias(f"_{i}") for i, c in enumerate(required)]).first()
+    absent = [c for i, c in enumerate(required) if row["n"] and not row[f"_{i}"]]
+    if absent:
+        raise ValueError(f"columns missing from every record: {', '.join(absent)}")
 
 
 _STRICT = {"mode": "FAILFAST"}
@@ -127,11 +203,10 @@ def read_json_from_urls(urls: DataFrame, url_col: str, schema: T.StructType | st
     from ferry.sources.assets import fetch_urls
 
     fetched = fetch_urls(urls, url_col)
-    ok = (F.col("error").isNull() & F.col("http_status").between(200, 299))
     checked = fetched.select(
-        "url", F.when(ok, F.col("content").cast("string"))
-        .otherwise(F.raise_error(F.concat(F.lit("fetch failed: "), F.col("url"),
-                                          F.lit(" "), F.coalesce(F.col("error"), F.lit("")))))
+        "url", F.when(F.col("http_status").between(200, 299), F.col("content").cast("string"))
+        .otherwise(F.raise_error(F.concat(F.lit("fetch failed: "), F.col("url"), F.lit(" "),
+                                          F.col("http_status").cast("string"))))
         .alias("_body"))
     st = schema if isinstance(schema, str) else schema.simpleString()
     if array:

@@ -17,6 +17,7 @@ Two layouts:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -40,5 +41,24 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType | str,
 
 def read_documents(spark: SparkSession, path, schema: T.StructType | str,
                    **options) -> DataFrame:
-    """Full scan of an exported document collection, match-all filter."""
+    """Full scan of an exported document collection, match-all filter (S5,
+    F5), as the declared fields. ``read_whole_documents`` keeps every field."""
     return read_json_records(spark, path, schema, array=False, **options)
+
+
+def read_whole_documents(spark: SparkSession, path, out: str = "doc") -> DataFrame:
+    """Every document of a JSON-lines export as one ``VARIANT`` value: all
+    fields, declared or not, explicit nulls included (S5). Malformed text
+    fails the query."""
+    text = spark.read.text(path).where(F.trim("value") != "")
+    return text.select(F.parse_json("value").alias(out))
+
+
+def payload_positions(df: DataFrame) -> DataFrame:
+    """A scan of landed JSON lines plus where each record stood: ``_file``,
+    ``_block`` (start of the read block) and ``_mid`` (ascending inside it).
+    Take it before any shuffle; ``operators.ordinal.with_payload_ordinal``
+    turns it into positions."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_mid"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 
-from ferry.operators.assets import PLACEHOLDER_URL, audit_images, choose_asset
+import pytest
+from pyspark.sql import functions as F
+
+from ferry.operators.assets import PLACEHOLDER_URL, audit_fetched, audit_images, choose_asset
 from ferry.plans.fixtures import png_bytes
-from ferry.sources.assets import fetch_urls, read_binary, read_image_sizes
+from ferry.sources.assets import fetch_urls, read_binary, read_image_sizes, with_image_sizes
 
 
 def test_choose_asset(spark):
@@ -24,11 +27,12 @@ def test_image_audit(spark, tmp_dir):
             f.write(data)
     manifest = spark.createDataFrame([(1, "a.png"), (2, "b.png"), (3, "t.png"), (4, "e.png"),
                                       (5, "gone.png")], "id long, name string")
+    sizes = with_image_sizes(manifest, F.concat(F.lit(tmp_dir + "/"), "name"))
     out = {r.id: (r.status, r.width, r.height, r.asset)
-           for r in audit_images(manifest, read_image_sizes(spark, tmp_dir)).collect()}
+           for r in audit_images(sizes, ["id", "name"], "name").collect()}
     assert out == {1: ("ok", 7, 5, "a.png"), 2: ("ok", 1, 1, "b.png"),
                    3: ("unidentified", None, None, PLACEHOLDER_URL),
-                   4: ("missing", None, None, PLACEHOLDER_URL),
+                   4: ("unidentified", None, None, PLACEHOLDER_URL),
                    5: ("missing", None, None, PLACEHOLDER_URL)}
     lengths = {r.name: r.length for r in read_binary(spark, tmp_dir).collect()}
     assert lengths["t.png"] == 4 and "e.png" not in lengths
@@ -38,13 +42,34 @@ def test_fetch_urls_on_executors(spark, tmp_dir):
     p = os.path.join(tmp_dir, "x.png")
     with open(p, "wb") as f:
         f.write(png_bytes(2, 2))
-    df = spark.createDataFrame([(f"file://{p}",), (f"file://{p}",), (f"file://{tmp_dir}/no.png",)],
-                               "u string")
-    out = {r.url: r for r in fetch_urls(df, "u").collect()}
-    assert len(out) == 2
-    ok = out[f"file://{p}"]
+    df = spark.createDataFrame([(f"file://{p}",), (f"file://{p}",)], "u string")
+    ok, = fetch_urls(df, "u").collect()
     assert ok.content_type == "image/png" and ok.content[:4] == b"\x89PNG"
-    assert out[f"file://{tmp_dir}/no.png"].error is not None
+
+
+def test_fetch_failures_fail_the_query(spark, tmp_dir):
+    for url in (f"file://{tmp_dir}/no.png", "http://127.0.0.1:1/x.png"):
+        rows = spark.createDataFrame([(url,)], "u string")
+        with pytest.raises(Exception):
+            fetch_urls(rows, "u", timeout=1, attempts=1).collect()
+
+
+def test_storage_failures_fail_the_query(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, tmp_dir)], "id long, name string")  # a folder
+    with pytest.raises(Exception):
+        with_image_sizes(rows, F.col("name")).collect()
+
+
+def test_audit_fetched_states(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, None)],
+                                 "id long, url string")
+    fetched = spark.createDataFrame(
+        [("a", 200, "image/png", 9, 3, 4), ("b", 404, "image/png", 9, 3, 4),
+         ("c", 200, "text/html", 9, -1, -1), ("d", 200, "image/png", 0, -1, -1)],
+        "url string, http_status int, content_type string, n_bytes long, width int, height int")
+    got = {r.id: (r.status, r.width) for r in audit_fetched(rows, fetched, "url").collect()}
+    assert got == {1: ("ok", 3), 2: ("ok", 3), 3: ("not_image", None),
+                   4: ("unidentified", None), 5: ("missing", None)}
 
 
 def _jpeg(w, h, app_segments=0):
@@ -59,19 +84,22 @@ def test_header_sizes_match_decode_and_cover_formats(spark, tmp_dir):
     gif = b"GIF89a" + st.pack("<HH", 9, 4) + b"\x00" * 10
     bmp = b"BM" + b"\x00" * 16 + st.pack("<ii", 6, -3) + b"\x00" * 30
     webp = b"RIFF" + b"\x00" * 4 + b"WEBPVP8X" + b"\x00" * 8 + (10 - 1).to_bytes(3, "little") + (20 - 1).to_bytes(3, "little")
-    cases = {"a.png": (png_bytes(7, 5), (7, 5)), "g.gif": (gif, (9, 4)), "b.bmp": (bmp, (6, 3)),
+    tiff = b"II*\x00" + st.pack("<I", 8) + st.pack("<H", 2) + st.pack(
+        "<HHIHH", 256, 3, 1, 33, 0) + st.pack("<HHII", 257, 4, 1, 44)
+    cases = {"x.tif": (tiff, (33, 44)), "cut.tif": (tiff[:14], None), "a.png": (png_bytes(7, 5), (7, 5)), "g.gif": (gif, (9, 4)), "b.bmp": (bmp, (6, 3)),
              "w.webp": (webp, (10, 20)), "j.jpg": (_jpeg(640, 480, app_segments=3), (640, 480)),
              "t.png": (b"<html>", None), "cut.jpg": (b"\xff\xd8\xff\xe1\x00", None)}
     for n, (data, want) in cases.items():
         assert image_size(lambda off, k, d=data: d[off:off + k]) == want, n
         with open(os.path.join(tmp_dir, n), "wb") as f:
             f.write(data)
-    got = {r.name: (r.width, r.height) for r in read_image_sizes(spark, tmp_dir).collect()}
-    assert got == {n: (w or (-1, -1)) for n, (_, w) in cases.items()}
-    pngs = [n for n in cases if n.endswith(".png")]
-    dec = {r.name: (r.width, r.height) for r in
-           read_image_sizes(spark, tmp_dir, method="decode").collect() if r.name in pngs}
-    assert dec == {n: got[n] for n in pngs}
+    manifest = spark.createDataFrame([(n,) for n in cases], "name string")
+    sizes = with_image_sizes(manifest, F.concat(F.lit(tmp_dir + "/"), "name"))
+    got = {r.name: (r._width, r._height) for r in sizes.collect()}
+    assert got == {n: (w or (None, None)) for n, (_, w) in cases.items()}
+    dec = {r.name: (r.width, r.height) for r in read_image_sizes(spark, tmp_dir).collect()
+           if r.name.endswith(".png")}
+    assert dec == {"a.png": (7, 5), "t.png": (-1, -1)}
 
 
 def test_image_keys_are_paths_below_the_root(spark, tmp_dir):
@@ -79,10 +107,8 @@ def test_image_keys_are_paths_below_the_root(spark, tmp_dir):
         os.makedirs(os.path.join(tmp_dir, sub))
         with open(os.path.join(tmp_dir, sub, "front.png"), "wb") as f:
             f.write(png_bytes(w, h))
-    for method in ("header", "decode"):
-        got = {r.name: (r.width, r.height)
-               for r in read_image_sizes(spark, tmp_dir, method=method).collect()}
-        assert got == {"a/front.png": (3, 2), "b/front.png": (4, 5)}, method
+    got = {r.name: (r.width, r.height) for r in read_image_sizes(spark, tmp_dir).collect()}
+    assert got == {"a/front.png": (3, 2), "b/front.png": (4, 5)}
     assert {r.name for r in read_binary(spark, "file://" + tmp_dir).collect()} == {
         "a/front.png", "b/front.png"}
 
