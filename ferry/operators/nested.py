@@ -19,16 +19,20 @@ parsed twice with the JVM JSON parser -- ``map<string,string>`` keeps each
 value's raw text (a sub-object keeps its key order, unlike a variant
 object, whose keys are sorted) and ``map<string,variant>`` gives its type
 (so a text leaf that itself holds JSON is not mistaken for an object).
-Each entry carries its position path ``ord`` (array of entry positions),
-so ordering by ``ord`` is document order. A pass writes its leaves and its
-deepest objects (the next frontier) once as a Parquet table in the shared
-folder, which cuts lineage and lets the loop stop as soon as no object is
-left. Only one final window, per document, numbers the leaves.
+Each entry carries its position path ``p`` (array of entry positions), so
+ordering by ``p`` is document order. A pass writes, per document, the array of
+its leaves and the array of its deepest objects (the next frontier) once as a
+Parquet table in the shared folder, which cuts lineage and lets the loop stop
+as soon as no object is left. The leaves of a document without a frontier are
+already an array in document order: their index is their position, and no
+shuffle is needed. Only deeper documents, if there are any, are numbered by a
+window per document.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -131,24 +135,25 @@ def expand(txt: Column, levels: int) -> Column:
 
 
 def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None = None,
-                prefix: str = "http", max_depth: int = 64,
-                key_name: str = "key", value_name: str = "value",
-                levels_per_pass: int = 4) -> DataFrame:
+                prefix: str = "http", key_name: str = "key", value_name: str = "value",
+                levels_per_pass: int = MAX_LEVELS_PER_PASS) -> DataFrame:
     """All text leaves starting with ``prefix`` under ``root`` of each document.
 
     Returns ``id_col, leaf_pos, key_name, value_name``; ``leaf_pos`` is the
     0-based position of the leaf in document order within its document.
-    A document whose root is missing gives no rows; malformed JSON, or a
-    root that is not an object, fails the query.
-
-    Runs its passes eagerly (one write job per ``levels_per_pass`` levels,
-    at most ``MAX_LEVELS_PER_PASS``);
-    the returned DataFrame reads the written passes. While the passes run,
-    ``spark.sql.variant.allowDuplicateKeys`` is on for the session (so a
-    sub-object that repeats a key can be typed); it is restored afterwards.
+    Malformed JSON, a missing or null root, or a root that is not an object
+    fails the query; an object without leaves gives no rows.
+
+    Runs its passes eagerly (one write job per ``levels_per_pass`` levels, at
+    most ``MAX_LEVELS_PER_PASS``), however deep the documents are; the
+    returned DataFrame reads the written passes.
     """
     spark = docs.sparkSession
     scratch_root(spark)  # make sure a checkpoint folder is registered
+    # A sub-object that repeats a key must not fail the type test (a parsed
+    # dict keeps the last value).
+    if spark.conf.get(DUPLICATE_KEYS, "false") != "true":
+        spark.conf.set(DUPLICATE_KEYS, "true")
     # A strict parse of the whole document raises on malformed text, so a
     # malformed document fails instead of reading as "no root".
     whole = F.from_json(F.col(json_col), "map<string,string>", _STRICT)
@@ -156,67 +161,62 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
     if simple:
         # One parse does both: validate, and take the root's raw text (the
         # last value if the key repeats, as a parsed dict would).
-        key = simple.group(1)
-        start = F.try_element_at(F.filter(F.map_entries(whole), lambda e: e["key"] == key),
+        name = simple.group(1)
+        start = F.try_element_at(F.filter(F.map_entries(whole), lambda e: e["key"] == name),
                                  F.lit(-1))["value"]
     else:
         path = F.get_json_object(F.col(json_col), root) if root else F.col(json_col)
         start = F.when(whole.isNotNull(), path)
-    cur = (docs.select(F.col(id_col), start.alias("_txt"))
-           .where(F.col("_txt").isNotNull())
-           .select(id_col, F.array().cast("array<int>").alias("ord"), "_txt"))
-    # Value types come from variants; a sub-object that repeats a key must
-    # not fail the type test (a parsed dict keeps the last value). Every
-    # level is materialised inside this call, so the setting is scoped to it.
-    key = "spark.sql.variant.allowDuplicateKeys"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        levels = _levels(cur, id_col, prefix, max_depth, key_name, value_name,
-                         levels_per_pass)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-    leaves = reduce(DataFrame.unionByName, levels)
-    w = Window.partitionBy(id_col).orderBy("ord")
-    return leaves.select(id_col, (F.row_number().over(w) - 1).cast("long").alias("leaf_pos"),
-                         key_name, value_name)
-
-
-def _levels(cur: DataFrame, id_col: str, prefix: str, max_depth: int,
-            key_name: str, value_name: str, per_pass: int) -> list[DataFrame]:
-    """Walk ``per_pass`` levels per job; return each pass's leaves.
-
-    A pass keeps only the leaves and the objects at its deepest level (the
-    next frontier) and writes them once as a Parquet table in the shared
-    folder: that cuts lineage (a lost executor re-reads files, it does not
-    re-walk earlier levels), and the emptiness test and the leaf filter read
-    it with pushed-down predicates.
-    """
-    spark = cur.sparkSession
+    start = F.coalesce(start, F.raise_error(F.concat(
+        F.lit(f"document without {root or 'content'}: "),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("null")))))
+    per_pass = max(1, min(levels_per_pass, MAX_LEVELS_PER_PASS))
+    first = _walk(docs.select(F.col(id_col), start.alias("_txt")), id_col, prefix, per_pass)
+    flat = (first.where(F.size("_deep") == 0)
+            .select(id_col, F.posexplode("_leaf").alias("leaf_pos", "_l")))
+    out = flat.select(id_col, F.col("leaf_pos").cast("long"), F.col("_l.k").alias(key_name),
+                      F.col("_l.v").alias(value_name))
+    more = first.where(F.size("_deep") > 0)
+    if more.isEmpty():
+        return out
+    w = Window.partitionBy(id_col).orderBy("_ord")
+    deeper = reduce(DataFrame.unionByName, _levels(more, id_col, prefix, per_pass))
+    return out.unionByName(deeper.select(
+        id_col, (F.row_number().over(w) - 1).cast("long").alias("leaf_pos"),
+        F.col("_k").alias(key_name), F.col("_v").alias(value_name)))
+
+
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def _walk(objects: DataFrame, key: str | Sequence[str], prefix: str, levels: int) -> DataFrame:
+    """Per object text ``_txt``: its leaves and deepest objects, written once
+    as a Parquet table in the shared folder (a lost executor re-reads files,
+    it does not re-walk earlier levels)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    path = scratch_path(objects.sparkSession, "flatten-pass")
+    keep = lambda test: lambda nodes: F.transform(
+        F.filter(nodes, test), lambda x: F.struct(x["p"].alias("p"), x["k"].alias("k"),
+                                                  x["v"].alias("v")))
+    leaf = keep(lambda x: (x["t"] == "STRING") & F.startswith(x["v"], F.lit(prefix)))
+    deep = keep(lambda x: (x["t"] == "OBJECT") & (F.size(x["p"]) == levels))
+    both = _let(expand(F.col("_txt"), levels),
+                lambda n: F.struct(leaf(n).alias("_leaf"), deep(n).alias("_deep")))
+    objects.select(*keys, both.alias("_b")).select(*keys, "_b.*").write.parquet(path)
+    return objects.sparkSession.read.parquet(path)
+
+
+def _levels(walked: DataFrame, id_col: str, prefix: str, per_pass: int) -> list[DataFrame]:
+    """Leaves of every pass (``id, _ord, _k, _v``), the first being ``walked``."""
+    cur = walked.withColumn("_ord", F.array().cast("array<int>"))
     passes = []
-    done = 0
-    per_pass = max(1, min(per_pass, MAX_LEVELS_PER_PASS))
     while True:
-        k = min(per_pass, max_depth - done)
-        if k <= 0:
-            raise ValueError(f"objects nested deeper than max_depth={max_depth}")
-        path = scratch_path(spark, "flatten-pass")
-        nodes = (cur.select(id_col, "ord", F.explode(expand(F.col("_txt"), k)).alias("_n"))
-                 .select(id_col, F.concat(F.col("ord"), F.col("_n.p")).alias("ord"),
-                         F.col("_n.k").alias("_k"), F.col("_n.t").alias("_t"),
-                         F.col("_n.v").alias("_v"), F.size("_n.p").alias("_d")))
-        leaf = (F.col("_t") == "STRING") & F.startswith(F.col("_v"), F.lit(prefix))
-        frontier = (F.col("_t") == "OBJECT") & (F.col("_d") == k)
-        nodes.where(leaf | frontier).drop("_d").write.parquet(path)
-        done += k
-        level = spark.read.parquet(path)
-        passes.append(level.where(F.col("_t") == "STRING")
-                      .select(id_col, "ord", F.col("_k").alias(key_name),
-                              F.col("_v").alias(value_name)))
-        cur = (level.where(F.col("_t") == "OBJECT")
-               .select(id_col, "ord", F.col("_v").alias("_txt")))
-        if cur.isEmpty():
+        at = lambda c: F.concat(F.col("_ord"), F.col(f"{c}.p")).alias("_ord")
+        passes.append(cur.select(id_col, "_ord", F.explode("_leaf").alias("_l"))
+                      .select(id_col, at("_l"), F.col("_l.k").alias("_k"),
+                              F.col("_l.v").alias("_v")))
+        below = (cur.select(id_col, "_ord", F.explode("_deep").alias("_d"))
+                 .select(id_col, at("_d"), F.col("_d.v").alias("_txt")))
+        if below.isEmpty():
             return passes
+        cur = _walk(below, [id_col, "_ord"], prefix, per_pass)

@@ -11,14 +11,26 @@ from hypothesis import strategies as st
 from ferry.operators.nested import text_leaves
 
 
-def expected_leaves(obj, prefix="http"):
-    """Our own recursive definition: dict order, text leaves, objects only."""
+def expected_leaves(text, prefix="http"):
+    """The leaves by an explicit stack over parsed key/value pairs: objects
+    are lists of pairs here, repeated keys settled before they are walked."""
+    class Pairs(list):
+        pass
+
+    def settled(pairs):
+        last = dict(pairs)
+        return Pairs((k, last[k]) for k in dict.fromkeys(k for k, _ in pairs))
+
+    stack = [iter(json.loads(text, object_pairs_hook=settled))]
     out = []
-    for k, v in obj.items():
-        if isinstance(v, str) and v.startswith(prefix):
-            out.append((k, v))
-        elif isinstance(v, dict):
-            out.extend(expected_leaves(v, prefix))
+    while stack:
+        pair = next(stack[-1], None)
+        if pair is None:
+            stack.pop()
+        elif isinstance(pair[1], Pairs):
+            stack.append(iter(pair[1]))
+        elif isinstance(pair[1], str) and pair[1].startswith(prefix):
+            out.append(pair)
     return out
 
 
@@ -48,7 +60,7 @@ def test_drops_lists_numbers_nulls_upper_and_json_text(spark):
 def test_repeated_key_first_position_last_value(spark):
     doc = '{"s": {"a": "http://1", "b": "http://2", "a": "http://3"}}'
     assert run(spark, [doc], root="$.s") == {0: [("a", "http://3"), ("b", "http://2")]}
-    assert expected_leaves(json.loads(doc)["s"]) == [("a", "http://3"), ("b", "http://2")]
+    assert expected_leaves(doc[6:-1]) == [("a", "http://3"), ("b", "http://2")]
 
 
 def test_repeated_key_object_replaced_by_text(spark):
@@ -56,8 +68,10 @@ def test_repeated_key_object_replaced_by_text(spark):
     assert run(spark, [doc], root="$.s") == {0: [("a", "http://3"), ("b", "http://2")]}
 
 
-def test_missing_root_gives_no_rows(spark):
-    assert run(spark, ['{"other": {"a": "http://x"}}'], root="$.s") == {}
+@pytest.mark.parametrize("doc", ['{"other": {"a": "http://x"}}', '{"s": null}', '{}'])
+def test_missing_or_null_root_fails(spark, doc):
+    with pytest.raises(Exception):
+        run(spark, [doc], root="$.s")
 
 
 def test_malformed_document_fails(spark):
@@ -65,11 +79,11 @@ def test_malformed_document_fails(spark):
         run(spark, ['{"s": {"a": "http://x"'], root="$.s")
 
 
-def test_depth_limit_raises(spark):
-    doc = '{"a": {"b": {"c": {"d": "http://x"}}}}'
-    df = spark.createDataFrame([(0, doc)], "doc_id long, doc string")
-    with pytest.raises(ValueError):
-        text_leaves(df, "doc_id", "doc", max_depth=2)
+def test_any_depth(spark):
+    doc = '{"n": ' * 100 + '{"x": "http://deep"}' + ', "y": "http://up"}' * 100
+    got = run(spark, [doc, '{"x": "http://flat"}'])
+    assert got[0] == [("x", "http://deep")] + [("y", "http://up")] * 100
+    assert got[1] == [("x", "http://flat")]
 
 
 _keys = st.text(alphabet="abcdefgh-_", min_size=1, max_size=4)
@@ -84,7 +98,7 @@ _tree = st.recursive(_leaf, lambda kids: st.dictionaries(_keys, kids, max_size=4
 @given(st.lists(st.dictionaries(_keys, _tree, max_size=5), min_size=1, max_size=6))
 def test_matches_recursive_definition(spark, trees):
     docs = [json.dumps(t) for t in trees]
-    want = {i: expected_leaves(t) for i, t in enumerate(trees) if expected_leaves(t)}
+    want = {i: expected_leaves(t) for i, t in enumerate(docs) if expected_leaves(t)}
     assert run(spark, docs) == want
 
 
@@ -98,7 +112,7 @@ def test_pass_boundaries(spark, per_pass):
         node = node["n"]
     df = spark.createDataFrame([(0, json.dumps(tree))], "doc_id long, doc string")
     rows = text_leaves(df, "doc_id", "doc", levels_per_pass=per_pass).orderBy("leaf_pos").collect()
-    assert [(r.key, r.value) for r in rows] == expected_leaves(tree)
+    assert [(r.key, r.value) for r in rows] == expected_leaves(json.dumps(tree))
 
 
 def test_deep_root_path(spark):
@@ -112,5 +126,5 @@ def test_wide_object_with_repeated_keys(spark):
     pairs = [(f"k{rnd.randrange(3000)}", f"http://v/{i}") for i in range(5000)]
     pairs.insert(100, ("nested", {"a": "http://deep"}))
     text = "{" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}"
-    want = expected_leaves(json.loads(text))
+    want = expected_leaves(text)
     assert run(spark, [text]) == {0: want}
