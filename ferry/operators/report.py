@@ -32,20 +32,28 @@ def sheet_extent(df: DataFrame) -> DataFrame:
 
 def sheet_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str],
                anchor_column: str | None = None) -> DataFrame:
-    """Data rows placed on a sheet.
-
-    ``sheet_row`` is the 1-based sheet row (header is row 1); with
-    ``anchor_column`` (a column letter) ``anchor_cell`` names the cell an
-    image for that row is anchored to, e.g. ``D7``.
-    """
-    pos = with_ordinal(df.select(*keep), order_by)
-    row = (F.col("ordinal") + FIRST_DATA_ROW).alias("sheet_row")
-    cols = [row, *[F.col(c) for c in keep]]
+    """Data rows placed on a sheet (K5, W1, X10), in ``order_by`` order; see
+    :func:`placed` for rows that already carry their position."""
+    return placed(with_ordinal(df.select(*keep), order_by), keep, anchor_column)
+
+
+def placed(pos: DataFrame, keep: Sequence[str], anchor_column: str | None = None) -> DataFrame:
+    """Rows with an ``ordinal`` placed on a sheet: ``sheet_row`` is the 1-based
+    sheet row (header is row 1); with ``anchor_column`` (a column letter)
+    ``anchor_cell`` names the cell an image for that row is anchored to, e.g.
+    ``D7``."""
+    row = F.col("ordinal") + FIRST_DATA_ROW
+    cols = [row.alias("sheet_row"), *[F.col(c) for c in keep]]
     if anchor_column:
         cols.append(F.concat(F.lit(anchor_column), row.cast("string")).alias("anchor_cell"))
     return pos.select(*cols)
 
 
+def series(pos: DataFrame, value_columns: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Chart series of rows that already carry their ``ordinal``."""
+    return pos.unpivot(["ordinal", *carry], list(value_columns), "series", "value")
+
+
 def chart_series(df: DataFrame, order_by: Sequence[str], value_columns: Sequence[str],
                  carry: Sequence[str] = ()) -> DataFrame:
     """Sheet columns -> named chart series, one row per (point, series).
@@ -54,8 +62,7 @@ def chart_series(df: DataFrame, order_by: Sequence[str], value_columns: Sequence
     (``ordinal``, 0-based); ``carry`` columns (e.g. the date) ride along.
     The header cell names the series. NULL cells stay as NULL points.
     """
-    pos = with_ordinal(df, order_by)
-    return pos.unpivot(["ordinal", *carry], list(value_columns), "series", "value")
+    return series(with_ordinal(df, order_by), value_columns, carry)
 
 
 # ----------------------------------------------------------------------- HTML
@@ -78,16 +85,20 @@ def html_row(df: DataFrame, fields: Sequence[str], out: str = "row_html",
 
 def html_pages(rows: DataFrame, order_by: Sequence[str], page_rows: int,
                header: str, footer: str, row_col: str = "row_html") -> DataFrame:
-    """Ordered concatenation of rendered rows into documents (A3).
+    """One HTML document in pages: ordered concatenation of rendered rows (A3).
 
-    All rows are kept; they are cut into pages of ``page_rows`` so no
-    single value (and no single aggregation group) grows with the data.
-    Page ``p`` holds rows ``p*page_rows .. (p+1)*page_rows - 1`` in
-    ``order_by`` order; each page is a complete document.
+    All rows are kept; they are cut into pages of ``page_rows`` so no single
+    value (and no single aggregation group) grows with the data. Page ``p``
+    holds rows ``p*page_rows .. (p+1)*page_rows - 1`` in ``order_by`` order.
+    The first page opens with ``header`` and the last one ends with
+    ``footer``, so the pages put one after the other are the document.
     """
     pos = with_ordinal(rows, order_by)
     body = F.expr(f"listagg({row_col}, '') WITHIN GROUP (ORDER BY ordinal)")
-    return (pos.groupBy(F.expr(f"ordinal div {int(page_rows)}").alias("page_no"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), body.alias("_body"))
-            .select("page_no", "n_rows",
-                    F.concat(F.lit(header), F.col("_body"), F.lit(footer)).alias("html")))
+    pages = (pos.groupBy(F.expr(f"ordinal div {int(page_rows)}").alias("page_no"))
+             .agg(F.count(F.lit(1)).alias("n_rows"), body.alias("_body")))
+    last = pos.agg(F.expr(f"max(ordinal) div {int(page_rows)}")).scalar()
+    none = F.lit("")
+    return pages.select("page_no", "n_rows", F.concat(
+        F.when(F.col("page_no") == 0, F.lit(header)).otherwise(none), F.col("_body"),
+        F.when(F.col("page_no") == last, F.lit(footer)).otherwise(none)).alias("html"))

@@ -18,7 +18,6 @@ from __future__ import annotations
 import os
 import struct
 import threading
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -98,7 +97,7 @@ def photos_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         (pid % 10).alias("albumId"),
         pid.alias("id"),
-        F.substring("url", 1, 40).alias("title"),
+        F.col("url").alias("title"),
         F.col("url"),
         F.concat(F.col("url"), F.lit("/thumb")).alias("thumbnailUrl"),
         _case(pid % 5, PHOTO_CONTENT_TYPES).alias("content_type"))
@@ -106,7 +105,11 @@ def photos_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_staged("photos")
 def photos(spark: SparkSession, sf_dir: str, path: str) -> None:
-    photos_frame(spark, sf_dir).write.json(path)
+    """Records in an order in which the ids do not ascend, over four files
+    whose names follow that order."""
+    order = [(F.col("id") * 7919) % 10007, F.col("id")]
+    (photos_frame(spark, sf_dir).repartitionByRange(4, *order)
+     .sortWithinPartitions(*order).write.json(path))
 
 
 # ----------------------------------------------------------------------- users
@@ -130,13 +133,15 @@ def users_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_staged("users")
 def users(spark: SparkSession, sf_dir: str, path: str) -> None:
     """JSON lines. ``age`` is an absent field when unknown; ``disabled`` is an
-    explicit ``null`` -- both must read back as NULL."""
-    u = users_frame(spark, sf_dir)
+    explicit ``null`` -- both must read back as NULL. ``tag`` is a field that
+    no declared schema has."""
+    u = users_frame(spark, sf_dir).withColumn(
+        "tag", F.concat(F.lit("tag "), F.col("_id"), F.lit(' "x"')))
     keep_nulls = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
     with_age = F.to_json(F.struct("_id", "username", "name", "email", "clase", "age",
-                                  "disabled", "load_datetime"), keep_nulls)
+                                  "disabled", "load_datetime", "tag"), keep_nulls)
     no_age = F.to_json(F.struct("_id", "username", "name", "email", "clase",
-                                "disabled", "load_datetime"), keep_nulls)
+                                "disabled", "load_datetime", "tag"), keep_nulls)
     (u.select(F.when(F.col("age").isNull(), no_age).otherwise(with_age).alias("value"))
      .write.text(path))
 
@@ -155,7 +160,10 @@ def task_runs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("failed"))
         .otherwise(F.lit("success")).alias("state"),
         F.concat(F.lit("http://logs.example.com/"), F.col("event_id").cast("string"))
-        .alias("log_url"))
+        .alias("log_url"),
+        F.when((F.col("event_type") == "error") & (F.col("event_id") % 9 != 0),
+               F.concat(F.lit("ValueError: bad value "), (F.col("event_id") % 100).cast("string")))
+        .alias("exception"))
 
 
 @_staged("task_runs")
@@ -236,8 +244,8 @@ def png_bytes(width: int, height: int, rgb: tuple[int, int, int] = (200, 80, 40)
 
 def image_kind(page_id: int) -> str:
     """Which file a photo gets: five of eight decode, then one text file
-    named ``.png``, one empty file, one missing file."""
-    return ("png", "png", "png", "png", "png", "text", "empty", "missing")[page_id % 8]
+    named ``.png``, one empty file, and one HTML page (no ``.png``)."""
+    return ("png", "png", "png", "png", "png", "text", "empty", "html")[page_id % 8]
 
 
 def image_size(page_id: int) -> tuple[int, int]:
@@ -246,23 +254,19 @@ def image_size(page_id: int) -> tuple[int, int]:
 
 def _write_images(out_dir: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-        if "://" in out_dir:
-            fsys, base = pafs.FileSystem.from_uri(out_dir)
-        else:
-            fsys, base = pafs.LocalFileSystem(), out_dir.removeprefix("file:")
+        from ferry.sources.assets import file_system
+        fsys, base = file_system(out_dir)
         fsys.create_dir(base, recursive=True)
         for pdf in batches:
             names = []
             for pid in pdf["page_id"].tolist():
-                name = f"{pid}.png"
                 kind = image_kind(pid)
-                if kind != "missing":
-                    data = {"png": lambda: png_bytes(*image_size(pid)),
-                            "text": lambda: b"<html>not an image</html>",
-                            "empty": lambda: b""}[kind]()
-                    with fsys.open_output_stream(f"{base}/{name}") as f:
-                        f.write(data)
+                name = f"{pid}.html" if kind == "html" else f"{pid}.png"
+                data = {"png": lambda: png_bytes(*image_size(pid)),
+                        "text": lambda: b"not an image", "empty": lambda: b"",
+                        "html": lambda: b"<html>no image here</html>"}[kind]()
+                with fsys.open_output_stream(f"{base}/{name}") as f:
+                    f.write(data)
                 names.append(name)
             yield pd.DataFrame({"id": pdf["page_id"], "name": names})
     return run
@@ -271,45 +275,32 @@ def _write_images(out_dir: str):
 @_staged("images")
 def images(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``{path}/files``: one file per photo, written by the executors;
-    ``{path}/manifest``: ``id, name`` for every photo (missing ones too)."""
+    ``{path}/manifest``: ``id, name`` for every photo."""
     ship_package(spark)
     pages = table(spark, sf_dir, "pages").select("page_id")
     manifest = pages.mapInPandas(_write_images(f"{path}/files"), "id long, name string")
     manifest.write.parquet(f"{path}/manifest")
 
 
-# ------------------------------------------------------- embedded SQL database
+# ------------------------------------------------------- landed SQL tables
 
-@_staged("sql_database")
-def sql_database(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """An embedded in-memory Derby database (its jar ships with Spark; no
-    server, no port) holding ``EXPERIMENTS`` (= part) and ``USERS``.
-
-    It lives inside this JVM only: right for local mode and tests. On a
-    cluster the URL names the real database instead.
-    """
-    from ferry.sources.jdbc import write_table
-    url = f"jdbc:derby:memory:ferry_{uuid.uuid4().hex[:10]};create=true"
-    write_table(table(spark, sf_dir, "part"), url, "EXPERIMENTS", mode="overwrite")
-    write_table(users_frame(spark, sf_dir), url, "USERS", mode="overwrite")
-    return url
+@_staged("sql_tables")
+def sql_tables(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``{path}/EXPERIMENTS`` (= part) and ``{path}/USERS`` as Parquet tables
+    that every executor can read. (The JDBC reader itself is unit-tested on an
+    embedded database, which only its own process sees.)"""
+    table(spark, sf_dir, "part").write.parquet(f"{path}/EXPERIMENTS")
+    users_frame(spark, sf_dir).write.parquet(f"{path}/USERS")
 
 
 # ---------------------------------------------------------- task_runs stream
 
 @_staged("task_run_files")
 def task_run_files(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4) -> None:
-    """Task runs landed in ``chunks`` consecutive event-time ranges, one
-    write job per range, so file modification times follow event time (a
-    stream source then sees the ranges in that order). Each range keeps its
-    natural partitioning (many files, sorted by ``ts`` within each)."""
-    runs = task_runs_frame(spark, sf_dir)
-    lo, hi = runs.agg(F.min("ts"), F.max("ts")).first()
-    span = max((hi - lo).total_seconds(), 1.0)
-    secs = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - lo.timestamp()
-    chunk = F.least(F.floor(secs / span * chunks), F.lit(chunks - 1))
-    tagged = runs.withColumn("_chunk", chunk)
+    """Task runs landed in ``chunks`` jobs out of ``ts`` order: a run lands by
+    a hash of its id, so every key is spread over all landings and repeats
+    arrive after runs that are days younger."""
+    runs = task_runs_frame(spark, sf_dir).drop("exception")
+    tagged = runs.withColumn("_chunk", F.pmod(F.xxhash64("run_id"), F.lit(chunks)))
     for i in range(chunks):
-        (tagged.where(F.col("_chunk") == i).drop("_chunk")
-         .sortWithinPartitions("ts", "run_id")
-         .write.mode("append").parquet(path))
+        tagged.where(F.col("_chunk") == i).drop("_chunk").write.mode("append").parquet(path)

@@ -8,6 +8,8 @@ types match the Spark queries.
 
 from __future__ import annotations
 
+from ferry.operators.alerts import LAYOUTS, LINKS, SUBJECTS
+
 # ----------------------------------------------------------------- fixture CTEs
 
 DAILY_METRICS = """
@@ -28,7 +30,7 @@ PHOTOS = """
 photos AS (
   SELECT page_id % 10 AS albumId,
          page_id AS id,
-         substr(url, 1, 40) AS title,
+         url AS title,
          url,
          url || '/thumb' AS thumbnailUrl,
          CASE page_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg'
@@ -57,7 +59,9 @@ task_runs AS (
          'task_' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS VARCHAR) AS task_id,
          CAST(ts AS DATE) AS execution_date,
          CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS state,
-         'http://logs.example.com/' || CAST(event_id AS VARCHAR) AS log_url
+         'http://logs.example.com/' || CAST(event_id AS VARCHAR) AS log_url,
+         CASE WHEN event_type = 'error' AND event_id % 9 <> 0
+              THEN 'ValueError: bad value ' || CAST(event_id % 100 AS VARCHAR) END AS exception
   FROM events
 )"""
 
@@ -129,18 +133,23 @@ PY_ROW_HTML = """'<tr><td>' || coalesce(_id, 'None') || '</td><td>' || coalesce(
   || '</td><td>' || CASE WHEN disabled IS NULL THEN 'None' WHEN disabled THEN 'True' ELSE 'False' END
   || '</td></tr>'"""
 
-SUBJECT = "'Fallo en DAG: ' || dag_id || ', Task: ' || task_id"
 RECIPIENTS = "'ops@example.com, oncall@example.com'"
-PLAIN_BODY = """'<html><body><h3>Task failed</h3><p><b>DAG:</b> ' || dag_id
-  || '</p><p><b>Task:</b> ' || task_id
-  || '</p><p><b>Execution date:</b> ' || CAST(execution_date AS VARCHAR)
-  || '</p><p><b>Log:</b> <a href="' || log_url || '">' || log_url || '</a></p></body></html>'"""
-STYLED_BODY = """'<div style="font-family: sans-serif; color: #222;"><h2 style="color: #b00020;">Task failed</h2>'
-  || '<p style="color: #1a5fb4;"><b>DAG:</b> ' || dag_id || '</p>'
-  || '<p style="color: #1a5fb4;"><b>Task:</b> ' || task_id || '</p>'
-  || '<p style="color: #1a5fb4;"><b>Execution date:</b> ' || CAST(execution_date AS VARCHAR) || '</p>'
-  || '<p><a href="' || log_url || '" style="font-weight: bold;">Open the log</a></p>'
-  || '<hr/><p style="font-size: 12px;">Automated notice; do not reply.</p></div>'"""
+
+
+def _notice(style: str) -> str:
+    """Subject and body of a layout as SQL, from the same field lists."""
+    text, slots = SUBJECTS[style]
+    heading, fields = LAYOUTS[style]
+    as_text = {f: f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields}
+    rows = " || ".join(
+        f"""'<tr><th scope="row">{f}</th><td>'""" + (
+            f""" || '<a href="' || {as_text[f]} || '">' || {as_text[f]} || '</a>'"""
+            if f in LINKS else f" || {as_text[f]}") + " || '</td></tr>'"
+        for f in fields)
+    return f"""printf('{text}', {', '.join(slots)}) AS subject,
+       '<table class="notice notice-{style}"><caption>{heading}</caption>' || {rows} || '</table>'
+       AS body, {RECIPIENTS} AS recipients"""
+
 
 ORACLE["daily_report_series"] = _with(DAILY_METRICS, """
 p AS (SELECT row_number() OVER (ORDER BY d) - 1 AS ordinal, d AS date,
@@ -150,13 +159,33 @@ SELECT ordinal, date, 'positive' AS series, positive AS value FROM p
 UNION ALL SELECT ordinal, date, 'death', death FROM p
 UNION ALL SELECT ordinal, date, 'hospitalizedCurrently', hospitalizedCurrently FROM p"""
 
-ORACLE["photos_sheet"] = _with(PHOTOS) + """
-SELECT row_number() OVER (ORDER BY id) + 1 AS sheet_row, id, title,
-       'D' || CAST(row_number() OVER (ORDER BY id) + 1 AS VARCHAR) AS anchor_cell
+# Position in the payload, whose ids do not ascend (see the photos fixture).
+PAYLOAD = "row_number() OVER (ORDER BY (id * 7919) % 10007, id)"
+
+ORACLE["photos_sheet"] = _with(PHOTOS) + f"""
+SELECT {PAYLOAD} + 1 AS sheet_row, id, title,
+       'D' || CAST({PAYLOAD} + 1 AS VARCHAR) AS anchor_cell
 FROM photos"""
 
-ORACLE["photos_series"] = _with(PHOTOS) + """
-SELECT row_number() OVER (ORDER BY id) - 1 AS ordinal, 'id' AS series, id AS value FROM photos"""
+ORACLE["photos_series"] = _with(PHOTOS) + f"""
+SELECT {PAYLOAD} - 1 AS ordinal, 'id' AS series, id AS value FROM photos"""
+
+# What fetching a photo's image gives, by page_id % 8: five of eight decode,
+# one is a text file named .png, one is empty, one is an HTML page.
+PHOTO_STATUS = """CASE WHEN id % 8 < 5 THEN 'ok' WHEN id % 8 = 7 THEN 'not_image'
+              ELSE 'unidentified' END"""
+
+ORACLE["photos_assets_sheet"] = _with(PHOTOS) + f"""
+SELECT sheet_row, id, title, status,
+       CASE WHEN status = 'ok' THEN CAST(1 + id % 7 AS INTEGER) END AS width,
+       CASE WHEN status = 'ok' THEN CAST(1 + id % 5 AS INTEGER) END AS height,
+       status <> 'ok' AS is_placeholder, 'D' || CAST(sheet_row AS VARCHAR) AS anchor_cell
+FROM (SELECT {PAYLOAD} + 1 AS sheet_row, id, title, {PHOTO_STATUS} AS status FROM photos) p"""
+
+ORACLE["daily_report_sheet"] = _with(DAILY_METRICS) + """
+SELECT row_number() OVER (ORDER BY d) + 1 AS sheet_row, d AS date,
+       positive, death, hospitalizedCurrently
+FROM (SELECT strptime(CAST(date AS VARCHAR), '%Y%m%d') AS d, * EXCLUDE (date) FROM daily_metrics) x"""
 
 ORACLE["asset_status"] = _with(PHOTOS) + """
 SELECT id, content_type,
@@ -165,16 +194,8 @@ SELECT id, content_type,
             ELSE 'https://placeholder.example.com/150.png' END AS asset_url
 FROM photos"""
 
+# Landed files: the one empty file is there and cannot be identified.
 ORACLE["image_audit"] = """
-SELECT page_id AS id,
-       CASE WHEN page_id % 8 < 5 THEN 'ok' WHEN page_id % 8 = 5 THEN 'unidentified'
-            ELSE 'missing' END AS status,
-       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 7 AS INTEGER) END AS width,
-       CASE WHEN page_id % 8 < 5 THEN CAST(1 + page_id % 5 AS INTEGER) END AS height,
-       page_id % 8 >= 5 AS is_placeholder
-FROM pages"""
-
-ORACLE["asset_fetch_audit"] = """
 SELECT page_id AS id,
        CASE WHEN page_id % 8 = 7 THEN 'missing' WHEN page_id % 8 IN (5, 6) THEN 'unidentified'
             ELSE 'ok' END AS status,
@@ -183,6 +204,12 @@ SELECT page_id AS id,
        page_id % 8 >= 5 AS is_placeholder
 FROM pages"""
 
+ORACLE["asset_fetch_audit"] = _with(PHOTOS) + f"""
+SELECT id, status, CASE WHEN status = 'ok' THEN CAST(1 + id % 7 AS INTEGER) END AS width,
+       CASE WHEN status = 'ok' THEN CAST(1 + id % 5 AS INTEGER) END AS height,
+       status <> 'ok' AS is_placeholder
+FROM (SELECT id, {PHOTO_STATUS} AS status FROM photos) p"""
+
 ORACLE["sprite_urls"] = _with(ASSET_TREES, SPRITE_LEAVES) + """
 SELECT doc_id, leaf_pos, sprite_name, sprite_url FROM sprite_leaves"""
 
@@ -195,6 +222,11 @@ ORACLE["table_extract"] = "SELECT * FROM part"
 
 ORACLE["csv_roundtrip"] = "SELECT * FROM part"
 
+ORACLE["csv_documents"] = """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '  ' || text || '	' WHEN 1 THEN '"' || text || '", x'
+       WHEN 2 THEN NULL ELSE text END AS text, lang, source, n_chars
+FROM documents"""
+
 ORACLE["insert_select_limit"] = """
 SELECT embedding AS coordenadas FROM embeddings ORDER BY vec_id LIMIT 1"""
 
@@ -215,9 +247,11 @@ FROM orders"""
 
 ORACLE["users_json_rows"] = _with(USERS) + """
 SELECT _id,
-       8 - CAST(age IS NULL AS INTEGER) - CAST(disabled IS NULL AS INTEGER) AS n_fields,
+       9 - CAST(age IS NULL AS INTEGER) AS n_fields,
        CAST(age AS VARCHAR) AS age_text,
-       CASE WHEN disabled THEN 'true' WHEN NOT disabled THEN 'false' END AS disabled_text
+       CASE WHEN disabled THEN 'true' WHEN NOT disabled THEN 'false' END AS disabled_text,
+       disabled IS NULL AS disabled_is_null,
+       'tag ' || _id || ' "x"' AS undeclared
 FROM users"""
 
 ORACLE["users_html_rows"] = _with(USERS) + f"""
@@ -229,11 +263,14 @@ def _users_html_doc() -> str:
     head = USERS_DOC_HEAD.replace("'", "''")
     tail = USERS_DOC_TAIL.replace("'", "''")
     return _with(USERS, f"""
-r AS (SELECT {PY_ROW_HTML} AS row_html,
-             row_number() OVER (ORDER BY _id) - 1 AS ordinal FROM users)""") + f"""
+r AS (SELECT {PY_ROW_HTML} AS row_html, row_number() OVER (ORDER BY _id) - 1 AS ordinal,
+             COUNT(*) OVER () AS n FROM users)""") + f"""
 SELECT ordinal // {USERS_PAGE_ROWS} AS page_no, COUNT(*) AS n_rows,
-       '{head}' || string_agg(row_html, '' ORDER BY ordinal) || '{tail}' AS html
-FROM r GROUP BY 1"""
+       CASE WHEN ordinal // {USERS_PAGE_ROWS} = 0 THEN '{head}' ELSE '' END
+       || string_agg(row_html, '' ORDER BY ordinal)
+       || CASE WHEN ordinal // {USERS_PAGE_ROWS} = (any_value(n) - 1) // {USERS_PAGE_ROWS}
+          THEN '{tail}' ELSE '' END AS html
+FROM r GROUP BY ordinal // {USERS_PAGE_ROWS}"""
 
 
 ORACLE["users_html_doc"] = _users_html_doc()
@@ -243,13 +280,15 @@ SELECT row_number() OVER (ORDER BY id) - 1 AS row_label, id, title, url, thumbna
 FROM photos"""
 
 ORACLE["failure_alerts"] = _with(TASK_RUNS) + f"""
-SELECT run_id, dag_id, task_id, execution_date, {SUBJECT} AS subject,
-       {PLAIN_BODY} AS body, {RECIPIENTS} AS recipients
+SELECT run_id, dag_id, task_id, execution_date, {_notice("plain")}
+FROM task_runs WHERE state = 'failed'"""
+
+ORACLE["failure_alerts_exception"] = _with(TASK_RUNS) + f"""
+SELECT run_id, dag_id, task_id, execution_date, {_notice("exception")}
 FROM task_runs WHERE state = 'failed'"""
 
 ORACLE["first_failure"] = _with(TASK_RUNS) + f"""
-SELECT run_id, dag_id, task_id, execution_date, ts AS first_ts, n_failures,
-       {SUBJECT} AS subject, {STYLED_BODY} AS body, {RECIPIENTS} AS recipients
+SELECT run_id, dag_id, task_id, execution_date, ts AS first_ts, n_failures, {_notice("styled")}
 FROM (SELECT *,
              row_number() OVER (PARTITION BY dag_id, task_id, execution_date
                                 ORDER BY ts, run_id) AS rn,
@@ -257,14 +296,7 @@ FROM (SELECT *,
       FROM task_runs WHERE state = 'failed') f
 WHERE rn = 1"""
 
-ORACLE["first_failure_stream"] = _with(TASK_RUNS) + f"""
-SELECT run_id, dag_id, task_id, execution_date, ts AS first_ts, {SUBJECT} AS subject
-FROM (SELECT *,
-             row_number() OVER (PARTITION BY dag_id, task_id, execution_date
-                                ORDER BY ts, run_id) AS rn
-      FROM task_runs WHERE state = 'failed') f
-WHERE rn = 1"""
-
-ORACLE["first_failure_watermark"] = _with(TASK_RUNS) + f"""
-SELECT DISTINCT dag_id, task_id, execution_date, {SUBJECT} AS subject
+ORACLE["first_failure_stream"] = _with(TASK_RUNS) + """
+SELECT DISTINCT dag_id, task_id, execution_date,
+       printf('Fallo en DAG: %s, Task: %s', dag_id, task_id) AS subject
 FROM task_runs WHERE state = 'failed'"""

@@ -7,7 +7,6 @@ Column names match ``ferry.plans.oracle``.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +18,18 @@ from ferry.operators import handoff as H
 from ferry.operators import project as P
 from ferry.operators import report as R
 from ferry.operators.nested import text_leaves
+from ferry.operators.ordinal import with_payload_ordinal
 from ferry.plans import fixtures as fx
 from ferry.session import scratch_path
-from ferry.sinks.files import json_lines, read_csv, write_csv
+from ferry.sinks.files import document_lines, read_csv, write_csv, write_lines, write_report_table
 from ferry.sinks.handover import write_column_json
 from ferry.sinks.tables import create_table, insert_select
-from ferry.sources import jdbc
-from ferry.sources.assets import fetch_urls, read_image_sizes
+from ferry.sources.assets import fetch_urls, with_image_sizes
 from ferry.sources.handover import read_column_json
 from ferry.sources.json_http import read_json_http
-from ferry.sources.json_records import read_documents, read_json_records
-from ferry.streaming.first_failure import run_first_failure_batches, run_first_failure_stream
+from ferry.sources.json_records import (payload_positions, read_documents, read_json_records,
+                                        read_whole_documents)
+from ferry.streaming.first_failure import run_first_failure_batches
 
 # Declared schemas of the staged payloads (no inference pass).
 DAILY_SCHEMA = ("date INT, positive BIGINT, death BIGINT, hospitalizedCurrently BIGINT, "
@@ -63,10 +63,24 @@ def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_report_http(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 (live): the same report, its payload fetched through the
-    ``json_http`` data source -- one input partition per URL, fetched on the
-    executors. URLs are the staged files as ``file://`` (no network here)."""
+    ``json_http`` data source -- one input partition per URL, fetched once on
+    the executors and landed before the sort. URLs are the staged files here
+    (no network), opened through their own file system."""
     urls = sorted(spark.read.text(fx.daily_metrics(spark, sf_dir)).inputFiles())
-    return daily_table(read_json_http(spark, urls, DAILY_SCHEMA, layout="lines"))
+    return daily_table(read_json_http(spark, urls, DAILY_SCHEMA, layout="lines",
+                                      required=DAILY_COLUMNS))
+
+
+def daily_report_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the four columns of the report on a sheet, written and read back."""
+    t = daily_table(daily_records(spark, sf_dir), sort=False)
+    return written_sheet(spark, R.sheet_rows(t, ["date"], DAILY_COLUMNS))
+
+
+def written_sheet(spark: SparkSession, sheet: DataFrame) -> DataFrame:
+    """Write a sheet table and read the written report back."""
+    path = write_report_table(sheet, scratch_path(spark, "sheet"))
+    return read_csv(spark, path, sheet.schema)
 
 
 def daily_report_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,15 +118,41 @@ def daily_report_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                           carry=["date"])
 
 
+def photos_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Photo records with their position in the payload (``ordinal``)."""
+    return with_payload_ordinal(payload_positions(photo_records(spark, sf_dir)))
+
+
 def photos_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, title`` on the sheet, image anchored in column D."""
-    return R.sheet_rows(photo_records(spark, sf_dir), ["id"], ["id", "title"],
-                        anchor_column="D")
+    """``id, title`` on the sheet in payload order, image anchored
+    in column D; written and read back."""
+    return written_sheet(spark, R.placed(photos_in_order(spark, sf_dir), ["id", "title"], "D"))
+
+
+def photos_assets_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The photo sheet with each row's fetched image: its
+    status and size, the placeholder where it is none, and the anchor; written
+    and read back. An image shared by many rows is fetched once."""
+    rows = R.placed(photos_in_order(spark, sf_dir), ["id", "title"], "D")
+    urls = photo_urls(spark, sf_dir)
+    audit = S.audit_fetched(urls, fetch_urls(urls, "url", measure_image=True), "url")
+    sheet = rows.join(audit, "id").select(
+        "sheet_row", "id", "title", "status", "width", "height",
+        (F.col("asset") != F.col("url")).alias("is_placeholder"), "anchor_cell")
+    return written_sheet(spark, sheet)
+
+
+def photo_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, url`` of every photo's image: the staged files here (no
+    network); ``http(s)://`` URLs go the same way."""
+    root = fx.images(spark, sf_dir)
+    return spark.read.parquet(f"{root}/manifest").select(
+        "id", F.concat(F.lit(f"{root}/files/"), F.col("name")).alias("url"))
 
 
 def photos_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numeric ``id`` column as a chart series, x = row position."""
-    return R.chart_series(photo_records(spark, sf_dir).select("id"), ["id"], ["id"])
+    """The numeric ``id`` column as a chart series, x = payload position."""
+    return R.series(photos_in_order(spark, sf_dir).select("id", "ordinal"), ["id"])
 
 
 def asset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,25 +163,22 @@ def asset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each landed image's size from its header, or a placeholder."""
+    """Each landed image's size from its header, or a placeholder.
+    The manifest names ``<id>.png`` for every photo; one of eight is not there."""
     root = fx.images(spark, sf_dir)
-    manifest = spark.read.parquet(f"{root}/manifest")
-    sizes = read_image_sizes(spark, f"{root}/files")
-    audit = S.audit_images(manifest, sizes)
+    manifest = spark.read.parquet(f"{root}/manifest").select(
+        "id", F.concat(F.col("id").cast("string"), F.lit(".png")).alias("name"))
+    sizes = with_image_sizes(manifest, F.concat(F.lit(f"{root}/files/"), F.col("name")))
+    audit = S.audit_images(sizes, ["id", "name"], "name")
     return audit.select("id", "status", "width", "height",
                         (F.col("asset") != F.col("name")).alias("is_placeholder"))
 
 
 def asset_fetch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 (live) F3 F4 J2: fetch each photo's URL on the executors, check
-    content type and bytes, placeholder otherwise. URLs are ``file://`` here
-    (no network); the same code takes ``http(s)://``."""
-    root = fx.images(spark, sf_dir)
-    manifest = spark.read.parquet(f"{root}/manifest")
-    base = "file://" + os.path.abspath(f"{root}/files".removeprefix("file:")) + "/"
-    rows = manifest.select("id", F.concat(F.lit(base), F.col("name")).alias("url"))
-    fetched = fetch_urls(rows, "url", measure_image=True)
-    audit = S.audit_fetched(rows, fetched, "url")
+    content type and bytes, placeholder otherwise."""
+    rows = photo_urls(spark, sf_dir)
+    audit = S.audit_fetched(rows, fetch_urls(rows, "url", measure_image=True), "url")
     return audit.select("id", "status", "width", "height",
                         (F.col("asset") != F.col("url")).alias("is_placeholder"))
 
@@ -173,10 +210,9 @@ def sprite_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- SQL sources
 
 def table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: ``SELECT *`` of a SQL table, read in 8 parallel range queries."""
-    url = fx.sql_database(spark, sf_dir)
-    return jdbc.read_table(spark, url, "EXPERIMENTS", partition_column="p_partkey",
-                           num_partitions=8)
+    """S3: ``SELECT *`` of a SQL table; splits follow its size."""
+    return spark.sql("SELECT * FROM {experiments}", experiments=spark.read.parquet(
+        f"{fx.sql_tables(spark, sf_dir)}/EXPERIMENTS"))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,22 +222,36 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, part.schema)
 
 
+def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 K2 over free text: padded, quoted, multi-line and null cells."""
+    d = fx.table(spark, sf_dir, "documents")
+    k, text = F.col("doc_id") % 5, F.col("text")
+    odd = (F.when(k == 0, F.concat(F.lit("  "), text, F.lit("\t")))
+           .when(k == 1, F.concat(F.lit('"'), text, F.lit('", x')))
+           .when(k == 2, F.lit(None)).otherwise(text))
+    odd_docs = d.withColumn("text", odd)
+    path = write_csv(odd_docs, scratch_path(spark, "csv"))
+    return read_csv(spark, path, odd_docs.schema)
+
+
 def insert_select_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``INSERT INTO target SELECT coordenadas ... LIMIT 1``."""
+    """``INSERT INTO target SELECT coordenadas ... LIMIT 1``. The
+    catalog entry goes again; what is returned reads the table's files."""
     src = spark.read.parquet(fx.trajectories(spark, sf_dir))
-    target = f"comprobar_trayectorias_{uuid.uuid4().hex[:8]}"
-    create_table(spark, target, "coordenadas ARRAY<FLOAT>", scratch_path(spark, "target"))
-    insert_select(spark, target, src, ["coordenadas"], order_by=["vec_id"], limit=1)
-    return spark.table(target)
+    target = f"ferry_insert_{uuid.uuid4().hex[:8]}"
+    location = scratch_path(spark, "target")
+    create_table(spark, target, "coordenadas ARRAY<FLOAT>", location)
+    try:
+        insert_select(spark, target, src, ["coordenadas"], order_by=["vec_id"], limit=1)
+        schema = spark.table(target).schema
+    finally:
+        spark.sql(f"DROP TABLE {target}")  # external: the files stay
+    return spark.read.schema(schema).parquet(location)
 
 
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: ``max(load_datetime)``, computed inside the database."""
-    url = fx.sql_database(spark, sf_dir)
-    # Spark keeps one catalog instance per name, so one name per database.
-    name = "ferry_" + url.split("memory:")[-1].split(";")[0]
-    cat = jdbc.register_catalog(spark, name, url, preferTimestampNTZ="true")
-    users = spark.table(f"{cat}.APP.USERS")
+    """A1: ``max(load_datetime)`` of a SQL table."""
+    users = spark.read.parquet(f"{fx.sql_tables(spark, sf_dir)}/USERS")
     return H.high_water_mark(users, "load_datetime")
 
 
@@ -229,13 +279,20 @@ RUN_PARAMETERS = {"ds": "2024-01-10", "bucket": "bucket", "version": 2}
 # ------------------------------------------------------------------- users, HTML
 
 def users_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: one JSON line per document; fields re-extracted to check it."""
-    lines = json_lines(user_documents(spark, sf_dir), keep=["_id"])
-    return lines.select(
-        "_id",
-        F.size(F.json_object_keys("line")).alias("n_fields"),
-        F.get_json_object("line", "$.age").alias("age_text"),
-        F.get_json_object("line", "$.disabled").alias("disabled_text"))
+    """Whole documents written as one JSON line each, explicit nulls and
+    undeclared fields included; read back and fields taken out to check it."""
+    docs = read_whole_documents(spark, fx.users(spark, sf_dir))
+    path = write_lines(document_lines(docs), scratch_path(spark, "lines"))
+    line = F.col("value")
+    return spark.read.text(path).select(
+        F.get_json_object(line, "$._id").alias("_id"),
+        F.size(F.json_object_keys(line)).alias("n_fields"),
+        F.get_json_object(line, "$.age").alias("age_text"),
+        F.get_json_object(line, "$.disabled").alias("disabled_text"),
+        F.coalesce(F.is_variant_null(F.try_variant_get(F.parse_json(line), "$.disabled",
+                                                       "variant")), F.lit(False))
+        .alias("disabled_is_null"),
+        F.get_json_object(line, "$.tag").alias("undeclared"))
 
 
 def users_html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +310,7 @@ USERS_PAGE_ROWS = 100
 
 
 def users_html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: rendered rows concatenated in ``_id`` order, in pages of 100."""
+    """A3: one document, rendered rows in ``_id`` order, in pages of 100."""
     rows = users_html_rows(spark, sf_dir)
     return R.html_pages(rows, ["_id"], USERS_PAGE_ROWS, USERS_DOC_HEAD, USERS_DOC_TAIL)
 
@@ -269,25 +326,21 @@ def failure_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.failure_notices(task_run_table(spark, sf_dir), style="plain")
 
 
+def failure_alerts_exception(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout that reports the exception text."""
+    return A.failure_notices(task_run_table(spark, sf_dir), style="exception")
+
+
 def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A notice only for the first failure of each task and date."""
     return A.first_failures(task_run_table(spark, sf_dir), style="styled")
 
 
 def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on a stream of landed run files, one notice per key ever
-    (``foreachBatch``: batch aggregate + anti-join, idempotent per batch)."""
+    """The same on a stream of landed run files, one notice per key ever,
+    for any landing order and batch size."""
     src = fx.task_run_files(spark, sf_dir)
     out = run_first_failure_batches(spark, src, scratch_path(spark, "notices"))
-    return out.select("run_id", "dag_id", "task_id", "execution_date", "first_ts", "subject")
-
-
-def first_failure_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R3 as a pure streaming operator: watermark (1 day) + salted
-    ``dropDuplicatesWithinWatermark``; which run wins inside a micro-batch is
-    arrival order, so keys and subjects are returned."""
-    src = fx.task_run_files(spark, sf_dir)
-    out = run_first_failure_stream(spark, src, scratch_path(spark, "notices-wm"))
     return out.select("dag_id", "task_id", "execution_date", "subject")
 
 
@@ -295,10 +348,12 @@ QUERIES = {
     "daily_report": daily_report,
     "daily_report_http": daily_report_http,
     "daily_report_series": daily_report_series,
+    "daily_report_sheet": daily_report_sheet,
     "daily_report_rowcount": daily_report_rowcount,
     "photos_projection": photos_projection,
     "photos_sheet": photos_sheet,
     "photos_series": photos_series,
+    "photos_assets_sheet": photos_assets_sheet,
     "asset_status": asset_status,
     "image_audit": image_audit,
     "asset_fetch_audit": asset_fetch_audit,
@@ -306,6 +361,7 @@ QUERIES = {
     "sprite_sheet": sprite_sheet,
     "table_extract": table_extract,
     "csv_roundtrip": csv_roundtrip,
+    "csv_documents": csv_documents,
     "insert_select_limit": insert_select_limit,
     "high_water_mark": high_water_mark,
     "high_water_mark_handoff": high_water_mark_handoff,
@@ -315,8 +371,8 @@ QUERIES = {
     "users_html_doc": users_html_doc,
     "interchange_roundtrip": interchange_roundtrip,
     "failure_alerts": failure_alerts,
+    "failure_alerts_exception": failure_alerts_exception,
     "first_failure": first_failure,
     "first_failure_stream": first_failure_stream,
-    "first_failure_watermark": first_failure_watermark,
     "run_date_tag": run_date_tag,
 }

@@ -13,6 +13,7 @@ import tempfile
 import threading
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -24,11 +25,18 @@ def build_session(master: str | None = None, app: str = "ferry",
     ANSI mode stays on (bad dates and bad casts fail the job, as the
     reference's steps do), AQE re-plans shuffles at runtime and coalesces
     small partitions, and the session clock is UTC so ``timestamp_ntz``
-    values and ``timestamp`` watermarks agree.
+    values and ``timestamp`` watermarks agree. Master and shuffle partitions
+    come from the environment (``spark-submit``); without one, local mode with
+    two partitions per core.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = (SparkSession.builder
-         .master(master or f"local[{cpus}]")
+    b = SparkSession.builder
+    if master or not _environment_has("spark.master"):
+        b = b.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        if not shuffle_partitions:
+            shuffle_partitions = int(os.environ.get("BENCH_CPUS", "8")) * 2
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b
          .appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -41,9 +49,7 @@ def build_session(master: str | None = None, app: str = "ferry",
          # Streaming state in RocksDB: off-heap, spills to local disk, and
          # checkpoints incrementally, so large dedup state is not on the heap.
          .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-         .config("spark.sql.shuffle.partitions",
-                 str(shuffle_partitions or int(cpus) * 2)))
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -51,23 +57,46 @@ def build_session(master: str | None = None, app: str = "ferry",
     return spark
 
 
+def _environment_has(key: str) -> bool:
+    """Whether spark-submit or the defaults file sets ``key``."""
+    SparkContext._ensure_initialized()  # the JVM knows both
+    return SparkConf().contains(key)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint dir already set on
-    the context). If neither is set, register a fresh local folder: that is
-    the test / single-machine case only.
+    the context). Without either, a local session registers a fresh local
+    folder; on a cluster that would scatter the data over separate disks, so
+    there it is an error.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ferry-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, through the path's file system."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     return f"{scratch_root(spark)}/ferry/{name}-{uuid.uuid4().hex[:12]}"

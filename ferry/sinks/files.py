@@ -11,13 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.operators.project import quoted
+
 # CSV as a dataframe library writes it: header, no row label, an empty
-# field for both NULL and empty text, quotes doubled inside quoted fields.
+# field for both NULL and empty text, quotes doubled inside quoted fields,
+# white space kept.
 CSV_OPTIONS = {
     "header": "true",
     "emptyValue": "",
     "nullValue": "",
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 
@@ -26,7 +31,7 @@ def _csv_text(df: DataFrame) -> DataFrame:
     00:00:07.179575`` (fraction only when present, never dropped)."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = quoted(f.name)
         if isinstance(f.dataType, T.BooleanType):
             c = F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -41,10 +46,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> s
     return path
 
 
-def read_csv(spark, path: str, schema, **options) -> DataFrame:
-    """Read back what :func:`write_csv` wrote, with a declared schema."""
+def read_csv(spark, path: str, schema, multi_line: bool = True, **options) -> DataFrame:
+    """Read back what :func:`write_csv` wrote, with a declared schema.
+
+    A cell may hold line breaks, so a file is read as a whole by one task (the
+    writer makes one file per partition). ``multi_line=False`` splits files,
+    for tables known to hold no line break; a broken record then fails.
+    """
     return (spark.read.schema(schema).options(**{**CSV_OPTIONS, **options})
-            .option("mode", "FAILFAST").csv(path))
+            .option("multiLine", multi_line).option("mode", "FAILFAST").csv(path))
 
 
 def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -54,12 +64,16 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> str
 
 
 def json_lines(df: DataFrame, keep=(), out: str = "line") -> DataFrame:
-    """Each row as one JSON text (K6: one log line per document).
+    """Each row as one JSON text (K6: one log line per document), NULL columns
+    as explicit nulls."""
+    return df.select(*[quoted(k) for k in keep],
+                     F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(out))
 
-    NULL fields are left out of the text, as a document store leaves out
-    fields a document does not have.
-    """
-    return df.select(*[F.col(k) for k in keep], F.to_json(F.struct("*")).alias(out))
+
+def document_lines(docs: DataFrame, doc: str = "doc", out: str = "line") -> DataFrame:
+    """Each whole document (a ``VARIANT``) as one JSON text: every field it
+    has, explicit nulls included, and no others."""
+    return docs.select(F.to_json(quoted(doc)).alias(out))
 
 
 def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "overwrite") -> str:

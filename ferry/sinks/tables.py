@@ -15,9 +15,13 @@ def create_table(spark: SparkSession, name: str, ddl: str, location: str,
     return name
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def insert_select(spark: SparkSession, target: str, source: DataFrame,
                   columns: Sequence[str], order_by: Sequence[str] = (),
-                  limit: int | None = None) -> None:
+                  limit: int | None = None, descending: bool = False) -> None:
     """``INSERT INTO target SELECT columns FROM source [ORDER BY ..] [LIMIT n]``.
 
     With ``limit`` and a key, Spark plans a per-partition top-n and a
@@ -27,9 +31,10 @@ def insert_select(spark: SparkSession, target: str, source: DataFrame,
     view = f"_ferry_src_{uuid.uuid4().hex[:8]}"
     source.createOrReplaceTempView(view)
     try:
-        sql = f"INSERT INTO {target} SELECT {', '.join(columns)} FROM {view}"
+        sql = f"INSERT INTO {target} SELECT {', '.join(map(_name, columns))} FROM {view}"
         if order_by:
-            sql += f" ORDER BY {', '.join(order_by)}"
+            way = " DESC" if descending else ""
+            sql += f" ORDER BY {', '.join(_name(c) + way for c in order_by)}"
         if limit is not None:
             sql += f" LIMIT {int(limit)}"
         spark.sql(sql)

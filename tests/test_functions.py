@@ -74,7 +74,7 @@ def test_insert_select_unordered_limit(spark):
     name = f"t_{uuid.uuid4().hex[:8]}"
     create_table(spark, name, "id BIGINT", scratch_path(spark, "t"))
     insert_select(spark, name, spark.range(0, 50), ["id"], limit=1)
-    insert_select(spark, name, spark.range(0, 50), ["id"], order_by=["id DESC"], limit=2)
+    insert_select(spark, name, spark.range(0, 50), ["id"], order_by=["id"], descending=True, limit=2)
     assert sorted(r.id for r in spark.table(name).collect())[1:] == [48, 49]
 
 

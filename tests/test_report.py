@@ -58,8 +58,24 @@ def test_html_pages_keep_every_row_in_order(spark):
                                     F.format_string("<r%d>", "id").alias("row_html"))
     pages = sorted(html_pages(df, ["k"], 100, "<h>", "</h>").collect())
     assert [(p.page_no, p.n_rows) for p in pages] == [(0, 100), (1, 100), (2, 50)]
-    body = "".join(p.html[3:-4] for p in pages)
-    assert body == "".join(f"<r{i}>" for i in range(250))
+    # The pages, one after the other, are one document.
+    assert "".join(p.html for p in pages) == (
+        "<h>" + "".join(f"<r{i}>" for i in range(250)) + "</h>")
+
+
+def test_payload_ordinal_follows_the_payload(spark, tmp_dir):
+    import json
+    import os
+
+    from ferry.operators.ordinal import with_payload_ordinal
+    from ferry.sources.json_records import payload_positions, read_json_records
+    ids = [7, 3, 9, 1, 4, 4, 0]
+    for k, part in enumerate((ids[:3], ids[3:5], ids[5:])):
+        with open(os.path.join(tmp_dir, f"part-{k}.json"), "w") as f:
+            f.write("".join(json.dumps({"id": i}) + "\n" for i in part))
+    df = read_json_records(spark, tmp_dir, "id long")
+    got = sorted(with_payload_ordinal(payload_positions(df)).collect(), key=lambda r: r.ordinal)
+    assert [(r.ordinal, r.id) for r in got] == list(enumerate(ids))
 
 
 def test_ordinal_spreads_a_hot_key(spark):
