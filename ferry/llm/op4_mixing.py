@@ -2,9 +2,10 @@
 
 Source ``s`` with token share ``p`` gets weight ``p ** a / sum(p ** a)``. The
 exponent ``a`` in [0, 1] is bisected: it is the largest one whose weights have
-at least the target entropy (a fraction of the entropy of equal weights), and
+at least the target entropy (a fraction of the entropy of equal weights), but
 not below the one at which the most repeated source reaches the repetition
-limit. Every bisection round is one aggregate over the source table that
+limit; with a limit alone it is that one, with neither 1 (the shares as they
+are). Every bisection round is one aggregate over the source table that
 evaluates a grid of exponents, so the table is never collected.
 
 The weights are realised as block permutations under a token budget: a source
@@ -85,7 +86,10 @@ def mixing_weights(sizes: DataFrame, target_entropy: float | None = None,
         return sizes.withColumns({"weight": F.lit(0.0), "quota": F.lit(0).cast("long"),
                                   "whole": F.lit(1).cast("long"), "rest": F.lit(0).cast("long")})
     shares = sizes.filter("tokens > 0").select((F.col("tokens") / F.lit(float(total.t))).alias("p"))
-    a = 1.0
+    if target_entropy is None and max_repetition is None:
+        a = 1.0
+    else:
+        a = 0.0
     if target_entropy is not None:
         aim = target_entropy * math.log(total.n) - 1e-12
         a = _bisect(shares, lambda x, r: math.log(r.z) - x * r.e / r.z >= aim)

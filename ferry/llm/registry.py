@@ -19,7 +19,7 @@ from ferry.llm.op5_sentencepiece import encode_documents
 from ferry.llm.op6_pii import personal_data
 from ferry.llm.op7_minhash import near_duplicates
 from ferry.llm.op8_records import read_records, write_records
-from ferry.llm.op9_license import license_scan
+from ferry.llm.op9_license import NOISE, RULES, SENTENCE_BREAK, SENTENCES, license_scan
 from ferry.llm.op10_lines import line_report
 
 # Production parameters of the mix, and the id that ends a document.
@@ -125,6 +125,82 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+OP4_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+  FROM documents),
+src AS (
+  SELECT source, sum(tokens)::DOUBLE AS tokens, sum(sum(tokens)) OVER ()::DOUBLE AS total
+  FROM d GROUP BY source),
+share AS (SELECT tokens / total AS p FROM src WHERE tokens > 0),
+bisect(i, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN h >= aim THEN mid ELSE lo END, CASE WHEN h >= aim THEN hi ELSE mid END
+  FROM (SELECT i, any_value(lo) AS lo, any_value(hi) AS hi, any_value(mid) AS mid,
+          ln(sum(p ** mid)) - any_value(mid) * sum(p ** mid * ln(p)) / sum(p ** mid) AS h,
+          {MIX["target_entropy"]} * ln(count(*)) - 1e-12 AS aim
+        FROM (SELECT *, CASE WHEN i = 0 THEN 1.0 ELSE (lo + hi) / 2 END AS mid FROM bisect) b, share
+        WHERE i < 50 GROUP BY i) x),
+a AS (
+  SELECT round(greatest(
+    (SELECT lo FROM bisect ORDER BY i DESC LIMIT 1),
+    (SELECT CASE WHEN max(p) / min(p) > {MIX["max_repetition"]}
+       THEN 1 - ln({MIX["max_repetition"]}) / ln(max(p) / min(p)) ELSE 0 END FROM share)), 6) AS a),
+scaled AS (SELECT source, tokens, (tokens / total) ** a AS s FROM src, a WHERE tokens > 0),
+plan AS (
+  SELECT source, tokens, round(s / sum(s) OVER () * (max(tokens / s) OVER () * sum(s) OVER ()))::BIGINT
+    AS quota FROM scaled),
+cut AS (
+  SELECT source, quota // tokens::BIGINT AS whole, quota % tokens::BIGINT AS rest FROM plan
+  UNION ALL SELECT source, 1, 0 FROM src WHERE tokens = 0),
+keyed AS (
+  SELECT doc_id, d.source, tokens, whole, rest,
+    md5('{MIX["seed"]}:' || whole || ':' || coalesce(doc_id::VARCHAR, '')) AS k
+  FROM d JOIN cut ON d.source IS NOT DISTINCT FROM cut.source),
+placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY k
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM keyed)
+SELECT doc_id, source, block, md5('{MIX["seed"]}:' || block || ':' || coalesce(doc_id::VARCHAR, ''))
+  AS order_key
+FROM (SELECT doc_id, source,
+        unnest(range(0, whole + CASE WHEN rest > 0 AND before < rest THEN 1 ELSE 0 END)) AS block
+      FROM placed)
+"""
+
+
+def _op9_sql() -> str:
+    known = ", ".join(f"({_sql(v)}, {_sql(k)})" for k, v in SENTENCES.items())
+    rules = ", ".join(f"CASE WHEN contains(chain, {_sql(' ' + ' '.join(seq) + ' ')}) "
+                      f"THEN {_sql(name)} END" for name, seq in RULES)
+    return f"""
+WITH known(norm, sentence_id) AS (VALUES {known}),
+pieces AS (
+  SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS piece
+  FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), {_sql(SENTENCE_BREAK)}) AS l
+        FROM documents)),
+parts AS (
+  SELECT doc_id, pos, unnest(range(len(l))) AS sub, unnest(l) AS sentence
+  FROM (SELECT doc_id, pos, CASE WHEN contains(piece, chr(10))
+          THEN list_concat([piece], string_split(piece, chr(10))) ELSE [piece] END AS l FROM pieces)),
+hits AS (
+  SELECT doc_id, pos, sub, sentence_id
+  FROM (SELECT *, regexp_replace(trim(regexp_replace(sentence, {_sql(NOISE)}, ' ', 'g')),
+                                 '\\.+$', '') AS norm FROM parts) JOIN known USING (norm)),
+found AS (
+  SELECT doc_id, list(sentence_id ORDER BY pos, sub) AS sentence_ids,
+    ' ' || string_agg(sentence_id, ' ' ORDER BY pos, sub) || ' ' AS chain
+  FROM hits GROUP BY doc_id),
+matched AS (
+  SELECT doc_id, sentence_ids, list_filter([{rules}], lambda x: x IS NOT NULL) AS l FROM found)
+SELECT d.doc_id, coalesce(sentence_ids, []) AS sentence_ids,
+  coalesce(list_filter(l, lambda x, i: list_position(l, x) = i), []) AS licenses
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d
+LEFT JOIN matched USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -140,4 +216,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_quality_rules": OP3_SQL,
+    "op4_source_mixing": OP4_SQL,
+    "op9_license_scan": _op9_sql(),
 }
