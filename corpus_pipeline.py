@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: one document of each group stays (shingles of five
     words, similarity 0.8)."""
     kept = (near_duplicates(docs, width=5, percent=80)
-            .filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct())
+            .filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct().hint("merge"))
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
