@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.functions.text import starts_with
+
 PLACEHOLDER_URL = "https://placeholder.example.com/150.png"
 
 
@@ -19,7 +21,7 @@ def choose_asset(df: DataFrame, url_col: str, content_type_col: str,
     """Keep the URL when its content type starts with ``image/``
     (case-sensitive; a missing type counts as ``''``), else the placeholder
     (F3, J2, X11)."""
-    is_image = F.startswith(F.coalesce(F.col(content_type_col), F.lit("")), F.lit("image/"))
+    is_image = starts_with(F.coalesce(F.col(content_type_col), F.lit("")), "image/")
     return (df.withColumn("is_image", is_image)
             .withColumn("asset_url", F.when(F.col("is_image"), F.col(url_col))
                         .otherwise(F.lit(placeholder))))
@@ -48,7 +50,7 @@ def audit_fetched(rows: DataFrame, fetched: DataFrame, url_col: str,
     the image size. Anything but ``ok`` gets the placeholder.
     """
     j = rows.join(fetched.withColumnRenamed("url", url_col), url_col, "left")
-    is_image = F.startswith(F.coalesce(F.col("content_type"), F.lit("")), F.lit("image/"))
+    is_image = starts_with(F.coalesce(F.col("content_type"), F.lit("")), "image/")
     status = (F.when(F.col("http_status").isNull(), F.lit("missing"))
               .when(~is_image, F.lit("not_image"))
               .when(F.col("width") < 0, F.lit("unidentified"))

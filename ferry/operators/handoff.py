@@ -29,9 +29,11 @@ def with_high_water_mark(df: DataFrame, column: str,
     return df.withColumn(alias, mark)
 
 
-def with_parameters(spark: SparkSession, sql: str, params: dict) -> DataFrame:
-    """Run user SQL with named parameters bound (E3, E4): ``:ds`` etc.
+def with_parameters(spark: SparkSession, sql: str, params: dict,
+                    **tables: DataFrame) -> DataFrame:
+    """Run user SQL with named parameters bound (E3, E4): ``:ds`` etc., and
+    DataFrames under the names of ``{table}`` slots.
 
     Values are bound as typed literals, never spliced into the text.
     """
-    return spark.sql(sql, args=params)
+    return spark.sql(sql, args=params, **tables)

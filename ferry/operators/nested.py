@@ -38,11 +38,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferry.functions.json import is_text, parse_strict
+from ferry.functions.text import starts_with
 from ferry.session import scratch_path, scratch_root
 
-_STRICT = {"mode": "FAILFAST"}
-
-
 _NODE = "array<struct<p:array<int>,k:string,t:string,v:string>>"
 
 
@@ -60,7 +59,7 @@ def _kind(v: Column) -> Column:
     non-objects.
     """
     return (F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), F.lit("OBJECT"))
-            .when(F.schema_of_variant(v) == "STRING", F.lit("STRING"))
+            .when(is_text(v), F.lit("STRING"))
             .otherwise(F.lit("OTHER")))
 
 
@@ -68,8 +67,8 @@ def object_entries(txt: Column) -> Column:
     """``array<struct<k, t, v>>``: key, kind (STRING / OBJECT / OTHER) and
     value text of a JSON object's entries, in document order, with dict
     semantics for repeated keys. Each parse runs once per object."""
-    return _let(F.from_json(txt, "map<string,string>", _STRICT), lambda mt:
-                _let(F.from_json(txt, "map<string,variant>", _STRICT), lambda mv:
+    return _let(parse_strict(txt, "map<string,string>"), lambda mt:
+                _let(parse_strict(txt, "map<string,variant>"), lambda mv:
                      _entries(mt, mv)))
 
 
@@ -156,7 +155,7 @@ def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None =
         spark.conf.set(DUPLICATE_KEYS, "true")
     # A strict parse of the whole document raises on malformed text, so a
     # malformed document fails instead of reading as "no root".
-    whole = F.from_json(F.col(json_col), "map<string,string>", _STRICT)
+    whole = parse_strict(json_col, "map<string,string>")
     simple = re.fullmatch(r"\$\.([A-Za-z_][\w-]*)", root or "")
     if simple:
         # One parse does both: validate, and take the root's raw text (the
@@ -198,7 +197,7 @@ def _walk(objects: DataFrame, key: str | Sequence[str], prefix: str, levels: int
     keep = lambda test: lambda nodes: F.transform(
         F.filter(nodes, test), lambda x: F.struct(x["p"].alias("p"), x["k"].alias("k"),
                                                   x["v"].alias("v")))
-    leaf = keep(lambda x: (x["t"] == "STRING") & F.startswith(x["v"], F.lit(prefix)))
+    leaf = keep(lambda x: (x["t"] == "STRING") & starts_with(x["v"], prefix))
     deep = keep(lambda x: (x["t"] == "OBJECT") & (F.size(x["p"]) == levels))
     both = _let(expand(F.col("_txt"), levels),
                 lambda n: F.struct(leaf(n).alias("_leaf"), deep(n).alias("_deep")))

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.functions.json import json_lookup
 from ferry.operators import alerts as A
 from ferry.operators import assets as S
 from ferry.operators import handoff as H
@@ -269,7 +270,7 @@ def run_date_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = ("SELECT o_orderkey, CAST(:ds AS DATE) AS run_date, :bucket AS bucket, "
            ":version AS version, datediff(CAST(:ds AS DATE), o_orderdate) AS days_before_run "
            "FROM {orders}")
-    return spark.sql(sql, args=RUN_PARAMETERS, orders=fx.table(spark, sf_dir, "orders"))
+    return H.with_parameters(spark, sql, RUN_PARAMETERS, orders=fx.table(spark, sf_dir, "orders"))
 
 
 # The sample run parameters (FIXTURES.md "parameters").
@@ -285,14 +286,14 @@ def users_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_lines(document_lines(docs), scratch_path(spark, "lines"))
     line = F.col("value")
     return spark.read.text(path).select(
-        F.get_json_object(line, "$._id").alias("_id"),
+        json_lookup(line, "$._id").alias("_id"),
         F.size(F.json_object_keys(line)).alias("n_fields"),
-        F.get_json_object(line, "$.age").alias("age_text"),
-        F.get_json_object(line, "$.disabled").alias("disabled_text"),
+        json_lookup(line, "$.age").alias("age_text"),
+        json_lookup(line, "$.disabled").alias("disabled_text"),
         F.coalesce(F.is_variant_null(F.try_variant_get(F.parse_json(line), "$.disabled",
                                                        "variant")), F.lit(False))
         .alias("disabled_is_null"),
-        F.get_json_object(line, "$.tag").alias("undeclared"))
+        json_lookup(line, "$.tag").alias("undeclared"))
 
 
 def users_html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,6 @@ row crosses the wire.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
@@ -82,7 +81,3 @@ def register_catalog(spark: SparkSession, name: str, url: str, **options) -> str
     for k, v in options.items():
         spark.conf.set(f"{prefix}.{k}", str(v))
     return name
-
-
-def col_max(df: DataFrame, column: str, alias: str) -> DataFrame:
-    return df.agg(F.max(column).alias(alias))
