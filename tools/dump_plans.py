@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan of every registered query.
+"""Write PLANS.md: the physical plan of every query of the reference's operators.
 
     python tools/dump_plans.py [sf_dir]
 
@@ -17,29 +17,31 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "daily_report": "JSON scan reads 4 of 6 fields (ReadSchema); one range shuffle for the sort.",
-    "daily_report_http": "Python data source scan (one partition per URL); split and typing "
-                         "in the JVM; one range shuffle for the sort.",
+    "daily_report_http": "Scan of the records landed by the Python data source (one partition "
+                         "per URL, each requested once); one range shuffle for the sort.",
+    "daily_report_sheet": "CSV scan of the written sheet.",
+    "photos_assets_sheet": "CSV scan of the written sheet.",
+    "csv_documents": "CSV scan of the written folder (multi-line: one task per file).",
+    "failure_alerts_exception": "Narrow: filter + project, no exchange.",
     "asset_fetch_audit": "mapInPandas fetch of distinct URLs (sizes measured in the same pass, "
                          "no bytes shuffled); join back on url.",
     "daily_report_series": "Rows come from the range-sorted ordinal table; offsets: partial counts "
                            "of _ferry_pid only, a window over one row per partition, broadcast.",
     "daily_report_rowcount": "Partial count per task, one final merge.",
     "photos_projection": "Narrow: scan + project.",
-    "photos_sheet": "Same ordinal shape as the series; no window over data rows.",
-    "photos_series": "Same ordinal shape.",
+    "photos_sheet": "CSV scan of the written sheet.",
+    "photos_series": "Rows as landed; one offset per read block, broadcast; no sort.",
     "asset_status": "Narrow; the placeholder is a literal.",
-    "image_audit": "Header sizes via mapInPandas over a binaryFile listing (content not read); "
-                   "left join on file name, broadcast only when AQE measures a small side.",
-    "sprite_urls": "Reads the flatten pass tables (leaves filtered by pushed predicate); one "
-                   "shuffle on doc_id for the per-document numbering.",
+    "image_audit": "Header sizes via mapInPandas over the manifest: no listing, no join.",
+    "sprite_urls": "posexplode of the leaves of the one flatten pass: no exchange.",
     "sprite_sheet": "As sprite_urls plus a projection.",
-    "table_extract": "JDBC scan, 8 range partitions.",
+    "table_extract": "Narrow: table scan, splits follow its size.",
     "csv_roundtrip": "CSV scan of the written folder.",
     "insert_select_limit": "Scan of the target table (the insert ran TakeOrderedAndProject).",
-    "high_water_mark": "PushedAggregates: MAX runs inside the database; one row returned.",
+    "high_water_mark": "Partial max per task, one final merge.",
     "high_water_mark_handoff": "Scalar subquery (partial max, one merge), no join.",
     "users_documents": "Narrow.",
-    "users_json_rows": "Narrow.",
+    "users_json_rows": "Text scan of the written lines.",
     "users_html_rows": "Narrow; codegen'd string building.",
     "users_html_doc": "Ordinal table + one hash aggregate per page (groups bounded by page size).",
     "interchange_roundtrip": "Narrow: text scan, one parse per chunk line, explode.",
@@ -48,14 +50,13 @@ NOTES = {
                      "Sort-based, because the min(struct) buffer holds strings, which hash "
                      "aggregation cannot update in place; it spills instead of failing.",
     "first_failure_stream": "Scan of the notices table the foreachBatch stream wrote.",
-    "first_failure_watermark": "Scan of the file sink the watermark stream wrote.",
     "run_date_tag": "Narrow; parameters bound as literals.",
 }
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from ferry.plans.queries import QUERIES
     from ferry.session import build_session
 
     spark = build_session(shuffle_partitions=16)
@@ -63,7 +64,7 @@ def main() -> None:
     out = ["# PLANS", "",
            f"Physical plans of the registered queries (`tools/dump_plans.py`, {sf_dir}, "
            "16 shuffle partitions, AQE on: plans are shown before AQE's runtime changes).", ""]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         plan = re.sub(r"file:[^\],\s]*/ferry/([a-z_-]+)-[0-9a-f]{12}", r"<scratch>/\1", plan)

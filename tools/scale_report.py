@@ -33,7 +33,7 @@ def _metric(task_metrics: dict, *path, default=0):
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from ferry.plans.queries import QUERIES
     from ferry.session import build_session, scratch_root
 
     probe = build_session(app="ferry-scale-probe")
@@ -47,8 +47,8 @@ def main() -> None:
                                  "spark.eventLog.compress": "false",
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     sc = spark.sparkContext
-    names = list(E.queries())
-    for name, fn in E.queries().items():
+    names = list(QUERIES)
+    for name, fn in QUERIES.items():
         fn(spark, sf_dir).count()  # stage fixtures outside the measured group
         sc.setJobGroup(name, name)
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
