@@ -9,17 +9,21 @@ meet (at similarity 0.8 and the defaults, two meet with probability
 1 - 3e-6).
 
 Documents with the same set are one class, and only its smallest id goes on.
-Within a key no pairs are listed. The smallest id of a key is its centre:
+No pairs are listed for a key. Links are found in three rounds:
 
 1. every document is compared with the smallest centre among its keys;
-2. in keys that still hold several components, the best-looking pair of each
-   two components (per block of documents) is compared;
-3. then all pairs across components there whose signatures agree in at least
-   ``PROMISE`` of the coordinates (six standard deviations below 0.8).
-
-Blocks have some 256 documents, so a large key is worked off in bounded
-pieces. Every link is confirmed on the full sets; pairs inside a component
-need no look, as they cannot change it.
+2. keys that still hold several components are worked off in blocks of some
+   ``BLOCK`` documents: documents of different components whose signatures
+   agree in ``PROMISE`` of the coordinates (six standard deviations below 0.8)
+   may link. A task returns a spanning forest of that relation, and its
+   components are groups outside of which there is no link left;
+3. inside a group all full sets are compared, block by block, with the sizes
+   of all intersections of two blocks from one matrix product. A task returns
+   a spanning forest of the links.
+
+So every link is confirmed on the full sets, what a task returns is no more
+than its documents, and pairs inside a component need no look, as they cannot
+change it.
 
 Defined results: a null or empty text, or one without a word, has an empty
 set, links with nothing and is kept; with fewer words than a shingle the whole
@@ -43,11 +47,14 @@ from ferry.llm.common import arrow_map, materialise
 from ferry.llm.components import components
 from ferry.llm.wordids import UnitTable, chunks
 
-# Bands and coordinates per band, documents per block, the part
-# of agreeing coordinates that makes a pair worth a full comparison.
+# Bands and coordinates per band, documents per block of a key,
+# shingles per block of a group, the part of agreeing coordinates that makes a
+# pair worth a full comparison, columns of one matrix product.
 BANDS, ROWS = 32, 5
-BLOCK = 256
+BLOCK = 128
+SHINGLES = 1 << 17
 PROMISE = 0.6
+COLUMNS = 1 << 14
 # Odd multipliers of the mixers.
 M64 = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB,
                               0xD6E8FEB86659FD93)]
@@ -133,7 +140,7 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _sign(width: int, bands: int, rows: int):
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("same", pa.binary()),
-                        ("sig", pa.binary()), ("keys", pa.list_(pa.int64()))])
+                        ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,15 +149,34 @@ def _sign(width: int, bands: int, rows: int):
             for first, part in chunks(texts):
                 sets = shingle_sets(part, width)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                same, sig, keys = ([None] * len(sets) for _ in range(3))
+                same, keys = [None] * len(sets), [None] * len(sets)
                 if full:
                     sigs = signatures([sets[i] for i in full], bands * rows)
-                    for i, g, k in zip(full, sigs, band_keys(sigs, bands, rows), strict=True):
+                    for i, k in zip(full, band_keys(sigs, bands, rows), strict=True):
                         same[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
-                        sig[i], keys[i] = g.tobytes(), k
+                        keys[i] = k
                 yield pa.RecordBatch.from_pydict(
                     {"id": ids[first:first + len(part)], "n_shingles": [len(s) for s in sets],
-                     "same": same, "sig": sig, "keys": keys}, schema=schema)
+                     "same": same, "keys": keys}, schema=schema)
+    return run
+
+
+def _describe(width: int, size: int, full_sets: bool):
+    """``(id, n_shingles, data)``: the signature or the full set of a text."""
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("data", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            texts = ((t.as_py() or "").encode() for t in batch.column(1))
+            for first, part in chunks(texts):
+                sets = shingle_sets(part, width)
+                keep = [i for i, s in enumerate(sets) if len(s)]
+                sets = [sets[i] for i in keep]
+                data = sets if full_sets else signatures(sets, size) if sets else []
+                yield pa.RecordBatch.from_pydict(
+                    {"id": [ids[first + i] for i in keep], "n_shingles": [len(s) for s in sets],
+                     "data": [d.tobytes() for d in data]}, schema=schema)
     return run
 
 
@@ -191,58 +217,129 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) ->
     return arrow_map(dealt, _confirm(width, percent), "u long, v long")
 
 
-def _promising(best_only: bool):
-    """Pairs across components of two blocks (or one, with itself)."""
-    schema = pa.schema([("centre", pa.int64()), ("id", pa.int64())])
+def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest position reachable from each of ``n``, links being (a, b)."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, a, low[b])
+        np.minimum.at(new, b, low[a])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _forest_rows(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict:
+    low = _forest(len(ids), a, b)
+    some = np.flatnonzero(low != np.arange(len(ids)))
+    return {"u": ids[some], "v": ids[low[some]]}
+
 
+def _sizes_fit(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    small, large = np.minimum(n[:, None], m), np.maximum(n[:, None], m)
+    return 100 * small >= percent * large
+
+
+def _promising(percent: int):
+    """Documents of two blocks of a key (or of one) that may link."""
     def block(xs) -> tuple[np.ndarray, ...]:
-        return (np.array([x["id"] for x in xs], np.int64),
-                np.array([x["component"] for x in xs], np.int64),
-                np.array([x["n_shingles"] for x in xs], np.int64),
-                np.array([np.frombuffer(x["sig"], np.uint32) for x in xs]))
+        return (*(np.array([x[c] for x in xs], np.int64)
+                  for c in ("id", "component", "n_shingles")),
+                np.array([np.frombuffer(x["data"], np.uint32) for x in xs]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for left, right, percent in zip(*(batch.column(c) for c in range(3)), strict=True):
-                a, ac, an, asig = block(left.as_py())
-                b, bc, bn, bsig = block(right.as_py())
-                found: dict = {}
-                for i in range(len(a)):
-                    agree = (bsig == asig[i]).sum(axis=1)
-                    fit = ((bc != ac[i]) & (agree >= PROMISE * asig.shape[1])
-                           & (100 * np.minimum(bn, an[i])
-                              >= percent.as_py() * np.maximum(bn, an[i])))
-                    for j in np.flatnonzero(fit):
-                        pair = (min(a[i], b[j]), max(a[i], b[j]))
-                        key = (min(ac[i], bc[j]), max(ac[i], bc[j])) if best_only else pair
-                        if key not in found or found[key][0] < agree[j]:
-                            found[key] = (agree[j], pair)
-                pairs = [p for _, p in found.values()]
+            for left, right in zip(*batch.columns, strict=True):
+                (i, ic, n, isig), (j, jc, m, jsig) = block(left.as_py()), block(right.as_py())
+                agree = np.array([(jsig == x).sum(axis=1) for x in isig])
+                a, b = np.nonzero((ic[:, None] != jc) & _sizes_fit(n, m, percent)
+                                  & (agree >= PROMISE * isig.shape[1]))
+                ids, place = np.unique(np.concatenate((i, j)), return_inverse=True)
                 yield pa.RecordBatch.from_pydict(
-                    {"centre": [p[0] for p in pairs], "id": [p[1] for p in pairs]}, schema=schema)
+                    _forest_rows(ids, place[a], place[len(i) + b]), schema=LINKS)
+    return run
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of their
+    incidence matrices over ``COLUMNS`` shared elements at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo:lo + COLUMNS]
+        sides = []
+        for sets in (left, right):
+            m = np.zeros((len(sets), len(part)), np.float32)
+            for row, s in zip(m, sets, strict=True):
+                s = s[np.searchsorted(s, part[0]):np.searchsorted(s, part[-1], "right")]
+                at = np.searchsorted(part, s)
+                row[at[part[at] == s]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def _compare(percent: int):
+    """Links between two blocks of a group, on full sets."""
+    def run(table: pa.Table) -> pa.Table:
+        x, y = (table.column(c)[0].as_py() for c in ("x", "y"))
+        blocks = table.column("block").to_numpy()
+        data = [np.frombuffer(d.as_py(), np.uint64) for d in table.column("data")]
+        i, j = np.flatnonzero(blocks == x), np.flatnonzero(blocks == y)
+        if not len(i) or not len(j):
+            return LINKS.empty_table()
+        common = intersections([data[k] for k in i], [data[k] for k in j])
+        n = np.array([len(d) for d in data])
+        a, b = np.nonzero(100 * common >= percent * (n[i][:, None] + n[j] - common))
+        ids, place = np.unique(table.column("id").to_numpy(), return_inverse=True)
+        return pa.Table.from_pydict(_forest_rows(ids, place[i[a]], place[j[b]]), schema=LINKS)
     return run
 
 
-def _left_over(keys: DataFrame, sigs: DataFrame, comp: DataFrame, percent: int,
-               best_only: bool) -> DataFrame:
-    """Pairs to compare in keys that hold several components."""
+def _groups(keys: DataFrame, texts: DataFrame, comp: DataFrame, width: int, size: int,
+            percent: int) -> DataFrame:
+    """``(id, component)``: documents that may still link, by group."""
     node = (keys.join(comp, "id", "left")
             .select("key", "id", F.coalesce("component", "id").alias("component")))
     mixed = (node.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                      F.count("*").alias("n"))
              .filter("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")))
-    rows = (node.join(mixed, "key").join(sigs, "id")
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")))
-    blocks = materialise(rows.groupBy("key", "nb", "block").agg(F.collect_list(
-        F.struct("id", "component", "n_shingles", "sig")).alias("xs")), "minhash-blocks")
-    limit = F.lit(percent).alias("percent")
-    alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"), limit)
+    rows = materialise(node.join(mixed, "key"), "minhash-mixed")
+    sigs = arrow_map(texts.join(rows.select("id").distinct(), "id", "left_semi"),
+                     _describe(width, size, False), "id long, n_shingles long, data binary")
+    blocks = materialise(
+        rows.join(sigs, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+        .groupBy("key", "nb", "block")
+        .agg(F.collect_list(F.struct("id", "component", "n_shingles", "data")).alias("xs")),
+        "minhash-blocks")
+    alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"))
     other = blocks.select("key", F.col("block").alias("to"), F.col("xs").alias("r"))
     across = (blocks.filter("block < nb - 1")
               .withColumn("to", F.explode(F.expr("sequence(block + 1, nb - 1)")))
-              .join(other, ["key", "to"]).select(F.col("xs").alias("l"), "r", limit))
-    return arrow_map(alone.unionByName(across), _promising(best_only),
-                     "centre long, id long").distinct()
+              .join(other, ["key", "to"]).select(F.col("xs").alias("l"), "r"))
+    may = materialise(arrow_map(alone.unionByName(across), _promising(percent),
+                                "u long, v long").distinct(), "minhash-may")
+    found = components(may)
+    return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
+
+
+def _group_links(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links inside groups, as spanning forests of pairs of blocks."""
+    sets = arrow_map(texts.join(groups.select("id"), "id", "left_semi"),
+                     _describe(width, 0, True), "id long, n_shingles long, data binary")
+    member = materialise(sets.join(groups, "id"), "minhash-groups")
+    parts = member.groupBy("component").agg(
+        F.ceil(F.sum("n_shingles") / SHINGLES).cast("int").alias("nb"))
+    placed = member.join(parts, "component").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    dealt = (placed.withColumn("to", F.explode(F.expr("sequence(0, nb - 1)")))
+             .select("component", F.least("block", "to").alias("x"),
+                     F.greatest("block", "to").alias("y"), "block", "id", "data"))
+    return dealt.groupBy("component", "x", "y").applyInArrow(_compare(percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -254,7 +351,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.col(f"`{text_col}`").alias("text"))
     signed = materialise(arrow_map(
         source, _sign(width, bands, rows),
-        "id long, n_shingles long, same binary, sig binary, keys array<long>"), "minhash")
+        "id long, n_shingles long, same binary, keys array<long>"), "minhash")
     named = signed.filter("id IS NOT NULL AND same IS NOT NULL")
     classes = materialise(named.groupBy("same").agg(F.min("id").alias("id")), "minhash-classes")
     # Rows that share an id but not a text: their classes are linked by hand.
@@ -270,21 +367,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = materialise(keys.join(centres, "key").select("key", "id", "centre").distinct(),
                       "minhash-met")
     members = met.select("id").distinct()
-    texts = materialise(source.join(members, "id", "left_semi"), "minhash-texts")
-    sigs = signed.select("id", "n_shingles", "sig").join(members, "id", "left_semi")
+    # A merge join at every size: the members grow with the documents.
+    texts = materialise(source.join(members.hint("merge"), "id", "left_semi"), "minhash-texts")
     first = (met.filter("id <> centre").groupBy("id").agg(F.min("centre").alias("centre")))
-    links = materialise(_confirmed(texts, first, width, percent).unionByName(by_id),
-                        "minhash-links")
-    comp = components(links)
-    shared_keys = met.select("key", "id")
-    for best_only in (True, False):
-        pairs = materialise(_left_over(shared_keys, sigs, comp, percent, best_only),
-                            "minhash-pairs")
-        if pairs.isEmpty():
-            break
-        more = materialise(_confirmed(texts, pairs, width, percent), "minhash-links")
-        if not more.isEmpty():
-            comp = components(more, comp)
+    comp = components(_confirmed(texts, first, width, percent).unionByName(by_id))
+    groups = _groups(met.select("key", "id"), texts, comp, width, bands * rows, percent)
+    comp = components(_group_links(groups, texts, width, percent), comp)
     named_comp = classes.join(comp, "id", "left").select(
         "same", F.coalesce("component", "id").alias("component"))
     return (signed.select("id", "n_shingles", "same").join(named_comp, "same", "left")
