@@ -157,8 +157,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = materialise(repeated_chunks(docs, id_col, text_col), "line-marks")
     key, flags = fresh(docs, "line_id"), fresh(docs, "line_repeats")
     joined = (docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
-              .join(marks.select(F.col("id").alias(key), F.col("repeated").alias(flags)), key,
-                    "left")
+              # A merge join at every size: the marks grow with the documents.
+              .join(marks.select(F.col("id").alias(key), F.col("repeated").alias(flags))
+                    .hint("merge"), key, "left")
               .select(*[F.col(f"`{c}`") for c in docs.columns], F.col(flags)))
     schema = to_arrow_schema(docs.schema)
     size = docs.columns.index(size_col) if size_col in docs.columns else None
@@ -169,13 +170,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, characters and lines before and after,
     and the SHA-256 of the new text."""
-    before = fresh(docs, "before")
-    base = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"),
-                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(before))
-    new = dedup_lines(base, id_col, text_col)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     count = lambda c: F.size(F.split(c, "\n")).cast("long")
-    return new.select(
-        F.col(f"`{id_col}`"), F.length(before).cast("long").alias("n_chars_before"),
-        F.length(text).cast("long").alias("n_chars"), count(F.col(before)).alias("n_lines_before"),
-        count(text).alias("n_lines"), F.sha2(text, 256).alias("text_sha256"))
+    base = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"),
+                       F.length(text).cast("long").alias("n_chars_before"),
+                       count(text).alias("n_lines_before"))
+    return dedup_lines(base, id_col, text_col).select(
+        F.col(f"`{id_col}`"), "n_chars_before", F.length(text).cast("long").alias("n_chars"),
+        "n_lines_before", count(text).alias("n_lines"), F.sha2(text, 256).alias("text_sha256"))
