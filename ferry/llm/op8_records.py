@@ -29,6 +29,7 @@ empty table gives an empty manifest; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferry.llm.common import arrow_map, materialise
-from ferry.llm.wordids import UnitTable, chunks
+from ferry.llm.wordids import UnitTable, chunks, only
 from ferry.session import scratch_path
 
 # The mask of a checksum and the markers of a missing id.
@@ -50,7 +51,7 @@ HEAD = struct.Struct("<QI")
 ITEM = struct.Struct("<qIB")
 READ_BYTES = 8 << 20
 
-_TABLES: dict[str, UnitTable] = {}
+_TABLES: dict[str, tuple[UnitTable, UnitTable]] = {}
 
 
 def masked(data: bytes) -> int:
@@ -109,21 +110,57 @@ def read_record(path: str, index_path: str, k: int) -> tuple[int | None, np.ndar
         return unpack_payload(read_frame(x))
 
 
+# A plain word: letters that no normalisation changes but for their case, then
+# sentence punctuation. Any splitter of this kind makes one piece of each.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PROBE = ["The", "naïve.", "ÉÀÜ", "don", "straße!?", "x...", "a,", "ÿ;", "ABCdef:", "ll", "s", "t."]
+
+
 def word_table(tokenizer_file: str) -> UnitTable:
     """The worker's table for one tokenizer file. Its pre-tokenizer drops
-    white space and never joins across it, so words are units."""
+    white space and never joins across it, so words are units.
+
+    The pieces of plain words go straight to the model, through a table of
+    their own; all other words take the library's whole way. ``PROBE`` decides
+    at load whether the file allows it.
+    """
     if tokenizer_file not in _TABLES:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tok = Tokenizer.from_file(tokenizer_file)
         dtype = "<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4"
-
-        def encode(words: list[bytes]) -> list[list[int]]:
-            found = tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            return [e.ids for e in found]
-
-        _TABLES[tokenizer_file] = UnitTable(encode, dtype)
-    return _TABLES[tokenizer_file]
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+        def whole(words: list[str]) -> list[list[int]]:
+            return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+
+        def piece_ids(pieces: list[str]) -> list[list[int]]:
+            return [[t.id for t in tok.model.tokenize(
+                p if p.isascii() else as_bytes.pre_tokenize_str(p)[0][0])] for p in pieces]
+
+        pieces = UnitTable(piece_ids, dtype)
+
+        def encode(words: list[bytes]) -> list:
+            out, plain, rest = [None] * len(words), [], []
+            for k, w in enumerate(words):
+                word = w.decode()
+                m = PLAIN.fullmatch(word)
+                if m:
+                    plain.append((k, [m[1].lower(), m[2]] if m[2] else [m[1].lower()]))
+                else:
+                    rest.append((k, word))
+            for (k, _), ids in zip(plain, pieces.pack([x for _, x in plain]), strict=True):
+                out[k] = ids
+            for (k, _), ids in zip(rest, whole([x for _, x in rest]), strict=True):
+                out[k] = ids
+            return out
+
+        if [np.frombuffer(x, dtype).tolist() for x in encode([w.encode() for w in PROBE])] \
+                != whole(PROBE):
+            encode = lambda words: whole([w.decode() for w in words])
+        _TABLES[tokenizer_file] = UnitTable(encode, dtype), pieces
+    only(*_TABLES[tokenizer_file])
+    return _TABLES[tokenizer_file][0]
 
 
 def _writer(folder: str, tokenizer_file: str, end_id: int):
@@ -211,5 +248,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """One row per record of the manifest's files: ``doc_id``, ``start`` (ids
     of all records before it), ``n_tokens``, ``ids_crc32``."""
-    files = manifest.select("path", "start").repartition("path")
+    # A fixed number, so that adaptive execution does not merge these tiny rows
+    # (each stands for a whole file) into one task.
+    files = manifest.select("path", "start").repartition(max(1, manifest.count()), "path")
     return arrow_map(files, _reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
