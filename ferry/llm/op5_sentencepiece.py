@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm.common import arrow_map
-from ferry.llm.wordids import UnitTable, chunks
+from ferry.llm.wordids import UnitTable, chunks, only
 
 MARK = "▁"
 # Piece types and model types of the protobuf.
@@ -239,6 +239,7 @@ _MODELS: dict[tuple[str, int], SentencePiece] = {}
 def load(model_file: str, threads: int) -> SentencePiece:
     if (model_file, threads) not in _MODELS:
         _MODELS[model_file, threads] = SentencePiece(model_file, threads)
+    only(_MODELS[model_file, threads].table)
     return _MODELS[model_file, threads]
 
 

@@ -15,8 +15,9 @@ No pairs are listed for a key. Links are found in three rounds:
 2. keys that still hold several components are worked off in blocks of some
    ``BLOCK`` documents: documents of different components whose signatures
    agree in ``PROMISE`` of the coordinates (six standard deviations below 0.8)
-   may link. A task returns a spanning forest of that relation, and its
-   components are groups outside of which there is no link left;
+   may link; two documents are looked at in the first band in which they meet.
+   A task returns a spanning forest of that relation, and its components are
+   groups outside of which there is no link left;
 3. inside a group all full sets are compared, block by block, with the sizes
    of all intersections of two blocks from one matrix product. A task returns
    a spanning forest of the links.
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import arrow_map, materialise
 from ferry.llm.components import components
-from ferry.llm.wordids import UnitTable, chunks
+from ferry.llm.wordids import UnitTable, chunks, only
 
 # Bands and coordinates per band, documents per block of a key,
 # shingles per block of a group, the part of agreeing coordinates that makes a
@@ -66,6 +67,7 @@ _WORDS: list[UnitTable] = []
 def _words() -> UnitTable:
     if not _WORDS:
         _WORDS.append(UnitTable(lambda ws: [xxhash.xxh3_64_digest(w) for w in ws], "<u8"))
+    only(_WORDS[0])
     return _WORDS[0]
 
 
@@ -244,7 +246,7 @@ def _sizes_fit(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return 100 * small >= percent * large
 
 
-def _promising(percent: int):
+def _promising(percent: int, rows: int):
     """Documents of two blocks of a key (or of one) that may link."""
     def block(xs) -> tuple[np.ndarray, ...]:
         return (*(np.array([x[c] for x in xs], np.int64)
@@ -253,11 +255,17 @@ def _promising(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for left, right in zip(*batch.columns, strict=True):
+            for left, right, band in zip(*batch.columns, strict=True):
                 (i, ic, n, isig), (j, jc, m, jsig) = block(left.as_py()), block(right.as_py())
-                agree = np.array([(jsig == x).sum(axis=1) for x in isig])
-                a, b = np.nonzero((ic[:, None] != jc) & _sizes_fit(n, m, percent)
-                                  & (agree >= PROMISE * isig.shape[1]))
+                fit = (ic[:, None] != jc) & _sizes_fit(n, m, percent)
+                before = band.as_py() * rows
+                for k in np.flatnonzero(fit.any(axis=1)):
+                    same = jsig == isig[k]
+                    fit[k] &= same.sum(axis=1) >= PROMISE * isig.shape[1]
+                    if before:
+                        earlier = same[:, :before].reshape(len(j), -1, rows).all(axis=2)
+                        fit[k] &= ~earlier.any(axis=1)
+                a, b = np.nonzero(fit)
                 ids, place = np.unique(np.concatenate((i, j)), return_inverse=True)
                 yield pa.RecordBatch.from_pydict(
                     _forest_rows(ids, place[a], place[len(i) + b]), schema=LINKS)
@@ -300,28 +308,28 @@ def _compare(percent: int):
     return run
 
 
-def _groups(keys: DataFrame, texts: DataFrame, comp: DataFrame, width: int, size: int,
-            percent: int) -> DataFrame:
+def _groups(keys: DataFrame, texts: DataFrame, comp: DataFrame, width: int, bands: int,
+            coordinates: int, percent: int) -> DataFrame:
     """``(id, component)``: documents that may still link, by group."""
     node = (keys.join(comp, "id", "left")
-            .select("key", "id", F.coalesce("component", "id").alias("component")))
+            .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
     mixed = (node.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                      F.count("*").alias("n"))
              .filter("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")))
     rows = materialise(node.join(mixed, "key"), "minhash-mixed")
     sigs = arrow_map(texts.join(rows.select("id").distinct(), "id", "left_semi"),
-                     _describe(width, size, False), "id long, n_shingles long, data binary")
+                     _describe(width, bands * coordinates, False), "id long, n_shingles long, data binary")
     blocks = materialise(
         rows.join(sigs, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-        .groupBy("key", "nb", "block")
+        .groupBy("key", "band", "nb", "block")
         .agg(F.collect_list(F.struct("id", "component", "n_shingles", "data")).alias("xs")),
         "minhash-blocks")
-    alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"))
+    alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"), "band")
     other = blocks.select("key", F.col("block").alias("to"), F.col("xs").alias("r"))
     across = (blocks.filter("block < nb - 1")
               .withColumn("to", F.explode(F.expr("sequence(block + 1, nb - 1)")))
-              .join(other, ["key", "to"]).select(F.col("xs").alias("l"), "r"))
-    may = materialise(arrow_map(alone.unionByName(across), _promising(percent),
+              .join(other, ["key", "to"]).select(F.col("xs").alias("l"), "r", "band"))
+    may = materialise(arrow_map(alone.unionByName(across), _promising(percent, coordinates),
                                 "u long, v long").distinct(), "minhash-may")
     found = components(may)
     return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
@@ -360,18 +368,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_id = (named.join(shared, "id").select(F.col("id").alias("row_id"), "same").distinct()
              .join(classes, "same").select(F.col("row_id").alias("u"), F.col("id").alias("v")))
     reps = named.join(classes, ["same", "id"], "left_semi")
-    keys = reps.select("id", F.explode("keys").alias("key"))
+    keys = reps.select("id", F.posexplode("keys").alias("band", "key"))
     centres = (keys.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
                .filter("centre <> last").select("key", "centre"))
     # Only keys that two documents share are kept from here on.
-    met = materialise(keys.join(centres, "key").select("key", "id", "centre").distinct(),
+    met = materialise(keys.join(centres, "key").select("key", "band", "id", "centre").distinct(),
                       "minhash-met")
     members = met.select("id").distinct()
     # A merge join at every size: the members grow with the documents.
     texts = materialise(source.join(members.hint("merge"), "id", "left_semi"), "minhash-texts")
     first = (met.filter("id <> centre").groupBy("id").agg(F.min("centre").alias("centre")))
     comp = components(_confirmed(texts, first, width, percent).unionByName(by_id))
-    groups = _groups(met.select("key", "id"), texts, comp, width, bands * rows, percent)
+    groups = _groups(met.select("key", "band", "id"), texts, comp, width, bands, rows, percent)
     comp = components(_group_links(groups, texts, width, percent), comp)
     named_comp = classes.join(comp, "id", "left").select(
         "same", F.coalesce("component", "id").alias("component"))

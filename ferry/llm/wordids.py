@@ -5,7 +5,8 @@ gives a text the concatenation of its units' ids. Units repeat far more often
 than texts, so each Python worker keeps a table from unit to packed ids and
 asks the tokenizer only for units it has not met, many at a time. The table is
 bounded: when it is full the older half is dropped, which costs time, never
-rows.
+rows. A worker that goes on to another operator empties the tables of the last
+one (``only``), so a worker holds the tables of one operator at a time.
 """
 
 from __future__ import annotations
@@ -14,10 +15,20 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-MAX_UNITS = 800_000
+MAX_UNITS = 400_000
 CHUNK_BYTES = 1 << 20
 
 
+_TABLES: list[UnitTable] = []
+
+
+def only(*tables: UnitTable) -> None:
+    """Empty all other tables of this worker."""
+    for t in _TABLES:
+        if not any(t is x for x in tables):
+            t.young, t.old = {}, {}
+
+
 class UnitTable:
     """``encode_units(units) -> list of id lists`` (or of packed ids) behind a
     bounded table."""
@@ -27,6 +38,7 @@ class UnitTable:
         self.dtype = np.dtype(dtype)
         self.young: dict = {}
         self.old: dict = {}
+        _TABLES.append(self)
 
     def pack(self, unit_lists: list[list]) -> list[bytes]:
         """The packed ids of each list of units."""
