@@ -8,7 +8,7 @@ index file to the shared folder. A record is
     payload            | u32 masked crc32 of the payload
 
 (little-endian), and the payload is the document id (i64), the number of ids
-(u32), the width of an id in bytes (u8) and the ids themselves, deflated. A
+(u32), the width of an id in bytes (u8) and the ids themselves. A
 checksum is masked as ``rotate_right(crc, 15) + 0xA282EAD8``, so a checksum of
 data that holds checksums stays sound. The index file is one u64 per record:
 where the record starts. Any record can so be read by itself, in any order
@@ -67,12 +67,12 @@ def frame(payload: bytes) -> bytes:
 
 def pack_record(doc_id: int | None, ids: np.ndarray) -> bytes:
     key = NO_ID if doc_id is None else doc_id
-    return frame(ITEM.pack(key, len(ids), ids.dtype.itemsize) + zlib.compress(ids.tobytes(), 1))
+    return frame(ITEM.pack(key, len(ids), ids.dtype.itemsize) + ids.tobytes())
 
 
 def unpack_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
     key, n, width = ITEM.unpack_from(payload)
-    ids = np.frombuffer(zlib.decompress(payload[ITEM.size:]), f"<u{width}")
+    ids = np.frombuffer(payload, f"<u{width}", offset=ITEM.size)
     if len(ids) != n:
         raise ValueError(f"record of document {key}: {len(ids)} ids, {n} announced")
     return (None if key == NO_ID else key), ids

@@ -45,9 +45,8 @@ class UnitTable:
         wanted = set()
         for units in unit_lists:
             wanted.update(units)
-        wanted.difference_update(self.young)
         missing = []
-        for u in wanted:
+        for u in wanted.difference(self.young):
             ids = self.old.get(u)
             if ids is None:
                 missing.append(u)
