@@ -1,24 +1,24 @@
 """Duplicate lines, removed as content-defined chunks.
 
-A text is cut into chunks of whole lines. A rolling hash over the hashes of
-the last ``WINDOW`` lines chooses the boundaries: a chunk ends after a line
-where that hash falls in one residue class of ``DIVISOR``, so a boundary
-depends on the lines around it and not on its distance from the start, and a
-passage that is moved, or has lines put before it, is cut in the same places.
-A chunk has at least ``LEAST`` lines with a word in it unless the text ends.
-
-Chunks of several lines that occur more than once in the whole table are
-removed everywhere but at their first place (the smallest id, and there the
-first chunk). The chunks are grouped by hash and by their bytes, so only equal
-bytes count as repeats; if two different chunks share a hash, neither is
-removed. Counts are taken before the shuffle, so a chunk in a third of all
-documents is one row per task.
+A text is cut into chunks of whole lines. Every boundary depends on one line
+alone: a line of at least ``MIN_WORDS`` words is a chunk by itself, and of the
+shorter lines between two such lines a chunk ends after a line whose hash falls
+in one residue class of ``DIVISOR``. So a passage is cut in the same places
+whatever stands before or after it, and a shared run of long lines is cut at
+its own two edges.
+
+Chunks of at least ``MIN_WORDS`` words that occur more than once in the whole
+table are removed everywhere but at their first place (the smallest id, and
+there the first chunk). The chunks are grouped by hash and by the bytes of
+their lines, so only equal bytes count as repeats; if two different chunks
+share a hash, neither is removed. Counts are taken before the shuffle, so a
+chunk in a third of all documents is one row per task.
 
 Defined results: a null or empty text has no chunks and stays as it is; blank
-lines belong to the chunk of the line before them; a text whose chunks all go
-becomes ''; rows that share an id count as one document (a chunk repeated only
-among them stays in each); a row with a null id is left as it is and not
-counted; other columns stay as they are.
+lines belong to the chunk of the line before them and do not count in the
+comparison; a text whose chunks all go becomes ''; rows that share an id count
+as one document (a chunk repeated only among them stays in each); a row with a
+null id is left as it is and not counted; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -34,11 +34,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ferry.llm.common import arrow_map, fresh, materialise
 
-# Lines in the rolling window, residue classes, least lines of a
-# chunk, words a chunk must have to be removed.
-WINDOW, DIVISOR, LEAST, MIN_WORDS = 2, 3, 2, 8
-# Base and modulus of the rolling hash.
-BASE, MODULUS = 1_000_003, (1 << 61) - 1
+# Residue classes of the hash of a short line, words a chunk must
+# have to be removed.
+DIVISOR, MIN_WORDS = 3, 8
 
 WORD = re.compile(r"[^\x20\x09-\x0D]")
 
@@ -48,35 +46,26 @@ def chunk_lines(text: str) -> list[str]:
     keeps its line break."""
     lines = text.split("\n")
     lines = [x + "\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] else [])
-    out, start, full = [], 0, 0
-    rolling, recent = 0, []
-    drop = pow(BASE, WINDOW, MODULUS)
-    for i, line in enumerate(lines):
-        if not WORD.search(line):
-            continue
-        # The last line of a text may lack its break and is still the same line.
-        h = xxhash.xxh3_64_intdigest(line.rstrip("\n")) % MODULUS
-        recent.append(h)
-        rolling = (rolling * BASE + h) % MODULUS
-        if len(recent) > WINDOW:
-            rolling = (rolling - recent.pop(0) * drop) % MODULUS
-        full += 1
-        if full >= LEAST and rolling % DIVISOR == 0:
-            end = i + 1
-            while end < len(lines) and not WORD.search(lines[end]):
-                end += 1
-            out.append("".join(lines[start:end]))
-            start, full = end, 0
-    if start < len(lines):
-        out.append("".join(lines[start:]))
+    out, chunk, closed = [], [], False
+    for line in lines:
+        if WORD.search(line):
+            long = len(line.split(None, MIN_WORDS - 1)) == MIN_WORDS
+            if closed or (long and any(map(WORD.search, chunk))):
+                out.append("".join(chunk))
+                chunk = []
+            # The last line of a text may lack its break and is still the same line.
+            closed = long or xxhash.xxh3_64_intdigest(line.rstrip("\n")) % DIVISOR == 0
+        chunk.append(line)
+    if chunk:
+        out.append("".join(chunk))
     return out
 
 
 def chunk_key(chunk: str) -> tuple[int, str] | None:
-    """Hash and bytes under which a chunk is compared (without outer line
-    breaks); None for a chunk that is not removable."""
-    body = chunk.strip("\n")
-    if "\n" not in body or len(body.split()) < MIN_WORDS:
+    """Hash and bytes under which a chunk is compared (without blank lines);
+    None for a chunk that is not removable."""
+    body = "\n".join(filter(WORD.search, chunk.split("\n")))
+    if len(body.split(None, MIN_WORDS - 1)) < MIN_WORDS:
         return None
     return xxhash.xxh3_64_intdigest(body) - (1 << 63), body
 

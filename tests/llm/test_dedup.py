@@ -216,3 +216,35 @@ def test_lines_shifted_passage_and_odd_rows(spark):
 @pytest.mark.parametrize("text", ["", "\n", "a", "a\n", "\n\na\n\n\nb\n", "a\nb\nc\nd\ne\nf"])
 def test_chunks_join_to_the_text(text):
     assert "".join(chunk_lines(text)) == text
+
+
+def test_lines_shared_runs_go_at_their_own_edges(spark):
+    rng = np.random.default_rng(12)
+    line = lambda n=12: " ".join(rng.choice([f"w{i}" for i in range(5000)], n)) + "."
+    runs = [[line() for _ in range(2 + k % 3)] for k in range(60)]
+    rows = []
+    for i in range(240):  # every run in four texts, between other lines each time
+        own = [[line(int(rng.integers(3, 15))) for _ in range(int(rng.integers(1, 4)))]
+               for _ in range(2)]
+        rows.append((i, "\n".join(own[0] + runs[i % 60] + own[1])))
+    rows += [(r.doc_id + 1000, r.text) for r in
+             spark.read.parquet(f"{SF}/documents.parquet").filter("text IS NOT NULL").collect()]
+    # Runs of two or more lines that several texts share, found without chunks.
+    where = {}
+    for i, text in rows:
+        lines = [x for x in text.split("\n") if x.strip()]
+        for pair in zip(lines, lines[1:], strict=False):
+            where.setdefault(pair, set()).add(i)
+    shared = {x for pair, ids in where.items() if len(ids) > 1 for x in pair
+              if len(x.split()) >= 8}
+    assert len(shared) >= sum(map(len, runs))
+    left = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    count = dict.fromkeys(shared, 0)
+    for r in left:
+        for x in r.text.split("\n"):
+            if x in count:
+                count[x] += 1
+    assert set(count.values()) == {1}
+    # A line that one text alone holds stays.
+    texts = {r.doc_id: r.text for r in left}
+    assert all(rows[i][1].split("\n")[0] in texts[i] for i in range(240))
