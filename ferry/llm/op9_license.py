@@ -3,10 +3,12 @@
 A text is cut into sentences, every sentence is normalised (lower case, runs
 of anything but letters, digits and dots become one space), and a normalised
 sentence that is in the sentence table becomes that sentence's identifier.
-The identifiers of a document, in order, are matched against the ordered
-rules: a rule is a sequence of identifiers that must stand one after the
-other among the document's identified sentences. Rules are tried from the
-most specific; a rule whose license was found by an earlier rule adds nothing.
+Several wordings of a sentence share an identifier; marks that open the lines
+of a source comment do not count. The identifiers of a document, in order, are
+matched against the ordered rules: a rule is a sequence of identifiers that
+must stand one after the other among the document's identified sentences.
+Rules are tried from the most specific, and identifiers that a rule matched
+serve no later rule.
 
 Defined results: a null or empty text has no licenses (an empty list); rows
 that share an id are one document whose sentences are taken row by row
@@ -92,6 +94,71 @@ RULES = [
     ("CC0-1.0", ["cc0"]),
     ("Proprietary", ["reserved"]),
 ]
+# Short notices, "[opening]licensed under the [name][ending]".
+OPENINGS = ["", *(f"this {x} is " for x in ("work", "project", "program", "software", "library",
+                                             "file", "code", "source code"))]
+ENDINGS = ["", " the license"]
+NAMES = {
+    "apache-notice": ["apache license version 2.0", "apache license 2.0", "apache license v2.0",
+                      "apache 2.0 license"],
+    "mit-licensed": ["mit license"],
+    "bsd-notice": ["bsd license"],
+    "mpl2-notice": [f"mozilla public license {v}" for v in ("version 2.0", "v2.0", "2.0", "v")],
+    "gpl2-notice": [f"gnu general public license {v}" for v in ("version 2", "version 2.0", "v2",
+                                                                "v2.0")],
+} | {
+    key: [f"gnu {kind}general public license {v}" for v in ("version 3", "version 3.0", "v3", "v3.0")]
+    for key, kind in (("gpl3-notice", ""), ("lgpl3-notice", "lesser "), ("agpl3-notice", "affero "))}
+# The GNU program headers. The version stands in the sentence or
+# behind a semicolon, which ends it.
+GNU = {"gpl": "", "lgpl": "lesser ", "library": "library ", "agpl": "affero "}
+GNU_VERSIONS = {"gpl": ["2", "3"], "lgpl": ["2.1", "3"], "library": ["2"], "agpl": ["3"]}
+GNU_TERMS = ("you can redistribute it and or modify it under the terms of the gnu {}general public "
+             "license")
+GNU_FSF = "as published by the free software foundation"
+GNU_LATER = "either version {} of the license or at your option any later version"
+GNU_LICENSES = {("gpl", "2"): "GPL-2.0", ("gpl", "3"): "GPL-3.0", ("lgpl", "2.1"): "LGPL-2.1",
+                ("lgpl", "3"): "LGPL-3.0", ("library", "2"): "LGPL-2.0", ("agpl", "3"): "AGPL-3.0"}
+# Further wordings of sentences (normalised) and their identifiers.
+HEADERS = {
+    "the asf licenses this file to you under the apache license version 2.0 the license":
+        "apache-notice",
+    "the name of the author may not be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "bsd-endorse",
+    "use of this source code is governed by a bsd style license that can be found in the license "
+    "file": "bsd-notice",
+    **{f"this source code form is subject to the terms of the mozilla public license {v}":
+       "mpl2-notice" for v in ("version 2.0", "v2.0", "2.0")},
+    "the contents of this file are subject to the mozilla public license version 1.1 the license":
+        "mpl11-notice",
+    **{f"{o}licensed under the {n}{e}": key for key, names in NAMES.items() for n in names
+       for o in OPENINGS for e in ENDINGS},
+    **{f"this {x} is free software": "gpl-free" for x in ("library", "file", "software")},
+    **{f"{GNU_TERMS.format(k)} {GNU_FSF}": f"{g}-terms" for g, k in GNU.items()},
+    **{GNU_LATER.format(v): f"gnu-v{v}-later" for v in ("2", "2.1", "3")},
+    **{text: f"{g}{v}-terms" for g, versions in GNU_VERSIONS.items() for v in versions
+       for terms in [GNU_TERMS.format(GNU[g])]
+       for text in (f"{terms} {GNU_FSF} {GNU_LATER.format(v)}", f"{terms} version {v} {GNU_FSF}",
+                    f"{terms} {GNU_FSF} version {v} of the license",
+                    f"{terms} {GNU_FSF} version {v}")},
+}
+# The rules of these wordings, tried before ``RULES``. A BSD text
+# opens with "All rights reserved", which makes nothing proprietary there.
+HEADER_RULES = [
+    ("BSD-3-Clause", ["reserved", "bsd-redistribution", "bsd-endorse"]),
+    ("BSD-3-Clause", ["bsd-redistribution", "bsd-endorse"]),
+    ("BSD-2-Clause", ["reserved", "bsd-redistribution"]),
+    ("BSD", ["reserved", "bsd-notice"]),
+    *((name, [f"{g}-terms", f"gnu-v{v}-later"]) for (g, v), name in GNU_LICENSES.items()),
+    *((name, [f"{g}{v}-terms"]) for (g, v), name in GNU_LICENSES.items() if (g, v) != ("gpl", "3")),
+    ("MPL-1.1", ["mpl11-notice"]),
+]
+# The holder's name in the BSD endorsement, and marks of comments.
+HOLDER = (r"neither\s+the\s+names?\s+of\s[^;:!?]{1,200}?\snor\s+the\s+names\s+of\s+(?:its|their|any)"
+          r"\s+contributors\s+may\s+be\s+used\s")
+ANY_HOLDER = ("neither the name of the copyright holder nor the names of its contributors "
+              "may be used ")
+COMMENT = r"(?m)^[\x20\x09]*[/*#;%-]+"
 # An identified sentence holds at least one of these words.
 MARKS = ["licens", "software", "copyright", "permission", "permitted", "rights reserved",
          "redistribut"]
@@ -110,22 +177,26 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Only identified sentences leave the scan; the sentence and rule tables are
     fixed values, so nothing that is broadcast grows with the data.
     """
+    wordings = HEADERS if sentences is None else {}
     sentences = SENTENCES if sentences is None else sentences
-    rules = RULES if rules is None else rules
+    wordings = wordings | {v: k for k, v in sentences.items()}
+    rules = HEADER_RULES + RULES if rules is None else rules
     spark = docs.sparkSession
-    known = F.broadcast(spark.createDataFrame([(v, k) for k, v in sentences.items()],
+    known = F.broadcast(spark.createDataFrame(list(wordings.items()),
                                               "norm string, sentence_id string"))
     body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), body.alias("body")).filter("id IS NOT NULL")
     marked = F.lit(False)
     for m in MARKS:
         marked = marked | F.col("body").contains(m)
+    # A holder's name may hold stops, so it goes before the text is cut.
+    bare = F.regexp_replace(F.regexp_replace("body", COMMENT, ""), HOLDER, ANY_HOLDER)
     # A sentence may run over several lines or fill one line of a run of lines
     # without stops, so a piece with line breaks counts whole and line by line.
     pieces = (base.filter(marked)
               .select("id", F.xxhash64("body").alias("row"),
-                      F.posexplode(F.split("body", SENTENCE_BREAK)).alias("pos", "piece"))
-              .filter(F.length("piece") >= min(map(len, sentences.values()))))
+                      F.posexplode(F.split(bare, SENTENCE_BREAK)).alias("pos", "piece"))
+              .filter(F.length("piece") >= min(map(len, wordings))))
     parts = F.when(F.contains("piece", F.lit("\n")),
                    F.concat(F.array("piece"), F.split("piece", "\n"))).otherwise(F.array("piece"))
     pieces = pieces.select("id", "row", "pos", F.posexplode(parts).alias("sub", "sentence"))
@@ -135,11 +206,27 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("id", "row", "pos", "sub", "sentence_id"))
     found = (hits.groupBy("id").agg(F.sort_array(F.collect_set(
         F.struct("row", "pos", "sub", "sentence_id"))).alias("s"))
-        .select("id", F.transform("s", lambda x: x.sentence_id).alias("sentence_ids")))
-    chain = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
-    matched = F.array(*[F.when(F.contains(chain, F.lit(" " + " ".join(seq) + " ")), F.lit(name))
-                        for name, seq in rules])
-    found = found.withColumn("licenses", F.array_distinct(F.filter(matched, lambda x: x.isNotNull())))
+        .select("id", "s", F.transform("s", lambda x: x.sentence_id).alias("sentence_ids")))
+    # A piece that is one line counts once in the chain, though it is found
+    # whole and as a line. A rule takes its identifiers out of the chain.
+    once = F.filter("s", lambda x, i: (i == 0) | ~F.coalesce(
+        (F.get("s", i - 1).row == x.row) & (F.get("s", i - 1).pos == x.pos)
+        & (F.get("s", i - 1).sentence_id == x.sentence_id), F.lit(False)))
+    chain = F.array_join(F.transform(once, lambda x: F.concat(F.lit("<"), x.sentence_id, F.lit(">"))),
+                         "")
+    state = F.struct(chain.alias("chain"), F.array().cast("array<string>").alias("names"))
+
+    def apply(acc, rule):
+        used = F.contains(acc.chain, rule.seq)
+        return F.struct(F.replace(acc.chain, rule.seq, F.lit("|")).alias("chain"),
+                        F.when(used, F.array_append(acc.names, rule["name"]))
+                        .otherwise(acc.names).alias("names"))
+
+    table = F.array(*[F.struct(F.lit(name).alias("name"),
+                               F.lit("".join(f"<{x}>" for x in seq)).alias("seq"))
+                      for name, seq in rules])
+    found = found.select("id", "sentence_ids", F.array_distinct(
+        F.aggregate(table, state, apply, lambda acc: acc.names)).alias("licenses"))
     none = F.array().cast("array<string>")
     return (base.select("id").distinct().join(found, "id", "left")
             .select(F.col("id").alias(id_col),

@@ -167,6 +167,79 @@ def test_license_scan(spark):
     assert license_scan(docs.limit(0)).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GNU_HEADER = """This %s is free software; you can redistribute it and/or modify
+it under the terms of the GNU %sGeneral Public License as published by
+the Free Software Foundation%s either version %s of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+BSD2 = """Copyright (c) 2011, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """3. Neither the name of %s nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_license_headers(spark):
+    comment = lambda s, mark: "\n".join(f"{mark} {x}".rstrip() for x in s.split("\n"))
+    texts = [
+        (APACHE, "Apache-2.0"), (comment(APACHE, "#"), "Apache-2.0"),
+        ("/*\n" + comment(APACHE, " *") + "/\nint x;", "Apache-2.0"),
+        (comment(APACHE, "//"), "Apache-2.0"), (BSD2, "BSD-2-Clause"),
+        (BSD3 % "the copyright holder", "BSD-3-Clause"), (BSD3 % "Google Inc.", "BSD-3-Clause"),
+        (comment(BSD3 % "the University", "#"), "BSD-3-Clause"), (MPL, "MPL-2.0"),
+        (GNU_HEADER % ("program", "", ";", "2"), "GPL-2.0"),
+        (GNU_HEADER % ("program", "", ",", "2"), "GPL-2.0"),
+        (GNU_HEADER % ("program", "", ",", "3"), "GPL-3.0"),
+        (GNU_HEADER % ("program", "", ";", "3"), "GPL-3.0"),
+        (GNU_HEADER % ("library", "Lesser ", ";", "2.1"), "LGPL-2.1"),
+        (GNU_HEADER % ("library", "Lesser ", ",", "3"), "LGPL-3.0"),
+        (GNU_HEADER % ("library", "Library ", ";", "2"), "LGPL-2.0"),
+        (comment(GNU_HEADER % ("program", "Affero ", ",", "3"), "#"), "AGPL-3.0"),
+        ("This project is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("This is free text about a license and redistribution.", None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)],
+                                 "doc_id long, text string")
+    both = spark.createDataFrame([(100, BSD3 % "X" + "\n" + BSD2 + "\n" + APACHE)], docs.schema)
+    got = {r.doc_id: r.licenses for r in license_scan(docs.unionByName(both)).collect()}
+    assert {i: got[i] for i in range(len(texts))} == {
+        i: [x] if x else [] for i, (_, x) in enumerate(texts)}
+    assert got[100] == ["BSD-3-Clause", "BSD-2-Clause", "Apache-2.0"]
+
+
 # ---------------------------------------------------------------------- HTML
 
 def test_html_matches_the_articles(spark):
