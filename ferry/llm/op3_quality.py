@@ -2,8 +2,9 @@
 
 Every line of a text is judged by itself: a line that does not close with
 sentence punctuation, that is full of symbols or shouting, that is a
-navigation bar or that holds a boilerplate phrase is removed. A document is
-rejected when the removed lines hold more than ``max_loss`` of its
+navigation bar or that is boilerplate is removed. A boilerplate phrase counts
+where it stands as words of its own, and fails a line that has at most
+``SHORT_LINE`` words or that is half phrases. A document is rejected when the removed lines hold more than ``max_loss`` of its
 characters, or when it fails one of the base rules (too few words, too much
 of it inside repeated three-word windows).
 
@@ -27,6 +28,7 @@ from ferry.llm.common import SPACE, fresh, let
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOSS = 0.5
+SHORT_LINE = 12
 
 # Patterns of the line rules (the same in Java and RE2).
 CLOSED = r"""[.!?:;,…]["')\]»”’]*[\x20\x09-\x0D]*$"""
@@ -41,17 +43,22 @@ BOILERPLATE = ["lorem ipsum", "all rights reserved", "cookie policy", "privacy p
                "login", "subscribe to", "skip to content", "powered by", "share this",
                "back to top"]
 
+PHRASE = r"(?i)(?<![\p{L}\p{M}\p{N}_-])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{M}\p{N}_-])"
+
 
 def _line_fails(line: Column, odd: Column, phrases: Column) -> Column:
     """Whether a line goes. ``odd`` / ``phrases`` say whether the whole text
     holds any symbol or phrase that the dearer rules look for."""
     chars = F.length(line)
+    words = F.size(F.filter(F.split(line, SPACE), lambda w: w != ""))
+    phrase_chars = F.length(F.array_join(F.regexp_extract_all(line, F.lit(PHRASE), F.lit(0)), ""))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     return ((~line.rlike(CLOSED) & ~line.rlike(SENTENCE_END))
             | (odd & ((F.regexp_count(line, F.lit(SYMBOL)) * 10 > chars)
                       | (F.regexp_count(line, F.lit(SHOUT)) * 30 > chars)
                       | (line.rlike(SEPARATOR) & (separators >= 2) & (separators * 30 > chars))))
-            | (phrases & line.rlike("(?i)" + "|".join(BOILERPLATE))))
+            | (phrases & line.rlike(PHRASE)
+               & ((words <= SHORT_LINE) | (phrase_chars * 2 >= chars))))
 
 
 def _repeat_words(words: Column) -> Column:

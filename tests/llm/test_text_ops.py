@@ -80,6 +80,27 @@ def test_quality_lines_and_verdict(spark):
     assert got[1].verdict == "a"
 
 
+def test_quality_phrases_in_long_and_short_lines(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    inside = ["a catalog in print", "design updates", "we assign up to ten", "spread more widely",
+              "a solar-powered by-product", "they sign up for it", "to log in, you wait",
+              "read more books"]
+    clean = [f"{words(k)} {x} {words(-k)}." for k, x in enumerate(inside, 1)]
+    rows = list(enumerate(clean)) + [(100, f"{clean[0]}\n\n{clean[1]}")]
+    base = f"{words(50)}."
+    removed = ["Sign up!", "Please LOG IN to read more.", "© 2020 Us, all rights reserved.",
+               "Powered by X.", " ".join(["click here, read more, sign up,"] * 6) + " log in."]
+    kept = ["A catalog in print.", "Solar-powered by day.", "We design updates."]
+    rows += [(200 + k, f"{base}\n{x}") for k, x in enumerate(removed)]
+    rows += [(300 + k, f"{base}\n{x}") for k, x in enumerate(kept)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in clean_documents(docs).collect()}
+    assert all(got[k] == x for k, x in enumerate(clean))
+    assert got[100] == f"{clean[0]}\n{clean[1]}"
+    assert all(got[200 + k] == base for k in range(len(removed)))
+    assert all(got[300 + k] == f"{base}\n{x}" for k, x in enumerate(kept))
+
+
 # ----------------------------------------------------------------------- PII
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
