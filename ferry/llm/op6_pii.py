@@ -3,7 +3,7 @@
 Four base kinds are always reported when their own check passes: ``email``,
 ``ip`` (every part at most 255), ``card`` (12 to 19 digits passing Luhn) and
 ``phone`` (a leading plus and 9 to 15 digits). Two kinds are added:
-``iban`` (mod-97 and the country's length class confirm it) and ``local_phone``
+``iban`` (cut to its country's length, confirmed by mod-97) and ``local_phone``
 (a number without a plus, which counts only when words such as "tel" or
 "phone" stand close before it). Every span has a score; a checksum and
 matching context words raise it, and an added span is reported when its score
@@ -39,10 +39,20 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-# The added patterns and the words that speak for each kind.
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# The added patterns and the words that speak for each kind. An
+# IBAN's pattern is its start; its country says how many characters follow.
+IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?=\x20?[A-Z0-9])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+./-])\(?0?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}"
                          r"(?![0-9./-])")
+# Characters of an IBAN by country, as registered.
+IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 "
+    "DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 "
+    "IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 "
+    "MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
+    "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+IBAN_REST = {n: re.compile(r"(?:\x20?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4))
+             for n in set(IBAN_LENGTH.values())}
 CONTEXT = {
     "email": ("mail", "contact", "write to"),
     "ip": ("ip", "address", "host", "server"),
@@ -108,8 +118,9 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
             if 9 <= len(_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end(), False
     for m in IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", m.start(), m.end(), True
+        rest = m[1] in IBAN_LENGTH and IBAN_REST[IBAN_LENGTH[m[1]]].match(text, m.end())
+        if rest and mod97(text[m.start():rest.end()].replace(" ", "")):
+            yield "iban", m.start(), rest.end(), True
     for m in LOCAL_PHONE.finditer(text):
         if 7 <= len(_digits(m[0])) <= 13:
             yield "local_phone", m.start(), m.end(), False

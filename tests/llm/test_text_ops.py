@@ -152,6 +152,28 @@ def test_pii_added_kinds_and_scores():
     assert find_spans("number 030 1234 5678") == []
 
 
+@pytest.mark.parametrize("iban", [
+    "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32",
+    "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S",
+    "NL91 ABNA 0417 1643 00"])
+@pytest.mark.parametrize("behind", ["", ".", " BIC COBADEFFXXX", " A new line", " 20 EUR",
+                                    " 1 000 EUR", " und", "\nBIC X", ", 5 EUR"])
+def test_pii_iban_ends_at_its_length(iban, behind):
+    text = f"IBAN {iban}{behind}"
+    got = [(s, e) for k, s, e, _ in find_spans(text) if k == "iban"]
+    assert got == [(5, 5 + len(iban))]
+
+
+def test_pii_iban_needs_its_length():
+    # Valid by mod-97, but a character longer or shorter than the country's.
+    body = "37040044053201300"
+    for n in (16, 17, 19, 20):
+        rest = (body + "0000")[:n]
+        check = next(f"{c:02d}" for c in range(2, 99) if mod97(f"DE{c:02d}{rest}"))
+        assert not [x for x in find_spans(f"bank account DE{check}{rest}") if x[0] == "iban"]
+    assert not [x for x in find_spans("account DE89370400440532013000x") if x[0] == "iban"]
+
+
 # ------------------------------------------------------------------- license
 
 def test_license_tables_are_consistent():
