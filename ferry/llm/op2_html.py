@@ -7,18 +7,23 @@ that have it, and the content importance is one minus the mean entropy of its
 text blocks over those pages: a block that stands on every page has entropy 1
 and says nothing, a block of one page has entropy 0. Both are combined with
 weight ``GAMMA``. A path is a low-importance branch if its importance is below
-``THRESHOLD`` and it stands on at least ``MIN_PAGES`` pages and on half of the
-host's pages, and if the host's articles as a whole are above the threshold
-(so that a host of copies loses nothing).
+``THRESHOLD`` and it stands on at least ``MIN_PAGES`` pages (however many pages
+of other templates the host has), and if the host's articles as a whole are
+above the threshold (so that a host of copies loses nothing); a page whose
+text is all in branches keeps it.
 
 A page's text is that of its article (else of its main element, else of its
 body), without elements whose tag, role or names say that they are menus,
 headers, footers, sidebars, notices, adverts, forms or comments, and without
-the low-importance branches of its host. Plain text flow of an article
-(paragraphs, headings, list items ... directly in it) is never a branch.
+the low-importance branches of its host. A name hides no block with the main
+element, an article of weight or most of the page's text; names make a main
+block only where such blocks hold most of the text; and the main element's own
+plain text, or all of it where it is more than the articles', stays beside an
+article. Plain text flow of an article (paragraphs, headings, list items ...
+directly in it) is never a branch.
 
-The table of branches has a bounded number of rows per host (paths that stand
-on half of its pages) and is joined to the pages by host.
+The table of branches grows with the templates of a host, not with its pages,
+and is joined to the pages by host.
 
 Defined results: null or empty html gives '' and 0; html without markup is one
 block; a null or odd url counts as the host ''; unclosed comments, tags and
@@ -62,6 +67,7 @@ NOISE_NAME = frozenset("ad ads adv advert adverts advertisement advertising spon
                        "notification popup modal overlay newsletter subscribe subscription share "
                        "sharing social related recommended comment comments reply replies disqus "
                        "respond toolbar pagination pager login signup search skip".split())
+TALK_NAME = frozenset("comment comments reply replies disqus respond".split())
 OUTER_NAME = frozenset(["header", "banner", "aside"])
 MAIN_NAME = frozenset("content article post entry story main".split())
 # A start tag of the key closes the open elements named.
@@ -77,10 +83,21 @@ RAW_END = {tag: re.compile(f"</{tag}(?![a-z0-9])", re.IGNORECASE) for tag in RAW
 
 
 class _Node:
-    __slots__ = ("children", "hidden", "path", "plain", "rank", "tag")
-
-    def __init__(self, tag, path, hidden, rank, plain):
-        self.tag, self.path, self.hidden, self.rank, self.plain = tag, path, hidden, rank, plain
+    """An element. ``noise``: a noise name may hide it, ``outer`` only outside
+    a main block; ``hard``: its tag or role hides it. The sums over the element
+    are ``total`` (text that is not hard), ``links`` (of it, inside links),
+    ``article`` (the largest article) and ``has_main``."""
+
+    __slots__ = ("article", "chars", "children", "hard", "has_main", "hidden", "in_main", "in_named",
+                 "links", "named", "near", "noise", "outer", "path", "plain", "rank", "tag", "talk",
+                 "total", "up")
+
+    def __init__(self, tag, path, up, hard):
+        self.tag, self.path, self.up, self.hard = tag, path, up, hard
+        self.noise = self.outer = self.talk = self.named = self.has_main = False
+        self.hidden = self.in_main = self.in_named = False
+        self.plain = True
+        self.chars = self.total = self.links = self.article = self.near = self.rank = 0
         self.children: list[str] = []
 
 
@@ -92,21 +109,75 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[tuple[str, int, bool, str]] = []
         self.styles: Counter = Counter()
-        self.stack = [_Node("", "", False, 0, True)]
-        self.buffer: list[str] = []
+        self.stack = [_Node("", "", None, False)]
+        self.nodes = [self.stack[0]]
+        self.buffer: list[tuple[_Node, str]] = []
+        self.raw: list[tuple[_Node, list[tuple[_Node, str]]]] = []
         self._parse(html)
+        self._settle()
 
     def _flush(self) -> None:
         if self.buffer:
-            text = " ".join("".join(self.buffer).split())
-            self.buffer.clear()
-            if text:
-                owner = next(n for n in reversed(self.stack) if n.tag not in INLINE)
-                self.blocks.append((owner.path, owner.rank, owner.plain, text))
+            owner = next(n for n in reversed(self.stack) if n.tag not in INLINE)
+            self.raw.append((owner, self.buffer))
+            self.buffer = []
 
     def _text(self, piece: str) -> None:
-        if piece and not self.stack[-1].hidden:
-            self.buffer.append(unescape(piece) if "&" in piece else piece)
+        node = self.stack[-1]
+        if piece and not node.hard:
+            piece = unescape(piece) if "&" in piece else piece
+            node.chars += len(piece.strip())
+            self.buffer.append((node, piece))
+
+    def _settle(self) -> None:
+        """Decide what is hidden and every block's rank, with the whole page known."""
+        for n in reversed(self.nodes):
+            n.total += n.chars
+            if n.tag == "a":
+                n.links = n.total
+            if n.tag == "article" and not n.noise:
+                n.article = max(n.article, n.total)
+            if n.up:
+                n.up.total += n.total
+                n.up.links += n.links
+                n.up.article = max(n.up.article, n.article)
+                n.up.has_main |= n.has_main
+        page, largest = self.nodes[0].total, self.nodes[0].article
+
+        def spared(n):
+            # A name does not hide the page's main element, an article of
+            # weight or most of the page's text (unless it is links or talk).
+            return (n.has_main or (n.article and n.article * 2 >= largest)
+                    or (n.total * 2 > page and not n.talk and n.links * 2 <= n.total))
+
+        sums = dict.fromkeys(("all", "article", "main", "named", "named only"), 0)
+        for n in self.nodes[1:]:
+            up = n.up
+            n.hidden = up.hidden or n.hard or ((n.noise or (n.outer and not up.near))
+                                               and not spared(n))
+            n.near = 2 if n.tag == "article" else up.near or int(n.named or n.in_main)
+            n.in_main |= up.in_main
+            n.in_named = up.in_named or (n.named and not up.near)
+            if not n.hidden:
+                sums["all"] += n.chars
+                sums["named"] += n.chars * n.in_named
+                sums["article"] += n.chars * (n.near == 2)
+                sums["main"] += n.chars * (n.near != 2 and n.in_main)
+                sums["named only"] += n.chars * (n.near != 2 and n.in_named)
+        # A main block with more text beside its articles than in them counts
+        # like an article; named blocks only where they hold most of the text.
+        main = 1 + (sums["main"] > sums["article"] > 0)
+        named = (sums["named"] * 2 > sums["all"]) * (1 + (sums["named only"] > sums["article"] > 0))
+        for n in self.nodes[1:]:
+            n.rank = 2 if n.near == 2 else max(main * n.in_main, named * n.in_named)
+            n.plain = n.rank > n.up.rank or (n.up.plain and (n.tag in FLOW or n.tag in INLINE))
+        for owner, pieces in self.raw:
+            text = " ".join("".join(p for n, p in pieces if not n.hidden).split())
+            if text:
+                # Plain text flow of the main element stays beside an article.
+                beside = owner.in_main and owner.plain and sums["article"] > 0
+                self.blocks.append((owner.path, 2 if beside else owner.rank, owner.plain, text))
+        del self.nodes, self.raw
 
     def _pop(self) -> None:
         node = self.stack.pop()
@@ -138,21 +209,18 @@ class Page:
         label = ".".join([tag, *sorted(set(names))])
         up.children.append(label)
         container = tag in ("html", "body", "main", "article")
-        hidden = up.hidden or tag in NOISE_TAG or (tag == "header" and not up.rank)
-        if not container and not hidden:
-            hidden = (role in NOISE_ROLE or not NOISE_NAME.isdisjoint(names)
-                      or (not up.rank and not OUTER_NAME.isdisjoint(names)))
-        elif tag == "article" and not hidden:
-            hidden = not {"comment", "comments", "reply", "ad", "advert"}.isdisjoint(names)
-        rank = up.rank
+        node = _Node(tag, f"{up.path}/{label}", up, up.hard or tag in NOISE_TAG
+                     or (not container and role in NOISE_ROLE))
+        node.in_main = node.has_main = tag == "main" or role == "main"
+        node.talk = not TALK_NAME.isdisjoint(names)
         if tag == "article":
-            rank = 2
-        elif rank == 0 and (tag == "main" or role == "main"
-                            or (not container and tag not in INLINE
-                                and not MAIN_NAME.isdisjoint(names))):
-            rank = 1
-        plain = rank > up.rank or (up.plain and (tag in FLOW or tag in INLINE))
-        self.stack.append(_Node(tag, f"{up.path}/{label}", hidden, rank, plain))
+            node.noise = not {"comment", "comments", "reply", "ad", "advert"}.isdisjoint(names)
+        elif not container:
+            node.noise = not NOISE_NAME.isdisjoint(names)
+            node.outer = tag == "header" or not OUTER_NAME.isdisjoint(names)
+            node.named = tag not in INLINE and not MAIN_NAME.isdisjoint(names)
+        self.stack.append(node)
+        self.nodes.append(node)
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -214,8 +282,11 @@ class Page:
     def chosen(self, branches: frozenset = frozenset()) -> list[str]:
         """Texts of the best-ranked blocks outside the given branches."""
         best = max((b[1] for b in self.blocks), default=0)
-        return [text for path, rank, plain, text in self.blocks
-                if rank == best and (plain and rank or path_key(path) not in branches)]
+        whole = [b for b in self.blocks if b[1] == best]
+        kept = [text for path, rank, plain, text in whole
+                if plain and rank or path_key(path) not in branches]
+        # Copies of one page make branches of all its paths.
+        return kept or [b[3] for b in whole]
 
 
 def path_key(path: str) -> int:
@@ -309,11 +380,10 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                         host.alias("host"))
     tree = style_tree(base.select("host", "html"))
     whole = tree.filter(F.col("path") == WHOLE).select(
-        "host", F.col("pages").alias("host_pages"), F.col("importance").alias("whole"))
+        "host", F.col("importance").alias("whole"))
     low = (tree.filter((F.col("path") != WHOLE) & (F.col("importance") < THRESHOLD)
                        & (F.col("pages") >= MIN_PAGES))
-           .join(whole, "host").filter((F.col("whole") >= THRESHOLD)
-                                       & (F.col("pages") * 2 >= F.col("host_pages"))))
+           .join(whole, "host").filter(F.col("whole") >= THRESHOLD))
     branches = materialise(low.groupBy("host").agg(F.collect_set("path").alias("branches")),
                            "style-branches")
     out = arrow_map(base.join(branches, "host", "left").select("page_id", "url", "html", "branches"),

@@ -315,6 +315,43 @@ def test_html_cases(html, text):
     assert main_text(html) == text
 
 
+LONG = "A story of some length that is the larger part of the page by far, told in one go."
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<div class='layout no-sidebar'><article><p>{LONG}</article></div>", LONG),
+    (f"<div id=page class=has-sidebar><main><p>{LONG}</main></div>", LONG),
+    (f"<body class=x><div class='social-news'><h1>T</h1><p>{LONG}</div><div class=ad>BUY</div>",
+     f"T\n\n{LONG}"),
+    (f"<div id=page class=has-sidebar><div class=content><p>{LONG}</div>"
+     "<div class=sidebar>Links</div></div>", LONG),
+    (f"<div class='post-date'>May 5</div><p>{LONG}", f"May 5\n\n{LONG}"),
+    (f"<div class=content><p>{LONG}</div><div class=x>Imprint</div>", LONG),
+    (f"<main><p>Intro.</p><article><p>{LONG}</article><div class=x>More</div></main>",
+     f"Intro.\n\n{LONG}"),
+    (f"<main><div class=x>{LONG}</div><article><p>Teaser</article></main>", f"{LONG}\n\nTeaser"),
+    (f"<article><p>Short.</article><div class=comments><p>{LONG}</div>", "Short."),
+    (f"<article><p>{LONG}</article><div class=related><article><p>Other</article></div>", LONG),
+    (f"<div class=menu><a>{LONG}</a></div><p>Short.", "Short.")])
+def test_html_names_hide_and_rank_by_text(html, text):
+    assert main_text(html) == text
+
+
+def test_html_branches_of_a_host_with_several_templates(spark):
+    page = lambda i, t: (f"<html><body><div class={t}><div class={t}top>Welcome to {t}</div>"
+                         f"<div class=text><p>Story {i} is about number {i}.</p></div></div></body>"
+                         "</html>")
+    rows = [(100 * k + i, "http://a.example/x", page(100 * k + i, t))
+            for k, t in enumerate(["red", "green", "blue", "white"]) for i in range(8)]
+    # A page of the host that stands there five times under paths of its own.
+    rows += [(1000 + i, "http://a.example/y", "<div class=own><div>Only words here.</div></div>")
+             for i in range(5)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect()}
+    for i, _, _ in rows:
+        assert got[i] == ("Only words here." if i >= 1000 else f"Story {i} is about number {i}.")
+
+
 def test_html_style_tree_removes_branches(spark):
     page = lambda i: (f"<html><body><div class=top>Welcome to us</div><div class=text><p>Story {i} "
                       f"is about number {i}.</p><p>Shared words.</p></div><div class=end>"
