@@ -6,17 +6,19 @@ and read again as the next stage's ``docs``. All but the last return the
 columns of ``docs``. ``run`` applies them to ``documents``.
 
 Defined results beyond those of the operators: a document that line
-deduplication leaves without a word goes; of rows that share an id one stays
-after near-deduplication; a document that the mix repeats is there once per
-block.
+deduplication leaves without a word goes; near-deduplication decides per id and
+text, so an id with several texts keeps those that link with nothing, and of
+rows with the same id and text the first by the other columns stays; rows
+without an id all stay; a document that the mix repeats is there once per
+block, and the mixed rows are written in the order of block and key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import materialise, table
+from ferry.llm.common import fresh, materialise, table
 from ferry.llm.op3_quality import clean_documents
 from ferry.llm.op4_mixing import mix_documents
 from ferry.llm.op5_sentencepiece import encode_documents
@@ -38,15 +40,31 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: one document of each group stays (shingles of five
     words, similarity 0.8)."""
-    kept = (near_duplicates(docs, width=5, percent=80)
-            .filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct().hint("merge"))
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    node, first, row = (fresh(docs, n) for n in ("node", "node_first", "node_row"))
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    # Of the texts of one id the first by digest goes by the id, every other
+    # one by a number of its own above the ids.
+    several = materialise(
+        docs.filter("doc_id IS NOT NULL").select("doc_id", digest.alias("digest"))
+        .groupBy("doc_id").agg(F.min("digest").alias(first), F.max("digest").alias("last"))
+        .filter(F.col(first) < F.col("last")).select("doc_id", first), "several-texts")
+    own = F.xxhash64("doc_id", digest).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    named = docs.filter("doc_id IS NOT NULL").join(several, "doc_id", "left").withColumn(
+        node, F.when(digest != F.col(first), own).otherwise(F.col("doc_id").cast("long")))
+    kept = (near_duplicates(named, id_col=node, width=5, percent=80)
+            .filter("kept").select(node).distinct().hint("merge"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    one = named.join(kept, node, "left_semi").withColumn(
+        row, F.row_number().over(Window.partitionBy(node).orderBy(*others)))
+    return (one.filter(F.col(row) == 1).select(docs.columns)
+            .unionByName(docs.filter("doc_id IS NULL")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: every document at least once, sources at their target weights."""
-    return mix_documents(docs, **MIX, block_col="mix_block", key_col="mix_key").select(docs.columns)
+    """Mixing: every document at least once, sources at their target weights,
+    the rows of a block in the order of its permutation."""
+    mixed = mix_documents(docs, **MIX, block_col="mix_block", key_col="mix_key")
+    return mixed.orderBy("mix_block", "mix_key").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

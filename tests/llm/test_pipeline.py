@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import glob
+import hashlib
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -93,3 +96,34 @@ def test_odd_documents(spark):
             docs = f(spark, docs, SF)
         got = sorted((r.doc_id is None, r.doc_id or 0) for r in docs.collect())
         assert got == ([(False, 3), (True, 0)] if data else [])
+
+
+def test_near_dedup_decides_per_id_and_text(spark):
+    text = lambda k: " ".join(f"{chr(97 + k)}{chr(97 + i // 26)}{chr(97 + i % 26)}"
+                              for i in range(120)) + "."
+    rows = [(1, text(0), "b"), (1, text(0), "a"), (1, text(1), "a"), (1, text(2), "a"),
+            (2, text(1) + " more", "a"), (2, text(3), "a"), (3, text(3) + " more", "a"),
+            (3, text(4), "a"), (3, text(4) + " more", "a"), (4, None, "a"), (4, text(5), "a")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text, r.source) for r in
+           corpus_pipeline.near_dedup(spark, docs.repartition(3), SF).collect()]
+    assert len(got) == len(set(got)) == 7
+    # One text of each linked group stays, and every text that links with none.
+    stem = Counter((t or "")[:100] for _, t, _ in got)
+    assert stem == Counter([text(k)[:100] for k in range(6)] + [""])
+    assert (1, text(0), "a") in got and (1, text(2), "a") in got
+    assert {(4, None, "a"), (4, text(5), "a")} <= set(got)
+
+
+def test_mixing_writes_the_permutation(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"w{i} x y", "en", "ab"[i % 10 == 0], 0) for i in range(500)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    corpus_pipeline.mixing(spark, docs.repartition(5), SF).write.parquet(f"{tmp_dir}/mixed")
+    ids = [i for f in sorted(glob.glob(f"{tmp_dir}/mixed/part-*.parquet"))
+           for i in pq.read_table(f).column("doc_id").to_pylist()]
+    seen, keys = Counter(), []
+    for i in ids:
+        keys.append((seen[i], hashlib.md5(f"{MIX['seed']}:{seen[i]}:{i}".encode()).hexdigest()))
+        seen[i] += 1
+    assert len(seen) == 500 and len(ids) > 500 and keys == sorted(keys)
