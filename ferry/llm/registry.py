@@ -21,6 +21,7 @@ from ferry.llm.op7_minhash import near_duplicates
 from ferry.llm.op8_records import read_records, write_records
 from ferry.llm.op9_license import NOISE, RULES, SENTENCE_BREAK, SENTENCES, license_scan
 from ferry.llm.op10_lines import line_report
+from ferry.llm.op13_sharding import shard_documents
 
 # Production parameters of the mix, and the id that ends a document.
 MIX = {"target_entropy": 0.92, "max_repetition": 2.0, "seed": 7}
@@ -79,6 +80,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
+
+
 def _sql(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -212,6 +217,7 @@ QUERIES = {
     "op8_binary_records": op8_binary_records,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE = {
