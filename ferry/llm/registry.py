@@ -21,6 +21,7 @@ from ferry.llm.op7_minhash import near_duplicates
 from ferry.llm.op8_records import read_records, write_records
 from ferry.llm.op9_license import NOISE, RULES, SENTENCE_BREAK, SENTENCES, license_scan
 from ferry.llm.op10_lines import line_report
+from ferry.llm.op11_negatives import hard_negatives
 from ferry.llm.op13_sharding import shard_documents
 
 # Production parameters of the mix, and the id that ends a document.
@@ -80,6 +81,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -206,6 +212,33 @@ LEFT JOIN matched USING (doc_id)
 """
 
 
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_no, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.row_no AS anchor, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM a JOIN v ON a.row_no <> v.row_no AND len(a.q) = len(v.q)),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same QUALIFY place <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same
+    AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -217,6 +250,7 @@ QUERIES = {
     "op8_binary_records": op8_binary_records,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_sharding": op13_sharding,
 }
 
@@ -224,4 +258,5 @@ ORACLE = {
     "op3_quality_rules": OP3_SQL,
     "op4_source_mixing": OP4_SQL,
     "op9_license_scan": _op9_sql(),
+    "op11_hard_negatives": OP11_SQL,
 }
