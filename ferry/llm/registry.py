@@ -22,6 +22,7 @@ from ferry.llm.op8_records import read_records, write_records
 from ferry.llm.op9_license import NOISE, RULES, SENTENCE_BREAK, SENTENCES, license_scan
 from ferry.llm.op10_lines import line_report
 from ferry.llm.op11_negatives import hard_negatives
+from ferry.llm.op12_alignment import align_documents
 from ferry.llm.op13_sharding import shard_documents
 
 # Production parameters of the mix, and the id that ends a document.
@@ -86,6 +87,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"),
+                           tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -251,6 +258,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_alignment": op12_alignment,
     "op13_sharding": op13_sharding,
 }
 
