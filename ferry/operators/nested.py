@@ -13,209 +13,105 @@ Semantics (the reference's recursive function):
 * a key repeated inside one object behaves as in a parsed dict: it stays
   at its first position and takes its last value.
 
-Spark plan: a loop of narrow jobs (no shuffle), each walking
-``levels_per_pass`` nesting levels inside one expression. Every object is
-parsed twice with the JVM JSON parser -- ``map<string,string>`` keeps each
-value's raw text (a sub-object keeps its key order, unlike a variant
-object, whose keys are sorted) and ``map<string,variant>`` gives its type
-(so a text leaf that itself holds JSON is not mistaken for an object).
-Each entry carries its position path ``p`` (array of entry positions), so
-ordering by ``p`` is document order. A pass writes, per document, the array of
-its leaves and the array of its deepest objects (the next frontier) once as a
-Parquet table in the shared folder, which cuts lineage and lets the loop stop
-as soon as no object is left. The leaves of a document without a frontier are
-already an array in document order: their index is their position, and no
-shuffle is needed. Only deeper documents, if there are any, are numbered by a
-window per document.
+Spark plan: one narrow, lazy ``mapInArrow`` over the document column; no
+shuffle, no intermediate table, no session setting. A built-in expression can
+only walk as many levels as it nests lambdas, and the analyser's time for them
+grows with each level, so a document of any depth is walked by a small helper
+with an explicit stack: time follows the text, not the depth. Leaves leave a
+task in bounded batches.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from ferry.functions.json import is_text, parse_strict
-from ferry.functions.text import starts_with
-from ferry.session import scratch_path, scratch_root
-
-_NODE = "array<struct<p:array<int>,k:string,t:string,v:string>>"
-
-
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable
-    (a one-element ``transform``), so the body can use it many times."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _kind(v: Column) -> Column:
-    """OBJECT / STRING / OTHER for a variant value.
-
-    The object test casts to an empty struct (no field lookups, so O(1));
-    ``schema_of_variant`` walks the whole value, so it only runs on
-    non-objects.
-    """
-    return (F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), F.lit("OBJECT"))
-            .when(is_text(v), F.lit("STRING"))
-            .otherwise(F.lit("OTHER")))
-
-
-def object_entries(txt: Column) -> Column:
-    """``array<struct<k, t, v>>``: key, kind (STRING / OBJECT / OTHER) and
-    value text of a JSON object's entries, in document order, with dict
-    semantics for repeated keys. Each parse runs once per object."""
-    return _let(parse_strict(txt, "map<string,string>"), lambda mt:
-                _let(parse_strict(txt, "map<string,variant>"), lambda mv:
-                     _entries(mt, mv)))
-
-
-def _entries(mt: Column, mv: Column) -> Column:
-    keys = F.map_keys(mt)
-    kinds = F.transform(F.map_values(mv), _kind)
-    entries = F.arrays_zip(keys.alias("k"), kinds.alias("t"), F.map_values(mt).alias("v"))
-    # Only objects that repeat a key pay for the de-duplication.
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries) \
-        .otherwise(_dedup(entries))
-
-
-_IDX = "struct<k:string,p:int,t:string,v:string>"
-
-# Levels walked in one expression: deeper nesting of lambdas exceeds the
-# analyzer's iteration limit. Only the number of passes depends on it.
-MAX_LEVELS_PER_PASS = 4
-
-
-def _dedup(entries: Column) -> Column:
-    """Dict semantics for repeated keys -- first position, last value -- in
-    O(k log k): sort by (key, position) and zip each entry with its
-    neighbours; a key's group starts where the previous key differs and
-    ends where the next one does; re-sort by first position. No lambda
-    refers to anything but its own argument."""
-    srt = F.array_sort(F.transform(entries, lambda e, i: F.struct(
-        e["k"].alias("k"), i.alias("p"), e["t"].alias("t"), e["v"].alias("v"))))
-    n = F.size(srt)
-    none = F.array(F.lit(None).cast(_IDX))
-    prev = F.concat(none, F.slice(srt, 1, n - 1))
-    nxt = F.concat(F.slice(srt, 2, n - 1), none)
-    z = F.arrays_zip(srt.alias("c"), prev.alias("b"), nxt.alias("a"))
-    starts = F.transform(F.filter(z, lambda x: x["b"].isNull() | (x["b"]["k"] != x["c"]["k"])),
-                         lambda x: x["c"])
-    ends = F.transform(F.filter(z, lambda x: x["a"].isNull() | (x["a"]["k"] != x["c"]["k"])),
-                       lambda x: x["c"])
-    groups = F.arrays_zip(starts.alias("s"), ends.alias("e"))
-    ordered = F.array_sort(F.transform(groups, lambda g: F.struct(
-        g["s"]["p"].alias("p"), g["e"]["k"].alias("k"),
-        g["e"]["t"].alias("t"), g["e"]["v"].alias("v"))))
-    return F.transform(ordered, lambda x: F.struct(
-        x["k"].alias("k"), x["t"].alias("t"), x["v"].alias("v")))
-
-
-def expand(txt: Column, levels: int) -> Column:
-    """Entries of an object and of its sub-objects down to ``levels`` levels,
-    depth first in document order: ``array<struct<p, k, t, v>>`` where ``p``
-    is the path of entry positions relative to ``txt``.
-
-    A sub-object is parsed inside the lambda from its own element, only when
-    the entry is an object, so the work is linear in the text walked.
-    """
-    def node(e, i, rest):
-        me = F.array(F.struct(F.array(i).alias("p"), e["k"].alias("k"),
-                              e["t"].alias("t"), e["v"].alias("v")))
-        if rest == 0:
-            return me
-        below = F.transform(expand(e["v"], rest), lambda x: F.struct(
-            F.concat(F.array(i), x["p"]).alias("p"), x["k"].alias("k"),
-            x["t"].alias("t"), x["v"].alias("v")))
-        return F.concat(me, F.when(e["t"] == "OBJECT", below).otherwise(F.array().cast(_NODE)))
-    return F.flatten(F.transform(object_entries(txt), lambda e, i: node(e, i, levels - 1)))
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from ferry.operators.project import quoted
+from ferry.session import ship_package
+
+BATCH_LEAVES = 20_000
+
+
+def path_keys(root: str | None) -> list[str]:
+    """Keys of a path ``$.a.b`` or ``$['a']['b']`` (none for ``None``)."""
+    if root is None:
+        return []
+    step = r"\.([^.\[\]]+)|\['([^']+)'\]"
+    if not re.fullmatch(rf"\$(?:{step})*", root):
+        raise ValueError(f"not a path of object keys: {root}")
+    return [a or b for a, b in re.findall(step, root[1:])]
+
+
+def walk_leaves(text: str | None, keys: list[str], prefix: str) -> Iterator[tuple[str, str]]:
+    """Text leaves of one document under the object at ``keys``. Raises on
+    malformed text and on a missing, null or other value in its place."""
+    node = json.loads(text) if text is not None else None
+    for key in keys:
+        node = node.get(key) if isinstance(node, dict) else None
+    if not isinstance(node, dict):
+        raise ValueError(f"document without an object at {'.'.join(['$', *keys])}")
+    stack = [iter(node.items())]
+    while stack:
+        for key, value in stack[-1]:
+            if isinstance(value, dict):
+                stack.append(iter(value.items()))
+                break
+            if isinstance(value, str) and value.startswith(prefix):
+                yield key, value
+        else:
+            stack.pop()
+
+
+def _text(s: str) -> str:
+    """``s`` with any half of a surrogate pair replaced (not valid text)."""
+    return s if s.isascii() else s.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _walker(keys: list[str], prefix: str, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, docs = batch.column(0), batch.column(1)
+            at: list[int] = []
+            rows: tuple[list, list, list] = ([], [], [])
+
+            def full() -> pa.RecordBatch:
+                columns = [ids.take(pa.array(at, pa.int64())), pa.array(rows[0], pa.int64()),
+                           pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
+                return pa.RecordBatch.from_arrays(columns, names=names)
+
+            for n, doc in enumerate(docs):
+                for pos, (key, value) in enumerate(walk_leaves(doc.as_py(), keys, prefix)):
+                    at.append(n)
+                    for column, x in zip(rows, (pos, _text(key), _text(value)), strict=True):
+                        column.append(x)
+                    if len(at) >= BATCH_LEAVES:
+                        yield full()
+                        at, rows = [], ([], [], [])
+            yield full()
+    return run
 
 
 def text_leaves(docs: DataFrame, id_col: str, json_col: str, root: str | None = None,
                 prefix: str = "http", key_name: str = "key", value_name: str = "value",
-                levels_per_pass: int = MAX_LEVELS_PER_PASS) -> DataFrame:
+                levels_per_pass: int | None = None) -> DataFrame:
     """All text leaves starting with ``prefix`` under ``root`` of each document.
 
     Returns ``id_col, leaf_pos, key_name, value_name``; ``leaf_pos`` is the
     0-based position of the leaf in document order within its document.
     Malformed JSON, a missing or null root, or a root that is not an object
-    fails the query; an object without leaves gives no rows.
-
-    Runs its passes eagerly (one write job per ``levels_per_pass`` levels, at
-    most ``MAX_LEVELS_PER_PASS``), however deep the documents are; the
-    returned DataFrame reads the written passes.
+    fails the query; an object without leaves gives no rows. Nothing runs
+    before an action. ``levels_per_pass`` is accepted for callers of an
+    earlier form; one pass walks every level (the depth is bounded by the
+    JSON parser's own limit, some thousand levels).
     """
-    spark = docs.sparkSession
-    scratch_root(spark)  # make sure a checkpoint folder is registered
-    # A sub-object that repeats a key must not fail the type test (a parsed
-    # dict keeps the last value).
-    if spark.conf.get(DUPLICATE_KEYS, "false") != "true":
-        spark.conf.set(DUPLICATE_KEYS, "true")
-    # A strict parse of the whole document raises on malformed text, so a
-    # malformed document fails instead of reading as "no root".
-    whole = parse_strict(json_col, "map<string,string>")
-    simple = re.fullmatch(r"\$\.([A-Za-z_][\w-]*)", root or "")
-    if simple:
-        # One parse does both: validate, and take the root's raw text (the
-        # last value if the key repeats, as a parsed dict would).
-        name = simple.group(1)
-        start = F.try_element_at(F.filter(F.map_entries(whole), lambda e: e["key"] == name),
-                                 F.lit(-1))["value"]
-    else:
-        path = F.get_json_object(F.col(json_col), root) if root else F.col(json_col)
-        start = F.when(whole.isNotNull(), path)
-    start = F.coalesce(start, F.raise_error(F.concat(
-        F.lit(f"document without {root or 'content'}: "),
-        F.coalesce(F.col(id_col).cast("string"), F.lit("null")))))
-    per_pass = max(1, min(levels_per_pass, MAX_LEVELS_PER_PASS))
-    first = _walk(docs.select(F.col(id_col), start.alias("_txt")), id_col, prefix, per_pass)
-    flat = (first.where(F.size("_deep") == 0)
-            .select(id_col, F.posexplode("_leaf").alias("leaf_pos", "_l")))
-    out = flat.select(id_col, F.col("leaf_pos").cast("long"), F.col("_l.k").alias(key_name),
-                      F.col("_l.v").alias(value_name))
-    more = first.where(F.size("_deep") > 0)
-    if more.isEmpty():
-        return out
-    w = Window.partitionBy(id_col).orderBy("_ord")
-    deeper = reduce(DataFrame.unionByName, _levels(more, id_col, prefix, per_pass))
-    return out.unionByName(deeper.select(
-        id_col, (F.row_number().over(w) - 1).cast("long").alias("leaf_pos"),
-        F.col("_k").alias(key_name), F.col("_v").alias(value_name)))
-
-
-DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
-
-
-def _walk(objects: DataFrame, key: str | Sequence[str], prefix: str, levels: int) -> DataFrame:
-    """Per object text ``_txt``: its leaves and deepest objects, written once
-    as a Parquet table in the shared folder (a lost executor re-reads files,
-    it does not re-walk earlier levels)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    path = scratch_path(objects.sparkSession, "flatten-pass")
-    keep = lambda test: lambda nodes: F.transform(
-        F.filter(nodes, test), lambda x: F.struct(x["p"].alias("p"), x["k"].alias("k"),
-                                                  x["v"].alias("v")))
-    leaf = keep(lambda x: (x["t"] == "STRING") & starts_with(x["v"], prefix))
-    deep = keep(lambda x: (x["t"] == "OBJECT") & (F.size(x["p"]) == levels))
-    both = _let(expand(F.col("_txt"), levels),
-                lambda n: F.struct(leaf(n).alias("_leaf"), deep(n).alias("_deep")))
-    objects.select(*keys, both.alias("_b")).select(*keys, "_b.*").write.parquet(path)
-    return objects.sparkSession.read.parquet(path)
-
-
-def _levels(walked: DataFrame, id_col: str, prefix: str, per_pass: int) -> list[DataFrame]:
-    """Leaves of every pass (``id, _ord, _k, _v``), the first being ``walked``."""
-    cur = walked.withColumn("_ord", F.array().cast("array<int>"))
-    passes = []
-    while True:
-        at = lambda c: F.concat(F.col("_ord"), F.col(f"{c}.p")).alias("_ord")
-        passes.append(cur.select(id_col, "_ord", F.explode("_leaf").alias("_l"))
-                      .select(id_col, at("_l"), F.col("_l.k").alias("_k"),
-                              F.col("_l.v").alias("_v")))
-        below = (cur.select(id_col, "_ord", F.explode("_deep").alias("_d"))
-                 .select(id_col, at("_d"), F.col("_d.v").alias("_txt")))
-        if below.isEmpty():
-            return passes
-        cur = _walk(below, [id_col, "_ord"], prefix, per_pass)
+    ship_package(docs.sparkSession)
+    rows = docs.select(quoted(id_col), quoted(json_col))
+    schema = T.StructType([
+        T.StructField(id_col, rows.schema[0].dataType), T.StructField("leaf_pos", T.LongType()),
+        T.StructField(key_name, T.StringType()), T.StructField(value_name, T.StringType())])
+    return rows.mapInArrow(_walker(path_keys(root), prefix, schema.names), schema)
