@@ -5,16 +5,22 @@ in one string. One string cannot be split, so here the table is cut into
 chunks of at most ``chunk_rows`` rows (by global row position) and each
 chunk is written as one such object per line. Row labels are the global
 0-based positions, so chunks can be read back in any order.
+
+``write_column_text`` gives the reference's own form, one text for the whole
+table, written by many tasks at their offsets.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.operators.ordinal import with_ordinal
+from ferry.operators.project import quoted
+from ferry.sinks.one_file import write_one_file
 
 
 def column_json_chunks(df: DataFrame, order_by: Sequence[str],
@@ -34,3 +40,24 @@ def write_column_json(df: DataFrame, path: str, order_by: Sequence[str],
                       chunk_rows: int = 100_000, mode: str = "overwrite") -> str:
     column_json_chunks(df, order_by, chunk_rows).write.mode(mode).text(path)
     return path
+
+
+def write_column_text(df: DataFrame, path: str, order_by: Sequence[str]) -> str:
+    """The whole table as one ``{"col": {"label": v, ...}, ...}`` text in one
+    file: columns in their order, labels the 0-based positions by ``order_by``."""
+    cols = list(df.columns)
+    pos = with_ordinal(df, order_by, name="_label")
+    names = [json.dumps(c, ensure_ascii=False) for c in cols]
+
+    def wrapped(c: str):  # {"v":...}
+        return F.to_json(F.struct(quoted(c).alias("v")), {"ignoreNullFields": "false"})
+
+    entries = pos.select("_label", F.posexplode(F.array(*[wrapped(c) for c in cols]))
+                         .alias("_c", "_j"))
+    opening = F.element_at(F.array(*[F.lit("{" * (not k) + "}," * bool(k) + n + ":{")
+                                     for k, n in enumerate(names)]), F.col("_c") + 1)
+    text = F.concat(F.when(F.col("_label") == 0, opening).otherwise(F.lit(",")), F.lit('"'),
+                    F.col("_label").cast("string"), F.lit('":'), F.expr("substring(_j, 6, length(_j) - 6)"))
+    bare = "{" + ",".join(n + ":{}" for n in names) + "}"
+    return write_one_file(entries.select("_c", "_label", text.alias("_text")), "_text",
+                          ["_c", "_label"], path, tail="}}", empty=bare)

@@ -10,6 +10,10 @@ same order (our writer, a pandas document) positions line up as they are;
 otherwise each column's entries are sorted by label first. Every column
 must hold the same set of labels -- a table has a value, possibly null,
 for every row and column -- else the read fails.
+
+One text too large for one task (the reference hands a table over as a single
+string) is read by ``read_column_text``: byte blocks give its entries, which
+are put together by label in one shuffle, as a column-oriented text has to be.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.json import parse_strict
+from ferry.sources.blocks import column_entries
+
 
 def read_column_json(spark: SparkSession, path: str, schema: T.StructType | str,
                      label: str = "row_label", whole_files: bool = False) -> DataFrame:
@@ -54,6 +61,31 @@ def read_column_json(spark: SparkSession, path: str, schema: T.StructType | str,
                        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in st.fields])
 
 
+def read_column_text(spark: SparkSession, path: str, schema: T.StructType | str,
+                     label: str = "row_label", block_bytes: int | None = None) -> DataFrame:
+    """The same rows from one large text (or several, with labels of their
+    own), read in byte blocks by many tasks. A label that a column lacks or
+    repeats fails the query; columns outside the schema are ignored."""
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    found = column_entries(spark, path, block_bytes).filter(F.col("column").isin(names))
+    one = F.map_entries(parse_strict(F.concat(F.lit("{"), F.col("text"), F.lit("}")),
+                                     "map<string,string>"))
+    entries = found.select("column", F.element_at(one, 1).alias("e")).select(
+        "column", F.col("e.key").alias("label"), F.col("e.value").alias("value"))
+    wide = entries.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("column").alias("columns"),
+        *[F.max(F.when(F.col("column") == n, F.col("value"))).alias(f"c{k}")
+          for k, n in enumerate(names)])
+    whole = (F.col("n") == len(names)) & (F.col("columns") == len(names))
+    key = F.when(whole, F.col("label")).otherwise(F.raise_error(F.concat(
+        F.lit("hand-over JSON: columns hold different or repeated row labels: "),
+        F.col("label"))))
+    return wide.select(key.cast("long").alias(label),
+                       *[_typed(F.col(f"c{k}"), f.dataType).alias(f.name)
+                         for k, f in enumerate(st.fields)])
+
+
 def _typed(v, dtype: T.DataType):
     """Cast a value's JSON text to its declared type. Timestamps may also be
     epoch milliseconds (what a pandas step writes by default), read as

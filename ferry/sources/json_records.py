@@ -10,8 +10,8 @@ Two layouts:
 * JSON lines (one record per line) -- splittable, the layout to land
   large payloads in;
 * JSON arrays (``array=True``, one array of records per file, what an
-  HTTP API returns) -- each file is parsed whole by one task, so land many
-  moderate files rather than one huge one.
+  HTTP API returns) -- each file is parsed whole by one task. A huge one is
+  read in blocks by many tasks with ``read_json_array``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.json import parse_strict
+from ferry.sources.blocks import array_elements
+
 
 def read_json_records(spark: SparkSession, path, schema: T.StructType | str,
                       array: bool = False, strict: bool = True,
@@ -39,6 +42,20 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType | str,
     return reader.load(path)
 
 
+def read_json_array(spark: SparkSession, path, schema: T.StructType | str,
+                    block_bytes: int | None = None, positions: bool = False) -> DataFrame:
+    """JSON array files (S1), each read in byte blocks by many tasks; the same
+    rows as ``read_json_records(array=True)``. Malformed text fails the query.
+    A first pass over the file runs at once. ``positions``: also the columns of
+    :func:`payload_positions`."""
+    found = array_elements(spark, path, block_bytes)
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    where = [F.col("path").alias("_file"), F.col("block").alias("_block"),
+             F.col("number").alias("_mid")] if positions else []
+    return found.select(parse_strict("text", ddl).alias("_r"), *where).select(
+        "_r.*", *(["_file", "_block", "_mid"] if positions else []))
+
+
 def read_documents(spark: SparkSession, path, schema: T.StructType | str,
                    **options) -> DataFrame:
     """Full scan of an exported document collection, match-all filter (S5,
