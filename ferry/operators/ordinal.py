@@ -78,18 +78,22 @@ def with_payload_ordinal(positioned: DataFrame, name: str = "ordinal") -> DataFr
     """Add ``name``: the 0-based position of each record in the landed payload
     -- files by path, records as they stand in them -- from
     ``sources.json_records.payload_positions``. No sort: the rows are written
-    once as scanned, and each read block gets its offset (one row per block,
-    so the table that is broadcast does not grow with the records)."""
+    once as scanned, and each read block gets its offset. That
+    table has one row per block, so it grows with the payload: it is written
+    before the join, and Spark broadcasts it only while its size is below the
+    session's threshold."""
     spark = positioned.sparkSession
     path = scratch_path(spark, "payload")
     positioned.write.parquet(path)
     rows = spark.read.parquet(path)
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (rows.groupBy("_file", "_block")
-               .agg(F.count(F.lit(1)).alias(_N), F.min("_mid").alias("_first"))
-               .select("_file", "_block", "_first",
-                       F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF)))
+    (rows.groupBy("_file", "_block")
+     .agg(F.count(F.lit(1)).alias(_N), F.min("_mid").alias("_first"))
+     .select("_file", "_block", "_first",
+             F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+     .write.parquet(f"{path}-offsets"))
+    offsets = spark.read.parquet(f"{path}-offsets")
     keep = [c for c in positioned.columns if c not in ("_file", "_block", "_mid")]
-    return (rows.join(F.broadcast(offsets), ["_file", "_block"])
+    return (rows.join(offsets, ["_file", "_block"])
             .select(*[quoted(c) for c in keep],
                     (F.col(_OFF) + F.col("_mid") - F.col("_first")).alias(name)))

@@ -86,6 +86,20 @@ def daily_metrics(spark: SparkSession, sf_dir: str, path: str) -> None:
     daily_metrics_frame(spark, sf_dir).write.json(path)
 
 
+@_staged("daily_metrics_array")
+def daily_metrics_array(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The payload as one JSON array in one file, the youngest day first."""
+    from ferry.operators.ordinal import with_ordinal
+    from ferry.sinks.one_file import write_one_file
+
+    days = daily_metrics_frame(spark, sf_dir).withColumn("_k", -F.col("date"))
+    numbered = with_ordinal(days, ["_k"])
+    text = F.concat(F.when(F.col("ordinal") == 0, F.lit("")).otherwise(F.lit(",\n ")),
+                    F.to_json(F.struct(*[c for c in days.columns if c != "_k"])))
+    return write_one_file(numbered.select("ordinal", text.alias("text")), "text", ["ordinal"],
+                          f"{path}/daily.json", "[", "]\n")
+
+
 # ---------------------------------------------------------------------- photos
 
 PHOTO_CONTENT_TYPES = ["image/png", "image/jpeg", "text/html", None, "IMAGE/PNG"]
@@ -146,6 +160,22 @@ def users(spark: SparkSession, sf_dir: str, path: str) -> None:
      .write.text(path))
 
 
+@_staged("growing_users")
+def growing_users(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """The users table at three times: by then the first third, two thirds and
+    all of the keys had been loaded. ``load_hour`` is cut to the hour, so rows
+    that arrive later share the value of the last mark."""
+    u = users_frame(spark, sf_dir).select(
+        "_id", "username", F.date_trunc("HOUR", "load_datetime").cast("timestamp_ntz")
+        .alias("load_hour"))
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    folders = []
+    for k in (1, 2, 3):
+        folders.append(f"{path}/{k}")
+        u.filter(F.col("_id").cast("long") * 3 <= last * k).write.parquet(folders[-1])
+    return folders
+
+
 # ------------------------------------------------------------------- task_runs
 
 def task_runs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

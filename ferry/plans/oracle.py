@@ -82,6 +82,8 @@ ORDER BY date NULLS LAST"""
 
 ORACLE["daily_report_http"] = ORACLE["daily_report"]
 
+ORACLE["daily_report_array"] = ORACLE["daily_report"]
+
 ORACLE["daily_report_rowcount"] = _with(DAILY_METRICS) + """
 SELECT COUNT(*) AS n_rows, COUNT(*) + 1 AS last_sheet_row FROM daily_metrics"""
 
@@ -227,6 +229,8 @@ SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '  ' || text || '	' WHEN 1 THEN '"' |
        WHEN 2 THEN NULL ELSE text END AS text, lang, source, n_chars
 FROM documents"""
 
+ORACLE["csv_documents_file"] = ORACLE["csv_documents"]
+
 ORACLE["insert_select_limit"] = """
 SELECT embedding AS coordenadas FROM embeddings ORDER BY vec_id LIMIT 1"""
 
@@ -239,6 +243,13 @@ SELECT _id, load_datetime,
        date_diff('minute', load_datetime, (SELECT max(load_datetime) FROM users)) AS minutes_behind
 FROM users"""
 
+# The table held the first third, two thirds and all of the keys by then.
+ORACLE["incremental_extract"] = _with(USERS) + """
+SELECT _id, username, date_trunc('hour', load_datetime) AS load_hour,
+       CASE WHEN CAST(_id AS BIGINT) * 3 <= last THEN 1
+            WHEN CAST(_id AS BIGINT) * 3 <= 2 * last THEN 2 ELSE 3 END AS run
+FROM users, (SELECT max(c_custkey) AS last FROM customer) m"""
+
 ORACLE["run_date_tag"] = """
 SELECT o_orderkey, DATE '2024-01-10' AS run_date, 'bucket' AS bucket, 2 AS version,
        CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2024-01-10') AS INTEGER)
@@ -275,10 +286,24 @@ FROM r GROUP BY ordinal // {USERS_PAGE_ROWS}"""
 
 ORACLE["users_html_doc"] = _users_html_doc()
 
+
+def _users_html_file() -> str:
+    from ferry.plans.queries import USERS_DOC_HEAD, USERS_DOC_TAIL
+    head = USERS_DOC_HEAD.replace("'", "''")
+    tail = USERS_DOC_TAIL.replace("'", "''")
+    return _with(USERS, f"r AS (SELECT _id, {PY_ROW_HTML} AS row_html FROM users)") + f"""
+SELECT unnest(string_split('{head}' || string_agg(row_html, '' ORDER BY _id) || '{tail}', '</tr>'))
+       AS piece FROM r"""
+
+
+ORACLE["users_html_file"] = _users_html_file()
+
 ORACLE["interchange_roundtrip"] = _with(PHOTOS) + """
 SELECT row_number() OVER (ORDER BY id) - 1 AS row_label, id, title, url, thumbnailUrl
 FROM photos"""
 
+ORACLE["interchange_text"] = ORACLE["interchange_roundtrip"]
+
 ORACLE["failure_alerts"] = _with(TASK_RUNS) + f"""
 SELECT run_id, dag_id, task_id, execution_date, {_notice("plain")}
 FROM task_runs WHERE state = 'failed'"""

@@ -16,20 +16,23 @@ from ferry.functions.json import json_lookup
 from ferry.operators import alerts as A
 from ferry.operators import assets as S
 from ferry.operators import handoff as H
+from ferry.operators import incremental as I
 from ferry.operators import project as P
 from ferry.operators import report as R
 from ferry.operators.nested import text_leaves
 from ferry.operators.ordinal import with_payload_ordinal
 from ferry.plans import fixtures as fx
 from ferry.session import scratch_path
-from ferry.sinks.files import document_lines, read_csv, write_csv, write_lines, write_report_table
-from ferry.sinks.handover import write_column_json
+from ferry.sinks.files import (document_lines, read_csv, read_csv_blocks, write_csv,
+                               write_csv_file, write_lines, write_report_table)
+from ferry.sinks.handover import write_column_json, write_column_text
+from ferry.sinks.one_file import write_one_file
 from ferry.sinks.tables import create_table, insert_select
 from ferry.sources.assets import fetch_urls, with_image_sizes
-from ferry.sources.handover import read_column_json
+from ferry.sources.handover import read_column_json, read_column_text
 from ferry.sources.json_http import read_json_http
-from ferry.sources.json_records import (payload_positions, read_documents, read_json_records,
-                                        read_whole_documents)
+from ferry.sources.json_records import (payload_positions, read_documents, read_json_array,
+                                        read_json_records, read_required, read_whole_documents)
 from ferry.streaming.first_failure import run_first_failure_batches
 
 # Declared schemas of the staged payloads (no inference pass).
@@ -58,8 +61,16 @@ def daily_table(df: DataFrame, sort: bool = True) -> DataFrame:
 
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 P1 P2 X1 O1."""
-    return daily_table(daily_records(spark, sf_dir))
+    """S1 P1 P2 X1 O1. A payload that lacks one of the columns fails."""
+    return daily_table(read_required(spark, fx.daily_metrics(spark, sf_dir), DAILY_SCHEMA,
+                                     DAILY_COLUMNS))
+
+
+def daily_report_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from the payload as the API returns it, one JSON
+    array in one file, read in byte blocks by several tasks."""
+    return daily_table(read_json_array(spark, fx.daily_metrics_array(spark, sf_dir),
+                                       DAILY_SCHEMA))
 
 
 def daily_report_http(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +202,15 @@ def interchange_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_column_json(spark, path, "id BIGINT, title STRING, url STRING, thumbnailUrl STRING")
 
 
+def interchange_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hand-over as the reference makes it, one column-oriented
+    text for the whole table in one file, written and read by many tasks."""
+    photos = photos_projection(spark, sf_dir)
+    path = write_column_text(photos, f"{scratch_path(spark, 'handover-text')}/photos.json", ["id"])
+    return read_column_text(spark, path,
+                            "id BIGINT, title STRING, url STRING, thumbnailUrl STRING")
+
+
 # ------------------------------------------------------------------ nested docs
 
 def sprite_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,16 +245,29 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 K2 over free text: padded, quoted, multi-line and null cells."""
-    d = fx.table(spark, sf_dir, "documents")
-    k, text = F.col("doc_id") % 5, F.col("text")
-    odd = (F.when(k == 0, F.concat(F.lit("  "), text, F.lit("\t")))
-           .when(k == 1, F.concat(F.lit('"'), text, F.lit('", x')))
-           .when(k == 2, F.lit(None)).otherwise(text))
-    odd_docs = d.withColumn("text", odd)
+    odd_docs = odd_documents(spark, sf_dir)
     path = write_csv(odd_docs, scratch_path(spark, "csv"))
     return read_csv(spark, path, odd_docs.schema)
 
 
+def odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text with padded, quoted, multi-line and null cells."""
+    d = fx.table(spark, sf_dir, "documents")
+    k, text = F.col("doc_id") % 5, F.col("text")
+    return d.withColumn("text", (
+        F.when(k == 0, F.concat(F.lit("  "), text, F.lit("\t")))
+        .when(k == 1, F.concat(F.lit('"'), text, F.lit('", x')))
+        .when(k == 2, F.lit(None)).otherwise(text)))
+
+
+def csv_documents_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 K2: the same rows as one CSV object, written by many tasks at their
+    offsets, and read back in byte blocks by many tasks."""
+    docs = odd_documents(spark, sf_dir)
+    path = write_csv_file(docs, f"{scratch_path(spark, 'csv-object')}/documents.csv", ["doc_id"])
+    return read_csv_blocks(spark, path, docs.schema)
+
+
 def insert_select_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``INSERT INTO target SELECT coordenadas ... LIMIT 1``. The
     catalog entry goes again; what is returned reads the table's files."""
@@ -316,6 +349,29 @@ def users_html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.html_pages(rows, ["_id"], USERS_PAGE_ROWS, USERS_DOC_HEAD, USERS_DOC_TAIL)
 
 
+def users_html_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the one HTML document as one object under its name, written by many
+    tasks; read back by many, cut behind each table row."""
+    rows = users_html_rows(spark, sf_dir)
+    path = write_one_file(rows, "row_html", ["_id"],
+                          f"{scratch_path(spark, 'html')}/users.html", USERS_DOC_HEAD,
+                          USERS_DOC_TAIL)
+    return spark.read.option("lineSep", "</tr>").text(path).withColumnRenamed("value", "piece")
+
+
+# --------------------------------------------------------- incremental extract
+
+def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a table that grows between them, each extracting
+    what is newer than the committed mark; the rows with the run that took
+    them."""
+    folder = scratch_path(spark, "extract")
+    for path in fx.growing_users(spark, sf_dir):
+        users = spark.read.parquet(path)
+        I.extract_new(users, "load_hour", folder)
+    return I.extracted(spark, folder, users.schema)
+
+
 # -------------------------------------------------------------- failure notices
 
 def task_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +403,7 @@ def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "daily_report": daily_report,
+    "daily_report_array": daily_report_array,
     "daily_report_http": daily_report_http,
     "daily_report_series": daily_report_series,
     "daily_report_sheet": daily_report_sheet,
@@ -363,14 +420,18 @@ QUERIES = {
     "table_extract": table_extract,
     "csv_roundtrip": csv_roundtrip,
     "csv_documents": csv_documents,
+    "csv_documents_file": csv_documents_file,
     "insert_select_limit": insert_select_limit,
     "high_water_mark": high_water_mark,
     "high_water_mark_handoff": high_water_mark_handoff,
+    "incremental_extract": incremental_extract,
     "users_documents": users_documents,
     "users_json_rows": users_json_rows,
     "users_html_rows": users_html_rows,
     "users_html_doc": users_html_doc,
+    "users_html_file": users_html_file,
     "interchange_roundtrip": interchange_roundtrip,
+    "interchange_text": interchange_text,
     "failure_alerts": failure_alerts,
     "failure_alerts_exception": failure_alerts_exception,
     "first_failure": first_failure,

@@ -1,7 +1,8 @@
 """Landed JSON payloads and exported document collections.
 
 Always read with a declared schema: no inference pass over the data, a
-stable result type, and a field that a document lacks reads as NULL.
+stable result type, and a field that a document lacks reads as NULL
+(``read_required`` fails where no document has it).
 ``FAILFAST`` makes a malformed record fail the job, as the reference's step
 fails when the payload cannot be parsed.
 
@@ -16,12 +17,17 @@ Two layouts:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.json import parse_strict
+from ferry.operators.project import keep_columns, quoted
+from ferry.session import scratch_path
 from ferry.sources.blocks import array_elements
+from ferry.sources.json_http import check_present
 
 
 def read_json_records(spark: SparkSession, path, schema: T.StructType | str,
@@ -42,6 +48,31 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType | str,
     return reader.load(path)
 
 
+def read_required(spark: SparkSession, path, schema: T.StructType | str,
+                  required: Sequence[str], array: bool = False) -> DataFrame:
+    """The ``required`` columns of landed JSON records, in that order; one that
+    no record has fails the read (P1).
+
+    The records are read once: values are counted while the rows are written
+    to the shared folder, and what is returned reads the written table. Only a
+    column without any value is looked for again, by its key, as explicit
+    nulls are present.
+    """
+    seen = Observation()
+    rows = keep_columns(read_json_records(spark, path, schema, array=array), required)
+    landed = scratch_path(spark, "records")
+    (rows.observe(seen, F.count(F.lit(1)).alias("n"),
+                  *[F.count(quoted(c)).alias(f"c{k}") for k, c in enumerate(required)])
+     .write.parquet(landed))
+    counts = seen.get
+    bare = [c for k, c in enumerate(required) if counts["n"] and not counts[f"c{k}"]]
+    if bare:
+        text = spark.read.option("wholetext", array).text(path)
+        record = F.explode(parse_strict("value", "array<string>")) if array else F.col("value")
+        check_present(text.select(record.alias("value")), "value", bare)
+    return spark.read.schema(rows.schema).parquet(landed)
+
+
 def read_json_array(spark: SparkSession, path, schema: T.StructType | str,
                     block_bytes: int | None = None, positions: bool = False) -> DataFrame:
     """JSON array files (S1), each read in byte blocks by many tasks; the same

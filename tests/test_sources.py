@@ -294,3 +294,45 @@ def test_scratch_root_needs_shared_storage_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError):
         session.scratch_root(type("S", (), {"sparkContext": Sc()})())
+
+
+def test_column_that_no_record_has_fails(spark, tmp_dir):
+    from ferry.sources.json_records import read_required
+
+    schema, columns = "date INT, positive BIGINT, death BIGINT", ["death", "date"]
+
+    def payload(name, text):
+        path = os.path.join(tmp_dir, name)
+        with open(path, "w") as f:
+            f.write(text)
+        return path
+
+    lines = payload("a.json", '{"date": 1, "positive": 2}\n{"date": 2, "positive": 3}\n')
+    with pytest.raises(ValueError, match="death"):
+        read_required(spark, lines, schema, columns)
+    array = payload("b.json", '[{"date": 1, "positive": 2},\n{"date": 2}]')
+    with pytest.raises(ValueError, match="death"):
+        read_required(spark, array, schema, columns, array=True)
+    for text, want in (('{"date": 1}\n{"date": 2, "death": 5}\n', {(None, 1), (5, 2)}),
+                       ('{"date": 1}\n{"date": 2, "death": null}\n', {(None, 1), (None, 2)}),
+                       ("", set())):
+        df = read_required(spark, payload("c.json", text), schema, columns)
+        assert df.columns == columns and {tuple(r) for r in df.collect()} == want
+    nulls = payload("d.json", '[{"date": 1, "death": null}]')
+    assert read_required(spark, nulls, schema, columns, array=True).collect()[0].date == 1
+    with pytest.raises(Exception):
+        read_required(spark, nulls, "date INT", columns, array=True)
+
+
+def test_whole_documents_do_not_depend_on_an_earlier_flatten(spark, tmp_dir):
+    from ferry.operators.nested import text_leaves
+    from ferry.sources.json_records import read_whole_documents
+
+    path = os.path.join(tmp_dir, "d.json")
+    with open(path, "w") as f:
+        f.write('{"a": 1, "a": 2}\n')
+    df = spark.createDataFrame([(0, '{"s": {"a": "http://x", "a": "http://y"}}')], "i INT, d STRING")
+    for _ in range(2):
+        with pytest.raises(Exception):
+            read_whole_documents(spark, path).selectExpr("to_json(doc)").collect()
+        assert text_leaves(df, "i", "d", root="$.s").collect()[0].value == "http://y"
