@@ -136,9 +136,6 @@ def checked_index(h: PerfectHash, stored: np.ndarray, keys: np.ndarray) -> np.nd
 
 # --- the two tokenizers ---------------------------------------------------
 
-# A text is out of the ordinary where a space stands before white space or the
-# end, or a line break before white space.
-_ODD = re.compile(r" (?=\s|$)|^\s|\n(?=\s)")
 _CUT = re.compile(r"(?<! )(?= \S)|(?<!\s)(?=\n)")
 
 
@@ -150,9 +147,31 @@ def cut_words(text: str) -> list[str]:
     no words."""
     if not text or text[0] == "\n":
         return []
-    if _ODD.search(text):
+    words = text.replace("\n", " \n").split(" ")
+    # Printable text holds no other white space; then an empty word or a bare
+    # line break is all that tells two white-space characters side by side.
+    if "" in words or "\n" in words or not text.replace("\n", "").isprintable():
         return [w[1:] if w[0] == " " else w for w in _CUT.split(" " + text) if w]
-    return text.replace("\n", " \n").split(" ")
+    return words
+
+
+def _runs(words: list[str], spaced: list[str], most: int = 32) -> list[str]:
+    """Words joined for A, which encodes few texts faster than many words. A
+    word with more white space than the character it starts with stands alone:
+    it could not be cut off again."""
+    out: list[str] = []
+    run: list[str] = []
+    for w, s in zip(words, spaced, strict=True):
+        bare = w[1:] if w[:1] == "\n" else w
+        if bare and bare.isprintable() and " " not in bare:
+            run.append(s)
+            if len(run) < most:
+                continue
+            out.append("".join(run))
+        else:
+            out += ["".join(run), s] if run else [s]
+        run = []
+    return [*out, "".join(run)] if run else out
 
 
 class Aligned:
@@ -203,43 +222,50 @@ class Aligner:
         self.shown = ([f"{i}," for i in range(1 << 16)] + [f"{i}|" for i in range(1 << 16)]
                       + [f"{i};" for i in range(1 << 16)])
 
-    def align(self, words: list[str], whole: bool = False) -> Aligned:
+    def align(self, words: list[str], whole: bool = False, groups: bool = True) -> Aligned:
         """``whole``: each word is a text of its own, else as ``cut_words``
-        gives them."""
+        gives them; ``groups``: whether their text is wanted."""
         spaced = [w if w[:1] == "\n" and not whole else " " + w for w in words]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         ids_b = self.b.encode(words, num_threads=1)
         if not whole:  # the marker that B puts before a line break
             ids_b = [x[1:] if w[:1] == "\n" else x for w, x in zip(words, ids_b, strict=True)]
-        raw = [w.encode() for w in spaced]
-        join_a, join_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        runs = spaced if whole else _runs(words, spaced)
+        flat_a = self._flat(e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False))
+        flat_b = self._flat(ids_b)
+        size = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in spaced), np.int64,
+                           len(spaced))
+        text = "".join(spaced).encode()
+        stop = np.cumsum(size)
         good = np.ones(len(words), bool)
-        size = np.array([len(x) for x in raw], np.int64)
-        text = b"".join(raw)
-        flat_a, flat_b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
-        if (b"".join(map(join_a, flat_a)) != text or b"".join(map(join_b, flat_b)) != text
-                or self._sizes(ids_a, flat_a, self.len_a, size)
-                or self._sizes(ids_b, flat_b, self.len_b, size)):
-            for k, x in enumerate(raw):
-                if (b"".join(map(join_a, ids_a[k])) != x or b"".join(map(join_b, ids_b[k])) != x):
+        if not (self._gives(flat_a, self.bytes_a, self.len_a, text, stop)
+                and self._gives(flat_b, self.bytes_b, self.len_b, text, stop)):
+            ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+            for k, x in enumerate(spaced):
+                raw = x.encode()
+                if (b"".join(map(self.bytes_a.__getitem__, ids_a[k])) != raw
+                        or b"".join(map(self.bytes_b.__getitem__, ids_b[k])) != raw):
                     good[k], size[k] = False, 0
                     ids_a[k] = ids_b[k] = []
-            flat_a, flat_b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
-        return self._lay_out(ids_a, ids_b, np.array(flat_a, np.int64),
-                             np.array(flat_b, np.int64), size, good)
+            flat_a, flat_b = self._flat(ids_a), self._flat(ids_b)
+        return self._lay_out(flat_a, flat_b, size, good, groups)
 
     @staticmethod
-    def _sizes(ids: list, flat: list, length: np.ndarray, size: np.ndarray) -> bool:
-        """Whether some word's tokens do not add up to its bytes."""
-        ends = np.concatenate(([0], np.cumsum(length[np.array(flat, np.int64)])))
-        last = np.cumsum(np.array([len(x) for x in ids], np.int64))
-        return bool((np.diff(ends[last], prepend=0) != size).any())
+    def _flat(ids) -> np.ndarray:
+        return np.array(list(chain.from_iterable(ids)), np.int64)
 
-    def _lay_out(self, ids_a, ids_b, a, b, size, good) -> Aligned:
+    @staticmethod
+    def _gives(flat: np.ndarray, entry: list[bytes], length: np.ndarray, text: bytes,
+               stop: np.ndarray) -> bool:
+        """Whether the tokens are the bytes of ``text`` and end where words do."""
+        if b"".join(map(entry.__getitem__, flat.tolist())) != text:
+            return False
+        ends = np.cumsum(length[flat])
+        at = np.searchsorted(ends, stop)
+        return bool((ends[at] == stop).all()) if len(ends) else not len(text)
+
+    def _lay_out(self, a, b, size, good, groups: bool) -> Aligned:
         out = Aligned()
         out.good = good
-        out.n_a = np.array([len(x) for x in ids_a], np.int64)
-        out.n_b = np.array([len(x) for x in ids_b], np.int64)
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         start_a = end_a - self.len_a[a]
         cuts = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -247,6 +273,9 @@ class Aligner:
         word_end = np.cumsum(size)
         word_of = lambda ends: np.searchsorted(word_end, ends)
         n = len(size)
+        word_a = word_of(end_a)
+        out.n_a = np.bincount(word_a, minlength=n)
+        out.n_b = np.bincount(word_of(end_b), minlength=n)
         out.n_groups = np.bincount(word_of(cuts), minlength=n)
         # A token of A overlaps the tokens of B from the one that holds its
         # first byte to the one that holds its last.
@@ -256,7 +285,10 @@ class Aligner:
         step = np.arange(len(linked_a)) - np.repeat(np.cumsum(links) - links, links)
         linked_b = np.repeat(from_b, links) + step
         out.pairs = (a[linked_a].astype(np.uint32) << np.uint32(16)) | b[linked_b].astype(np.uint32)
-        out.n_links = np.bincount(word_of(end_a[linked_a]), minlength=n)
+        out.n_links = np.bincount(word_a[linked_a], minlength=n)
+        if not groups:
+            out.groups = [""] * n
+            return out
         # Text: A's ids of a group, a bar, B's ids, a semicolon.
         last_a = np.append(group_a[1:] != group_a[:-1], True) if len(a) else np.zeros(0, bool)
         last_b = np.append(group_b[1:] != group_b[:-1], True) if len(b) else np.zeros(0, bool)
@@ -269,6 +301,20 @@ class Aligner:
         return out
 
 
+class _Numbers(dict):
+    """Words by number; one that is asked for the first time gets the next and
+    is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordTable:
     """Words a worker has met, by number, with arrays of what is known of each.
     ``learn`` gives the columns of new words; full tables start anew."""
@@ -278,25 +324,22 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.groups: list[str] = []
         # good, n_a, n_b, groups, links, best, sum of counts, links not counted
         self.columns = np.zeros((8, 0), np.int64)
         self.pairs: list[np.ndarray] = []
-        self.used = 0
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        new = list(set(words).difference(self.number))
+        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        new, self.number.new = self.number.new, []
         if new:
-            new.sort()
-            found = self.aligner.align(new)
-            self._add(new, found)
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            self._add(new, self.aligner.align(new, groups=self.look_up is not None))
+        return found
 
     def _add(self, new: list[str], found: Aligned) -> None:
         first = len(self.groups)
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
-        self.groups += found.groups if self.look_up else [""] * len(new)
+        self.groups += found.groups
         block = columns_of(found, self.look_up)
         need = first + len(new)
         if need > self.columns.shape[1]:
