@@ -29,11 +29,13 @@ empty table gives an empty manifest; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,7 @@ HEAD = struct.Struct("<QI")
 ITEM = struct.Struct("<qIB")
 READ_BYTES = 8 << 20
 
-_TABLES: dict[str, tuple[UnitTable, UnitTable]] = {}
+_TABLES: dict[str, Words] = {}
 
 
 def masked(data: bytes) -> int:
@@ -65,9 +67,14 @@ def frame(payload: bytes) -> bytes:
                      struct.pack("<I", masked(payload))))
 
 
-def pack_record(doc_id: int | None, ids: np.ndarray) -> bytes:
+def record(doc_id: int | None, ids: bytes, width: int) -> bytes:
+    """The record of ids packed in ``width`` bytes each."""
     key = NO_ID if doc_id is None else doc_id
-    return frame(ITEM.pack(key, len(ids), ids.dtype.itemsize) + ids.tobytes())
+    return frame(ITEM.pack(key, len(ids) // width, width) + ids)
+
+
+def pack_record(doc_id: int | None, ids: np.ndarray) -> bytes:
+    return record(doc_id, ids.tobytes(), ids.dtype.itemsize)
 
 
 def unpack_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
@@ -110,63 +117,92 @@ def read_record(path: str, index_path: str, k: int) -> tuple[int | None, np.ndar
         return unpack_payload(read_frame(x))
 
 
-# A plain word: letters that no normalisation changes but for their case, then
-# sentence punctuation. Any splitter of this kind makes one piece of each.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-PROBE = ["The", "naïve.", "ÉÀÜ", "don", "straße!?", "x...", "a,", "ÿ;", "ABCdef:", "ll", "s", "t."]
+# The normaliser and splitter of the tokenizer file for which
+# texts of Latin-1 characters are cut here, by the same rule written out.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+    "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}}
+_L, _N, _S = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 
-def word_table(tokenizer_file: str) -> UnitTable:
-    """The worker's table for one tokenizer file. Its pre-tokenizer drops
-    white space and never joins across it, so words are units.
+class Words:
+    """The worker's tables for one tokenizer file, whose pre-tokenizer drops
+    white space and never joins across it.
 
-    The pieces of plain words go straight to the model, through a table of
-    their own; all other words take the library's whole way. ``PROBE`` decides
-    at load whether the file allows it.
+    Latin-1 characters are in composed form and lower-case one by one, so if
+    the file has ``NORMALIZER`` and ``SPLIT`` (followed by the byte level), the
+    pieces that its model gets from such a text are those of ``PIECES`` over
+    the lower-cased text: they are the units and go straight to the model. Of
+    all other texts, and of those that may hold a special token, the units are
+    words, which take the library's whole way.
     """
-    if tokenizer_file not in _TABLES:
+
+    def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        tok = Tokenizer.from_file(tokenizer_file)
-        dtype = "<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4"
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-        def whole(words: list[str]) -> list[list[int]]:
-            return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
-
-        def piece_ids(pieces: list[str]) -> list[list[int]]:
-            return [[t.id for t in tok.model.tokenize(
-                p if p.isascii() else as_bytes.pre_tokenize_str(p)[0][0])] for p in pieces]
-
-        pieces = UnitTable(piece_ids, dtype)
-
-        def encode(words: list[bytes]) -> list:
-            out, plain, rest = [None] * len(words), [], []
-            for k, w in enumerate(words):
-                word = w.decode()
-                m = PLAIN.fullmatch(word)
-                if m:
-                    plain.append((k, [m[1].lower(), m[2]] if m[2] else [m[1].lower()]))
-                else:
-                    rest.append((k, word))
-            for (k, _), ids in zip(plain, pieces.pack([x for _, x in plain]), strict=True):
-                out[k] = ids
-            for (k, _), ids in zip(rest, whole([x for _, x in rest]), strict=True):
-                out[k] = ids
-            return out
-
-        if [np.frombuffer(x, dtype).tolist() for x in encode([w.encode() for w in PROBE])] \
-                != whole(PROBE):
-            encode = lambda words: whole([w.decode() for w in words])
-        _TABLES[tokenizer_file] = UnitTable(encode, dtype), pieces
-    only(*_TABLES[tokenizer_file])
-    return _TABLES[tokenizer_file][0]
+        self.tok = Tokenizer.from_file(tokenizer_file)
+        with open(tokenizer_file, encoding="utf-8") as f:
+            plan = json.load(f)
+        split = plan.get("pre_tokenizer") or {}
+        steps = split.get("pretokenizers") or [split]
+        self.by_piece = (plan.get("normalizer") == NORMALIZER and steps[0] == SPLIT
+                         and [(s["type"], s.get("use_regex"), s.get("add_prefix_space"))
+                              for s in steps[1:]] == [("ByteLevel", False, False)])
+        self.special = [t["content"] for t in plan.get("added_tokens", ())]
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.pieces = UnitTable(self._piece_ids, self.dtype)
+        self.words = UnitTable(self._word_ids, self.dtype)
+
+    def _piece_ids(self, pieces: list[str]) -> tuple[list, list]:
+        tokenize, level = self.tok.model.tokenize, self.bytes.pre_tokenize_str
+        found = [[t.id for t in tokenize(p if p.isascii() and p.isprintable()
+                                         else level(p)[0][0])] for p in pieces]
+        return list(chain.from_iterable(found)), [len(x) for x in found]
+
+    def _word_ids(self, words: list[str]) -> tuple[list, list]:
+        found = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        return list(chain.from_iterable(found)), [len(x) for x in found]
+
+    def pack(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text."""
+        plain = [self.by_piece and _latin(t) and not any(s in t for s in self.special)
+                 for t in texts]
+        fast = iter(self.pieces.pack([PIECES.findall(t.lower())
+                                      for t, p in zip(texts, plain, strict=True) if p]))
+        # White space of one byte: what the library splits at is a superset.
+        slow = iter(self.words.pack([[w.decode() for w in t.encode().split()]
+                                     for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(fast) if p else next(slow) for p in plain]
+
+
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def word_table(tokenizer_file: str) -> Words:
+    """The worker's tables for one tokenizer file; those of others are emptied."""
+    if tokenizer_file not in _TABLES:
+        _TABLES[tokenizer_file] = Words(tokenizer_file)
+    found = _TABLES[tokenizer_file]
+    only(found.pieces, found.words)
+    return found
 
 
 def _writer(folder: str, tokenizer_file: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_table(tokenizer_file)
-        end = np.asarray([end_id], table.dtype)
+        width = table.dtype.itemsize
+        end = np.asarray([end_id], table.dtype).tobytes()
         name = f"{folder}/records-{uuid.uuid4().hex}"
         filesystem, path = _open(name)
         n = total = at = 0
@@ -174,22 +210,24 @@ def _writer(folder: str, tokenizer_file: str, end_id: int):
         out = index = None
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            texts = ((t.as_py() or "").encode() for t in batch.column(1))
+            texts = (t.as_py() or "" for t in batch.column(1))
             for start, run in chunks(texts):
-                for k, packed in enumerate(table.pack([t.split() for t in run]), start):
-                    if out is None:
-                        filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                        out = filesystem.open_output_stream(path + ".bin")
-                        index = filesystem.open_output_stream(path + ".idx")
-                        first = keys[k]
-                    ids = np.concatenate((np.frombuffer(packed, table.dtype), end))
-                    record = pack_record(keys[k], ids)
-                    out.write(record)
-                    index.write(struct.pack("<Q", at))
-                    at += len(record)
+                if out is None:
+                    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                    out = filesystem.open_output_stream(path + ".bin")
+                    index = filesystem.open_output_stream(path + ".idx")
+                    first = keys[0]
+                # One write a chunk, of records and of offsets.
+                records, starts = [], []
+                for key, packed in zip(keys[start:start + len(run)], table.pack(run), strict=True):
+                    records.append(record(key, packed + end, width))
+                    starts.append(at)
+                    at += len(records[-1])
                     n += 1
-                    total += len(ids)
-                    last = keys[k]
+                    total += len(packed) // width + 1
+                out.write(b"".join(records))
+                index.write(np.array(starts, "<u8").tobytes())
+                last = keys[start + len(run) - 1]
         if out is not None:
             out.close()
             index.close()
