@@ -36,7 +36,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -47,6 +46,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm.common import arrow_map, materialise
 from ferry.llm.op5_sentencepiece import BYTE, MARK, parse_model
+from ferry.llm.wordids import cut_words
 from ferry.session import scratch_path, ship_package
 
 # Buckets of pairs, children of a node of the trees, words a
@@ -136,25 +136,6 @@ def checked_index(h: PerfectHash, stored: np.ndarray, keys: np.ndarray) -> np.nd
 
 # --- the two tokenizers ---------------------------------------------------
 
-_CUT = re.compile(r"(?<! )(?= \S)|(?<!\s)(?=\n)")
-
-
-def cut_words(text: str) -> list[str]:
-    """``space + text`` in words: cut at a space that stands behind another
-    character and before a word, and at a line break behind a word. A word is
-    given without its leading space; one that starts with a line break has
-    none. A text that starts with one would be taken for such a word: no cut,
-    no words."""
-    if not text or text[0] == "\n":
-        return []
-    words = text.replace("\n", " \n").split(" ")
-    # Printable text holds no other white space; then an empty word or a bare
-    # line break is all that tells two white-space characters side by side.
-    if "" in words or "\n" in words or not text.replace("\n", "").isprintable():
-        return [w[1:] if w[0] == " " else w for w in _CUT.split(" " + text) if w]
-    return words
-
-
 def _runs(words: list[str], spaced: list[str], most: int = 32) -> list[str]:
     """Words joined for A, which encodes few texts faster than many words. A
     word with more white space than the character it starts with stands alone:

@@ -9,11 +9,12 @@ decoder.
 
 No piece of these models holds a metaspace marker after another character, so
 merges never cross the start of a run of markers; nor a line break if no
-piece holds one. ``units`` cuts a normalised text there, each worker encodes
-distinct units in multithreaded batches, and every distinct unit is also
-encoded by the sentencepiece library: where the two differ the library's ids
-are used and the document is marked ``parity = false``. A model whose pieces
-do cross such a border is encoded text by text.
+piece holds one. A text is cut there, each worker encodes distinct units in
+multithreaded batches with the rebuilt tokenizer, whose ids are the result, and
+decodes them again. Every distinct unit is also encoded by the sentencepiece
+library: where the two differ the library's ids are used and the document is
+marked ``parity = false``. Texts of a model whose pieces do cross such a border
+are encoded and compared whole.
 
 Defined results: a null or empty text has no ids and decodes to ''; rows are
 encoded one by one, so repeated rows give repeated rows; a null id stays null;
@@ -28,6 +29,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm.common import arrow_map
-from ferry.llm.wordids import UnitTable, chunks, only
+from ferry.llm.wordids import UnitTable, chunks, cut_words, only
 
 MARK = "▁"
 # Piece types and model types of the protobuf.
@@ -172,13 +174,19 @@ class SentencePiece:
         free = all(MARK not in p.lstrip(MARK) for p, _, k in m.pieces if k not in (CONTROL, BYTE))
         self.by_unit = free and m.escape and not m.squeeze
         self.cut_lines = all("\n" not in p for p, _, _ in m.pieces)
+        # Whether ordinary texts can be cut into words before normalisation.
+        self.by_word = (self.by_unit and self.cut_lines and m.dummy_prefix
+                        and self.charsmap is None)
         line = r"\n" if self.cut_lines else ""
         self.unit = re.compile(rf"{MARK}*[^{MARK}{line}]+|{MARK}+" + (r"|\n" if line else ""))
         # The ids of "one marker, one line break", which stand before a unit
         # that opens with another character when the library encodes it.
         self.lead = self.library.encode("\n") if self.cut_lines else []
-        self.differing: set[str] = set()
-        self.table = UnitTable(self._encode_units, "<u2" if len(m.pieces) <= 1 << 16 else "<u4")
+        self.differing: set[str] = set()  # units whose ids the libraries see differently
+        self.lossy: set[str] = set()  # units that do not come back
+        dtype = "<u2" if len(m.pieces) <= 1 << 16 else "<u4"
+        self.table = UnitTable(self._encode_units, dtype)
+        self.words = UnitTable(self._encode_words, dtype)
 
     def normalise(self, text: str) -> str:
         m = self.model
@@ -209,23 +217,74 @@ class SentencePiece:
     def _bare(self, unit: str) -> list[int]:
         return [self.library.piece_to_id(unit)]
 
-    def _encode_units(self, units: list[str]) -> list[list[int]]:
-        own = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        if not self.by_unit:
-            return own
+    def _runs(self, units: list[str], most: int = 32) -> list[list[str]]:
+        """Units side by side that the tokenizer cuts again where they meet."""
+        runs, open_run = [], False
+        for u in units:
+            opens = u[0] == MARK or (self.cut_lines and u[0] == "\n")
+            if open_run and opens and len(runs[-1]) < most:
+                runs[-1].append(u)
+            else:
+                runs.append([u])
+            open_run = u[-1] != MARK
+        return runs
+
+    def _encode_units(self, units: list[str], names: list[str] | None = None) -> tuple:
+        """Ids of all units, and how many each has. The rebuilt tokenizer's ids
+        count; the library's take their place only where they differ, and the
+        unit (by its name in the table) is noted."""
+        runs = self._runs(units)
+        texts = ["".join(r) for r in runs]
+        own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self._library_ids(units)
-        for u, a, b in zip(units, own, theirs, strict=True):
-            if a != b:
-                self.differing.add(u)
-        return theirs
+        flat = list(chain.from_iterable(own))
+        names = names or units
+        if flat != list(chain.from_iterable(theirs)):
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(units,
+                                                                    add_special_tokens=False)]
+            self.differing.update(n for n, a, b in zip(names, each, theirs, strict=True) if a != b)
+            flat = list(chain.from_iterable(theirs))
+        counts = [len(x) for x in theirs]
+        back = self.tokenizer.decode_batch(own, skip_special_tokens=False)
+        if flat and back != [t.replace(MARK, " ") for t in texts]:
+            back = self.tokenizer.decode_batch(theirs, skip_special_tokens=False)
+            self.lossy.update(n for n, u, b in zip(names, units, back, strict=True)
+                              if b != u.replace(MARK, " "))
+        return flat, counts
+
+    def _encode_words(self, words: list[str]) -> tuple:
+        units = [w if w[0] == "\n" else MARK + w for w in words]
+        if any(" " in u for u in units):
+            units = [u.replace(" ", MARK) for u in units]
+        return self._encode_units(units, words)
+
+    def code_batch(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
+        """Ids of each text, whether both libraries agree on all of it, and
+        whether it comes back from its ids."""
+        if not self.by_unit:
+            return self._code_whole(texts)
+        words = [cut_words(t) if self.by_word and MARK not in t else [] for t in texts]
+        units = [[] if w else self.units(self.normalise(t))
+                 for t, w in zip(texts, words, strict=True)]
+        packed = [a or b for a, b in zip(self.words.pack(words), self.table.pack(units),
+                                         strict=True)]
+        clean = lambda bad, k: not bad or (bad.isdisjoint(words[k])
+                                           and bad.isdisjoint(units[k]))
+        return [(np.frombuffer(p, self.table.dtype), clean(self.differing, k),
+                 clean(self.lossy, k)) for k, p in enumerate(packed)]
+
+    def _code_whole(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
+        normal = [self.normalise(t) for t in texts]
+        own = [e.ids for e in self.tokenizer.encode_batch_fast(normal, add_special_tokens=False)]
+        theirs = self.library.encode(texts, num_threads=self.threads)
+        ids = [np.asarray(x, self.table.dtype) for x in theirs]
+        back = self.decode_batch(ids)
+        return [(x, a == b, self.normalise(t) == n) for x, a, b, t, n
+                in zip(ids, own, theirs, back, normal, strict=True)]
 
     def encode_batch(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
-        """Ids of each text, and whether both libraries agreed on all of it."""
-        units = [self.units(self.normalise(t)) for t in texts]
-        packed = self.table.pack(units)
-        bad = self.differing
-        return [(np.frombuffer(p, self.table.dtype), not bad or bad.isdisjoint(us))
-                for p, us in zip(packed, units, strict=True)]
+        """Ids of each text, and whether both libraries agree on all of it."""
+        return [(ids, same) for ids, same, _ in self.code_batch(texts)]
 
     def decode_batch(self, ids: list[np.ndarray]) -> list[str]:
         texts = self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
@@ -239,7 +298,7 @@ _MODELS: dict[tuple[str, int], SentencePiece] = {}
 def load(model_file: str, threads: int) -> SentencePiece:
     if (model_file, threads) not in _MODELS:
         _MODELS[model_file, threads] = SentencePiece(model_file, threads)
-    only(_MODELS[model_file, threads].table)
+    only(_MODELS[model_file, threads].table, _MODELS[model_file, threads].words)
     return _MODELS[model_file, threads]
 
 
@@ -254,16 +313,14 @@ def _coder(model_file: str, threads: int, keep_ids: bool):
             keys = batch.column(0).to_pylist()
             texts = (t.as_py() or "" for t in batch.column(1))
             for first, part in chunks(texts):
-                coded = sp.encode_batch(part)
-                ids = [x for x, _ in coded]
-                back = sp.decode_batch(ids)
+                coded = sp.code_batch(part)
+                ids = [x for x, _, _ in coded]
                 rows = {
                     "id": keys[first:first + len(part)],
                     "n_tokens": [len(x) for x in ids],
                     "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
-                    "parity": [ok for _, ok in coded],
-                    "round_trip": [sp.normalise(a) == sp.normalise(b)
-                                   for a, b in zip(part, back, strict=True)]}
+                    "parity": [same for _, same, _ in coded],
+                    "round_trip": [back for _, _, back in coded]}
                 if keep_ids:
                     rows["ids"] = [x.astype(np.int32) for x in ids]
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
