@@ -13,7 +13,9 @@ No pairs are listed for a key. Links are found in three rounds:
 
 1. every document is compared with the smallest centre among its keys;
 2. keys that still hold several components are worked off in blocks of some
-   ``BLOCK`` documents: documents of different components whose signatures
+   ``BLOCK`` documents, those of the largest component on one side, all others
+   paired with them and with each other (at most about twice the pairs that
+   have to be looked at): documents of different components whose signatures
    agree in ``PROMISE`` of the coordinates (six standard deviations below 0.8)
    may link; two documents are looked at in the first band in which they meet.
    A task returns a spanning forest of that relation, and its components are
@@ -49,10 +51,11 @@ from ferry.llm.components import components
 from ferry.llm.wordids import UnitTable, chunks, only
 
 # Bands and coordinates per band, documents per block of a key,
-# shingles per block of a group, the part of agreeing coordinates that makes a
+# parts in which a group is given its blocks, shingles per block, the part of agreeing coordinates that makes a
 # pair worth a full comparison, columns of one matrix product.
 BANDS, ROWS = 32, 5
 BLOCK = 128
+SALTS = 16
 SHINGLES = 1 << 17
 PROMISE = 0.6
 COLUMNS = 1 << 14
@@ -308,28 +311,53 @@ def _compare(percent: int):
     return run
 
 
+def _sides(node: DataFrame) -> DataFrame:
+    """Rows ``(key, band, id, component)`` of keys that hold several components,
+    dealt into blocks of about ``BLOCK``. The largest component of a key is its
+    ``main`` side: its documents need no look among themselves, so only the
+    others are paired, with each other and with the main side."""
+    counted = node.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = (counted.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"),
+                                        F.sum("n").alias("n"), F.count("*").alias("c"))
+             .filter("c > 1")
+             .select("key", F.col("top.component").alias("largest"),
+                     F.ceil(F.col("top.n") / BLOCK).cast("int").alias("n_main"),
+                     F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("n_other")))
+    main = F.col("component") == F.col("largest")
+    parts = F.when(main, F.col("n_main")).otherwise(F.col("n_other"))
+    return node.join(mixed, "key").select(
+        "key", "band", "id", "component", main.alias("main"),
+        F.pmod(F.xxhash64("id"), parts).cast("int").alias("block"), "n_main", "n_other")
+
+
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """``(key, block, main, to)``: which other block of its key each block of
+    other documents meets; itself among them."""
+    others = blocks.filter(~F.col("main"))
+    to_main = others.select("*", F.lit(True).alias("to_main"), F.explode(
+        F.expr("sequence(0, n_main - 1)")).alias("to"))
+    to_other = others.select("*", F.lit(False).alias("to_main"), F.explode(
+        F.expr("sequence(block, n_other - 1)")).alias("to"))
+    return to_main.unionByName(to_other)
+
+
 def _groups(keys: DataFrame, texts: DataFrame, comp: DataFrame, width: int, bands: int,
             coordinates: int, percent: int) -> DataFrame:
     """``(id, component)``: documents that may still link, by group."""
     node = (keys.join(comp, "id", "left")
             .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
-    mixed = (node.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                     F.count("*").alias("n"))
-             .filter("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")))
-    rows = materialise(node.join(mixed, "key"), "minhash-mixed")
+    rows = materialise(_sides(node), "minhash-mixed")
     sigs = arrow_map(texts.join(rows.select("id").distinct(), "id", "left_semi"),
                      _describe(width, bands * coordinates, False), "id long, n_shingles long, data binary")
     blocks = materialise(
-        rows.join(sigs, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-        .groupBy("key", "band", "nb", "block")
+        rows.join(sigs, "id").groupBy("key", "band", "main", "block", "n_main", "n_other")
         .agg(F.collect_list(F.struct("id", "component", "n_shingles", "data")).alias("xs")),
         "minhash-blocks")
-    alone = blocks.select(F.col("xs").alias("l"), F.col("xs").alias("r"), "band")
-    other = blocks.select("key", F.col("block").alias("to"), F.col("xs").alias("r"))
-    across = (blocks.filter("block < nb - 1")
-              .withColumn("to", F.explode(F.expr("sequence(block + 1, nb - 1)")))
-              .join(other, ["key", "to"]).select(F.col("xs").alias("l"), "r", "band"))
-    may = materialise(arrow_map(alone.unionByName(across), _promising(percent, coordinates),
+    met = blocks.select("key", F.col("main").alias("to_main"), F.col("block").alias("to"),
+                        F.col("xs").alias("r"))
+    pairs = (_block_pairs(blocks).join(met, ["key", "to_main", "to"])
+             .select(F.col("xs").alias("l"), "r", "band"))
+    may = materialise(arrow_map(pairs, _promising(percent, coordinates),
                                 "u long, v long").distinct(), "minhash-may")
     found = components(may)
     return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
@@ -342,8 +370,15 @@ def _group_links(groups: DataFrame, texts: DataFrame, width: int, percent: int)
     member = materialise(sets.join(groups, "id"), "minhash-groups")
     parts = member.groupBy("component").agg(
         F.ceil(F.sum("n_shingles") / SHINGLES).cast("int").alias("nb"))
-    placed = member.join(parts, "component").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    # Blocks are given to ids, a large group's by several tasks; the sets
+    # themselves only meet theirs by id.
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    block = (member.select("id", "component", F.pmod(F.xxhash64("id"), F.lit(SALTS))
+                           .cast("int").alias("salt"))
+             .join(parts.select("component", "nb", salt), ["component", "salt"])
+             .select("id", "component", "nb", F.pmod(F.xxhash64(F.col("id") + 1), F.col("nb"))
+                     .cast("int").alias("block")).distinct())
+    placed = member.join(block, ["id", "component"])
     dealt = (placed.withColumn("to", F.explode(F.expr("sequence(0, nb - 1)")))
              .select("component", F.least("block", "to").alias("x"),
                      F.greatest("block", "to").alias("y"), "block", "id", "data"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm.components import components
 from ferry.llm.op1_embeddings import near_vectors
-from ferry.llm.op7_minhash import near_duplicates
+from ferry.llm.op7_minhash import BLOCK, _block_pairs, _sides, near_duplicates
 from ferry.llm.op10_lines import chunk_key, chunk_lines, dedup_lines
 
 SF = "/root/testdata/sf0.01"
@@ -248,3 +248,46 @@ def test_lines_shared_runs_go_at_their_own_edges(spark):
     # A line that one text alone holds stays.
     texts = {r.doc_id: r.text for r in left}
     assert all(rows[i][1].split("\n")[0] in texts[i] for i in range(240))
+
+
+# ------------------------------------------------ keys of one large component
+
+def test_one_component_is_not_paired_with_itself(spark):
+    n, few = 40 * BLOCK, 10
+    node = spark.createDataFrame(
+        [(k, 0, i, 0 if i < n else i) for k in range(3) for i in range(n + few)]
+        + [(9, 0, i, 5) for i in range(200)], "key long, band int, id long, component long")
+    rows = _sides(node)
+    assert rows.filter("key = 9").count() == 0  # one component: nothing to do
+    blocks = rows.select("key", "main", "block", "n_main", "n_other").distinct()
+    pairs = _block_pairs(blocks)
+    # Each of the outsiders' blocks (one a key) meets the main ones and itself.
+    assert pairs.count() <= 3 * (40 + 1)
+    assert pairs.filter("to_main").count() == 3 * 40
+    # Many components: every pair of blocks is looked at once.
+    node = spark.createDataFrame([(1, 0, i, i % 500) for i in range(8 * BLOCK)],
+                                 "key long, band int, id long, component long")
+    blocks = _sides(node).select("key", "main", "block", "n_main", "n_other").distinct()
+    assert _block_pairs(blocks).count() <= 8 * 9 // 2 + 8
+
+
+def test_near_template_documents_with_outsiders(spark):
+    import random
+
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(1500):
+        t = list(words)
+        t[rnd.randrange(60)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    for i in range(1500, 1510):  # same keys, other documents
+        rows.append((i, " ".join(words[:40] + [f"y{i}-{k}" for k in range(20)])))
+    got = {r.doc_id: r.component_id for r in near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), width=1).collect()}
+    sets = brute_sets(rows, 1)
+    links = [(a, b) for a in range(1510) for b in range(max(a + 1, 1490), 1510)
+             if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    links += [(0, b) for b in range(1, 1500)
+              if 100 * len(sets[0] & sets[b]) >= 80 * len(sets[0] | sets[b])]
+    assert [got[i] for i in range(1510)] == groups(1510, links)
