@@ -321,6 +321,8 @@ FROM (SELECT *,
       FROM task_runs WHERE state = 'failed') f
 WHERE rn = 1"""
 
+ORACLE["first_failure_state"] = ORACLE["first_failure"]
+
 ORACLE["first_failure_stream"] = _with(TASK_RUNS) + """
 SELECT DISTINCT dag_id, task_id, execution_date,
        printf('Fallo en DAG: %s, Task: %s', dag_id, task_id) AS subject

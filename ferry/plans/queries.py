@@ -33,6 +33,7 @@ from ferry.sources.handover import read_column_json, read_column_text
 from ferry.sources.json_http import read_json_http
 from ferry.sources.json_records import (payload_positions, read_documents, read_json_array,
                                         read_json_records, read_required, read_whole_documents)
+from ferry.streaming.failure_state import latest_failures, run_failure_state
 from ferry.streaming.first_failure import run_first_failure_batches
 
 # Declared schemas of the staged payloads (no inference pass).
@@ -401,6 +402,14 @@ def first_failure_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("dag_id", "task_id", "execution_date", "subject")
 
 
+def first_failure_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest failure of each task and date on a stream, with
+    its log link, corrected when an earlier run lands later."""
+    revisions = run_failure_state(spark, fx.task_run_files(spark, sf_dir),
+                                  scratch_path(spark, "failure-state"), files_per_batch=2)
+    return latest_failures(revisions)
+
+
 QUERIES = {
     "daily_report": daily_report,
     "daily_report_array": daily_report_array,
@@ -436,5 +445,6 @@ QUERIES = {
     "failure_alerts_exception": failure_alerts_exception,
     "first_failure": first_failure,
     "first_failure_stream": first_failure_stream,
+    "first_failure_state": first_failure_state,
     "run_date_tag": run_date_tag,
 }
