@@ -5,9 +5,11 @@ Four base kinds are always reported when their own check passes: ``email``,
 ``phone`` (a leading plus and 9 to 15 digits). Two kinds are added:
 ``iban`` (cut to its country's length, confirmed by mod-97) and ``local_phone``
 (a number without a plus, which counts only when words such as "tel" or
-"phone" stand close before it). Every span has a score; a checksum and
-matching context words raise it, and an added span is reported when its score
-reaches ``min_score``.
+"phone" stand close to it). Every span has a score; a checksum and matching
+context words, whole words on either side, raise it, and an added span is
+reported when its score reaches ``min_score``. A span that a checksum confirms
+stays beside whatever it overlaps (the digits of one IBAN in ten are a card
+number by Luhn as well); one that only context speaks for gives way to others.
 
 Offsets are code points, end exclusive. Every scan is linear in the text.
 
@@ -53,14 +55,15 @@ IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
     "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 IBAN_REST = {n: re.compile(r"(?:\x20?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4))
              for n in set(IBAN_LENGTH.values())}
-CONTEXT = {
-    "email": ("mail", "contact", "write to"),
-    "ip": ("ip", "address", "host", "server"),
-    "card": ("card", "visa", "mastercard", "credit", "payment"),
-    "phone": ("tel", "phone", "call", "mobile", "fax"),
-    "iban": ("iban", "account", "bank", "konto"),
-    "local_phone": ("tel", "phone", "call", "mobile", "fax"),
-}
+CONTEXT = {kind: re.compile(rf"(?<![^\W_])(?:{words})(?![^\W_])", re.IGNORECASE) for kind, words in {
+    "email": "e-?mails?|mail|contact|write to|kontakt|correo|courriel",
+    "ip": "ip|ipv4|address|addresses|host|hosts|server|servers",
+    "card": "cards?|visa|mastercard|credit|payment|karte|tarjeta|carte",
+    "iban": "iban|accounts?|bank|konto|cuenta|compte",
+}.items()}
+CONTEXT["phone"] = CONTEXT["local_phone"] = re.compile(
+    r"(?<![^\W_])(?:tel|telephone|telefon|teléfono|téléphone|phones?|call|calls|mobile|cell|fax|"
+    r"handy|móvil)(?![^\W_])", re.IGNORECASE)
 # The score of a bare pattern, of a confirmed checksum, of context.
 PATTERN_SCORE = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.6, "iban": 0.3,
                  "local_phone": 0.3}
@@ -128,26 +131,28 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 def find_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[str, int, int, float]]:
     """``(kind, start, end, score)`` by start, then kind as listed. A span of
-    an added kind that overlaps a base span is dropped."""
+    an added kind without a checksum that overlaps another is dropped."""
     found = []
     for kind, start, end, confirmed in _proposals(text):
-        near = text[max(0, start - CONTEXT_CHARS):start].lower()
+        word = CONTEXT[kind].search
+        near = (word(text[max(0, start - CONTEXT_CHARS):start])
+                or word(text[end:end + CONTEXT_CHARS]))
         score = (PATTERN_SCORE[kind] + CHECKSUM_BONUS * confirmed
-                 + CONTEXT_BONUS * any(w in near for w in CONTEXT[kind]))
+                 + CONTEXT_BONUS * (near is not None))
         if kind in BASE or score >= min_score:
-            found.append((start, KINDS.index(kind), kind, end, min(1.0, round(score, 2))))
+            found.append((start, KINDS.index(kind), kind, end, min(1.0, round(score, 2)),
+                          confirmed))
     found.sort()
-    out, last = [], {}
-    base = sorted((s, e) for s, _, k, e, _ in found if k in BASE)
-    at, reach = 0, -1
-    for s, _, k, e, score in found:
-        if k not in BASE:
-            while at < len(base) and base[at][0] < e:
-                reach = max(reach, base[at][1])
+    firm = [(s, e) for s, _, k, e, _, confirmed in found if k in BASE or confirmed]
+    out, at, reach, last = [], 0, -1, -1
+    for s, _, k, e, score, confirmed in found:
+        if k not in BASE and not confirmed:
+            while at < len(firm) and firm[at][0] < e:
+                reach = max(reach, firm[at][1])
                 at += 1
-            if reach > s or last.get("added", -1) > s:
+            if reach > s or last > s:
                 continue
-            last["added"] = e
+            last = e
         out.append((k, s, e, score))
     return out
 
