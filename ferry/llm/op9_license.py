@@ -12,8 +12,9 @@ serve no later rule.
 
 Defined results: a null or empty text has no licenses (an empty list); rows
 that share an id are one document whose sentences are taken row by row
-(identical rows count once); rows without an id are left out; other columns
-are ignored.
+(identical rows count once); a row without an id is a document of its own by
+its text; an empty table gives an empty result; other columns are ignored.
+Texts of any length are cut in one pass.
 """
 
 from __future__ import annotations
@@ -94,7 +95,8 @@ RULES = [
     ("CC0-1.0", ["cc0"]),
     ("Proprietary", ["reserved"]),
 ]
-# Short notices, "[opening]licensed under the [name][ending]".
+# Short notices, "[opening][verb] under the [name][ending]".
+VERBS = ["licensed", "distributed", "released", "made available", "available"]
 OPENINGS = ["", *(f"this {x} is " for x in ("work", "project", "program", "software", "library",
                                              "file", "code", "source code"))]
 ENDINGS = ["", " the license"]
@@ -103,6 +105,12 @@ NAMES = {
                       "apache 2.0 license"],
     "mit-licensed": ["mit license"],
     "bsd-notice": ["bsd license"],
+    "isc-notice": ["isc license"],
+    "bsl-notice": [f"boost software license {v}" for v in ("version 1.0", "v1.0", "1.0")],
+    "epl2-notice": [f"eclipse public license {v}" for v in ("version 2.0", "v2.0", "2.0", "v 2.0")],
+    "epl1-notice": [f"eclipse public license {v}" for v in ("version 1.0", "v1.0", "1.0", "v 1.0")],
+    "apache-or-mit": [f"apache license {v} or {a}mit{b}" for v in ("version 2.0", "2.0")
+                      for a in ("", "the ") for b in ("", " license")],
     "mpl2-notice": [f"mozilla public license {v}" for v in ("version 2.0", "v2.0", "2.0", "v")],
     "gpl2-notice": [f"gnu general public license {v}" for v in ("version 2", "version 2.0", "v2",
                                                                 "v2.0")],
@@ -119,6 +127,10 @@ GNU_FSF = "as published by the free software foundation"
 GNU_LATER = "either version {} of the license or at your option any later version"
 GNU_LICENSES = {("gpl", "2"): "GPL-2.0", ("gpl", "3"): "GPL-3.0", ("lgpl", "2.1"): "LGPL-2.1",
                 ("lgpl", "3"): "LGPL-3.0", ("library", "2"): "LGPL-2.0", ("agpl", "3"): "AGPL-3.0"}
+# Names that may stand in an SPDX tag.
+SPDX = ["Apache-2.0", "MIT", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause",
+        "BSD-3-Clause", "ISC", "MPL-2.0", "EPL-1.0", "EPL-2.0", "BSL-1.0", "Unlicense", "CC0-1.0",
+        "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"]
 # Further wordings of sentences (normalised) and their identifiers.
 HEADERS = {
     "the asf licenses this file to you under the apache license version 2.0 the license":
@@ -131,8 +143,39 @@ HEADERS = {
        "mpl2-notice" for v in ("version 2.0", "v2.0", "2.0")},
     "the contents of this file are subject to the mozilla public license version 1.1 the license":
         "mpl11-notice",
-    **{f"{o}licensed under the {n}{e}": key for key, names in NAMES.items() for n in names
-       for o in OPENINGS for e in ENDINGS},
+    **{f"{o}{w} under the {n}{e}": key for key, names in NAMES.items() for n in names
+       for o in OPENINGS for w in VERBS for e in ENDINGS},
+    "permission to use copy modify and or distribute this software for any purpose with or without "
+    "fee is hereby granted provided that the above copyright notice and this permission notice "
+    "appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without "
+    "fee is hereby granted provided that the above copyright notice and this permission notice "
+    "appear in all copies": "isc-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of "
+    "the software and accompanying documentation covered by this license the software to use "
+    "reproduce display distribute execute and transmit the software and to prepare derivative "
+    "works of the software and to permit third parties to whom the software is furnished to do so "
+    "all subject to the following": "bsl-grant",
+    **{f"this program and the accompanying materials are made available under the terms of the "
+       f"eclipse public license {v}{e}": key
+       for key, v, e in (("epl2-notice", "2.0", " which is available at https www.eclipse.org legal "
+                          "epl 2.0"),
+                         ("epl2-notice", "v2.0", " which accompanies this distribution and is "
+                          "available at https www.eclipse.org legal epl v20.html"),
+                         ("epl1-notice", "v1.0", " which accompanies this distribution and is "
+                          "available at http www.eclipse.org legal epl v10.html"),
+                         ("epl2-notice", "2.0", ""), ("epl1-notice", "v1.0", ""))},
+    **{f"this work is licensed under a creative commons {n} 4.0 international license": key
+       for n, key in (("attribution sharealike", "cc-by-sa"),
+                      ("attribution noncommercial", "cc-by-nc"))},
+    # Titles of full texts: a name, and the line with its version and date.
+    "gnu general public license": "gpl-title", "gnu lesser general public license": "lgpl-title",
+    "gnu affero general public license": "agpl-title",
+    "version 3 29 june 2007": "gnu-june-2007", "version 3 19 november 2007": "gnu-november-2007",
+    "version 2 june 1991": "gnu-june-1991", "version 2.1 february 1999": "gnu-february-1999",
+    **{f"spdx license identifier {name.lower().replace('-', ' ')}{e}": f"spdx-{name.lower()}"
+       for name in SPDX for e in ("", " only", " or later")},
     **{f"this {x} is free software": "gpl-free" for x in ("library", "file", "software")},
     **{f"{GNU_TERMS.format(k)} {GNU_FSF}": f"{g}-terms" for g, k in GNU.items()},
     **{GNU_LATER.format(v): f"gnu-v{v}-later" for v in ("2", "2.1", "3")},
@@ -152,14 +195,26 @@ HEADER_RULES = [
     *((name, [f"{g}-terms", f"gnu-v{v}-later"]) for (g, v), name in GNU_LICENSES.items()),
     *((name, [f"{g}{v}-terms"]) for (g, v), name in GNU_LICENSES.items() if (g, v) != ("gpl", "3")),
     ("MPL-1.1", ["mpl11-notice"]),
+    ("Apache-2.0 OR MIT", ["apache-or-mit"]),
+    ("ISC", ["isc-grant"]), ("ISC", ["isc-notice"]), ("Unlicense", ["unlicense"]),
+    ("BSL-1.0", ["bsl-grant"]), ("BSL-1.0", ["bsl-notice"]),
+    ("EPL-2.0", ["epl2-notice"]), ("EPL-1.0", ["epl1-notice"]),
+    ("GPL-3.0", ["gpl-title", "gnu-june-2007"]), ("GPL-2.0", ["gpl-title", "gnu-june-1991"]),
+    ("LGPL-3.0", ["lgpl-title", "gnu-june-2007"]), ("LGPL-2.1", ["lgpl-title", "gnu-february-1999"]),
+    ("AGPL-3.0", ["agpl-title", "gnu-november-2007"]),
+    *((name, [f"spdx-{name.lower()}"]) for name in SPDX),
 ]
 # The holder's name in the BSD endorsement, and marks of comments.
-HOLDER = (r"neither\s+the\s+names?\s+of\s[^;:!?]{1,200}?\snor\s+the\s+names\s+of\s+(?:its|their|any)"
+HOLDER = (r"neither\s+the\s+names?\s+of\s[^;:!?]+?\snor\s+the\s+names\s+of\s+(?:its|their|any)"
           r"\s+contributors\s+may\s+be\s+used\s")
 ANY_HOLDER = ("neither the name of the copyright holder nor the names of its contributors "
               "may be used ")
+# The tag's colon would end a sentence.
+TAG = r"spdx-license-identifier[\x20\x09]*:[\x20\x09]*"
+ANY_TAG = "spdx-license-identifier "
 COMMENT = r"(?m)^[\x20\x09]*[/*#;%-]+"
-# An identified sentence holds at least one of these words.
+# A document with a sentence of the fixed tables holds at least
+# one of these words.
 MARKS = ["licens", "software", "copyright", "permission", "permitted", "rights reserved",
          "redistribut"]
 # Sentence ends (stops before white space or at the end, blank
@@ -178,6 +233,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     fixed values, so nothing that is broadcast grows with the data.
     """
     wordings = HEADERS if sentences is None else {}
+    marks = MARKS if sentences is None else []  # they say nothing of other sentences
     sentences = SENTENCES if sentences is None else sentences
     wordings = wordings | {v: k for k, v in sentences.items()}
     rules = HEADER_RULES + RULES if rules is None else rules
@@ -185,28 +241,31 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = F.broadcast(spark.createDataFrame(list(wordings.items()),
                                               "norm string, sentence_id string"))
     body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), body.alias("body")).filter("id IS NOT NULL")
-    marked = F.lit(False)
-    for m in MARKS:
+    row = F.xxhash64("body")
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), body.alias("body")).withColumns({
+        "row": row, "own": F.when(F.col("id").isNull(), row).otherwise(F.lit(0))})
+    marked = F.lit(not marks)
+    for m in marks:
         marked = marked | F.col("body").contains(m)
     # A holder's name may hold stops, so it goes before the text is cut.
     bare = F.regexp_replace(F.regexp_replace("body", COMMENT, ""), HOLDER, ANY_HOLDER)
+    bare = F.regexp_replace(bare, TAG, ANY_TAG)
     # A sentence may run over several lines or fill one line of a run of lines
     # without stops, so a piece with line breaks counts whole and line by line.
     pieces = (base.filter(marked)
-              .select("id", F.xxhash64("body").alias("row"),
-                      F.posexplode(F.split(bare, SENTENCE_BREAK)).alias("pos", "piece"))
+              .select("id", "own", "row", F.posexplode(
+                  F.split(bare, SENTENCE_BREAK)).alias("pos", "piece"))
               .filter(F.length("piece") >= min(map(len, wordings))))
     parts = F.when(F.contains("piece", F.lit("\n")),
                    F.concat(F.array("piece"), F.split("piece", "\n"))).otherwise(F.array("piece"))
-    pieces = pieces.select("id", "row", "pos", F.posexplode(parts).alias("sub", "sentence"))
+    pieces = pieces.select("id", "own", "row", "pos", F.posexplode(parts).alias("sub", "sentence"))
     norm = F.trim(F.regexp_replace("sentence", NOISE, " "))
     norm = F.regexp_replace(norm, r"\.+$", "")
     hits = (pieces.withColumn("norm", norm).join(known, "norm")
-            .select("id", "row", "pos", "sub", "sentence_id"))
-    found = (hits.groupBy("id").agg(F.sort_array(F.collect_set(
+            .select("id", "own", "row", "pos", "sub", "sentence_id"))
+    found = (hits.groupBy("id", "own").agg(F.sort_array(F.collect_set(
         F.struct("row", "pos", "sub", "sentence_id"))).alias("s"))
-        .select("id", "s", F.transform("s", lambda x: x.sentence_id).alias("sentence_ids")))
+        .select("id", "own", "s", F.transform("s", lambda x: x.sentence_id).alias("sentence_ids")))
     # A piece that is one line counts once in the chain, though it is found
     # whole and as a line. A rule takes its identifiers out of the chain.
     once = F.filter("s", lambda x, i: (i == 0) | ~F.coalesce(
@@ -225,10 +284,12 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = F.array(*[F.struct(F.lit(name).alias("name"),
                                F.lit("".join(f"<{x}>" for x in seq)).alias("seq"))
                       for name, seq in rules])
-    found = found.select("id", "sentence_ids", F.array_distinct(
+    found = found.select("id", "own", "sentence_ids", F.array_distinct(
         F.aggregate(table, state, apply, lambda acc: acc.names)).alias("licenses"))
     none = F.array().cast("array<string>")
-    return (base.select("id").distinct().join(found, "id", "left")
-            .select(F.col("id").alias(id_col),
+    ids = base.select("id", "own").distinct()
+    same = ids.id.eqNullSafe(found.id) & (ids.own == found.own)
+    return (ids.join(found, same, "left")
+            .select(ids.id.alias(id_col),
                     F.coalesce("sentence_ids", none).alias("sentence_ids"),
                     F.coalesce("licenses", none).alias("licenses")))
