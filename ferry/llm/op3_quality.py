@@ -41,9 +41,16 @@ BOILERPLATE = ["lorem ipsum", "all rights reserved", "cookie policy", "privacy p
                "terms of use", "terms of service", "enable javascript",
                "javascript is disabled", "click here", "read more", "sign up", "log in",
                "login", "subscribe to", "skip to content", "powered by", "share this",
-               "back to top"]
+               "back to top",
+               # the same in German, French and Spanish
+               "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen",
+               "mehr lesen", "jetzt anmelden", "nach oben",
+               "tous droits réservés", "politique de confidentialité", "lire la suite",
+               "mentions légales", "se connecter", "haut de page",
+               "todos los derechos reservados", "política de privacidad", "leer más",
+               "términos de uso", "iniciar sesión", "volver arriba"]
 
-PHRASE = r"(?i)(?<![\p{L}\p{M}\p{N}_-])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{M}\p{N}_-])"
+PHRASE = r"(?iu)(?<![\p{L}\p{M}\p{N}_-])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{M}\p{N}_-])"
 
 
 def _line_fails(line: Column, odd: Column, phrases: Column) -> Column:
@@ -148,7 +155,10 @@ def clean_documents(docs: DataFrame, text_col: str = "text", size_col: str = "n_
     """The kept rows of ``docs`` with their cleaned text; other columns as
     they are, ``size_col`` (if there is one) set to the new length."""
     v = fresh(docs, "verdict")
-    judged = docs.withColumn(v, _verdict(F.col(f"`{text_col}`"), max_loss))
+    # A generator, so that the verdict is computed once and not once for every
+    # column and filter that reads it.
+    judged = docs.select("*", F.explode(F.array(_verdict(F.col(f"`{text_col}`"), max_loss)))
+                         .alias(v))
     new = {text_col: F.col(f"{v}.cleaned")}
     if size_col in docs.columns:
         new[size_col] = F.length(F.col(f"{v}.cleaned")).cast(docs.schema[size_col].dataType)
