@@ -158,10 +158,13 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   seed: int = 7, block_col: str = "block",
                   key_col: str = "order_key") -> DataFrame:
     """The rows of ``docs`` in the mix, once per block they are in, with the
-    block's number and the key that orders a block. Texts are not shuffled:
-    the plan has one row per source and is joined to them."""
-    if {block_col.lower(), key_col.lower()} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns {block_col}, {key_col}: choose names that docs does not have")
+    block's number and the key that orders a block (columns of ``docs`` with
+    those names give way). Texts are not shuffled: the plan has one row per
+    source and is joined to them."""
+    taken = {block_col.lower(), key_col.lower()}
+    if taken & {id_col.lower(), text_col.lower(), source_col.lower()}:
+        raise ValueError(f"{block_col}, {key_col}: one is the id, text or source")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
     plan = source_plan(docs, id_col, text_col, source_col, target_entropy, max_repetition,
                        budget_tokens, seed)
     s, w, c = (fresh(docs, n) for n in ("mix_source", "mix_whole", "mix_cutoff"))
