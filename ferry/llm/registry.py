@@ -6,20 +6,24 @@ table and returns the full result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.llm.common import table
 from ferry.llm.op1_embeddings import near_vectors
 from ferry.llm.op2_html import extract_pages
-from ferry.llm.op3_quality import (BOILERPLATE, CLOSED, SENTENCE_END, SEPARATOR, SHOUT, SYMBOL,
-                                   quality_rules)
+from ferry.llm.op3_quality import (BOILERPLATE, CLOSED, SENTENCE_END, SEPARATOR, SHORT_LINE,
+                                   SHOUT, SYMBOL, quality_rules)
 from ferry.llm.op4_mixing import mix_documents
 from ferry.llm.op5_sentencepiece import encode_documents
 from ferry.llm.op6_pii import personal_data
 from ferry.llm.op7_minhash import near_duplicates
 from ferry.llm.op8_records import read_records, write_records
-from ferry.llm.op9_license import NOISE, RULES, SENTENCE_BREAK, SENTENCES, license_scan
+from ferry.llm.op9_license import (ANY_HOLDER, ANY_TAG, COMMENT, HEADER_RULES, HEADERS, HOLDER,
+                                   MARKS, NOISE, RULES, SENTENCE_BREAK, SENTENCES, TAG,
+                                   license_scan)
 from ferry.llm.op10_lines import line_report
 from ferry.llm.op11_negatives import hard_negatives
 from ferry.llm.op12_alignment import align_documents
@@ -101,6 +105,12 @@ def _sql(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+# A phrase between characters that no word holds. DuckDB has no look-behind, so
+# those are doubled in the line first, and two phrases can share one.
+DOUBLED = (r"(?i)(?:^|[^\p{L}\p{M}\p{N}_-])("
+           + "|".join(re.sub(r"([^\w-])", r"\1\1", p) for p in BOILERPLATE)
+           + r")(?:[^\p{L}\p{M}\p{N}_-]|$)")
+
 OP3_SQL = f"""
 WITH d AS (
   SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents),
@@ -121,8 +131,14 @@ lines AS (
     OR len(regexp_extract_all(line, {_sql(SHOUT)})) * 30 > length(line)
     OR (len(regexp_extract_all(line, {_sql(SEPARATOR)})) >= 2
         AND len(regexp_extract_all(line, {_sql(SEPARATOR)})) * 30 > length(line))
-    OR regexp_matches(line, {_sql("(?i)" + "|".join(BOILERPLATE))}) AS fails
-  FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM d)
+    OR (len(phrases) > 0
+        AND (len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) <= {SHORT_LINE}
+             OR list_sum(list_transform(phrases, lambda x: length(replace(x, '  ', ' ')))) * 2
+                >= length(line))) AS fails
+  FROM (SELECT row_no, line, regexp_extract_all(
+          regexp_replace(line, '([^\\p{{L}}\\p{{M}}\\p{{N}}_-])', '\\1\\1', 'g'),
+          {_sql(DOUBLED)}, 1) AS phrases
+        FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM d))
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 l AS (
   SELECT row_no, count(*) - count(DISTINCT line) AS n_dup_lines, sum(length(line)) AS line_chars,
@@ -189,33 +205,52 @@ FROM (SELECT doc_id, source,
 
 
 def _op9_sql() -> str:
-    known = ", ".join(f"({_sql(v)}, {_sql(k)})" for k, v in SENTENCES.items())
-    rules = ", ".join(f"CASE WHEN contains(chain, {_sql(' ' + ' '.join(seq) + ' ')}) "
-                      f"THEN {_sql(name)} END" for name, seq in RULES)
+    wordings = HEADERS | {v: k for k, v in SENTENCES.items()}
+    known = ", ".join(f"({_sql(v)}, {_sql(k)})" for v, k in wordings.items())
+    # Rules one after the other; what a rule matched is gone for the next.
+    steps, names = [], []
+    for n, (name, seq) in enumerate(HEADER_RULES + RULES):
+        chain = _sql("".join(f"<{x}>" for x in seq))
+        steps.append(f"replace(c{n}, {chain}, '|') AS c{n + 1}")
+        names.append(f"CASE WHEN contains(c{n}, {chain}) THEN {_sql(name)} END")
+    marked = " OR ".join(f"contains(body, {_sql(m)})" for m in MARKS)
     return f"""
 WITH known(norm, sentence_id) AS (VALUES {known}),
+docs AS (
+  SELECT DISTINCT doc_id, CASE WHEN doc_id IS NULL THEN body ELSE '' END AS own, body
+  FROM (SELECT doc_id, lower(coalesce(text, '')) AS body FROM documents)),
 pieces AS (
-  SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS piece
-  FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), {_sql(SENTENCE_BREAK)}) AS l
-        FROM documents)),
+  SELECT doc_id, own, unnest(range(len(l))) AS pos, unnest(l) AS piece
+  FROM (SELECT doc_id, own, regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(
+          body, {_sql(COMMENT)}, '', 'g'), {_sql(HOLDER)}, {_sql(ANY_HOLDER)}, 'g'),
+          {_sql(TAG)}, {_sql(ANY_TAG)}, 'g'), {_sql(SENTENCE_BREAK)}) AS l
+        FROM docs WHERE {marked})),
 parts AS (
-  SELECT doc_id, pos, unnest(range(len(l))) AS sub, unnest(l) AS sentence
-  FROM (SELECT doc_id, pos, CASE WHEN contains(piece, chr(10))
-          THEN list_concat([piece], string_split(piece, chr(10))) ELSE [piece] END AS l FROM pieces)),
+  SELECT doc_id, own, pos, unnest(range(len(l))) AS sub, unnest(l) AS sentence
+  FROM (SELECT doc_id, own, pos, CASE WHEN contains(piece, chr(10))
+          THEN list_concat([piece], string_split(piece, chr(10))) ELSE [piece] END AS l
+        FROM pieces)),
 hits AS (
-  SELECT doc_id, pos, sub, sentence_id
+  SELECT doc_id, own, pos, sub, sentence_id
   FROM (SELECT *, regexp_replace(trim(regexp_replace(sentence, {_sql(NOISE)}, ' ', 'g')),
                                  '\\.+$', '') AS norm FROM parts) JOIN known USING (norm)),
+marked AS (
+  SELECT *, lag(pos) OVER w IS NOT DISTINCT FROM pos
+    AND lag(sentence_id) OVER w IS NOT DISTINCT FROM sentence_id AS again
+  FROM hits WINDOW w AS (PARTITION BY doc_id, own ORDER BY pos, sub)),
 found AS (
-  SELECT doc_id, list(sentence_id ORDER BY pos, sub) AS sentence_ids,
-    ' ' || string_agg(sentence_id, ' ' ORDER BY pos, sub) || ' ' AS chain
-  FROM hits GROUP BY doc_id),
+  SELECT doc_id, own, list(sentence_id ORDER BY pos, sub) AS sentence_ids,
+    coalesce(string_agg('<' || sentence_id || '>', '' ORDER BY pos, sub)
+      FILTER (WHERE NOT again), '') AS c0
+  FROM marked GROUP BY doc_id, own),
+chains AS (SELECT *, {", ".join(steps)} FROM found),
 matched AS (
-  SELECT doc_id, sentence_ids, list_filter([{rules}], lambda x: x IS NOT NULL) AS l FROM found)
+  SELECT doc_id, own, sentence_ids,
+    list_filter([{", ".join(names)}], lambda x: x IS NOT NULL) AS l FROM chains)
 SELECT d.doc_id, coalesce(sentence_ids, []) AS sentence_ids,
   coalesce(list_filter(l, lambda x, i: list_position(l, x) = i), []) AS licenses
-FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d
-LEFT JOIN matched USING (doc_id)
+FROM (SELECT DISTINCT doc_id, own FROM docs) d
+LEFT JOIN matched m ON d.doc_id IS NOT DISTINCT FROM m.doc_id AND d.own = m.own
 """
 
 
