@@ -8,7 +8,7 @@ columns of ``docs``. ``run`` applies them to ``documents``.
 Defined results beyond those of the operators: a document that line
 deduplication leaves without a word goes; near-deduplication decides per id and
 text, so an id with several texts keeps those that link with nothing, and of
-rows with the same id and text the first by the other columns stays; rows
+rows with the same id and text the first by (a hash of) the other columns stays; rows
 without an id all stay; a document that the mix repeats is there once per
 block, and the mixed rows are written in the order of block and key.
 """
@@ -25,6 +25,7 @@ from ferry.llm.op5_sentencepiece import encode_documents
 from ferry.llm.op7_minhash import near_duplicates
 from ferry.llm.op10_lines import dedup_lines
 from ferry.llm.registry import MIX, tokenizer_path
+from ferry.operators.project import tie_breakers
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,18 +54,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         node, F.when(digest != F.col(first), own).otherwise(F.col("doc_id").cast("long")))
     kept = (near_duplicates(named, id_col=node, width=5, percent=80)
             .filter("kept").select(node).distinct().hint("merge"))
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    # Maps and variants cannot be sorted; their JSON text can.
+    others = tie_breakers(docs.select(*[F.col(f"`{c}`") for c in docs.columns
+                                        if c not in ("doc_id", "text")])) or [F.lit(0)]
     one = named.join(kept, node, "left_semi").withColumn(
         row, F.row_number().over(Window.partitionBy(node).orderBy(*others)))
-    return (one.filter(F.col(row) == 1).select(docs.columns)
+    return (one.filter(F.col(row) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
             .unionByName(docs.filter("doc_id IS NULL")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: every document at least once, sources at their target weights,
     the rows of a block in the order of its permutation."""
-    mixed = mix_documents(docs, **MIX, block_col="mix_block", key_col="mix_key")
-    return mixed.orderBy("mix_block", "mix_key").select(docs.columns)
+    block, key = fresh(docs, "mix_block"), fresh(docs, "mix_key")
+    mixed = mix_documents(docs, **MIX, block_col=block, key_col=key)
+    return mixed.orderBy(block, key).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
