@@ -54,9 +54,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         node, F.when(digest != F.col(first), own).otherwise(F.col("doc_id").cast("long")))
     kept = (near_duplicates(named, id_col=node, width=5, percent=80)
             .filter("kept").select(node).distinct().hint("merge"))
-    # Maps and variants cannot be sorted; their JSON text can.
+    # By the columns themselves (without the hash before them); maps and
+    # variants cannot be sorted, their JSON text can.
     others = tie_breakers(docs.select(*[F.col(f"`{c}`") for c in docs.columns
-                                        if c not in ("doc_id", "text")])) or [F.lit(0)]
+                                        if c not in ("doc_id", "text")]))[1:] or [F.lit(0)]
     one = named.join(kept, node, "left_semi").withColumn(
         row, F.row_number().over(Window.partitionBy(node).orderBy(*others)))
     return (one.filter(F.col(row) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
