@@ -53,7 +53,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template svg math xmp noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd "
                    "label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
-                   "wbr br".split())
+                   "wbr br script style svg math template noscript".split())
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre table tbody thead tfoot tr td th dl "
                  "dt dd figure figcaption header hgroup article main".split())
 NOISE_TAG = frozenset("head nav footer aside form button select option input menu dialog canvas "
@@ -67,6 +67,16 @@ NOISE_NAME = frozenset("ad ads adv advert adverts advertisement advertising spon
                        "notification popup modal overlay newsletter subscribe subscription share "
                        "sharing social related recommended comment comments reply replies disqus "
                        "respond toolbar pagination pager login signup search skip".split())
+# Elements that a name hides inside an article, and words that say
+# nothing beside a noise name.
+BOX = frozenset("div section ul ol dl table aside header details center address".split())
+NEUTRAL = frozenset("site page main post posts article entry blog user global primary secondary top "
+                    "bottom left right upper lower first last box boxes bar block blocks widget "
+                    "widgets list lists link links item items section sections wrap wrapper "
+                    "container area zone slot unit units module region panel group holder form "
+                    "banner button buttons btn icon icons inner outer header title row col column "
+                    "grid text label small large mini big fixed sticky media body js the a x".split())
+ADVERT_NAME = frozenset("ad ads adv advert adverts advertisement advertising sponsored".split())
 TALK_NAME = frozenset("comment comments reply replies disqus respond".split())
 OUTER_NAME = frozenset(["header", "banner", "aside"])
 MAIN_NAME = frozenset("content article post entry story main".split())
@@ -82,19 +92,26 @@ NAME_PART = re.compile(r"[a-z]+")
 RAW_END = {tag: re.compile(f"</{tag}(?![a-z0-9])", re.IGNORECASE) for tag in RAW}
 
 
+def _only_noise(token: str) -> bool:
+    """Whether a class or id names noise and nothing else."""
+    parts = set(NAME_PART.findall(token))
+    return not NOISE_NAME.isdisjoint(parts) and parts <= NOISE_NAME | NEUTRAL
+
+
 class _Node:
     """An element. ``noise``: a noise name may hide it, ``outer`` only outside
-    a main block; ``hard``: its tag or role hides it. The sums over the element
+    a main block; ``firm``: a class or id says nothing but noise, which counts
+    inside articles as well (``advert``: of words, too); ``hard``: its tag or role hides it. The sums over the element
     are ``total`` (text that is not hard), ``links`` (of it, inside links),
     ``article`` (the largest article) and ``has_main``."""
 
-    __slots__ = ("article", "chars", "children", "hard", "has_main", "hidden", "in_main", "in_named",
+    __slots__ = ("advert", "article", "chars", "children", "firm", "hard", "has_main", "hidden", "in_main", "in_named",
                  "links", "named", "near", "noise", "outer", "path", "plain", "rank", "tag", "talk",
                  "total", "up")
 
     def __init__(self, tag, path, up, hard):
         self.tag, self.path, self.up, self.hard = tag, path, up, hard
-        self.noise = self.outer = self.talk = self.named = self.has_main = False
+        self.noise = self.firm = self.advert = self.outer = self.talk = self.named = self.has_main = False
         self.hidden = self.in_main = self.in_named = False
         self.plain = True
         self.chars = self.total = self.links = self.article = self.near = self.rank = 0
@@ -145,15 +162,26 @@ class Page:
         page, largest = self.nodes[0].total, self.nodes[0].article
 
         def spared(n):
-            # A name does not hide the page's main element, an article of
-            # weight or most of the page's text (unless it is links or talk).
+            # A name does not hide the page's main element or an article of
+            # weight, nor, if it may mean something else, most of the page's
+            # text (unless that is links or talk). A notice goes at any size.
             return (n.has_main or (n.article and n.article * 2 >= largest)
-                    or (n.total * 2 > page and not n.talk and n.links * 2 <= n.total))
+                    or (n.total * 2 > page and not n.talk and not n.firm
+                        and n.links * 2 <= n.total))
+
+        def named_noise(n, up):
+            # In an article only boxes go by their name, and only by a name
+            # that says nothing else: never headings or paragraphs, and of the
+            # words in them only those marked as an advert.
+            if up.near == 2 or up.in_main:
+                return (n.tag == "article" and n.noise
+                        or n.firm and (n.tag in BOX or n.advert and n.tag in INLINE))
+            return n.noise
 
         sums = dict.fromkeys(("all", "article", "main", "named", "named only"), 0)
         for n in self.nodes[1:]:
             up = n.up
-            n.hidden = up.hidden or n.hard or ((n.noise or (n.outer and not up.near))
+            n.hidden = up.hidden or n.hard or ((named_noise(n, up) or (n.outer and not up.near))
                                                and not spared(n))
             n.near = 2 if n.tag == "article" else up.near or int(n.named or n.in_main)
             n.in_main |= up.in_main
@@ -187,7 +215,7 @@ class Page:
             self.styles[node.path, " ".join(kinds)] += 1
 
     def _open(self, tag: str, attrs: str) -> None:
-        names, role = [], ""
+        names, tokens, role = [], [], ""
         if attrs:
             for m in ATTR.finditer(attrs):
                 value = (m[2] or m[3] or m[4] or "").lower()
@@ -195,6 +223,7 @@ class Page:
                     role = value.strip()
                 else:
                     names += NAME_PART.findall(value)
+                    tokens += value.split()
         if tag not in INLINE:
             self._flush()
             closed = CLOSES.get(tag, ())
@@ -217,6 +246,8 @@ class Page:
             node.noise = not {"comment", "comments", "reply", "ad", "advert"}.isdisjoint(names)
         elif not container:
             node.noise = not NOISE_NAME.isdisjoint(names)
+            node.firm = node.noise and any(map(_only_noise, tokens))
+            node.advert = not ADVERT_NAME.isdisjoint(tokens)
             node.outer = tag == "header" or not OUTER_NAME.isdisjoint(names)
             node.named = tag not in INLINE and not MAIN_NAME.isdisjoint(names)
         self.stack.append(node)
@@ -270,6 +301,8 @@ class Page:
                     self._text(" ")
                 elif tag == "hr":
                     self._flush()
+            elif tag in ("svg", "math") and m[3].endswith("/"):
+                continue  # an empty picture or formula
             else:
                 self._open(tag, m[3])
                 if tag in RAW:

@@ -531,3 +531,32 @@ def test_quality_sql_agrees_on_boilerplate_lines(spark):
     drop = lambda r: {k: v for k, v in r.items() if k != "lost_chars"}
     assert sorted(oracle_rows(ORACLE["op3_quality_rules"], table),
                   key=lambda r: r["doc_id"]) == [drop(r.asDict()) for r in got]
+
+
+NOTICE = "A consent notice that goes on and on about cookies, partners and purposes. " * 12
+
+
+@pytest.mark.parametrize("html,text", [
+    ('<article><h2 id="related-work">Related work</h2><p>One.</p>'
+     '<p class="share-price">The share fell.</p>'
+     '<section id="search-methods"><p>How to search.</p></section>'
+     '<p>In <span class="search-hit">AD</span> 70, see <a class="reply-link">the reply</a>.</p>'
+     '</article>',
+     "Related work\n\nOne.\n\nThe share fell.\n\nHow to search.\n\nIn AD 70, see the reply."),
+    (f'<div><p>Short text of the page itself.</p></div><div class="cookie-consent"><p>{NOTICE}</p>'
+     '</div>', "Short text of the page itself."),
+    (f'<article><p>The article.</p><div class="newsletter-signup"><p>{NOTICE}</p></div></article>',
+     "The article."),
+    ("<article><p>Press <svg/> to start.</p></article>", "Press to start."),
+    ("<article><p>Press <svg><text>x</text></svg> to start.</p></article>", "Press to start."),
+    ("<article><p>Hello <script>var a = 1;</script> world.</p></article>", "Hello world."),
+    ("<article><p>Hello <style>p {}</style>world.</p><script>x</script><p>Two.</p></article>",
+     "Hello world.\n\nTwo."),
+    ('<main><h1>Title</h1><div class="post-comments"><p>First!</p></div><p>Text.</p>'
+     '<ul class="share-buttons"><li>Tweet</li></ul></main>', "Title\n\nText."),
+    ('<body class="has-sidebar"><div id="page" class="no-sidebar"><p>All of the text.</p></div>'
+     '<div class="sidebar"><p>Links.</p></div></body>', "All of the text.")])
+def test_html_names_hide_boxes_only(html, text):
+    from ferry.llm.op2_html import main_text
+
+    assert main_text(html) == text
