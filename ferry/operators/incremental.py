@@ -40,7 +40,7 @@ def _marks(spark: SparkSession, folder: str) -> list[int]:
 
 
 def _read_mark(spark: SparkSession, folder: str, run: int) -> dict:
-    (row,) = spark.read.option("wholetext", True).text(f"{folder}/marks/{run}").collect()
+    (row,) = spark.read.text(f"{folder}/marks/{run}", wholetext=True).collect()
     return json.loads(row[0])
 
 

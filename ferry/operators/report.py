@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.text import html_escape, py_str
+from ferry.operators.cuts import CUT_BYTES, cut_rows
 from ferry.operators.ordinal import with_ordinal
 
 HEADER_ROWS = 1
@@ -102,3 +103,18 @@ def html_pages(rows: DataFrame, order_by: Sequence[str], page_rows: int,
     return pages.select("page_no", "n_rows", F.concat(
         F.when(F.col("page_no") == 0, F.lit(header)).otherwise(none), F.col("_body"),
         F.when(F.col("page_no") == last, F.lit(footer)).otherwise(none)).alias("html"))
+
+
+def html_cuts(rows: DataFrame, order_by: Sequence[str], header: str, footer: str,
+              row_col: str = "row_html", page_bytes: int = CUT_BYTES) -> DataFrame:
+    """One HTML document in pages bounded by bytes (A3): ``first_row`` (the
+    position of its first row), ``n_rows``, ``html``. In the order of
+    ``first_row`` the pages are the document. One shuffle, the sort's."""
+    pos = with_ordinal(rows, order_by)
+    last = pos.agg(F.max("ordinal")).scalar()
+    pages = cut_rows(pos, [row_col], page_bytes)
+    none = F.lit("")
+    return pages.select("first_row", "n_rows", F.concat(
+        F.when(F.col("first_row") == 0, F.lit(header)).otherwise(none), F.col("text"),
+        F.when(F.col("first_row") + F.col("n_rows") - 1 == last, F.lit(footer)).otherwise(none))
+        .alias("html"))

@@ -30,7 +30,7 @@ def read_column_json(spark: SparkSession, path: str, schema: T.StructType | str,
                      label: str = "row_label", whole_files: bool = False) -> DataFrame:
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     names = [f.name for f in st.fields]
-    txt = spark.read.option("wholetext", whole_files).text(path)
+    txt = spark.read.text(path, wholetext=whole_files)
     parsed = F.from_json("value", "map<string, map<string, string>>", {"mode": "FAILFAST"})
     docs = txt.select(parsed.alias("_m"))
 

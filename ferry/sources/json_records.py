@@ -67,7 +67,7 @@ def read_required(spark: SparkSession, path, schema: T.StructType | str,
     counts = seen.get
     bare = [c for k, c in enumerate(required) if counts["n"] and not counts[f"c{k}"]]
     if bare:
-        text = spark.read.option("wholetext", array).text(path)
+        text = spark.read.text(path, wholetext=array)
         record = F.explode(parse_strict("value", "array<string>")) if array else F.col("value")
         check_present(text.select(record.alias("value")), "value", bare)
     return spark.read.schema(rows.schema).parquet(landed)

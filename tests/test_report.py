@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ferry.operators.ordinal import with_ordinal
-from ferry.operators.report import chart_series, html_pages, html_row, sheet_extent, sheet_rows
+from ferry.operators.report import chart_series, html_cuts, html_pages, html_row, sheet_extent, sheet_rows
 
 
 def test_ordinal_equals_row_number(spark):
@@ -107,3 +107,40 @@ def test_report_table_and_json_lines_sinks(spark, tmp_dir):
     p2 = write_lines(json_lines(df), os.path.join(tmp_dir, "lines"))
     assert sorted(r.value for r in spark.read.text(p2).collect()) == [
         '{"id":10,"title":"a"}', '{"id":20,"title":"b"}']
+
+
+def test_html_cuts_hold_the_byte_budget(spark):
+    df = spark.range(0, 300).select(
+        F.format_string("%03d", "id").alias("k"),
+        F.concat(F.format_string("<r%d>", "id"), F.expr("repeat('é', id * 40 % 10000)"))
+        .alias("row_html"))  # rows of up to 20 KB
+    want = "<h>" + "".join(r.row_html for r in df.orderBy("k").collect()) + "</h>"
+    pages = sorted(html_cuts(df.repartition(6), ["k"], "<h>", "</h>", page_bytes=50_000).collect())
+    assert "".join(p.html for p in pages) == want
+    assert max(len(p.html.encode()) for p in pages) <= 50_000 + len("<h></h>")
+    assert sum(p.n_rows for p in pages) == 300 and len(pages) < 120
+    small = html_cuts(df, ["k"], "", "", page_bytes=10).collect()
+    assert len(small) == 300  # a row beyond the budget stands alone
+
+
+def test_cuts_need_one_shuffle(spark):
+    df = spark.range(0, 1000).select(F.col("id").alias("k"), F.col("id").cast("string")
+                                     .alias("row_html"))
+    plan = html_cuts(df, ["k"], "", "")._jdf.queryExecution().executedPlan().toString()
+    # What is still dealt are counts per written part, never rows.
+    dealt = [x for x in plan.splitlines() if "partitioning(" in x and "_ferry_pid" not in x]
+    assert dealt == []
+
+
+def test_hand_over_chunks_hold_the_byte_budget(spark, tmp_dir):
+    from ferry.sinks.handover import column_json_chunks, write_column_json
+    from ferry.sources.handover import read_column_json
+
+    df = spark.range(0, 200).select(F.col("id"), F.repeat(F.lit('x"é'), (F.col("id") % 50 * 100).cast("int")).alias("t"),
+                                    F.when(F.col("id") % 3 > 0, F.col("id") / 4).alias("d"))
+    values = [r.value for r in column_json_chunks(df, ["id"], chunk_bytes=60_000).collect()]
+    assert len(values) > 10 and max(len(v.encode()) for v in values) <= 60_000 + 100
+    path = write_column_json(df, f"{tmp_dir}/h", ["id"], chunk_bytes=60_000)
+    back = read_column_json(spark, path, df.schema)
+    assert sorted(map(tuple, back.drop("row_label").collect()), key=lambda r: r[0]) == sorted(
+        map(tuple, df.collect()), key=lambda r: r[0])

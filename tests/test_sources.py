@@ -336,3 +336,11 @@ def test_whole_documents_do_not_depend_on_an_earlier_flatten(spark, tmp_dir):
         with pytest.raises(Exception):
             read_whole_documents(spark, path).selectExpr("to_json(doc)").collect()
         assert text_leaves(df, "i", "d", root="$.s").collect()[0].value == "http://y"
+
+
+def test_handover_document_over_several_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "h.json")
+    with open(path, "w") as f:
+        f.write(json.dumps({"a": {"0": 1, "1": 2}, "b": {"0": "x", "1": None}}, indent=1))
+    got = read_column_json(spark, path, "a INT, b STRING", whole_files=True).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, "x"), (1, 2, None)]
