@@ -89,15 +89,24 @@ def daily_metrics(spark: SparkSession, sf_dir: str, path: str) -> None:
 @_staged("daily_metrics_array")
 def daily_metrics_array(spark: SparkSession, sf_dir: str, path: str) -> str:
     """The payload as one JSON array in one file, the youngest day first."""
+    return _write_array(daily_metrics_frame(spark, sf_dir), f"{path}/daily.json")
+
+
+def _write_array(days: DataFrame, path: str) -> str:
     from ferry.operators.ordinal import with_ordinal
     from ferry.sinks.one_file import write_one_file
 
-    days = daily_metrics_frame(spark, sf_dir).withColumn("_k", -F.col("date"))
-    numbered = with_ordinal(days, ["_k"])
+    numbered = with_ordinal(days.withColumn("_k", -F.col("date")), ["_k"])
     text = F.concat(F.when(F.col("ordinal") == 0, F.lit("")).otherwise(F.lit(",\n ")),
-                    F.to_json(F.struct(*[c for c in days.columns if c != "_k"])))
+                    F.to_json(F.struct(*days.columns)))
     return write_one_file(numbered.select("ordinal", text.alias("text")), "text", ["ordinal"],
-                          f"{path}/daily.json", "[", "]\n")
+                          path, "[", "]\n")
+
+
+def day_payload(spark: SparkSession, sf_dir: str, k: int, path: str) -> str:
+    """What the API returns on day ``k`` of three: a third of the records."""
+    days = daily_metrics_frame(spark, sf_dir)
+    return _write_array(days.filter(F.col("date") % 3 == k), path)
 
 
 # ---------------------------------------------------------------------- photos

@@ -82,6 +82,11 @@ ORDER BY date NULLS LAST"""
 
 ORACLE["daily_report_http"] = ORACLE["daily_report"]
 
+ORACLE["daily_report_days"] = _with(DAILY_METRICS) + """
+SELECT DATE '2024-01-01' + CAST(date % 3 AS INTEGER) AS ds, date, positive, death,
+       hospitalizedCurrently
+FROM daily_metrics"""
+
 ORACLE["daily_report_array"] = ORACLE["daily_report"]
 
 ORACLE["daily_report_rowcount"] = _with(DAILY_METRICS) + """

@@ -30,6 +30,7 @@ from ferry.sinks.one_file import write_one_file
 from ferry.sinks.tables import create_table, insert_select
 from ferry.sources.assets import fetch_urls, with_image_sizes
 from ferry.sources.handover import read_column_json, read_column_text
+from ferry.sources.json_daily import land_daily
 from ferry.sources.json_http import read_json_http
 from ferry.sources.json_records import (payload_positions, read_documents, read_json_array,
                                         read_json_records, read_required, read_whole_documents)
@@ -84,6 +85,17 @@ def daily_report_http(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       required=DAILY_COLUMNS))
 
 
+def daily_report_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 on its schedule: three daily payloads that come one after the other,
+    each landed once by a stream that goes on from its checkpoint."""
+    folder = scratch_path(spark, "daily-payloads")
+    for k, ds in enumerate(("2024-01-01", "2024-01-02", "2024-01-03")):
+        fx.day_payload(spark, sf_dir, k, f"{folder}/daily-{ds}.json")
+        rows = land_daily(spark, f"{folder}/daily-{{ds}}.json", "2024-01-01", DAILY_SCHEMA,
+                          f"{folder}/landed")
+    return rows.transform(P.keep_columns, ["ds", *DAILY_COLUMNS])
+
+
 def daily_report_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: the four columns of the report on a sheet, written and read back."""
     t = daily_table(daily_records(spark, sf_dir), sort=False)
@@ -414,6 +426,7 @@ QUERIES = {
     "daily_report": daily_report,
     "daily_report_array": daily_report_array,
     "daily_report_http": daily_report_http,
+    "daily_report_days": daily_report_days,
     "daily_report_series": daily_report_series,
     "daily_report_sheet": daily_report_sheet,
     "daily_report_rowcount": daily_report_rowcount,
