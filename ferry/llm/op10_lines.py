@@ -18,7 +18,8 @@ Defined results: a null or empty text has no chunks and stays as it is; blank
 lines belong to the chunk of the line before them and do not count in the
 comparison; a text whose chunks all go becomes ''; rows that share an id count
 as one document (a chunk repeated only among them stays in each); a row with a
-null id is left as it is and not counted; other columns stay as they are.
+null id is left as it is and not counted; an empty table gives an empty result;
+other columns stay as they are. Texts of any length are cut whole.
 """
 
 from __future__ import annotations

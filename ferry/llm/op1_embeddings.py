@@ -10,7 +10,8 @@ task holds one graph and one slice.
 A search starts with a beam of ``BEAM``. A query whose beam is full of links
 widens until its beam reaches below the threshold. Each task audits up to
 ``AUDIT`` of its queries against brute force and doubles all its beams until
-the recall of links is at least ``RECALL``. Links are then verified by the
+the recall of links is at least ``RECALL`` and that of the ``NEAREST`` other
+vectors, whatever their cosine, at least ``NEAR_RECALL``. Links are then verified by the
 cosine in double precision. Tasks return, per class, the number of linked
 vectors and, per task, a spanning forest of the links, whose union gives the
 components.
@@ -19,7 +20,8 @@ Defined results: a vector that is null, empty, zero, or holds a null or
 non-finite component links with nothing, nor does one with a null label; such
 a row has no links and is its own component. Rows that share an id are
 vectors of their own and the one component holds them if they link; a null id
-has no component and is kept; other columns are ignored.
+has no component and is kept; an empty table gives an empty result; other columns
+are ignored. There are no texts here; vectors of any length are compared within it.
 """
 
 from __future__ import annotations
@@ -35,9 +37,11 @@ from ferry.llm.hnsw import Graph
 from ferry.session import ship_package
 
 # Vectors per shard and slice, first beam, audited queries per
-# task, least recall of an audit, slack of the search in single precision.
+# task, least recall of links in an audit, nearest others audited and their
+# least recall, slack of the search in single precision.
 SHARD, SLICE = 8192, 2048
 BEAM, AUDIT, RECALL = 32, 48, 0.999
+NEAREST, NEAR_RECALL = 5, 0.95
 SLACK = 1e-4
 
 
@@ -115,11 +119,19 @@ def _search(threshold: float):
         q = qv.astype(np.float32)
         floor = threshold - SLACK
         audit = np.unique(np.linspace(0, len(q) - 1, AUDIT).astype(int))
-        truth = {(int(r), int(c)) for r, c in np.argwhere(q[audit] @ g.vectors.T >= floor)}
+        sims = q[audit] @ g.vectors.T
+        truth = {(int(r), int(c)) for r, c in np.argwhere(sims >= floor)}
+        sims[qk[audit][:, None] == gk] = -np.inf  # a vector is not its own neighbour
+        # Links may be rare, so the nearest others are audited whatever their cosine.
+        k = min(NEAREST, len(gi))
+        kth = np.partition(sims, len(gi) - k, axis=1)[:, len(gi) - k]
         ef = BEAM
-        while True:
+        while ef < len(gi):
             found = set(zip(*(x.tolist() for x in g.within(q[audit], floor, ef)), strict=True))
-            if len(found & truth) >= RECALL * len(truth) or ef >= len(gi):
+            near = g.search(q[audit], ef)[0]
+            hits = (near >= 0) & (np.take_along_axis(sims, np.maximum(near, 0), 1) >= kth[:, None])
+            if (len(found & truth) >= RECALL * len(truth)
+                    and np.minimum(hits.sum(axis=1), k).sum() >= NEAR_RECALL * k * len(audit)):
                 break
             ef *= 2
         r, c = g.within(q, floor, ef)

@@ -16,8 +16,10 @@ A page's text is that of its article (else of its main element, else of its
 body), without elements whose tag, role or names say that they are menus,
 headers, footers, sidebars, notices, adverts, forms or comments, and without
 the low-importance branches of its host. A name hides no block with the main
-element, an article of weight or most of the page's text; names make a main
-block only where such blocks hold most of the text; and the main element's own
+element or an article of weight, nor, unless it says nothing else (a notice goes
+at any size), most of the page's text; inside an article or main element only
+such plain names of boxes count, never those of headings, paragraphs or links;
+names make a main block only where such blocks hold most of the text; and the main element's own
 plain text, or all of it where it is more than the articles', stays beside an
 article. Plain text flow of an article (paragraphs, headings, list items ...
 directly in it) is never a branch.
@@ -28,7 +30,8 @@ and is joined to the pages by host.
 Defined results: null or empty html gives '' and 0; html without markup is one
 block; a null or odd url counts as the host ''; unclosed comments, tags and
 elements end with the page; rows are treated one by one, so repeated rows give
-repeated rows; other columns are ignored.
+repeated rows; an empty table gives an empty result; other columns are ignored.
+Pages of any length are parsed whole, in time linear in their text.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ of it inside repeated three-word windows).
 Defined results: a null or empty text has no words and is rejected (fewer
 than 50 words); lines without a word are neither judged nor counted; rows are
 judged one by one, so repeated rows give repeated rows; extra columns are
-ignored by ``quality_rules`` and kept by ``clean_documents``.
+ignored by ``quality_rules`` and kept by ``clean_documents``; an empty table
+gives an empty result. Texts of any length are judged whole, in one row.
 """
 
 from __future__ import annotations

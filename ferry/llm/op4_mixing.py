@@ -24,7 +24,8 @@ without words has no tokens; a source without tokens has weight 0 and gives
 one whole block; rows with the same id have the same key and are in or out
 together; a null id is an empty one in the key; an empty table gives an empty
 mix; other columns pass through ``mix_documents``, whose added columns take
-the names asked for (a clash raises).
+the names asked for (columns with those names give way; the id, text or source
+cannot). Texts of any length are only counted.
 """
 
 from __future__ import annotations

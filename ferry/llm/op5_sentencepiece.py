@@ -18,7 +18,8 @@ are encoded and compared whole.
 
 Defined results: a null or empty text has no ids and decodes to ''; rows are
 encoded one by one, so repeated rows give repeated rows; a null id stays null;
-other columns are ignored.
+other columns are ignored; an empty table gives an empty result. Texts of any
+length are cut into units, some 1 MB of characters at a time.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Offsets are code points, end exclusive. Every scan is linear in the text.
 
 Defined results: a null text is an empty one (no spans, the hash of the empty
 string); rows are scanned one by one, so repeated rows give repeated rows; a
-null id stays null; other columns are ignored.
+null id stays null; an empty table gives an empty result; other columns are
+ignored. Texts of any length are scanned whole.
 """
 
 from __future__ import annotations

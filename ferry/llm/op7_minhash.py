@@ -32,7 +32,8 @@ Defined results: a null or empty text, or one without a word, has an empty
 set, links with nothing and is kept; with fewer words than a shingle the whole
 sequence is the one shingle; rows that share an id are one node (its links are
 those of all its rows); a row without an id has no component and is kept;
-other columns are ignored.
+an empty table gives an empty result; other columns are ignored. Texts of any
+length are read whole; a document's set is one value.
 """
 
 from __future__ import annotations

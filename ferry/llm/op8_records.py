@@ -24,7 +24,8 @@ over the manifest, one row per file.
 
 Defined results: a null text is an empty one (only the end id); repeated ids
 are written in an order by text; a null id comes first and stays null; an
-empty table gives an empty manifest; other columns are ignored.
+empty table gives an empty manifest; other columns are ignored. A text of any
+length is one record.
 """
 
 from __future__ import annotations
