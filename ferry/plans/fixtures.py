@@ -321,6 +321,49 @@ def images(spark: SparkSession, sf_dir: str, path: str) -> None:
     manifest.write.parquet(f"{path}/manifest")
 
 
+# ------------------------------------------------------- one document per URL
+
+# The URL leaves of a document in document order, by their keys.
+SPRITE_KEYS = ["front_default", "front_default", "front_gray", "back_default"]
+
+
+def _write_documents(out_dir: str, image_root: str, n_images: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+
+        from ferry.sources.assets import file_system
+        fsys, base = file_system(out_dir)
+        fsys.create_dir(base, recursive=True)
+        for pdf in batches:
+            for k in pdf["doc_id"].tolist():
+                ids = [(k * len(SPRITE_KEYS) + i) % n_images for i in range(len(SPRITE_KEYS))]
+                u = [f"{image_root}/{i}.{'html' if image_kind(i) == 'html' else 'png'}"
+                     for i in ids]
+                sprites = {"back_female": None, "order": k} if k % 10 == 0 else {
+                    "front_default": u[0], "back_female": None,
+                    "other": {"dream-world": {"front_default": u[1]}, "list": [u[0]]},
+                    "versions": {"generation-i": {"red": {"front_gray": u[2]}}},
+                    "back_default": u[3], "order": k}
+                with fsys.open_output_stream(f"{base}/{k}.json") as f:
+                    f.write(json.dumps({"name": f"s{k}", "sprites": sprites}).encode())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"],
+                                "url": [f"{out_dir}/{k}.json" for k in pdf["doc_id"]]})
+    return run
+
+
+@_staged("sprite_documents")
+def sprite_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``{path}/files``: one nested document per supplier, as an API returns
+    it, whose leaves are URLs of the staged photo images (page ids count from
+    0); ``{path}/manifest``: ``doc_id, url``."""
+    ship_package(spark)
+    n = table(spark, sf_dir, "pages").count()
+    docs = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    written = docs.mapInPandas(_write_documents(f"{path}/files", f"{images(spark, sf_dir)}/files",
+                                                n), "doc_id long, url string")
+    written.write.parquet(f"{path}/manifest")
+
+
 # ------------------------------------------------------- landed SQL tables
 
 @_staged("sql_tables")

@@ -225,6 +225,18 @@ SELECT doc_id, leaf_pos + 2 AS sheet_row, sprite_name,
        'B' || CAST(leaf_pos + 2 AS VARCHAR) AS anchor_cell
 FROM sprite_leaves"""
 
+ORACLE["sprite_assets_sheet"] = f"""
+SELECT doc_id, sheet_row, sprite_name, status,
+       CASE WHEN status = 'ok' THEN CAST(1 + id % 7 AS INTEGER) END AS width,
+       CASE WHEN status = 'ok' THEN CAST(1 + id % 5 AS INTEGER) END AS height,
+       status <> 'ok' AS is_placeholder, 'B' || CAST(sheet_row AS VARCHAR) AS anchor_cell
+FROM (SELECT *, {PHOTO_STATUS} AS status
+      FROM (SELECT s_suppkey AS doc_id, i + 2 AS sheet_row, sprite_name,
+                   (s_suppkey * 4 + i) % (SELECT count(*) FROM pages) AS id
+            FROM supplier, (VALUES (CAST(0 AS BIGINT), 'front_default'), (1, 'front_default'),
+                                   (2, 'front_gray'), (3, 'back_default')) l(i, sprite_name)
+            WHERE s_suppkey % 10 <> 0) s) t"""
+
 ORACLE["table_extract"] = "SELECT * FROM part"
 
 ORACLE["csv_roundtrip"] = "SELECT * FROM part"

@@ -241,6 +241,25 @@ def sprite_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat(F.lit("B"), row.cast("string")).alias("anchor_cell"))
 
 
+def sprite_assets_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nested document fetched from its URL, its URL
+    leaves fetched in turn and checked, the placeholder where one is no image;
+    a sheet per document, written and read back. The URLs are staged files here
+    (no network); ``http(s)://`` ones go the same way."""
+    manifest = spark.read.parquet(f"{fx.sprite_documents(spark, sf_dir)}/manifest")
+    bodies = fetch_urls(manifest, "url").select("url", F.col("content").cast("string").alias("doc"))
+    docs = manifest.join(bodies, "url").select("doc_id", "doc")
+    leaves = text_leaves(docs, "doc_id", "doc", root="$.sprites",
+                         prefix=f"{fx.images(spark, sf_dir)}/files", key_name="sprite_name",
+                         value_name="url")
+    audit = S.audit_fetched(leaves, fetch_urls(leaves, "url", measure_image=True), "url")
+    row = F.col("leaf_pos") + R.FIRST_DATA_ROW
+    return written_sheet(spark, audit.select(
+        "doc_id", row.alias("sheet_row"), "sprite_name", "status", "width", "height",
+        (F.col("asset") != F.col("url")).alias("is_placeholder"),
+        F.concat(F.lit("B"), row.cast("string")).alias("anchor_cell")))
+
+
 # ----------------------------------------------------------------- SQL sources
 
 def table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,6 +458,7 @@ QUERIES = {
     "asset_fetch_audit": asset_fetch_audit,
     "sprite_urls": sprite_urls,
     "sprite_sheet": sprite_sheet,
+    "sprite_assets_sheet": sprite_assets_sheet,
     "table_extract": table_extract,
     "csv_roundtrip": csv_roundtrip,
     "csv_documents": csv_documents,
