@@ -251,6 +251,9 @@ ORACLE["csv_documents_file"] = ORACLE["csv_documents"]
 ORACLE["insert_select_limit"] = """
 SELECT embedding AS coordenadas FROM embeddings ORDER BY vec_id LIMIT 1"""
 
+ORACLE["table_extent"] = """
+SELECT count(*) AS n_rows, count(p_partkey) AS n_values FROM part"""
+
 ORACLE["high_water_mark"] = _with(USERS) + """
 SELECT max(load_datetime) AS high_water_mark FROM users"""
 

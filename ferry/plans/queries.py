@@ -29,6 +29,8 @@ from ferry.sinks.handover import write_column_json, write_column_text
 from ferry.sinks.one_file import write_one_file
 from ferry.sinks.tables import create_table, insert_select
 from ferry.sources.assets import fetch_urls, with_image_sizes
+from ferry.sources.footers import read_table_footers
+from ferry.sources.footers import table_extent as footer_extent
 from ferry.sources.handover import read_column_json, read_column_text
 from ferry.sources.json_daily import land_daily
 from ferry.sources.json_http import read_json_http
@@ -321,6 +323,12 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.high_water_mark(users, "load_datetime")
 
 
+def table_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: rows of a table and those with a key, from its file footers."""
+    table = read_table_footers(spark, f"{fx.sql_tables(spark, sf_dir)}/EXPERIMENTS")
+    return footer_extent(table, "p_partkey")
+
+
 def high_water_mark_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mark, handed to the next step as a scalar subquery."""
     users = user_documents(spark, sf_dir).select("_id", "load_datetime")
@@ -465,6 +473,7 @@ QUERIES = {
     "csv_documents_file": csv_documents_file,
     "insert_select_limit": insert_select_limit,
     "high_water_mark": high_water_mark,
+    "table_extent": table_extent,
     "high_water_mark_handoff": high_water_mark_handoff,
     "incremental_extract": incremental_extract,
     "users_documents": users_documents,

@@ -83,3 +83,19 @@ def test_range_count_follows_the_input_size(spark):
     small = spark.range(10)
     assert range_count(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert range_count(spark.range(RANGE_BYTES * 100 // 8)) == 100
+
+
+def test_table_extent_is_read_from_footers(spark, tmp_dir):
+    from ferry.sources.footers import V1, read_table_footers, table_extent
+
+    before = spark.conf.get(V1)
+    assert "PushedAggregation: [COUNT(*), COUNT(p_partkey)]" in plan(
+        E.queries()["table_extent"](spark, SF_SMALL))
+    assert spark.conf.get(V1) == before
+    spark.createDataFrame([(3, "a"), (None, "b"), (-7, None)], "k int, s string").repartition(
+        3).write.parquet(f"{tmp_dir}/t")
+    table = read_table_footers(spark, f"{tmp_dir}/t")
+    assert tuple(table_extent(table, "k").first()) == (3, 2)
+    assert tuple(table_extent(table, "s").first()) == (3, 2)
+    spark.createDataFrame([], "k int").write.parquet(f"{tmp_dir}/e")
+    assert tuple(table_extent(read_table_footers(spark, f"{tmp_dir}/e"), "k").first()) == (0, 0)

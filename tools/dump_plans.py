@@ -3,7 +3,7 @@
     python tools/dump_plans.py [sf_dir]
 
 Plans are taken after staging (eager steps such as the ordinal sort, the
-flatten passes and the stream drain have already run; what is shown is the
+first pass over a large text and the stream drain have already run; what is shown is the
 plan of the returned DataFrame). Scratch paths are shortened.
 """
 
@@ -16,7 +16,18 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
-    "daily_report": "JSON scan reads 4 of 6 fields (ReadSchema); one range shuffle for the sort.",
+    "daily_report": "Scan of the four columns landed by one pass over the JSON (values counted on "
+                    "the way); one range shuffle for the sort.",
+    "daily_report_array": "mapInArrow over block rows (one task each), JVM parse, one range shuffle "
+                          "for the sort; no text is shuffled before it.",
+    "daily_report_days": "Scan of the rows that the stream landed.",
+    "csv_documents_file": "mapInArrow over block rows, JVM parse: one file, many tasks.",
+    "interchange_text": "mapInArrow over block rows; one shuffle by row label.",
+    "users_html_file": "Text scan of one file, split.",
+    "incremental_extract": "Scan of the committed runs; no exchange.",
+    "table_extent": "PushedAggregation in the scan: footers only.",
+    "first_failure_state": "Last revision per key: one shuffle of the stream's output.",
+    "sprite_assets_sheet": "CSV scan of the written sheet.",
     "daily_report_http": "Scan of the records landed by the Python data source (one partition "
                          "per URL, each requested once); one range shuffle for the sort.",
     "daily_report_sheet": "CSV scan of the written sheet.",
@@ -30,10 +41,10 @@ NOTES = {
     "daily_report_rowcount": "Partial count per task, one final merge.",
     "photos_projection": "Narrow: scan + project.",
     "photos_sheet": "CSV scan of the written sheet.",
-    "photos_series": "Rows as landed; one offset per read block, broadcast; no sort.",
+    "photos_series": "Rows as landed; one offset per read block, joined by measured size; no sort.",
     "asset_status": "Narrow; the placeholder is a literal.",
     "image_audit": "Header sizes via mapInPandas over the manifest: no listing, no join.",
-    "sprite_urls": "posexplode of the leaves of the one flatten pass: no exchange.",
+    "sprite_urls": "One lazy mapInArrow over the documents: no exchange.",
     "sprite_sheet": "As sprite_urls plus a projection.",
     "table_extract": "Narrow: table scan, splits follow its size.",
     "csv_roundtrip": "CSV scan of the written folder.",

@@ -100,7 +100,7 @@ def main() -> None:
     out = ["# SCALE", "",
            f"Measured with Spark's event log (`tools/scale_report.py`, {sf_dir}, `local[8]`, "
            "16 shuffle partitions, AQE on). One measured run per query, after staging; "
-           "eager steps inside a query (ordinal sort, flatten passes, stream drain, "
+           "eager steps inside a query (ordinal sort, block scans, stream drain, "
            "writes) are included.", "",
            "* **rows scanned**: records read by file scans (includes re-reads of tables "
            "a query writes itself). **rows shuffled / MB**: records and bytes written to "
@@ -126,7 +126,7 @@ def main() -> None:
             "records after the scan, so its ratio counts records per payload.",
             "* Rows scanned exceed the input where a range sort samples its input first "
             "(Spark's range partitioner reads it once for bounds) or a query re-reads a "
-            "table it wrote itself (ordinal table, flatten passes, CSV round trip).",
+            "table it wrote itself (ordinal table, block states, CSV round trip).",
             "* A high task share with few groups is not growing skew when every group is "
             "bounded: `interchange_roundtrip` groups rows into hand-over chunks of at most "
             "1,000 rows, so a small table makes a few chunks on a few tasks; at scale "
