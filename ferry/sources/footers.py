@@ -32,4 +32,6 @@ def read_table_footers(spark: SparkSession, path: str) -> DataFrame:
 
 def table_extent(table: DataFrame, column: str) -> DataFrame:
     """``n_rows`` and ``n_values`` (rows with a value in ``column``): one row."""
-    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.count(column).alias("n_values"))
+    # The pushed counts of a table without row groups add up to null.
+    count = lambda c, name: F.coalesce(F.count(c), F.lit(0)).alias(name)
+    return table.agg(count(F.lit(1), "n_rows"), count(column, "n_values"))
