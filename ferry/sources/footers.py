@@ -32,6 +32,7 @@ def read_table_footers(spark: SparkSession, path: str) -> DataFrame:
 
 def table_extent(table: DataFrame, column: str) -> DataFrame:
     """``n_rows`` and ``n_values`` (rows with a value in ``column``): one row."""
-    # The pushed counts of a table without row groups add up to null.
-    count = lambda c, name: F.coalesce(F.count(c), F.lit(0)).alias(name)
+    # The pushed counts of a table without row groups add up to null, which the
+    # optimizer, for which counts have a value, would not let ``coalesce`` see.
+    count = lambda c, name: F.greatest(F.count(c), F.lit(0)).alias(name)
     return table.agg(count(F.lit(1), "n_rows"), count(column, "n_values"))
